@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from usertide.functions.columns import PURCHASE, is_event, sunday_week
+from usertide.functions.columns import PURCHASE, attribute_key, is_event, sunday_week
 from usertide.operators.staging import with_measures
 
 
@@ -32,7 +32,8 @@ def build_dim(events: DataFrame, key: str, attributes: list[str], grain: str = "
     A NULL and an empty attribute share one key. ``grain='key'`` keeps one row per key,
     so joins cannot fan out; ``'reference'`` keeps each distinct set of attributes.
     """
-    rows = events.select(key, *attributes).where(F.col(key).isNotNull()).distinct()
+    # Hashing after the distinct hashes a few rows instead of every event.
+    rows = events.select(*attributes).distinct().select(attribute_key(*attributes).alias(key), *attributes)
     if grain == "reference":
         return rows
     if grain != "key":

@@ -2,22 +2,31 @@
 
 Where one dimension key must be chosen per group, it is that of the earliest event,
 ties going to the smaller keys. The choice is made in two steps: first a hash
-aggregation with the candidate keys in the grouping, then a minimum over the few
-candidates left. A minimum over structs alone would sort every event.
+aggregation with the candidate attributes in the grouping, then, over the few
+candidates left, hashing them to keys and taking a minimum over structs. A minimum
+over structs alone would sort every event.
 """
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from usertide.functions.columns import FUNNEL_STEPS, PURCHASE, is_event, purchase_key
-from usertide.operators.staging import with_measures
+from usertide.functions.columns import FUNNEL_STEPS, PURCHASE, purchase_key
+from usertide.operators.staging import ALL_ATTRIBUTES, dimension_keys, with_measures
 from usertide.schemas import DIM_KEYS, MONEY
 
 
 def _purchases() -> Column:
-    return F.sum(F.when(is_event(PURCHASE), F.col("event_count")).otherwise(F.lit(0).cast("bigint")))
+    return F.sum(F.when(F.col("event_name") == PURCHASE, F.col("event_count")).otherwise(F.lit(0).cast("bigint")))
+
+
+def _revenue() -> Column:
+    """Revenue of a group: NULL if it holds nothing but purchases without revenue."""
+    zero = F.when(F.col("event_count") > F.col("purchase_count"), F.lit(0).cast(MONEY))
+    return F.coalesce(F.col("revenue").cast(MONEY), zero).alias("revenue")
 
 
 def _earliest(*columns: str) -> Column:
@@ -26,12 +35,12 @@ def _earliest(*columns: str) -> Column:
 
 def build_fact_sessions(events: DataFrame, dim_keys: bool = True) -> DataFrame:
     """One row per session key. ``dim_keys=False`` leaves out the three dimension keys."""
-    attributes = DIM_KEYS if dim_keys else []
+    keys = dimension_keys() if dim_keys else {}
     identity = ["user_id", "ga_session_id", "ga_session_number"]
     candidates = (
         with_measures(events)
         .where(F.col("session_key").isNotNull())
-        .groupBy("session_key", *identity, *attributes)
+        .groupBy("session_key", *identity, *(ALL_ATTRIBUTES if keys else []))
         .agg(
             F.min("first_ts").alias("first_ts"),
             F.max("last_ts").alias("last_ts"),
@@ -40,15 +49,16 @@ def build_fact_sessions(events: DataFrame, dim_keys: bool = True) -> DataFrame:
             _purchases().alias("purchase_count"),
             F.sum("purchase_revenue").alias("revenue"),
         )
+        .select("*", *[key.alias(name) for name, key in keys.items()])
     )
     sessions = candidates.groupBy("session_key").agg(
-        _earliest(*identity, *attributes),
+        _earliest(*identity, *keys),
         F.min("first_ts").alias("session_start_ts"),
         F.max("last_ts").alias("session_end_ts"),
         F.min("session_date").alias("session_date"),
         F.sum("event_count").alias("event_count"),
         F.sum("purchase_count").alias("purchase_count"),
-        F.sum("revenue").cast(MONEY).alias("revenue"),
+        F.sum("revenue").alias("revenue"),
     )
     return sessions.select(
         "session_key",
@@ -58,10 +68,10 @@ def build_fact_sessions(events: DataFrame, dim_keys: bool = True) -> DataFrame:
         "session_start_ts",
         "session_end_ts",
         "session_date",
-        *[F.col(f"earliest.{k}").alias(k) for k in attributes],
+        *[F.col(f"earliest.{k}").alias(k) for k in keys],
         "event_count",
         "purchase_count",
-        "revenue",
+        _revenue(),
     )
 
 
@@ -105,36 +115,46 @@ def build_fact_funnel_steps(
 
 def build_fact_user_daily_activity(events: DataFrame, dim_keys: bool = True) -> DataFrame:
     """One row per user and active date. ``dim_keys=False`` leaves out the dimension keys."""
-    flags = {f"had_{name}": name for name in FUNNEL_STEPS}
+    # The funnel events of a group as one bit each: one small buffer instead of five.
+    bits = {name: 1 << i for i, name in enumerate(FUNNEL_STEPS)}
+    first, *others = bits.items()
+    bit = reduce(
+        lambda chain, item: chain.when(F.col("event_name") == item[0], item[1]),
+        others,
+        F.when(F.col("event_name") == first[0], first[1]),
+    ).otherwise(0)
     rows = with_measures(events).where(F.col("user_id").isNotNull() & F.col("event_date_utc").isNotNull())
     group = ["user_id", F.col("event_date_utc").alias("activity_date")]
     measures = [
         F.sum("event_count").alias("event_count"),
-        *[F.bool_or(is_event(name)).alias(flag) for flag, name in flags.items()],
+        F.bit_or(bit).alias("seen"),
         _purchases().alias("purchase_count"),
         F.sum("purchase_revenue").alias("revenue"),
     ]
     if dim_keys:
-        candidates = rows.groupBy(*group, *DIM_KEYS).agg(F.min("first_ts").alias("first_ts"), *measures)
-        days = candidates.groupBy("user_id", "activity_date").agg(
-            _earliest(*DIM_KEYS),
-            F.sum("event_count").alias("event_count"),
-            *[F.bool_or(flag).alias(flag) for flag in flags],
-            F.sum("purchase_count").alias("purchase_count"),
-            F.sum("revenue").alias("revenue"),
+        candidates = rows.groupBy(*group, *ALL_ATTRIBUTES).agg(F.min("first_ts").alias("first_ts"), *measures)
+        days = (
+            candidates.withColumns(dimension_keys())
+            .groupBy("user_id", "activity_date")
+            .agg(
+                _earliest(*DIM_KEYS),
+                F.sum("event_count").alias("event_count"),
+                F.bit_or("seen").alias("seen"),
+                F.sum("purchase_count").alias("purchase_count"),
+                F.sum("revenue").alias("revenue"),
+            )
         )
-        keys = [F.col(f"earliest.{k}").alias(k) for k in DIM_KEYS]
     else:
-        days, keys = rows.groupBy(*group).agg(*measures), []
+        days = rows.groupBy(*group).agg(*measures)
     return days.select(
         "user_id",
         "activity_date",
-        *keys,
+        *([F.col(f"earliest.{k}").alias(k) for k in DIM_KEYS] if dim_keys else []),
         F.lit(True).alias("is_active"),
         "event_count",
-        *flags,
+        *[(F.col("seen").bitwiseAND(mask) > 0).alias(f"had_{name}") for name, mask in bits.items()],
         "purchase_count",
-        F.col("revenue").cast(MONEY).alias("revenue"),
+        _revenue(),
     )
 
 

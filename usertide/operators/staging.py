@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from usertide.functions.columns import attribute_key, is_event, param_int, session_key, PURCHASE
+from usertide.functions.columns import PURCHASE, attribute_key, param_int, session_key
 from usertide.schemas import DIM_ATTRIBUTES, MONEY
 
 
@@ -35,16 +35,23 @@ def stage_events(raw: DataFrame, tz: str = "UTC") -> DataFrame:
     )
 
 
+ALL_ATTRIBUTES = [attribute for _, attributes in DIM_ATTRIBUTES.values() for attribute in attributes]
+
+
+def dimension_keys() -> dict[str, Column]:
+    """The key of each hashed dimension, from its attributes."""
+    return {key: attribute_key(*attributes) for key, attributes in DIM_ATTRIBUTES.values()}
+
+
 def enrich_events(events: DataFrame) -> DataFrame:
     """Add dimension keys and the session key, and make revenue decimal.
 
     Works on staged events and on their slices alike: keys depend on the row only.
     """
-    keys = {key: attribute_key(*attributes) for key, attributes in DIM_ATTRIBUTES.values()}
     return events.withColumns(
         {
             "purchase_revenue": F.col("purchase_revenue").cast(MONEY),
-            **keys,
+            **dimension_keys(),
             "session_key": session_key(),
         }
     )
@@ -58,12 +65,15 @@ SLICE_COLUMNS = [
     "ga_session_number",
     "event_date_utc",
     "event_name",
-    *[attribute for _, attributes in DIM_ATTRIBUTES.values() for attribute in attributes],
+    *ALL_ATTRIBUTES,
 ]
 
 
 def with_measures(events: DataFrame) -> DataFrame:
-    """Give single events the measures of a slice; slices pass unchanged."""
+    """Give single events the measures of a slice; slices pass unchanged.
+
+    Revenue is that of purchases only, so other events add nothing to a sum.
+    """
     if "event_count" in events.columns:
         return events
     return events.withColumns(
@@ -71,8 +81,8 @@ def with_measures(events: DataFrame) -> DataFrame:
             "event_count": F.lit(1).cast("bigint"),
             "first_ts": F.col("event_ts_utc"),
             "last_ts": F.col("event_ts_utc"),
-            "purchase_revenue": F.when(is_event(PURCHASE), F.col("purchase_revenue").cast(MONEY)).otherwise(
-                F.lit(0).cast(MONEY)
+            "purchase_revenue": F.when(
+                F.col("event_name") == PURCHASE, F.col("purchase_revenue").cast(MONEY)
             ),
         }
     )

@@ -14,7 +14,7 @@ from usertide.operators.facts import (
 )
 from usertide.operators.staging import enrich_events, rollup_events, stage_events
 from usertide.schemas import DIM_ATTRIBUTES, LOAD_KEYS
-from usertide.session import use_utc
+from usertide.session import prepare
 from usertide.sources.events import read_events, write_events
 from usertide.sources.tables import TableStore
 
@@ -74,7 +74,7 @@ def run_pipeline(
     so the raw events are scanned twice rather than once per table. ``staged_events``
     names a folder that also keeps the enriched events, by date.
     """
-    use_utc(spark)
+    prepare(spark)
     raw = read_events(spark, src, start, end) if isinstance(src, str) else src
     staged = stage_events(raw)
     if staged_events:

@@ -10,13 +10,21 @@ from pyspark.sql import SparkSession
 _local_dirs: dict[str, str] = {}
 
 
+# Event micros are UTC, so dates are only right under a UTC session. HotSpot does not
+# compile methods over 8000 bytes; beyond that size Spark should not fuse a stage.
+_RUNTIME = {
+    "spark.sql.session.timeZone": "UTC",
+    "spark.sql.codegen.hugeMethodLimit": "8000",
+}
+
+
 def get_session(app: str = "usertide", master: str | None = None, **conf: str) -> SparkSession:
     """A session with UTC time, ANSI arithmetic and adaptive execution."""
     builder = SparkSession.builder.appName(app)
     if master:
         builder = builder.master(master)
     settings = {
-        "spark.sql.session.timeZone": "UTC",
+        **_RUNTIME,
         "spark.sql.ansi.enabled": "true",
         "spark.sql.adaptive.enabled": "true",
         "spark.sql.adaptive.skewJoin.enabled": "true",
@@ -28,10 +36,11 @@ def get_session(app: str = "usertide", master: str | None = None, **conf: str) -
     return builder.getOrCreate()
 
 
-def use_utc(spark: SparkSession) -> SparkSession:
-    """Event micros are UTC; dates are only right under a UTC session time zone."""
-    if spark.conf.get("spark.sql.session.timeZone") != "UTC":
-        spark.conf.set("spark.sql.session.timeZone", "UTC")
+def prepare(spark: SparkSession) -> SparkSession:
+    """Set what the operators rely on in a session made elsewhere."""
+    for key, value in _RUNTIME.items():
+        if spark.conf.get(key, None) != value:
+            spark.conf.set(key, value)
     return spark
 
 

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from usertide.schemas import RAW_EVENTS
-from usertide.session import use_utc
+from usertide.session import prepare
 
 
 def read_events(
@@ -23,7 +23,7 @@ def read_events(
     ``start`` and ``end`` (ISO dates, inclusive, both or neither) narrow the scan to
     the shards of those days before any file is listed.
     """
-    use_utc(spark)
+    prepare(spark)
     if (start is None) != (end is None):
         raise ValueError("give both start and end, or neither")
     shards = "*"

@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from usertide.operators.staging import enrich_events, stage_events
-from usertide.session import use_utc
+from usertide.session import prepare
 
 # Fixed values of the mapping, in microseconds: source epoch 2024-01-01, target epoch 2020-11-01.
 SOURCE_EPOCH = 1704067200000000
@@ -28,10 +28,9 @@ _MOVED = f"""
 """
 
 _TIMED = f"""
-    select *, {TARGET_EPOCH} + 7 * (user_id % 7) * {DAY} as arrival,
-      {TARGET_EPOCH} + 7 * (user_id % 7) * {DAY} + (x * (3 + 11 * (user_id % 5))) div 30
-        + case when x >= 15 * {DAY} then 16 * (user_id % 3) * {DAY} else 0 end as u
-    from {{moved}}
+    select *, arrival + (x * (3 + 11 * (user_id % 5))) div 30
+      + if(x >= 15 * {DAY}, 16 * (user_id % 3) * {DAY}, 0) as u
+    from (select *, {TARGET_EPOCH} + 7 * (user_id % 7) * {DAY} as arrival from {{moved}})
 """
 
 _NESTED = f"""
@@ -43,10 +42,10 @@ _NESTED = f"""
         when 'click' then if(k < 60, 'add_to_cart', 'begin_checkout')
         when 'purchase' then if(user_id % 6 = 5, 'view_item', 'purchase')
         else event_type end as event_name,
-      if((user_id + u div {SESSION}) % 4 = 3, 'APP', 'WEB') as platform,
+      if((user_id + sid) % 4 = 3, 'APP', 'WEB') as platform,
       named_struct('category',
         case k % 20 when 0 then null when 1 then ''
-          else element_at(array('desktop', 'mobile', 'tablet'), cast((user_id + u div {SESSION}) % 3 as int) + 1)
+          else element_at(array('desktop', 'mobile', 'tablet'), cast((user_id + sid) % 3 as int) + 1)
         end) as device,
       named_struct(
         'country', concat('NATION_', user_id % 25),
@@ -54,27 +53,26 @@ _NESTED = f"""
       named_struct(
         'source', element_at(array('google', '(direct)', 'newsletter', 'partner', null), cast(user_id % 5 as int) + 1),
         'medium', element_at(array('organic', '(none)', 'email', 'referral', null), cast(user_id % 5 as int) + 1),
-        'name', if(u div {SESSION} % 2 = 0, 'brand', null)) as traffic_source,
-      filter(array(
-        named_struct('key', 'page_title', 'value', named_struct('string_value', event_type,
-          'int_value', cast(null as bigint), 'float_value', cast(null as double), 'double_value', cast(null as double))),
-        named_struct('key', 'ga_session_id', 'value', named_struct('string_value', cast(null as string),
-          'int_value', u div {SESSION}, 'float_value', cast(null as double), 'double_value', cast(null as double))),
-        named_struct('key', 'ga_session_number', 'value', named_struct('string_value', cast(null as string),
-          'int_value', u div {SESSION} - arrival div {SESSION} + 1,
-          'float_value', cast(null as double), 'double_value', cast(null as double)))
-      ), p -> p.key <> 'ga_session_id' or k <> 99) as event_params,
+        'name', if(sid % 2 = 0, 'brand', null)) as traffic_source,
+      array(
+        named_struct('key', 'page_title', 'value',
+          named_struct('string_value', event_type, 'int_value', cast(null as bigint))),
+        named_struct('key', if(k = 99, 'engaged', 'ga_session_id'), 'value',
+          named_struct('string_value', cast(null as string), 'int_value', sid)),
+        named_struct('key', 'ga_session_number', 'value',
+          named_struct('string_value', cast(null as string), 'int_value', sid - arrival div {SESSION} + 1))
+      ) as event_params,
       named_struct(
         'transaction_id', if(event_type = 'purchase' and user_id % 6 <> 5 and k % 4 <> 0, concat('T', event_id div 12), null),
         'purchase_revenue', if(event_type = 'purchase' and user_id % 6 <> 5 and k % 10 <> 0,
           value, null)) as ecommerce
-    from {{timed}}
+    from (select *, u div {SESSION} as sid from {{timed}})
 """
 
 
 def raw_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All rows of the events table as nested raw events."""
-    use_utc(spark)
+    prepare(spark)
     events = spark.read.parquet(f"{sf_dir}/events.parquet")
     moved = spark.sql(_MOVED, events=events)
     timed = spark.sql(_TIMED, moved=moved)

@@ -10,7 +10,7 @@ from pyspark.sql import types as T
 
 import usertide as ut
 from usertide.schemas import DIM_ATTRIBUTES, DIM_KEYS, LOAD_KEYS
-from usertide.session import shared_dir, use_utc
+from usertide.session import shared_dir, prepare
 from workload.fixture import enriched_events, raw_events, staged_events
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -74,7 +74,7 @@ def second_load(name: str, build: Callable[[DataFrame], DataFrame]) -> Query:
     return on_events(run)
 
 
-def pipeline(*modes: str) -> Query:
+def load(*modes: str) -> Query:
     """Row counts of the stored tables after loads in these modes.
 
     A full load that an incremental one follows takes only the first part of the events.
@@ -98,7 +98,7 @@ _stored: dict[tuple[str, str], dict[str, DataFrame]] = {}
 
 def stored_model(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     """All nine tables, loaded once per session, for the checks that read most of them."""
-    use_utc(spark)
+    prepare(spark)
     key = (spark.sparkContext.applicationId, sf_dir)
     if key not in _stored:
         base = shared_dir(spark)
@@ -315,9 +315,9 @@ def _checks() -> dict[str, Query]:
 
 def _loads() -> dict[str, Query]:
     found = {f"incremental_{name}": second_load(name, build) for name, build in BUILDERS.items()}
-    found["pipeline_full"] = pipeline("full")
-    found["pipeline_incremental"] = pipeline("full", "incremental")
-    found["pipeline_rerun"] = pipeline("full", "incremental", "incremental")
+    found["load_full"] = load("full")
+    found["load_incremental"] = load("full", "incremental")
+    found["load_rerun"] = load("full", "incremental", "incremental")
     return found
 
 
