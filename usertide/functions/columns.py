@@ -24,41 +24,31 @@ def param_int(key: str, params: str = "event_params") -> Column:
     Reads the array by field, so the scan prunes to ``key`` and ``value.int_value``
     and no row is exploded.
     """
-    position = F.array_position(F.col(f"{params}.key"), F.lit(key))
-    return F.get(F.col(f"{params}.value.int_value"), (position - 1).cast("int"))
+    return F.expr(f"get({params}.value.int_value, cast(array_position({params}.key, '{key}') as int) - 1)")
 
 
 def attribute_key(*columns: str) -> Column:
     """Hash of the attributes joined by '|', a NULL counting as the empty text."""
-    parts: list[Column] = []
-    for name in columns:
-        if parts:
-            parts.append(F.lit("|"))
-        parts.append(F.coalesce(F.col(name), F.lit("")))
-    return F.md5(F.concat(*parts))
+    parts = ", '|', ".join(f"coalesce({name}, '')" for name in columns)
+    return F.expr(f"md5(concat({parts}))")
 
 
 def session_key(user: str = "user_id", session: str = "ga_session_id") -> Column:
     """``user-session``; NULL when either part is NULL."""
-    return F.concat(F.col(user), F.lit("-"), F.col(session).cast("string"))
+    return F.expr(f"concat({user}, '-', cast({session} as string))")
 
 
-def timestamp_text(ts: Column) -> Column:
-    """A UTC timestamp as text with 0, 3 or 6 fraction digits and the offset ``+00``."""
-    micros = F.unix_micros(ts)
-    whole = F.date_format(ts, "yyyy-MM-dd HH:mm:ss")
-    fraction = (
-        F.when(micros % 1_000_000 == 0, F.lit(""))
-        .when(micros % 1_000 == 0, F.date_format(ts, ".SSS"))
-        .otherwise(F.date_format(ts, ".SSSSSS"))
-    )
-    return F.concat(whole, fraction, F.lit("+00"))
+def timestamp_text(ts: str) -> str:
+    """SQL for a UTC timestamp as text with 0, 3 or 6 fraction digits and the offset ``+00``."""
+    return f"""concat(date_format({ts}, 'yyyy-MM-dd HH:mm:ss'),
+        case when unix_micros({ts}) % 1000000 = 0 then ''
+             when unix_micros({ts}) % 1000 = 0 then date_format({ts}, '.SSS')
+             else date_format({ts}, '.SSSSSS') end, '+00')"""
 
 
 def purchase_key(user: str = "user_id", ts: str = "event_ts_utc", transaction: str = "transaction_id") -> Column:
     """The transaction id, or a hash of user and time where there is none."""
-    fallback = F.md5(F.concat(F.col(user), F.lit("|"), timestamp_text(F.col(ts))))
-    return F.coalesce(F.col(transaction), fallback)
+    return F.expr(f"coalesce({transaction}, md5(concat({user}, '|', {timestamp_text(ts)})))")
 
 
 def sunday_week(day: Column) -> Column:

@@ -9,8 +9,6 @@ over structs alone would sort every event.
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -20,13 +18,13 @@ from usertide.schemas import DIM_KEYS, MONEY
 
 
 def _purchases() -> Column:
-    return F.sum(F.when(F.col("event_name") == PURCHASE, F.col("event_count")).otherwise(F.lit(0).cast("bigint")))
+    return F.expr(f"sum(if(event_name = '{PURCHASE}', event_count, 0L))")
 
 
 def _revenue() -> Column:
     """Revenue of a group: NULL if it holds nothing but purchases without revenue."""
-    zero = F.when(F.col("event_count") > F.col("purchase_count"), F.lit(0).cast(MONEY))
-    return F.coalesce(F.col("revenue").cast(MONEY), zero).alias("revenue")
+    zero = "if(event_count > purchase_count, 0, null)"
+    return F.expr(f"coalesce(revenue, {zero})").cast(MONEY).alias("revenue")
 
 
 def _earliest(*columns: str) -> Column:
@@ -117,12 +115,8 @@ def build_fact_user_daily_activity(events: DataFrame, dim_keys: bool = True) ->
     """One row per user and active date. ``dim_keys=False`` leaves out the dimension keys."""
     # The funnel events of a group as one bit each: one small buffer instead of five.
     bits = {name: 1 << i for i, name in enumerate(FUNNEL_STEPS)}
-    first, *others = bits.items()
-    bit = reduce(
-        lambda chain, item: chain.when(F.col("event_name") == item[0], item[1]),
-        others,
-        F.when(F.col("event_name") == first[0], first[1]),
-    ).otherwise(0)
+    cases = " ".join(f"when '{name}' then {mask}" for name, mask in bits.items())
+    bit = F.expr(f"case event_name {cases} else 0 end")
     rows = with_measures(events).where(F.col("user_id").isNotNull() & F.col("event_date_utc").isNotNull())
     group = ["user_id", F.col("event_date_utc").alias("activity_date")]
     measures = [

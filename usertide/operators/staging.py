@@ -14,24 +14,29 @@ def stage_events(raw: DataFrame, tz: str = "UTC") -> DataFrame:
 
     ``tz`` is the reporting time zone of ``event_date_utc``; UTC unless chosen otherwise.
     """
-    ts = F.timestamp_micros("event_timestamp")
-    day = F.to_date(ts) if tz == "UTC" else F.to_date(F.from_utc_timestamp(ts, tz))
+    ts = "timestamp_micros(event_timestamp)"
+    local = ts if tz == "UTC" else f"from_utc_timestamp({ts}, '{tz}')"
     return raw.select(
-        F.col("user_pseudo_id").alias("user_id"),
-        ts.alias("event_ts_utc"),
-        day.alias("event_date_utc"),
-        "event_name",
-        "platform",
-        F.col("device.category").alias("device_category"),
-        F.col("geo.country").alias("country"),
-        F.col("geo.region").alias("region"),
-        F.col("traffic_source.source").alias("traffic_source"),
-        F.col("traffic_source.medium").alias("traffic_medium"),
-        F.col("traffic_source.name").alias("traffic_campaign"),
+        *[
+            F.expr(source).alias(name)
+            for name, source in {
+                "user_id": "user_pseudo_id",
+                "event_ts_utc": ts,
+                "event_date_utc": f"to_date({local})",
+                "event_name": "event_name",
+                "platform": "platform",
+                "device_category": "device.category",
+                "country": "geo.country",
+                "region": "geo.region",
+                "traffic_source": "traffic_source.source",
+                "traffic_medium": "traffic_source.medium",
+                "traffic_campaign": "traffic_source.name",
+            }.items()
+        ],
         param_int("ga_session_id").alias("ga_session_id"),
         param_int("ga_session_number").alias("ga_session_number"),
-        F.col("ecommerce.transaction_id").alias("transaction_id"),
-        F.col("ecommerce.purchase_revenue").alias("purchase_revenue"),
+        F.expr("ecommerce.transaction_id").alias("transaction_id"),
+        F.expr("ecommerce.purchase_revenue").alias("purchase_revenue"),
     )
 
 
