@@ -99,30 +99,25 @@ def qa_reconcile(
     With ``purchases`` there is a fourth row: purchase events against purchase rows.
     They differ by the copies and unkeyed purchases that the purchase grain leaves out.
     """
-    source = _event_totals(events)
-    modeled = {
-        "events": sessions.agg(F.coalesce(F.sum("event_count"), F.lit(0)).cast("bigint")),
-        "sessions": sessions.agg(F.count("*")),
-        "users": users.agg(F.count("*")),
-    }
-    rows = F.array(
-        *[
-            F.struct(F.lit(m).alias("metric"), F.col(m).alias("from_events"), model.scalar().alias("from_model"))
-            for m, model in modeled.items()
-        ]
-    )
-    result = source.select(F.inline(rows))
+    def totals(side: str, row: DataFrame) -> DataFrame:
+        return row.unpivot([], row.columns, "metric", side)
+
+    source = [_event_totals(events)]
+    modeled = [
+        sessions.agg(
+            F.coalesce(F.sum("event_count"), F.lit(0)).cast("bigint").alias("events"),
+            F.count("*").alias("sessions"),
+        ),
+        users.agg(F.count("*").alias("users")),
+    ]
     if purchases is not None:
-        one = F.col("event_count") if "event_count" in events.columns else F.lit(1).cast("bigint")
-        bought = events.agg(F.coalesce(F.sum(F.when(is_event(PURCHASE), one)), F.lit(0)).alias("from_events"))
-        result = result.unionByName(
-            bought.select(
-                F.lit("purchases").alias("metric"),
-                "from_events",
-                purchases.agg(F.count("*")).scalar().alias("from_model"),
-            )
-        )
-    return result.withColumns(
+        one = "event_count" if "event_count" in events.columns else "1L"
+        bought = F.expr(f"coalesce(sum(if(event_name = '{PURCHASE}', {one}, 0L)), 0L)")
+        source.append(events.agg(bought.alias("purchases")))
+        modeled.append(purchases.agg(F.count("*").alias("purchases")))
+    left = _union([totals("from_events", row) for row in source])
+    right = _union([totals("from_model", row) for row in modeled])
+    return left.join(right, "metric").withColumns(
         {"diff": F.col("from_model") - F.col("from_events"), "ok": F.col("from_model") == F.col("from_events")}
     )
 

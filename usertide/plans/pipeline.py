@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
+
 from pyspark.sql import DataFrame, SparkSession
 
 from usertide.operators.dims import build_dim, build_dim_date, build_dim_user
@@ -47,11 +49,19 @@ def load_model(store: TableStore, model: dict[str, DataFrame], mode: str = "full
     """
     if mode not in ("full", "incremental"):
         raise ValueError(f"mode must be 'full' or 'incremental', not {mode!r}")
-    for name, rows in model.items():
+
+    def load(name: str) -> None:
         if mode == "full":
-            store.write(rows, name, "overwrite")
+            store.write(model[name], name, "overwrite")
         else:
-            store.insert(rows, name, LOAD_KEYS[name])
+            store.insert(model[name], name, LOAD_KEYS[name])
+
+    # The tables of a group do not depend on each other: their jobs share the cluster,
+    # so small ones fill the gaps large ones leave.
+    for prefix in ("dim_", "fact_"):
+        group = [name for name in model if name.startswith(prefix)]
+        with ThreadPoolExecutor(len(group)) as pool:
+            list(pool.map(load, group))
 
 
 def run_pipeline(
