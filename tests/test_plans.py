@@ -1,0 +1,98 @@
+"""Physical plans: no pairwise joins, no Python, hash aggregation and few exchanges."""
+
+import re
+
+import pytest
+from helpers import enriched, raw, rows
+from pyspark.sql import functions as F
+
+import __spark_entry__ as entry_module
+import usertide as ut
+
+QUERIES = entry_module.queries()
+
+
+def plan(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def exchanges(df):
+    return len(re.findall(r"\bExchange (?:hash|range|single)", plan(df)))
+
+
+@pytest.fixture
+def no_broadcast(spark):
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    yield
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+
+
+@pytest.mark.parametrize("name", [n for n in QUERIES if not n.startswith(("load_", "qa_summary", "qa_row"))])
+def test_no_pairwise_join_and_no_python(spark, sf_dir, no_broadcast, name):
+    text = plan(QUERIES[name](spark, sf_dir))
+    for operator in ("CartesianProduct", "BroadcastNestedLoopJoin", "EvalPython", "MapInPandas", "BroadcastExchange"):
+        assert operator not in text, operator
+
+
+def tables(spark):
+    """Enough rows of each kind to plan over; column pruning must not see local data only."""
+    events = enriched(spark, raw("a", "2020-01-01 10:00:00", "purchase"), raw("b", "2020-01-02 10:00:00"))
+    return events
+
+
+def test_event_aggregates_use_hash_aggregation_on_the_events(spark, tmp_path):
+    raw_rows = spark.createDataFrame([raw("a", "2020-01-01 10:00:00")], ut.schemas.RAW_EVENTS)
+    raw_rows.write.parquet(f"{tmp_path}/events_20200101")
+    events = ut.enrich_events(ut.stage_events(ut.read_events(spark, str(tmp_path))))
+    for build in (ut.build_dim_user, ut.build_fact_sessions, ut.build_fact_funnel_steps, ut.build_fact_user_daily_activity):
+        text = plan(build(events))
+        # The aggregate next to the scan is the last in the plan text.
+        assert text.rindex("HashAggregate") > text.rfind("SortAggregate"), build
+    assert exchanges(ut.build_dim_user(events)) == 1
+    assert exchanges(ut.build_fact_funnel_steps(events)) == 1
+    assert exchanges(ut.build_fact_sessions(events)) == 2
+    assert exchanges(ut.build_fact_purchases(events)) == 1
+    assert "PushedFilters: [IsNotNull(event_name), EqualTo(event_name,purchase)" in plan(ut.build_fact_purchases(events))
+
+
+def test_marts_reuse_the_partitioning_by_user(spark, tmp_path, no_broadcast):
+    events = enriched(spark, raw("a", "2020-01-01 10:00:00", "purchase"), raw("b", "2020-01-02 10:00:00"))
+    for name, table in ut.build_model(events, events).items():
+        table.write.parquet(f"{tmp_path}/{name}")
+    users, days = (spark.read.parquet(f"{tmp_path}/{n}") for n in ("dim_user", "fact_user_daily_activity"))
+    # Users and days by user, cohort cells, cohort sizes, and the join of the two small ones.
+    assert exchanges(ut.retention_cohorts(users, days)) <= 5
+    assert exchanges(ut.churn_proxy(users, days)) <= 3
+    # Days by user, changes per date, the calendar and its running total, periods.
+    assert exchanges(ut.churn_rate(days, 14)) <= 6
+    steps = spark.read.parquet(f"{tmp_path}/fact_funnel_steps")
+    assert exchanges(ut.funnel_daily(steps)) == 2
+
+
+def test_incremental_load_reuses_the_aggregation_partitioning(spark, tmp_path, no_broadcast):
+    events = enriched(spark, raw("a", "2020-01-01 10:00:00", "purchase"), raw("b", "2020-01-02 10:00:00"))
+    ut.build_fact_sessions(events).write.parquet(f"{tmp_path}/s")
+    stored = spark.read.parquet(f"{tmp_path}/s")
+    new = ut.insert_if_absent(ut.build_fact_sessions(events), stored, ["session_key"])
+    # Two for the aggregation, one for the stored keys; the anti join adds none for the new rows.
+    assert exchanges(new) == 3
+
+
+def test_one_user_with_most_events_gives_whole_results(spark):
+    """A user, session and purchase key that hold nearly all rows."""
+    many = spark.range(20_000).selectExpr(
+        "'hot' as user_id",
+        "timestamp_micros(1600000000000000 + id * 1000000) as event_ts_utc",
+        "to_date(timestamp_micros(1600000000000000 + id * 1000000)) as event_date_utc",
+        "if(id % 2 = 0, 'purchase', 'view_item') as event_name",
+        *[f"'x' as {c}" for c in ut.operators.staging.ALL_ATTRIBUTES],
+        "1L as ga_session_id", "1L as ga_session_number", "'T' as transaction_id", "1.0D as purchase_revenue",
+    )
+    events = ut.enrich_events(many)
+    (session,) = ut.build_fact_sessions(events).collect()
+    assert (session.event_count, session.purchase_count, session.revenue) == (20_000, 10_000, 10_000)
+    assert ut.build_fact_purchases(events).count() == 1
+    assert ut.dedup_events(events.union(events)).count() == 20_000
+    assert rows(ut.sessionize(events).groupBy("session_id").count()) == [(1600000000000000, 20_000)]
+    assert ut.qa_orphans(events.withColumn("k", F.lit("x")), "k", events.limit(0).withColumn("k", F.lit("x"))).first()[0] == 20_000
