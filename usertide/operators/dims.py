@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from usertide.functions.columns import PURCHASE, attribute_key, is_event, sunday_week
 from usertide.operators.staging import with_measures
@@ -38,9 +39,10 @@ def build_dim(events: DataFrame, key: str, attributes: list[str], grain: str = "
         return rows
     if grain != "key":
         raise ValueError(f"grain must be 'key' or 'reference', not {grain!r}")
-    # The row with values rather than NULLs wins; '' sorts above NULL.
-    best = F.max(F.struct(*attributes)).alias("best")
-    return rows.groupBy(key).agg(best).select(key, *[F.col(f"best.{a}").alias(a) for a in attributes])
+    # The row with values rather than NULLs wins. A window, because Spark would drop the
+    # distinct below an aggregate that ignores duplicates, and sort all events by key.
+    best = Window.partitionBy(key).orderBy(*[F.col(a).desc_nulls_last() for a in attributes])
+    return rows.withColumn("_rank", F.row_number().over(best)).where("_rank = 1").drop("_rank")
 
 
 def build_dim_user(events: DataFrame) -> DataFrame:

@@ -239,16 +239,22 @@ def profile_events(events: DataFrame, exact: bool = True) -> DataFrame:
     The exact deciles are taken over how many users have each count, so what meets in
     one task is the number of different counts, not the number of users.
     """
-    per_user = events.where(F.col("user_id").isNotNull()).groupBy("user_id").agg(F.count("*").alias("n"))
-    spread = per_user.groupBy("n").agg(F.count("*").alias("users"))
+    per_user = events.groupBy("user_id").agg(F.count("*").alias("rows"), F.count("ga_session_id").alias("covered"))
+    # Events without a user count for the coverage only.
+    known = per_user.withColumn("n", F.when(F.col("user_id").isNotNull(), F.col("rows")))
     points = [i / 10 for i in range(11)]
     if exact:
-        quantiles = spread.agg(F.percentile("n", points, F.col("users")).alias("q"))
+        spread = known.groupBy("n").agg(
+            F.count("*").alias("users"), F.sum("rows").alias("rows"), F.sum("covered").alias("covered")
+        )
+        quantiles = F.percentile("n", points, F.col("users"))
     else:
-        quantiles = per_user.agg(F.percentile_approx("n", points, 10_000).cast("array<double>").alias("q"))
-    labels = F.transform(F.sequence(F.lit(0), F.lit(10)), lambda i: F.format_string("events_per_user_p%02d", i * 10))
-    deciles = quantiles.select(F.inline(F.arrays_zip(labels.alias("metric"), F.col("q").alias("value"))))
-    coverage = events.agg(F.try_divide(F.count("ga_session_id"), F.count("*")).alias("value"))
-    return deciles.toDF("metric", "value").unionByName(
-        coverage.select(F.lit("ga_session_id_coverage").alias("metric"), "value")
+        spread, quantiles = known, F.percentile_approx("n", points, 10_000).cast("array<double>")
+    row = spread.agg(quantiles.alias("q"), F.try_divide(F.sum("covered"), F.sum("rows")).alias("coverage"))
+    metrics = [
+        *[(f"events_per_user_p{10 * i:02d}", F.get("q", F.lit(i))) for i in range(11)],
+        ("ga_session_id_coverage", F.col("coverage")),
+    ]
+    return row.select(
+        F.inline(F.array(*[F.struct(F.lit(name).alias("metric"), value.alias("value")) for name, value in metrics]))
     )
