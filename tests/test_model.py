@@ -250,3 +250,54 @@ def test_views_are_reachable_by_name(spark):
     events = enriched(spark, raw("a", "2020-01-01 10:00:00"))
     ut.publish_views({"dim_user": ut.build_dim_user(events)})
     assert spark.sql("select count(*) from dim_user").first()[0] == 1
+
+
+@pytest.mark.parametrize("buckets", [None, 4])
+def test_catalog_tables(spark, tmp_path, buckets):
+    from helpers import raw_frame
+
+    database = f"dw_{buckets}"
+    spark.sql(f"CREATE DATABASE {database} LOCATION '{tmp_path}/{database}'")
+    store = ut.TableStore(spark, database=database, buckets=buckets)
+    store.create_missing()
+    assert store.read("fact_sessions").count() == 0
+    ut.run_pipeline(spark, raw_frame(spark, *FIRST), store, f"{tmp_path}/w", mode="incremental")
+    model = ut.run_pipeline(spark, raw_frame(spark, *FIRST, *LATE), store, f"{tmp_path}/w", mode="incremental")
+    assert rows(model["fact_sessions"], "user_id", "event_count") == [("a", 2), ("b", 1), ("c", 1)]
+    assert spark.table(f"{database}.dim_user").count() == 3
+    if buckets:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+        try:
+            plan = ut.churn_proxy(model["dim_user"], model["fact_user_daily_activity"])._jdf.queryExecution()
+            # Users and their days meet in their buckets; only the last date is gathered.
+            assert "Exchange hashpartitioning" not in plan.executedPlan().toString()
+        finally:
+            spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    full = ut.run_pipeline(spark, raw_frame(spark, *FIRST, *LATE), store, f"{tmp_path}/w", mode="full")
+    assert rows(full["fact_sessions"], "user_id", "event_count") == [("a", 3), ("b", 1), ("c", 1)]
+    spark.sql(f"DROP DATABASE {database} CASCADE")
+
+
+def test_marts_as_views(spark):
+    events = enriched(spark, *FIRST, *LATE)
+    ut.publish_views(ut.build_marts(ut.build_model(events, events)))
+    assert spark.sql("select sum(sessions) from mrt_funnel_daily").first()[0] == 3
+    assert spark.sql("select count(*) from mrt_churn_proxy").first()[0] == 3
+    assert spark.sql("select wau from mrt_wow_kpis").first()[0] == 3
+
+
+def test_pipeline_with_gap_sessions_and_dedup(spark, tmp_path):
+    from helpers import raw_frame
+
+    events = raw_frame(
+        spark,
+        raw("a", "2020-01-01 10:00:00", session=5),
+        raw("a", "2020-01-01 10:00:00", session=5, platform="APP"),
+        raw("a", "2020-01-01 12:00:00", session=None),
+        raw("a", "2020-01-01 12:20:00", session=None),
+    )
+    model = ut.run_pipeline(
+        spark, events, f"{tmp_path}/dw", f"{tmp_path}/w", session_gap="30 minutes", dedup=True
+    )
+    assert rows(model["fact_sessions"], "session_key", "event_count") == [("a-1577880000000000", 2), ("a-5", 1)]
+    assert rows(model["dim_device"], "platform") == [("APP",), ("WEB",)]

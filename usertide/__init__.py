@@ -43,10 +43,10 @@ from usertide.operators.qa import (
     qa_summary,
     qa_unkeyed,
 )
-from usertide.operators.sessionize import dedup_events, session_starts, sessionize
+from usertide.operators.sessionize import dedup_events, fill_sessions, session_starts, sessionize
 from usertide.operators.staging import enrich_events, rollup_events, stage_events
 from usertide.functions.columns import to_reporting_date
-from usertide.plans.pipeline import build_model, run_pipeline
+from usertide.plans.pipeline import build_marts, build_model, load_model, rebuild_purchases, run_pipeline
 from usertide.schemas import conform
 from usertide.sources.events import read_events, write_events
 from usertide.sources.tables import TableStore, insert_if_absent, publish_views

@@ -103,6 +103,7 @@ def qa_reconcile(
     With ``purchases`` there is a fourth row: purchase events against purchase rows.
     They differ by the copies and unkeyed purchases that the purchase grain leaves out.
     """
+
     def totals(side: str, row: DataFrame) -> DataFrame:
         return row.unpivot([], row.columns, "metric", side)
 

@@ -58,6 +58,14 @@ def sessionize(events: DataFrame, gap: str = "30 minutes", native_col: str | Non
     )
 
 
+def fill_sessions(staged: DataFrame, gap: str = "30 minutes") -> DataFrame:
+    """Staged events with ``ga_session_id`` filled from gap sessions where it is missing."""
+    filled = F.col("session_id").alias("ga_session_id")
+    return sessionize(staged, gap, "ga_session_id").select(
+        *[filled if c == "ga_session_id" else F.col(c) for c in staged.columns]
+    )
+
+
 def session_starts(events: DataFrame) -> DataFrame:
     """Start of each session: its first ``session_start`` event, else its first event."""
     marked = F.min(F.when(F.col("event_name") == "session_start", F.col("event_ts_utc")))

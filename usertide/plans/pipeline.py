@@ -14,6 +14,8 @@ from usertide.operators.facts import (
     build_fact_user_daily_activity,
     earliest_purchases,
 )
+from usertide.operators.marts import churn_proxy, funnel_daily, retention_cohorts, retention_curve, wow_kpis
+from usertide.operators.sessionize import dedup_events, fill_sessions
 from usertide.operators.staging import enrich_events, rollup_events, stage_events
 from usertide.schemas import DIM_ATTRIBUTES, LOAD_KEYS
 from usertide.session import prepare
@@ -75,6 +77,8 @@ def run_pipeline(
     dim_grain: str = "key",
     funnel_grain: str = "reference",
     staged_events: str | None = None,
+    session_gap: str | None = None,
+    dedup: bool = False,
 ) -> dict[str, DataFrame]:
     """Load all tables from raw events and return them.
 
@@ -82,23 +86,46 @@ def run_pipeline(
     frame. ``out`` is a folder or a store. ``work`` is a folder on shared storage: the
     rollup of the events is written there once and all tables but the purchases read it,
     so the raw events are scanned twice rather than once per table. ``staged_events``
-    names a folder that also keeps the enriched events, by date.
+    names a folder that also keeps the enriched events, by date. ``session_gap``, such as
+    '30 minutes', derives a session id for events without one; ``dedup`` first drops
+    repeated events.
     """
     prepare(spark)
     raw = read_events(spark, src, start, end) if isinstance(src, str) else src
     staged = stage_events(raw)
-    if staged_events:
-        write_events(enrich_events(staged), staged_events)
-    rolled = rollup_events(staged)
+    if dedup:
+        staged = dedup_events(staged)
+    if session_gap:
+        staged = fill_sessions(staged, session_gap)
+    events = enrich_events(staged)
+    if staged_events or dedup or session_gap:
+        # Read twice below; what took a shuffle to make is made once.
+        path = staged_events or f"{work.rstrip('/')}/staged_events"
+        write_events(events, path)
+        events = spark.read.schema(events.schema).parquet(path).select(*events.columns)
+    rolled = rollup_events(events)
     path = f"{work.rstrip('/')}/event_slices"
     rolled.write.mode("overwrite").parquet(path)
     slices = enrich_events(spark.read.schema(rolled.schema).parquet(path))
 
     store = out if isinstance(out, TableStore) else TableStore(spark, root=out)
-    load_model(store, build_model(slices, enrich_events(staged), dim_grain, funnel_grain), mode)
+    load_model(store, build_model(slices, events, dim_grain, funnel_grain), mode)
     return store.model()
 
 
+def build_marts(model: dict[str, DataFrame]) -> dict[str, DataFrame]:
+    """The five reporting marts over the tables, by name, ready for ``publish_views``."""
+    users, days = model["dim_user"], model["fact_user_daily_activity"]
+    cohorts = retention_cohorts(users, days)
+    return {
+        "mrt_funnel_daily": funnel_daily(model["fact_funnel_steps"]),
+        "mrt_retention_cohorts": cohorts,
+        "mrt_retention_curve": retention_curve(cohorts),
+        "mrt_churn_proxy": churn_proxy(users, days),
+        "mrt_wow_kpis": wow_kpis(days, model["fact_sessions"]),
+    }
+
+
 def rebuild_purchases(store: TableStore, work: str) -> DataFrame:
     """Reduce the stored purchases to the earliest row per key, in place.
 

@@ -171,6 +171,15 @@ DATE_COLUMN = {
     "fact_purchases": "purchase_date",
 }
 
+# Catalog tables may be bucketed by the key they are joined and grouped on.
+BUCKET_COLUMN = {
+    "dim_user": "user_id",
+    "fact_user_daily_activity": "user_id",
+    "fact_sessions": "session_key",
+    "fact_funnel_steps": "session_key",
+    "fact_purchases": "purchase_key",
+}
+
 
 def conform(df: DataFrame, schema: T.StructType) -> DataFrame:
     """Project ``df`` to ``schema``: its columns, order and types.

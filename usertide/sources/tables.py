@@ -8,7 +8,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from usertide.schemas import DATE_COLUMN, TABLES, conform
+from usertide.schemas import BUCKET_COLUMN, DATE_COLUMN, TABLES, conform
 
 
 def insert_if_absent(new: DataFrame, existing: DataFrame, keys: list[str]) -> DataFrame:
@@ -28,7 +28,12 @@ def publish_views(frames: dict[str, DataFrame]) -> None:
 
 
 class TableStore:
-    """The nine tables, as Parquet under ``root`` or as catalog tables in ``database``."""
+    """The nine tables, as Parquet under ``root`` or as catalog tables in ``database``.
+
+    Facts are stored in one folder per date, unless ``partitioned`` is off. Catalog tables
+    may instead get ``buckets``: users, user days, sessions, steps and purchases are then
+    stored by their key, and joins and aggregates on it read them without a shuffle.
+    """
 
     def __init__(
         self,
@@ -36,10 +41,13 @@ class TableStore:
         root: str | None = None,
         database: str | None = None,
         partitioned: bool = True,
+        buckets: int | None = None,
     ):
         if (root is None) == (database is None):
             raise ValueError("give either root or database")
-        self.spark, self.database, self.partitioned = spark, database, partitioned
+        if buckets and not database:
+            raise ValueError("only catalog tables can be bucketed")
+        self.spark, self.database, self.partitioned, self.buckets = spark, database, partitioned, buckets
         self.root = root.rstrip("/") if root else None
 
     def _name(self, table: str) -> str:
@@ -69,11 +77,17 @@ class TableStore:
 
     def write(self, df: DataFrame, table: str, mode: str) -> None:
         rows = conform(df, TABLES[table])
-        day = DATE_COLUMN.get(table) if self.partitioned else None
-        if day:
+        key = BUCKET_COLUMN.get(table) if self.buckets else None
+        day = DATE_COLUMN.get(table) if self.partitioned and not key else None
+        if key:
+            # Keyed like the buckets, each task writes whole buckets. Rows per key are few by now.
+            rows = rows.repartition(self.buckets, key)
+        elif day:
             rows = rows.hint("rebalance", F.col(day))
         writer = rows.write.mode(mode).format("parquet")
-        if day:
+        if key:
+            writer = writer.bucketBy(self.buckets, key).sortBy(key)
+        elif day:
             writer = writer.partitionBy(day)
         if self.database:
             writer.saveAsTable(self._name(table))

@@ -676,6 +676,14 @@ WHERE rn = 1""",
 FROM derived""",
         gap_sessions("8 HOUR"),
     )
+    found["fact_sessions_with_gap_sessions"] = with_tables(
+        [],
+        shown("fact_sessions", "filled_sessions"),
+        gap_sessions("8 HOUR"),
+        """filled AS (SELECT * REPLACE (coalesce(ga_session_id, derived_id) AS ga_session_id,
+    user_id || '-' || CAST(coalesce(ga_session_id, derived_id) AS VARCHAR) AS session_key) FROM derived)""",
+        f"filled_sessions AS ({bodies('filled')['fact_sessions']})",
+    )
     found["session_start_resolved"] = with_tables(
         [],
         """SELECT session_key, coalesce(min(event_ts_utc) FILTER (event_name = 'session_start'), min(event_ts_utc))

@@ -388,6 +388,9 @@ def _metrics() -> dict[str, Query]:
                 ev.select("user_id", "event_ts_utc", "event_name", "ga_session_id"), "8 hours", "ga_session_id"
             )
         ),
+        "fact_sessions_with_gap_sessions": lambda spark, sf_dir: comparable(
+            ut.build_fact_sessions(ut.enrich_events(ut.fill_sessions(staged_events(spark, sf_dir), "8 hours")))
+        ),
         "session_start_resolved": on_events(ut.session_starts),
         "daily_activity_reporting_tz": lambda spark, sf_dir: comparable(
             ut.build_fact_user_daily_activity(
