@@ -48,7 +48,7 @@ from usertide.operators.staging import enrich_events, rollup_events, stage_event
 from usertide.functions.columns import to_reporting_date
 from usertide.plans.pipeline import build_marts, build_model, load_model, rebuild_purchases, run_pipeline
 from usertide.schemas import conform
-from usertide.sources.events import read_events, write_events
+from usertide.sources.events import read_events, store_events, write_events
 from usertide.sources.tables import TableStore, insert_if_absent, publish_views
 
 __all__ = [name for name in dir() if not name.startswith("_")]

@@ -30,7 +30,7 @@ def sessionize(events: DataFrame, gap: str = "30 minutes", native_col: str | Non
     located = events.withColumn("_bucket", at - F.pmod(at, F.lit(width)))
 
     bounds = (
-        located.where(F.col("user_id").isNotNull())
+        located.where(F.col("user_id").isNotNull() & at.isNotNull())
         .groupBy("user_id", "_bucket")
         .agg(F.min(at).alias("_lo"), F.max(at).alias("_hi"))
     )

@@ -18,8 +18,8 @@ from usertide.operators.marts import churn_proxy, funnel_daily, retention_cohort
 from usertide.operators.sessionize import dedup_events, fill_sessions
 from usertide.operators.staging import enrich_events, rollup_events, stage_events
 from usertide.schemas import DIM_ATTRIBUTES, LOAD_KEYS
-from usertide.session import prepare
-from usertide.sources.events import read_events, write_events
+from usertide.session import prepare, shared_dir
+from usertide.sources.events import read_events, store_events
 from usertide.sources.tables import TableStore
 
 
@@ -70,7 +70,7 @@ def run_pipeline(
     spark: SparkSession,
     src: str | DataFrame,
     out: str | TableStore,
-    work: str,
+    work: str | None = None,
     mode: str = "full",
     start: str | None = None,
     end: str | None = None,
@@ -83,30 +83,28 @@ def run_pipeline(
     """Load all tables from raw events and return them.
 
     ``src`` is a folder of day shards, which ``start`` and ``end`` narrow, or a raw
-    frame. ``out`` is a folder or a store. ``work`` is a folder on shared storage: the
-    rollup of the events is written there once and all tables but the purchases read it,
-    so the raw events are scanned twice rather than once per table. ``staged_events``
-    names a folder that also keeps the enriched events, by date. ``session_gap``, such as
-    '30 minutes', derives a session id for events without one; ``dedup`` first drops
-    repeated events.
+    frame. ``out`` is a folder or a store. ``work`` is a folder on shared storage, of this
+    load alone; unless given, a new one under ``spark.checkpoint.dir``. The rollup of the
+    events is written there once and all tables but the purchases read it, so the raw
+    events are scanned twice rather than once per table. ``staged_events`` names a folder
+    that also keeps the enriched events, by date. ``session_gap``, such as '30 minutes',
+    derives a session id for events without one; ``dedup`` first drops repeated events.
     """
     prepare(spark)
+    work = (work or shared_dir(spark)).rstrip("/")
     raw = read_events(spark, src, start, end) if isinstance(src, str) else src
     staged = stage_events(raw)
+    # What takes a shuffle of the events is written, since it is read more than once below.
     if dedup:
-        staged = dedup_events(staged)
+        staged = store_events(dedup_events(staged), f"{work}/unique_events")
     if session_gap:
         staged = fill_sessions(staged, session_gap)
     events = enrich_events(staged)
-    if staged_events or dedup or session_gap:
-        # Read twice below; what took a shuffle to make is made once.
-        path = staged_events or f"{work.rstrip('/')}/staged_events"
-        write_events(events, path)
-        events = spark.read.schema(events.schema).parquet(path).select(*events.columns)
+    if staged_events or session_gap:
+        events = store_events(events, staged_events or f"{work}/enriched_events")
     rolled = rollup_events(events)
-    path = f"{work.rstrip('/')}/event_slices"
-    rolled.write.mode("overwrite").parquet(path)
-    slices = enrich_events(spark.read.schema(rolled.schema).parquet(path))
+    rolled.write.mode("overwrite").parquet(f"{work}/event_slices")
+    slices = enrich_events(spark.read.schema(rolled.schema).parquet(f"{work}/event_slices"))
 
     store = out if isinstance(out, TableStore) else TableStore(spark, root=out)
     load_model(store, build_model(slices, events, dim_grain, funnel_grain), mode)

@@ -9,7 +9,6 @@ from pyspark.sql import SparkSession
 
 _local_dirs: dict[str, str] = {}
 
-
 # Event micros are UTC, so dates are only right under a UTC session. HotSpot does not
 # compile methods over 8000 bytes; beyond that size Spark should not fuse a stage.
 _RUNTIME = {
@@ -57,5 +56,7 @@ def shared_dir(spark: SparkSession) -> str:
         if not master.startswith("local"):
             raise ValueError("set spark.checkpoint.dir to a folder shared by all executors")
         app = spark.sparkContext.applicationId
-        base = _local_dirs.setdefault(app, tempfile.mkdtemp(prefix="usertide-"))
+        if app not in _local_dirs:
+            _local_dirs[app] = tempfile.mkdtemp(prefix="usertide-")
+        base = _local_dirs[app]
     return f"{base.rstrip('/')}/usertide-{uuid.uuid4().hex}"

@@ -46,3 +46,9 @@ def write_events(events: DataFrame, path: str, mode: str = "overwrite") -> None:
         .partitionBy("event_date_utc")
         .parquet(path)
     )
+
+
+def store_events(events: DataFrame, path: str) -> DataFrame:
+    """Persist events and return them as read back, cut off from what made them."""
+    write_events(events, path)
+    return events.sparkSession.read.schema(events.schema).parquet(path).select(*events.columns)
