@@ -6,6 +6,8 @@ from usertide.operators.facts import (
     build_fact_purchases,
     build_fact_sessions,
     build_fact_user_daily_activity,
+    earliest_purchases,
+    purchase_rows,
 )
 from usertide.operators.marts import (
     churn_proxy,

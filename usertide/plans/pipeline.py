@@ -19,7 +19,7 @@ from usertide.operators.sessionize import dedup_events, fill_sessions
 from usertide.operators.staging import enrich_events, rollup_events, stage_events
 from usertide.schemas import DIM_ATTRIBUTES, LOAD_KEYS
 from usertide.session import prepare, shared_dir
-from usertide.sources.events import read_events, store_events
+from usertide.sources.events import read_back, read_events, store_events, write_events
 from usertide.sources.tables import TableStore
 
 
@@ -100,8 +100,11 @@ def run_pipeline(
     if session_gap:
         staged = fill_sessions(staged, session_gap)
     events = enrich_events(staged)
-    if staged_events or session_gap:
-        events = store_events(events, staged_events or f"{work}/enriched_events")
+    if staged_events:
+        write_events(events, staged_events, rebalance=bool(dedup or session_gap))
+        events = read_back(spark, events, staged_events)
+    elif session_gap:
+        events = store_events(events, f"{work}/enriched_events")
     rolled = rollup_events(events)
     rolled.write.mode("overwrite").parquet(f"{work}/event_slices")
     slices = enrich_events(spark.read.schema(rolled.schema).parquet(f"{work}/event_slices"))

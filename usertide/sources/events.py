@@ -34,21 +34,24 @@ def read_events(
     return spark.read.schema(RAW_EVENTS).format(fmt).load(f"{path.rstrip('/')}/events_{shards}")
 
 
-def write_events(events: DataFrame, path: str, mode: str = "overwrite") -> None:
+def write_events(events: DataFrame, path: str, mode: str = "overwrite", rebalance: bool = False) -> None:
     """Persist staged or enriched events, one folder per event date.
 
-    The rebalance hint lets adaptive execution split a crowded date over several
-    tasks and merge sparse ones, so file sizes stay even.
+    Events read from day shards are in date order already: each task writes to a folder
+    or two, without a shuffle. Events that come out of a shuffle hold every date in every
+    task; ``rebalance`` gathers them by date first, splitting crowded dates over tasks.
     """
-    (
-        events.hint("rebalance", F.col("event_date_utc"))
-        .write.mode(mode)
-        .partitionBy("event_date_utc")
-        .parquet(path)
-    )
+    if rebalance:
+        events = events.hint("rebalance", F.col("event_date_utc"))
+    events.write.mode(mode).partitionBy("event_date_utc").parquet(path)
+
+
+def read_back(spark: SparkSession, events: DataFrame, path: str) -> DataFrame:
+    """Stored events in the shape they were written, cut off from what made them."""
+    return spark.read.schema(events.schema).parquet(path).select(*events.columns)
 
 
 def store_events(events: DataFrame, path: str) -> DataFrame:
-    """Persist events and return them as read back, cut off from what made them."""
-    write_events(events, path)
-    return events.sparkSession.read.schema(events.schema).parquet(path).select(*events.columns)
+    """Write events as they lie, for use within one load, and return them as read back."""
+    events.write.mode("overwrite").parquet(path)
+    return read_back(events.sparkSession, events, path)

@@ -20,20 +20,17 @@ TARGET_EPOCH = 1604188800000000
 DAY = 86400000000
 SESSION = 4 * DAY
 
-_MOVED = f"""
-    select event_id, user_id, event_type, value,
-      cast(regexp_extract(props, '([0-9]+)', 1) as int) as k,
-      unix_micros(cast(ts as timestamp)) - {SOURCE_EPOCH} as x
-    from {{events}}
-"""
-
-_TIMED = f"""
-    select *, arrival + (x * (3 + 11 * (user_id % 5))) div 30
-      + if(x >= 15 * {DAY}, 16 * (user_id % 3) * {DAY}, 0) as u
-    from (select *, {TARGET_EPOCH} + 7 * (user_id % 7) * {DAY} as arrival from {{moved}})
-"""
-
 _NESTED = f"""
+    with moved as (
+      select event_id, user_id, event_type, value,
+        cast(regexp_extract(props, '([0-9]+)', 1) as int) as k,
+        unix_micros(cast(ts as timestamp)) - {SOURCE_EPOCH} as x,
+        {TARGET_EPOCH} + 7 * (user_id % 7) * {DAY} as arrival
+      from {{events}}),
+    timed as (
+      select *, arrival + (x * (3 + 11 * (user_id % 5))) div 30
+        + if(x >= 15 * {DAY}, 16 * (user_id % 3) * {DAY}, 0) as u
+      from moved)
     select
       cast(user_id as string) as user_pseudo_id,
       u as event_timestamp,
@@ -66,17 +63,14 @@ _NESTED = f"""
         'transaction_id', if(event_type = 'purchase' and user_id % 6 <> 5 and k % 4 <> 0, concat('T', event_id div 12), null),
         'purchase_revenue', if(event_type = 'purchase' and user_id % 6 <> 5 and k % 10 <> 0,
           value, null)) as ecommerce
-    from (select *, u div {SESSION} as sid from {{timed}})
+    from (select *, u div {SESSION} as sid from timed)
 """
 
 
 def raw_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All rows of the events table as nested raw events."""
     prepare(spark)
-    events = spark.read.parquet(f"{sf_dir}/events.parquet")
-    moved = spark.sql(_MOVED, events=events)
-    timed = spark.sql(_TIMED, moved=moved)
-    return spark.sql(_NESTED, timed=timed)
+    return spark.sql(_NESTED, events=spark.read.parquet(f"{sf_dir}/events.parquet"))
 
 
 def staged_events(spark: SparkSession, sf_dir: str) -> DataFrame:

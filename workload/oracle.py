@@ -6,6 +6,7 @@ it needs. Where Spark aggregates, the SQL here often ranks or brute-forces inste
 
 from __future__ import annotations
 
+from usertide.functions.columns import FUNNEL_STEPS
 from workload.fixture import DAY, SESSION, SOURCE_EPOCH, TARGET_EPOCH
 
 STAGED = f"""
@@ -58,10 +59,10 @@ ev AS (
 
 FIRST = "ORDER BY event_ts_utc, user_id, ga_session_id, ga_session_number, device_key, geo_key, traffic_key"
 FIRST_KEYS = "ORDER BY event_ts_utc, device_key, geo_key, traffic_key"
-STEP = """CASE event_name WHEN 'session_start' THEN 1 WHEN 'view_item' THEN 2 WHEN 'add_to_cart' THEN 3
-    WHEN 'begin_checkout' THEN 4 WHEN 'purchase' THEN 5 END"""
+STEP = "CASE event_name " + " ".join(f"WHEN '{name}' THEN {n}" for name, n in FUNNEL_STEPS.items()) + " END"
+STEP_NAMES = ", ".join(f"'{name}'" for name in FUNNEL_STEPS)
 REVENUE = "sum(CASE WHEN event_name = 'purchase' THEN purchase_revenue ELSE 0 END)"
-STEPS = "VALUES (1, 'session_start'), (2, 'view_item'), (3, 'add_to_cart'), (4, 'begin_checkout'), (5, 'purchase')"
+STEPS = "VALUES " + ", ".join(f"({n}, '{name}')" for name, n in FUNNEL_STEPS.items())
 TS_TEXT = """strftime(event_ts_utc, '%Y-%m-%d %H:%M:%S') || CASE
     WHEN epoch_us(event_ts_utc) % 1000000 = 0 THEN ''
     WHEN epoch_us(event_ts_utc) % 1000 = 0 THEN '.' || strftime(event_ts_utc, '%g')
@@ -113,7 +114,7 @@ def bodies(source: str = "ev") -> dict[str, str]:
   SELECT session_key, user_id, event_date_utc AS session_date, {STEP} AS funnel_step,
     event_name AS funnel_event_name, min(event_ts_utc) AS step_ts, device_key, geo_key, traffic_key
   FROM {source}
-  WHERE event_name IN ('session_start', 'view_item', 'add_to_cart', 'begin_checkout', 'purchase')
+  WHERE event_name IN ({STEP_NAMES})
     AND session_key IS NOT NULL
   GROUP BY session_key, user_id, event_date_utc, event_name, device_key, geo_key, traffic_key""",
         "fact_user_daily_activity": f"""
@@ -401,7 +402,7 @@ def step_counts(by: list[str]) -> str:
     names = "".join(f"{c}, " for c in by)
     on = " AND ".join(["e.event_name = s.name", *[f"e.{c} IS NOT DISTINCT FROM g.{c}" for c in by]])
     groups = f"""(SELECT DISTINCT {', '.join(by)} FROM ev
-      WHERE event_name IN ('session_start', 'view_item', 'add_to_cart', 'begin_checkout', 'purchase')) g
+      WHERE event_name IN ({STEP_NAMES})) g
     CROSS JOIN """ if by else ""
     group = "".join(f"g.{c}, " for c in by)
     return f"""su AS (
@@ -563,6 +564,12 @@ FROM grid g LEFT JOIN cells c ON c.cohort_week = g.cohort AND c.week_index = g.i
         ),
         fault=False,
     )
+    found["qa_purchase_grain_before"] = with_tables(
+        [],
+        """SELECT count(*) FILTER (n > 1) AS dup_purchase_keys, CAST(sum(missing) AS BIGINT) AS purchase_null_revenue_cnt
+FROM (SELECT purchase_key, count(*) AS n, count(*) FILTER (purchase_revenue IS NULL) AS missing FROM bought GROUP BY 1)""",
+        f"bought AS (SELECT *, {PURCHASE_KEY} AS purchase_key FROM ev WHERE event_name = 'purchase')",
+    )
     found["qa_unkeyed"] = with_tables(
         [],
         f"""SELECT 'unkeyed_events_user' AS metric, count(*) FILTER (user_id IS NULL) AS value FROM ev

@@ -25,17 +25,17 @@ def comparable(df: DataFrame) -> DataFrame:
     """Types that compare across engines: bigint, rounded double, timestamp without zone."""
     columns = []
     for field in df.schema.fields:
-        column = F.col(field.name)
-        if isinstance(field.dataType, T.DecimalType):
-            column = F.round(column.cast("double"), 6)
-        elif isinstance(field.dataType, T.DoubleType):
-            column = F.round(column, 9)
-        elif isinstance(field.dataType, T.IntegerType):
-            column = column.cast("bigint")
-        elif isinstance(field.dataType, T.TimestampType):
-            column = column.cast("timestamp_ntz")
-        columns.append(column.alias(field.name))
-    return df.select(*columns)
+        name, kind = f"`{field.name}`", field.dataType
+        if isinstance(kind, T.DecimalType):
+            name = f"round(cast({name} as double), 6) as {name}"
+        elif isinstance(kind, T.DoubleType):
+            name = f"round({name}, 9) as {name}"
+        elif isinstance(kind, T.IntegerType):
+            name = f"cast({name} as bigint) as {name}"
+        elif isinstance(kind, T.TimestampType):
+            name = f"cast({name} as timestamp_ntz) as {name}"
+        columns.append(name)
+    return df.selectExpr(*columns)
 
 
 def on_events(operator: Callable[[DataFrame], DataFrame]) -> Query:
@@ -309,6 +309,8 @@ def _checks() -> dict[str, Query]:
     for name, check in WHOLE_CHECKS.items():
         found[name] = whole_check_query(check, fault=False)
         found[f"{name}_dirty"] = whole_check_query(check, fault=True)
+    # Purchases before the reduction to one row per key.
+    found["qa_purchase_grain_before"] = on_events(lambda ev: ut.qa_purchase_grain(ut.purchase_rows(ev)))
     found["qa_unkeyed"] = on_events(ut.qa_unkeyed)
     return found
 
