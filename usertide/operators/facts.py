@@ -154,19 +154,18 @@ def build_fact_user_daily_activity(events: DataFrame, dim_keys: bool = True) ->
 
 def purchase_rows(events: DataFrame) -> DataFrame:
     """Every keyed purchase event as a purchase row, copies included."""
-    return (
-        events.where(F.col("event_name") == PURCHASE)
-        .select(
-            purchase_key().alias("purchase_key"),
-            "user_id",
-            F.col("event_ts_utc").alias("purchase_ts"),
-            F.col("event_date_utc").alias("purchase_date"),
-            "transaction_id",
-            F.col("purchase_revenue").cast(MONEY).alias("revenue"),
-            *DIM_KEYS,
-            "session_key",
-        )
-        .where(F.col("purchase_key").isNotNull())
+    # A key needs a transaction, or a user and a time. Tested on the inputs, so that the
+    # scan can skip on it and no key is hashed twice.
+    keyed = F.expr("transaction_id is not null or (user_id is not null and event_ts_utc is not null)")
+    return events.where((F.col("event_name") == PURCHASE) & keyed).select(
+        purchase_key().alias("purchase_key"),
+        "user_id",
+        F.col("event_ts_utc").alias("purchase_ts"),
+        F.col("event_date_utc").alias("purchase_date"),
+        "transaction_id",
+        F.col("purchase_revenue").cast(MONEY).alias("revenue"),
+        *DIM_KEYS,
+        "session_key",
     )
 
 
