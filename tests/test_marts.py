@@ -199,6 +199,8 @@ def test_step_metrics(spark):
     assert rows(ut.activated_users(events)) == [(1,)]
     assert rows(ut.purchases_per_purchaser(events)) == [(2, 1, 2.0)]
     assert rows(ut.active_users(events, "month", exclude=["session_start"])) == [(date(2020, 1, 1), 2)]
+    assert rows(ut.active_users(events, "month", approx=True)) == [(date(2020, 1, 1), 3)]
+    assert rows(ut.activated_users(events, approx=True)) == [(1,)]
     assert rows(ut.event_volume(events, "week")) == [(date(2019, 12, 30), 6)]
 
 

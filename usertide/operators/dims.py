@@ -10,10 +10,16 @@ from usertide.functions.columns import PURCHASE, attribute_key, is_event, sunday
 from usertide.operators.staging import with_measures
 
 
-def build_dim_date(events: DataFrame) -> DataFrame:
-    """One row per date that has events, with its calendar attributes."""
+def build_dim_date(events: DataFrame, contiguous: bool = False) -> DataFrame:
+    """One row per date that has events, with its calendar attributes.
+
+    ``contiguous=True`` also fills the dates between the first and the last.
+    """
     day = F.col("date_day")
     days = events.select(F.col("event_date_utc").alias("date_day")).where(day.isNotNull()).distinct()
+    if contiguous:
+        bounds = days.agg(F.min(day).alias("lo"), F.max(day).alias("hi"))
+        days = bounds.select(F.explode(F.sequence("lo", "hi")).alias("date_day"))
     return days.select(
         day,
         F.year(day).cast("bigint").alias("year"),

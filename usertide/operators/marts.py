@@ -189,15 +189,19 @@ def churn_proxy(
     )
 
 
-def wow_kpis(activity: DataFrame, sessions: DataFrame, fill_weeks: bool = False) -> DataFrame:
+def wow_kpis(
+    activity: DataFrame, sessions: DataFrame, fill_weeks: bool = False, with_events: bool = False
+) -> DataFrame:
     """Weekly active users, sessions, purchases and revenue, and their change to the week before.
 
     The week before is the previous week with activity; ``fill_weeks`` adds the weeks
     without any, with zeros, so that it is always the calendar week before.
+    ``with_events`` adds the number of events.
     """
     monday = period_start(F.col("activity_date"), "week")
     weekly = activity.groupBy(monday.alias("week_start")).agg(
         F.countDistinct("user_id").alias("wau"),
+        F.sum("event_count").alias("events"),
         F.sum("purchase_count").alias("purchases"),
         F.sum(F.coalesce("revenue", F.lit(0).cast("decimal(38,9)"))).alias("revenue"),
     )
@@ -210,7 +214,7 @@ def wow_kpis(activity: DataFrame, sessions: DataFrame, fill_weeks: bool = False)
         weekly = weeks.join(weekly, "week_start", "left")
     joined = weekly.join(sessions_weekly, "week_start", "left")
     if fill_weeks:
-        joined = joined.fillna(0, ["wau", "sessions", "purchases"]).withColumn(
+        joined = joined.fillna(0, ["wau", "events", "sessions", "purchases"]).withColumn(
             "revenue", F.coalesce("revenue", F.lit(0).cast("decimal(38,9)"))
         )
 
@@ -231,6 +235,7 @@ def wow_kpis(activity: DataFrame, sessions: DataFrame, fill_weeks: bool = False)
     return joined.select(
         "week_start",
         *measures,
+        *(["events"] if with_events else []),
         F.try_divide("purchases", "sessions").alias("purchase_per_session"),
         F.try_divide("revenue", "sessions").alias("revenue_per_session"),
         *[column for name in measures for column in change(name)],

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
@@ -12,16 +12,22 @@ from usertide.functions.columns import FUNNEL_STEPS, PURCHASE, between_dates, is
 from usertide.operators.marts import retention_cohorts
 
 
+def _users(approx: bool) -> Column:
+    """Distinct users: exact, or estimated with a standard error of 5 percent."""
+    return F.approx_count_distinct("user_id") if approx else F.countDistinct("user_id")
+
+
 def activated_users(
     events: DataFrame,
     event: str = PURCHASE,
     start: str | None = None,
     end: str | None = None,
     by: Sequence[str] = (),
+    approx: bool = False,
 ) -> DataFrame:
     """Distinct users with the activation event in the period."""
     rows = events.where(is_event(event) & between_dates("event_date_utc", start, end))
-    return rows.groupBy(*by).agg(F.countDistinct("user_id").alias("activated_users"))
+    return rows.groupBy(*by).agg(_users(approx).alias("activated_users"))
 
 
 def step_users(
@@ -86,14 +92,18 @@ def overall_conversion(users: DataFrame, first: str = "session_start", last: str
 
 
 def active_users(
-    events: DataFrame, grain: str = "day", exclude: Sequence[str] = (), by: Sequence[str] = ()
+    events: DataFrame,
+    grain: str = "day",
+    exclude: Sequence[str] = (),
+    by: Sequence[str] = (),
+    approx: bool = False,
 ) -> DataFrame:
     """Distinct users with a qualifying event per day, Monday week or month."""
     rows = events
     if exclude:
         rows = rows.where(~F.coalesce(F.col("event_name").isin(list(exclude)), F.lit(False)))
     period = period_start(F.col("event_date_utc"), grain).alias("period_start")
-    return rows.groupBy(period, *by).agg(F.countDistinct("user_id").alias("active_users"))
+    return rows.groupBy(period, *by).agg(_users(approx).alias("active_users"))
 
 
 def nday_retention(

@@ -514,6 +514,13 @@ FROM ev GROUP BY ALL""",
     found |= {t: with_tables([t], shown(t)) for t in TABLES}
     for name, (key, attributes) in DIMS.items():
         found[f"{name}_reference_grain"] = with_tables([], dim_body(key, attributes, "ev", "reference"))
+    found["dim_date_contiguous"] = with_tables(
+        [],
+        shown("dim_date", "calendar"),
+        """all_days AS (SELECT CAST(unnest(generate_series(min(event_date_utc), max(event_date_utc), INTERVAL 1 DAY))
+    AS DATE) AS event_date_utc FROM ev)""",
+        f"calendar AS ({bodies('all_days')['dim_date']})",
+    )
     order = "ORDER BY event_ts_utc, event_date_utc, user_id, device_key, geo_key, traffic_key"
     found["fact_funnel_steps_session_step"] = with_tables(
         [],
@@ -536,6 +543,13 @@ FROM (SELECT *, row_number() OVER (PARTITION BY session_key, event_name {order})
     found["mrt_wow_kpis"] = with_tables(
         ["fact_user_daily_activity", "fact_sessions"], ", " + weekly_kpis("fact_user_daily_activity")
     )
+    found["wow_kpis_with_events"] = with_tables(
+        ["fact_user_daily_activity", "fact_sessions"],
+        "SELECT * FROM kpis JOIN events_weekly USING (week_start) ORDER BY week_start",
+        "kpis AS (WITH " + weekly_kpis("fact_user_daily_activity") + ")",
+        """events_weekly AS (SELECT CAST(date_trunc('week', event_date_utc) AS DATE) AS week_start, count(*) AS events
+  FROM ev GROUP BY 1)""",
+    )
     found["retention_cohorts_zero_cells"] = with_tables(
         USERS_DAYS,
         """SELECT g.cohort AS cohort_week, g.i AS week_index, g.cohort_size,

@@ -272,6 +272,7 @@ def _tables() -> dict[str, Query]:
     found = {name: on_events(build) for name, build in BUILDERS.items()}
     for name in DIM_ATTRIBUTES:
         found[f"{name}_reference_grain"] = on_events(dim_of(name, "reference"))
+    found["dim_date_contiguous"] = on_events(lambda ev: ut.build_dim_date(ev, contiguous=True))
     found["fact_funnel_steps_session_step"] = on_events(
         lambda ev: ut.build_fact_funnel_steps(ev, grain="session_step")
     )
@@ -287,6 +288,7 @@ def _marts() -> dict[str, Query]:
         ),
         "mrt_churn_proxy": on_events(lambda ev: ut.churn_proxy(users_of(ev), days_of(ev))),
         "mrt_wow_kpis": on_events(lambda ev: ut.wow_kpis(days_of(ev), sessions_of(ev))),
+        "wow_kpis_with_events": on_events(lambda ev: ut.wow_kpis(days_of(ev), sessions_of(ev), with_events=True)),
         "retention_cohorts_zero_cells": on_events(
             lambda ev: ut.retention_cohorts(users_of(ev), days_of(ev), zero_cells=True)
         ),
