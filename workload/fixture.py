@@ -52,15 +52,13 @@ _NESTED = f"""
         'medium', element_at(array('organic', '(none)', 'email', 'referral', null), cast(user_id % 5 as int) + 1),
         'name', if(sid % 2 = 0, 'brand', null)) as traffic_source,
       array(
-        named_struct('key', 'engaged', 'value', named_struct('int_value', cast(1 as bigint))),
         named_struct('key', if(k = 99, 'batch', 'ga_session_id'), 'value', named_struct('int_value', sid)),
         named_struct('key', 'ga_session_number', 'value',
           named_struct('int_value', sid - arrival div {SESSION} + 1))
       ) as event_params,
       named_struct(
-        'transaction_id', if(event_type = 'purchase' and user_id % 6 <> 5 and k % 4 <> 0, concat('T', event_id div 12), null),
-        'purchase_revenue', if(event_type = 'purchase' and user_id % 6 <> 5 and k % 10 <> 0,
-          value, null)) as ecommerce
+        'transaction_id', if(k % 4 <> 0, concat('T', event_id div 12), null),
+        'purchase_revenue', if(k % 10 <> 0, value, null)) as ecommerce
     from (select *, u div {SESSION} as sid from timed)
 """
 

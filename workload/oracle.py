@@ -45,8 +45,8 @@ stg AS (
     CASE WHEN sid % 2 = 0 THEN 'brand' END AS traffic_campaign,
     CASE WHEN k <> 99 THEN sid END AS ga_session_id,
     sid - first_sid + 1 AS ga_session_number,
-    CASE WHEN event_name = 'purchase' AND k % 4 <> 0 THEN 'T' || (event_id // 12) END AS transaction_id,
-    CASE WHEN event_name = 'purchase' AND k % 10 <> 0 THEN value END AS purchase_revenue
+    CASE WHEN k % 4 <> 0 THEN 'T' || (event_id // 12) END AS transaction_id,
+    CASE WHEN k % 10 <> 0 THEN value END AS purchase_revenue
   FROM named),
 ev AS (
   SELECT * REPLACE (CAST(purchase_revenue AS DECIMAL(38, 9)) AS purchase_revenue),
@@ -506,7 +506,7 @@ def oracle_sql() -> dict[str, str]:
             f"""SELECT user_id, ga_session_id, ga_session_number, event_date_utc, event_name, device_category, platform,
   country, region, traffic_source, traffic_medium, traffic_campaign, count(*) AS event_count,
   min(event_ts_utc) AS first_ts, max(event_ts_utc) AS last_ts,
-  round(CAST(sum(purchase_revenue) AS DOUBLE), 6) AS purchase_revenue
+  round(CAST(sum(purchase_revenue) FILTER (event_name = 'purchase') AS DOUBLE), 6) AS purchase_revenue
 FROM ev GROUP BY ALL""",
         ),
     }
