@@ -41,6 +41,25 @@ def crc_remainder(id_col: str, modulus: int) -> Column:
     return F.crc32(F.coalesce(F.col(id_col).cast("string"), F.lit("")).cast("binary")) % F.lit(modulus)
 
 
+def rows_that_stay(docs: DataFrame, found: DataFrame, id_col: str, key: Column, work: str) -> DataFrame:
+    """The rows of ``docs`` that ``found`` (``id, key, kept``, one row per input row) says to keep, all columns as they were.
+
+    Decisions are joined back by id and ``key``, an expression of the text. Input rows that repeat both are one document, of
+    which any one row stays.
+    """
+    found = found.groupBy("id", "key").agg(F.max("kept").alias("kept"), F.count("*").alias("n")).where("kept")
+    found = stored(found, f"{work}/decisions").select(F.col("id").alias("__kept_id"), F.col("key").alias("__kept_key"), "n")
+    keyed = docs.withColumns({"__id": F.col(id_col), "__key": key})
+    on = F.col("__id").eqNullSafe(F.col("__kept_id")) & (F.col("__key") == F.col("__kept_key"))
+    repeated = found.where("n > 1")
+    if repeated.isEmpty():
+        kept = keyed.join(found, on, "left_semi")
+    else:
+        again = keyed.join(repeated, on, "left_semi").dropDuplicates(["__id", "__key"])
+        kept = keyed.join(found.where("n = 1"), on, "left_semi").unionByName(again)
+    return kept.drop("__id", "__key")
+
+
 def connected_components(edges: DataFrame, work: str, a: str = "a", b: str = "b", rounds: int = 60) -> DataFrame:
     """Smallest reachable node (``root``) of every ``node`` that has a link, by alternating stars.
 
@@ -49,7 +68,6 @@ def connected_components(edges: DataFrame, work: str, a: str = "a", b: str = "b"
     A round aggregates before it shuffles and joins on single nodes, so a node with a third of all links is
     split by adaptive execution. Each round is a table in the shared folder. Self links and NULLs are ignored.
     """
-    spark = edges.sparkSession
     low, high = F.least(a, b), F.greatest(a, b)
     links = edges.where(F.col(a) != F.col(b)).select(high.alias("u"), low.alias("v")).distinct()
     links = stored(links, f"{work}/links-0")
@@ -58,9 +76,12 @@ def connected_components(edges: DataFrame, work: str, a: str = "a", b: str = "b"
         if links.isEmpty():
             break
         both = links.union(links.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        least = both.groupBy("u").agg(F.least(F.min("v"), F.first("u")).alias("m"))
+        # written, so that both sides of the joins are plain exchanges, which Spark can split
+        least = both.groupBy("u").agg(F.min(F.least("u", "v")).alias("m"))
+        least = stored(least, f"{work}/large-{k}")
         large = both.where("v > u").join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
-        least = large.groupBy("u").agg(F.min("v").alias("m"))
+        large = stored(large, f"{work}/moved-{k}")
+        least = stored(large.groupBy("u").agg(F.min("v").alias("m")), f"{work}/small-{k}")
         moved = large.join(least, "u").where("v != m").select(F.col("v").alias("u"), F.col("m").alias("v"))
         links = stored(moved.union(least.select("u", F.col("m").alias("v"))).distinct(), f"{work}/links-{k}")
         now = links.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
@@ -69,5 +90,4 @@ def connected_components(edges: DataFrame, work: str, a: str = "a", b: str = "b"
         before = now
     else:
         raise RuntimeError(f"components did not settle in {rounds} rounds")
-    assert spark is links.sparkSession
     return links.select(F.col("u").alias("node"), F.col("v").alias("root"))

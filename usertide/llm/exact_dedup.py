@@ -16,7 +16,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from usertide.llm._shared import stored, whole_text, work_folder
+from usertide.llm._shared import rows_that_stay, stored, whole_text, work_folder
 
 KEY = ["digest", "n_bytes", "proof"]
 
@@ -92,24 +92,9 @@ def exact_dedup(
 
 
 def drop_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
-    """The input rows without copies, all columns as they were.
-
-    Decisions are joined back by id and digest. Where an input row occurs several times over, with the same id and text,
-    any one of those rows stays.
-    """
+    """The input rows without copies, all columns as they were."""
     work = work_folder(docs.sparkSession, options.pop("work", None))
-    rows = exact_dedup(docs, id_col, text_col, work=work, **options).select("id", "digest", "kept")
-    found = rows.groupBy("id", "digest").agg(F.max("kept").alias("kept"), F.count("*").alias("n"))
-    found = stored(found, f"{work}/decisions").select(F.col("id").alias("__id"), F.col("digest").alias("__d"), "kept", "n")
+    found = exact_dedup(docs, id_col, text_col, work=work, **options).withColumnRenamed("digest", "key")
     text = whole_text(text_col)
     normalise = options.get("normalise")
-    digest = F.unhex(F.sha2(normalise(text) if normalise else text, 256))
-    keyed = docs.withColumns({"__key_id": F.col(id_col), "__key": digest})
-    on = F.col("__key_id").eqNullSafe(F.col("__id")) & (F.col("__key") == F.col("__d"))
-    once = found.where("kept and n = 1")
-    kept = keyed.join(once, on, "left_semi")
-    repeated = found.where("kept and n > 1")
-    if not repeated.isEmpty():
-        again = keyed.join(repeated, on, "left_semi")
-        kept = kept.unionByName(again.dropDuplicates(["__key_id", "__key"]))
-    return kept.drop("__key_id", "__key")
+    return rows_that_stay(docs, found, id_col, F.unhex(F.sha2(normalise(text) if normalise else text, 256)), work)

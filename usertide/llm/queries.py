@@ -7,10 +7,25 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from usertide.llm import decontaminate, exact_dedup
+from usertide.llm import bpe, decontaminate, exact_dedup, simhash
 from usertide.llm._shared import table
 
 
+def tokenizer(name: str) -> str:
+    """The place of a public tokenizer file; it is the same on driver and executors."""
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
+def op3_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents whose fingerprints of 3-word shingles are linked at 3 bits or fewer."""
+    found = simhash.simhash_dedup(table(spark, sf_dir, "documents"), shingle=3, max_bits=3)
+    return found.select(
+        F.col("id").alias("doc_id"), F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id"
+    )
+
+
 def op6_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents against 10-word windows of the benchmark items."""
     docs, items = table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")
@@ -25,6 +40,17 @@ def op6_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op8_bpe_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Token ids of every document and the text they decode to."""
+    found = bpe.round_trip(table(spark, sf_dir, "documents"), tokenizer("word_bpe_49k.json"))
+    return found.select(
+        F.col("id").alias("doc_id"),
+        F.size("ids").cast("long").alias("n_tokens"),
+        F.sha2(F.array_join("ids", " "), 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"),
+    )
+
+
 def op9_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document with the one of its text that stays."""
     found = exact_dedup.exact_dedup(table(spark, sf_dir, "documents"), keep="max")
@@ -34,7 +60,7 @@ def op9_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op6_decontaminate, op9_exact_dedup)}
+    return {f.__name__: f for f in (op3_simhash_dedup, op6_decontaminate, op8_bpe_round_trip, op9_exact_dedup)}
 
 
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
