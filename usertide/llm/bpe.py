@@ -190,6 +190,22 @@ def load(path: str) -> Bpe:
     return Bpe(path)
 
 
+def _encode(texts: pa.Array, path: str) -> pa.ListArray:
+    bpe, all_ids, sizes, part, chars = load(path), [], [], [], 0
+    for text in texts:
+        part.append(text.as_py() or "")
+        chars += len(part[-1])
+        if chars >= MAX_CHARS:
+            ids, size = bpe.encode(part)
+            all_ids.append(ids)
+            sizes.append(size)
+            part, chars = [], 0
+    ids, size = bpe.encode(part)
+    ids = np.concatenate([*all_ids, ids])
+    offsets = np.append(0, np.cumsum(np.concatenate([*sizes, size])))
+    return pa.ListArray.from_arrays(pa.array(offsets.astype(np.int32)), pa.array(ids))
+
+
 def encode(text: Column, path: str) -> Column:
     """The ids of a text, without special tokens around it, as ``array<int>``.
 
@@ -199,19 +215,7 @@ def encode(text: Column, path: str) -> Column:
 
     @F.arrow_udf("array<int>")
     def ids_of(texts: pa.Array) -> pa.Array:
-        bpe, all_ids, sizes, part, chars = load(path), [], [], [], 0
-        for text in texts:
-            part.append(text.as_py() or "")
-            chars += len(part[-1])
-            if chars >= MAX_CHARS:
-                ids, size = bpe.encode(part)
-                all_ids.append(ids)
-                sizes.append(size)
-                part, chars = [], 0
-        ids, size = bpe.encode(part)
-        ids = np.concatenate([*all_ids, ids])
-        offsets = np.append(0, np.cumsum(np.concatenate([*sizes, size])))
-        return pa.ListArray.from_arrays(pa.array(offsets.astype(np.int32)), pa.array(ids))
+        return _encode(texts, path)
 
     return ids_of(text)
 
@@ -227,6 +231,15 @@ def decode(ids: Column, path: str) -> Column:
 
 
 def round_trip(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """Per input row ``id, ids, decoded``. Other columns are ignored, whatever their names; an empty table gives no rows."""
-    rows = docs.select(F.col(id_col).alias("id"), encode(whole_text(text_col), path).alias("ids"))
-    return rows.select("id", "ids", decode(F.col("ids"), path).alias("decoded"))
+    """Per input row ``id, ids, decoded``, encoded and decoded in one pass through the workers.
+
+    Other columns are ignored, whatever their names; an empty table gives no rows.
+    """
+
+    @F.arrow_udf("struct<ids:array<int>,decoded:string>")
+    def both(texts: pa.Array) -> pa.Array:
+        ids = _encode(texts, path)
+        return pa.StructArray.from_arrays([ids, load(path).decode(ids)], names=["ids", "decoded"])
+
+    rows = docs.select(F.col(id_col).alias("id"), both(whole_text(text_col)).alias("found"))
+    return rows.select("id", "found.ids", "found.decoded")
