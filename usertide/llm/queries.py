@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from usertide.llm import bpe, decontaminate, exact_dedup, simhash
+from usertide.llm import bpe, decontaminate, exact_dedup, quality, simhash
 from usertide.llm._shared import table
 
 
@@ -26,6 +26,16 @@ def op3_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's quality score, by rules learnt from the labels that are not held out."""
+    docs, out = table(spark, sf_dir, "documents"), quality.held_out("doc_id", 4, 2)
+    model = quality.fit(docs, table(spark, sf_dir, "labels"), learn=~out)
+    scored = quality.score(docs, model)
+    return scored.select(
+        "doc_id", out.alias("held_out"), "score", (F.col("score") >= 0.7).cast("int").alias("predicted")
+    )
+
+
 def op6_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents against 10-word windows of the benchmark items."""
     docs, items = table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")
@@ -60,7 +70,7 @@ def op9_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op3_simhash_dedup, op6_decontaminate, op8_bpe_round_trip, op9_exact_dedup)}
+    return {f.__name__: f for f in (op3_simhash_dedup, op4_quality_rules, op6_decontaminate, op8_bpe_round_trip, op9_exact_dedup)}
 
 
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
