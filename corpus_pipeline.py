@@ -10,13 +10,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from usertide.llm import bpe, decontaminate, exact_dedup, quality, simhash
-from usertide.llm._shared import stored, table, work_folder
+from usertide.llm._shared import crc_remainder, stored, table, work_folder
 from usertide.llm.queries import tokenizer
 
 
 def drop_low_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the rule ensemble scores below 0.7 go."""
-    learn = ~quality.held_out("doc_id", 4, 2)
+    learn = crc_remainder("doc_id", 4) != 2
     return quality.keep_good(docs, table(spark, sf_dir, "labels"), threshold=0.7, learn=learn)
 
 

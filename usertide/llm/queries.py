@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from usertide.llm import bpe, decontaminate, exact_dedup, quality, simhash
-from usertide.llm._shared import table
+from usertide.llm import bpe, decontaminate, exact_dedup, kneser_ney, quality, simhash
+from usertide.llm._shared import crc_remainder, table
 
 
 def tokenizer(name: str) -> str:
@@ -18,6 +18,16 @@ def tokenizer(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+def op2_kneser_ney(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's log10 probability under a bigram model of those that are not held out."""
+    docs, out = table(spark, sf_dir, "documents"), crc_remainder("doc_id", 7) == 2
+    model = kneser_ney.fit(docs.where(~out), order=2)
+    scored = kneser_ney.score(docs, model).withColumnRenamed("id", "doc_id")
+    return scored.select(
+        "doc_id", out.alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score", "perplexity"
+    )
+
+
 def op3_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents whose fingerprints of 3-word shingles are linked at 3 bits or fewer."""
     found = simhash.simhash_dedup(table(spark, sf_dir, "documents"), shingle=3, max_bits=3)
@@ -28,7 +38,7 @@ def op3_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document's quality score, by rules learnt from the labels that are not held out."""
-    docs, out = table(spark, sf_dir, "documents"), quality.held_out("doc_id", 4, 2)
+    docs, out = table(spark, sf_dir, "documents"), crc_remainder("doc_id", 4) == 2
     model = quality.fit(docs, table(spark, sf_dir, "labels"), learn=~out)
     scored = quality.score(docs, model)
     return scored.select(
@@ -70,7 +80,7 @@ def op9_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op3_simhash_dedup, op4_quality_rules, op6_decontaminate, op8_bpe_round_trip, op9_exact_dedup)}
+    return {f.__name__: f for f in (op2_kneser_ney, op3_simhash_dedup, op4_quality_rules, op6_decontaminate, op8_bpe_round_trip, op9_exact_dedup)}
 
 
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
