@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from usertide.llm import bpe, decontaminate, exact_dedup, kneser_ney, quality, simhash
+from usertide.llm import bpe, decontaminate, exact_dedup, kneser_ney, quality, simhash, toxicity
 from usertide.llm._shared import crc_remainder, table
 
 
@@ -46,6 +46,16 @@ def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op5_toxic_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's toxicity score and toxic spans, by a chain learnt from the labels that are not held out."""
+    docs, out = table(spark, sf_dir, "documents"), crc_remainder("doc_id", 5) == 0
+    model = toxicity.fit(docs, table(spark, sf_dir, "labels"), learn=~out)
+    scored = toxicity.score(docs, model).withColumnRenamed("id", "doc_id")
+    return scored.select(
+        "doc_id", out.alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"), "spans"
+    )
+
+
 def op6_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents against 10-word windows of the benchmark items."""
     docs, items = table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")
@@ -80,7 +90,7 @@ def op9_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op2_kneser_ney, op3_simhash_dedup, op4_quality_rules, op6_decontaminate, op8_bpe_round_trip, op9_exact_dedup)}
+    return {f.__name__: f for f in (op2_kneser_ney, op3_simhash_dedup, op4_quality_rules, op5_toxic_spans, op6_decontaminate, op8_bpe_round_trip, op9_exact_dedup)}
 
 
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
