@@ -7,8 +7,20 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from usertide.llm import bpe, decontaminate, exact_dedup, kneser_ney, quality, simhash, toxicity
-from usertide.llm._shared import crc_remainder, table
+from usertide.llm import (
+    bpe,
+    decontaminate,
+    exact_dedup,
+    kneser_ney,
+    licences,
+    oracle,
+    quality,
+    quotes,
+    simhash,
+    token_files,
+    toxicity,
+)
+from usertide.llm._shared import crc_remainder, table, work_folder
 
 
 def tokenizer(name: str) -> str:
@@ -18,6 +30,22 @@ def tokenizer(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+def op1_quote_linking(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Conversations, made into mail that quotes, with quotes linked and replies in order."""
+    found = quotes.link_quotes(quotes.quoted_mail(table(spark, sf_dir, "conversations")))
+    return found.select(
+        "conv_id",
+        "turn",
+        "parent",
+        "thread",
+        "depth",
+        "quoted",
+        "linked",
+        F.array_join("sources", ",").alias("sources"),
+        F.sha2("own", 256).alias("own_sha256"),
+    )
+
+
 def op2_kneser_ney(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document's log10 probability under a bigram model of those that are not held out."""
     docs, out = table(spark, sf_dir, "documents"), crc_remainder("doc_id", 7) == 2
@@ -70,6 +98,14 @@ def op6_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op7_licence_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents, and their lines, that are known licence texts or notices."""
+    found = licences.scan(table(spark, sf_dir, "documents"))
+    return found.select(
+        F.col("id").alias("doc_id"), "licence", F.array_join("notices", ",").alias("notices"), "n_notices"
+    )
+
+
 def op8_bpe_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Token ids of every document and the text they decode to."""
     found = bpe.round_trip(table(spark, sf_dir, "documents"), tokenizer("word_bpe_49k.json"))
@@ -89,41 +125,34 @@ def op9_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op2_kneser_ney, op3_simhash_dedup, op4_quality_rules, op5_toxic_spans, op6_decontaminate, op8_bpe_round_trip, op9_exact_dedup)}
-
-
-_UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
-_OP6_WORDS = f"regexp_extract_all(translate(coalesce(text, ''), '{_UPPER}', '{_LOWER}'), '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+')"
-
-_OP6 = f"""
-with docs as (select doc_id, {_OP6_WORDS} as w from documents),
-items as (select cast(item_id as varchar) as item, {_OP6_WORDS} as w from benchmark),
-windows as (
-    select distinct item, least(len(w), 10) as n, array_to_string(list_slice(w, i, i + least(len(w), 10) - 1), ' ') as g
-    from items, unnest(range(1, greatest(len(w) - 9, 1) + 1)) as u(i) where len(w) > 0
-),
-places as (
-    select doc_id, i, n, array_to_string(list_slice(w, i, i + n - 1), ' ') as g
-    from docs, (select distinct n from windows) as lengths, unnest(range(1, len(w) - n + 2)) as u(i)
-),
-hits as (select doc_id, i, n, item from places join windows using (n, g)),
-covered as (select doc_id, count(distinct p) as n_hit from hits, unnest(range(i, i + n)) as u(p) group by doc_id),
-named as (
-    select doc_id, count(distinct item) as n_items, string_agg(distinct item, ',' order by item) as ids
-    from hits group by doc_id
-)
-select docs.doc_id, cast(len(w) as bigint) as n_words, coalesce(n_hit, 0) as n_hit, coalesce(n_items, 0) as n_items,
-       sha256(coalesce(ids, '')) as items_sha256, coalesce(n_hit, 0) > 0 as contaminated
-from docs left join covered using (doc_id) left join named using (doc_id)
-"""
+def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Token counts of documents, found again in flat files that the documents were encoded to."""
+    work, eod = work_folder(spark), 49408  # the first id that the vocabulary leaves free
+    order = token_files.write_tokens(table(spark, sf_dir, "documents"), f"{work}/files", tokenizer("word_bpe_49k.json"), eod)
+    found = token_files.count_documents(spark, f"{work}/files", f"{work}/scan", eod)
+    found = found.withColumn("file", F.regexp_extract("path", r"tokens-(\d+)\.bin$", 1).cast("int"))
+    return found.join(order, ["file", "ordinal"]).select(
+        F.col("id").alias("doc_id"), "n_tokens", "ended", "file", "ordinal", F.col("first").alias("first_token")
+    )
+
 
-_OP9 = """
-select doc_id, max(doc_id) over same as keep_id, count(*) over same as group_size,
-       doc_id = max(doc_id) over same as kept, sha256(coalesce(text, '')) as text_sha256
-from documents window same as (partition by coalesce(text, ''))
-"""
+def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
+    return {
+        f.__name__: f
+        for f in (
+            op1_quote_linking,
+            op2_kneser_ney,
+            op3_simhash_dedup,
+            op4_quality_rules,
+            op5_toxic_spans,
+            op6_decontaminate,
+            op7_licence_scan,
+            op8_bpe_round_trip,
+            op9_exact_dedup,
+            op10_token_counts,
+        )
+    }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op6_decontaminate": _OP6, "op9_exact_dedup": _OP9}
+    return oracle.oracle_sql()
