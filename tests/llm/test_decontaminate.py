@@ -1,0 +1,101 @@
+import re
+
+import pytest
+from pyspark.sql import functions as F
+
+from tests.llm import frames
+from usertide.llm import decontaminate
+
+WORD = re.compile("[^\x00-\x2f\x3a-\x60\x7b-\x7f]+")
+
+
+def words(text):
+    return WORD.findall("".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in text or ""))
+
+
+def brute(docs, items, n=10):
+    windows = set()
+    for item, text in items:
+        w = words(text)
+        k = min(n, len(w))
+        windows |= {(k, tuple(w[i : i + k]), item) for i in range(len(w) - k + 1) if k}
+    out = []
+    for i, text in docs:
+        w = words(text)
+        hit, named = set(), set()
+        for k, gram, item in windows:
+            for at in range(len(w) - k + 1):
+                if tuple(w[at : at + k]) == gram:
+                    hit.update(range(at, at + k))
+                    named |= {str(item)} if item is not None else set()
+        out.append((i, len(w), len(hit), tuple(sorted(named))))
+    return sorted(out, key=str)
+
+
+ITEMS = [
+    (1, "The quick brown fox jumps over the lazy dog while Seven wise owls watch from ÉLAN the old oak tree."),
+    (2, "Short item here"),
+    (3, "short, ITEM: here"),
+    (10, "fox jumps over the lazy dog while seven wise owls"),
+    (4, ""),
+    (5, None),
+    (6, "..."),
+    (7, "la la la la la la la la la la la la"),
+    (None, "an item without an id"),
+]
+TEXTS = [
+    "intro the quick brown fox jumps over the lazy dog while seven wise owls watch outro",
+    "short item here and short--item--here; SHORT ITEM HERE",
+    "the quick brown fox jumps over a lazy dog while seven wise owls watch from",
+    "la " * 30,
+    "an item, without an ID!",
+    "wise owls watch from Élan the old oak tree",
+    "while seven wise owls watch from ÉLAN the old oak tree",
+    "while seven wise owls watch from élan the old oak tree",
+    *frames.ODD_TEXTS,
+]
+
+
+def found(df):
+    return sorted(((r.id, r.n_words, r.n_hit, tuple(r["items"])) for r in df.collect()), key=str)
+
+
+@pytest.mark.parametrize("most", [64 << 20, 0])
+def test_equals_brute_force_broadcast_or_not(spark, most):
+    items = spark.createDataFrame(ITEMS, "item_id long, text string")
+    out = decontaminate.find_overlaps(frames.clashing(frames.docs(spark, TEXTS)), frames.clashing(items), max_broadcast_bytes=most)
+    assert found(out) == brute(list(enumerate(TEXTS)), ITEMS)
+
+
+def test_other_window_lengths(spark):
+    items = spark.createDataFrame(ITEMS, "item_id long, text string")
+    for n in (1, 3, 13):
+        out = decontaminate.find_overlaps(frames.docs(spark, TEXTS[:8]), items, n=n)
+        assert found(out) == brute(list(enumerate(TEXTS[:8])), ITEMS, n)
+
+
+def test_odd_rows_and_empty_tables(spark):
+    items = spark.createDataFrame(ITEMS, "item_id long, text string")
+    df = frames.odd(spark)
+    assert found(decontaminate.find_overlaps(df, items)) == brute([(r.doc_id, r.text) for r in df.collect()], ITEMS)
+    none = decontaminate.find_overlaps(df, items.limit(0))
+    assert none.count() == df.count() and none.where("n_hit > 0").count() == 0
+    assert decontaminate.find_overlaps(df.limit(0), items).count() == 0
+
+
+def test_removes_documents_or_spans(spark):
+    items = spark.createDataFrame(ITEMS, "item_id long, text string")
+    df = frames.clashing(frames.docs(spark, ["say: Short item, here! and go on", "clean text", None, "short item here"]))
+    out = decontaminate.decontaminate(df, items)
+    assert out.columns == df.columns and sorted(r.doc_id for r in out.collect()) == [1, 2]
+    cut = decontaminate.decontaminate(df, items, remove="spans")
+    assert cut.columns == df.columns
+    assert {r.doc_id: r.text for r in cut.collect()} == {0: "say: and go on", 1: "clean text", 2: None, 3: ""}
+    again = decontaminate.find_overlaps(cut.select(F.col("doc_id"), F.col("text")), items)
+    assert again.where("n_hit > 0").count() == 0
+
+
+def test_no_python_in_the_plan(spark):
+    items = spark.createDataFrame(ITEMS, "item_id long, text string")
+    plan = decontaminate.find_overlaps(frames.docs(spark, TEXTS), items)._jdf.queryExecution().toString()
+    assert "Python" not in plan and "BroadcastHashJoin" in plan and "Cartesian" not in plan

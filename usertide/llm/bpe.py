@@ -42,8 +42,8 @@ class Bpe:
     def __init__(self, path: str):
         with open(path, encoding="utf-8") as f:
             spec = json.load(f)
-        model, pre = spec["model"], spec["pre_tokenizer"]["pretokenizers"]
-        kinds = [x["type"] for x in spec["normalizer"]["normalizers"]] + [x["type"] for x in pre]
+        model, pre = spec["model"], (spec["pre_tokenizer"] or {}).get("pretokenizers", [])
+        kinds = [x["type"] for x in [*(spec["normalizer"] or {}).get("normalizers", []), *pre]]
         if model["type"] != "BPE" or kinds != ["NFC", "Replace", "Lowercase", "Split", "ByteLevel"] or spec["decoder"]:
             raise ValueError("not a tokenizer file of the kind that this encoder reads")
         vocab, end = model["vocab"], model["end_of_word_suffix"]

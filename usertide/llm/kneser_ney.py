@@ -242,12 +242,14 @@ class Model:
 
 
 def discounts(n1: int, n2: int, n3: int, n4: int) -> tuple[float, float, float]:
-    """Chen and Goodman's discounts for counts of 1, 2, and 3 or more; 1/2, 1, 3/2 where a number they divide by is 0."""
-    if not (n1 and n2 and n3):
-        return 0.5, 1.0, 1.5
-    y = n1 / (n1 + 2 * n2)
-    found = 1 - 2 * y * n2 / n1, 2 - 3 * y * n3 / n2, 3 - 4 * y * n4 / n3
-    return tuple(float(np.clip(d, 0.0, k)) for k, d in enumerate(found, 1))
+    """Chen and Goodman's discounts for counts of 1, 2, and 3 or more.
+
+    Where too few n-grams occur once to four times, an estimate may not lie above 0 and up to the count; it is then half the
+    count. So something is always left for unseen words.
+    """
+    y = n1 / (n1 + 2 * n2) if n1 else 0.0
+    found = [k - (k + 1) * y * after / n if n else 0.0 for k, n, after in ((1, n1, n2), (2, n2, n3), (3, n3, n4))]
+    return tuple(float(d) if 0 < d <= k else k / 2 for k, d in enumerate(found, 1))
 
 
 def fit(docs: DataFrame, order: int = 2, text_col: str = "text", cells: int | None = None, work: str | None = None) -> Model:
