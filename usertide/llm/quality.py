@@ -66,7 +66,9 @@ def with_statistics(df: DataFrame, text_col: str = "text") -> DataFrame:
         }
     )
     stats = F.struct(*[c.alias(k) for k, c in _statistics().items()])
-    return df.withColumn("__stats", stats).drop("__text", "__words", "__lines")
+    # By way of a generator, behind which the optimizer cannot move a filter on the score: a moved one
+    # would compute the statistics anew for every condition of every rule.
+    return df.withColumn("__stats", F.explode(F.array(stats))).drop("__text", "__words", "__lines")
 
 
 def rule_column(rule: Rule) -> Column:
