@@ -28,15 +28,21 @@ def test_every_row_of_the_table_is_an_event(spark, sf_dir, events):
     assert events.count() == spark.read.parquet(f"{sf_dir}/events.parquet").count()
 
 
+# Events with a user and a time; the others are in no user day.
+DATED = "user_id is not null and event_ts_utc is not null"
+
+
 def test_facts_account_for_all_keyed_events(events, model):
     total = events.agg(
-        F.count("session_key"), F.count("*"), F.count_if(F.col("event_name") == "purchase")
+        F.count("session_key"),
+        F.count_if(F.expr(DATED)),
+        F.count_if((F.col("event_name") == "purchase") & F.expr(DATED)),
     ).first()
     sessions = model["fact_sessions"].agg(F.sum("event_count")).first()[0]
     days = model["fact_user_daily_activity"].agg(F.sum("event_count"), F.sum("purchase_count")).first()
     assert sessions == total[0]
     assert tuple(days) == (total[1], total[2])
-    revenue = events.where("event_name = 'purchase'").agg(F.sum("purchase_revenue")).first()[0]
+    revenue = events.where(f"event_name = 'purchase' and {DATED}").agg(F.sum("purchase_revenue")).first()[0]
     assert model["fact_user_daily_activity"].agg(F.sum("revenue")).first()[0] == revenue
 
 
@@ -82,7 +88,8 @@ def test_new_and_returning_add_up(model):
 def test_gap_sessions_partition_the_events(events):
     found = ut.sessionize(events)
     assert found.count() == events.count()
-    assert found.where("session_id is null").count() == 0
+    assert found.where(f"session_id is null and {DATED}").count() == 0
+    assert found.where(f"session_id is not null and not ({DATED})").count() == 0
     # A longer gap never gives more sessions.
     counts = [
         ut.sessionize(events, gap).select("user_id", "session_id").distinct().count()

@@ -2,6 +2,7 @@ import random
 from datetime import date, timedelta
 
 import pytest
+from pyspark.sql import functions as F
 from helpers import enriched, raw, rows, staged
 
 import usertide as ut
@@ -70,7 +71,9 @@ def test_weekly_cohorts_start_on_monday_and_skip_empty_cells(spark):
         spark, ("a", "2021-01-03"), ("a", "2021-01-04"), ("b", "2021-01-04"), ("b", "2021-01-06"),
         ("b", "2021-01-25"), ("c", "2021-01-05"), ("d", "2021-01-05"), ("a", "2021-06-01"),
     )
-    cohorts = ut.retention_cohorts(u, a)
+    late = (date(2020, 12, 28), 22, 1, 1, 1.0)
+    assert late in rows(ut.retention_cohorts(u, a))  # no bound unless one is given
+    cohorts = ut.retention_cohorts(u, a, max_index=12)
     assert rows(cohorts) == [
         (date(2020, 12, 28), 0, 1, 1, 1.0),
         (date(2020, 12, 28), 1, 1, 1, 1.0),
@@ -207,7 +210,30 @@ def test_step_metrics(spark):
 def test_new_and_returning_make_up_the_active(spark):
     u = users(spark, ("a", "2021-01-01", None), ("b", "2021-01-02", None))
     a = activity(spark, ("a", "2021-01-01"), ("a", "2021-01-02"), ("b", "2021-01-02"))
-    assert rows(ut.new_vs_returning(a, u)) == [(date(2021, 1, 1), 1, 0, 1), (date(2021, 1, 2), 1, 1, 2)]
+    assert rows(ut.new_vs_returning(a, u)) == [(date(2021, 1, 1), 1, 0, 0, 1), (date(2021, 1, 2), 1, 1, 0, 2)]
+    # Users without a row are active all the same.
+    assert rows(ut.new_vs_returning(a, u.where("user_id = 'a'"))) == [
+        (date(2021, 1, 1), 1, 0, 0, 1),
+        (date(2021, 1, 2), 0, 1, 1, 2),
+    ]
+
+
+def test_retention_and_churn_by_segment(spark):
+    u = users(spark, ("a", "2021-01-04", None), ("b", "2021-01-04", None)).withColumn(
+        "kind", F.when(F.col("user_id") == "a", "x")
+    )
+    a = activity(spark, ("a", "2021-01-04"), ("a", "2021-01-12"), ("b", "2021-01-04"))
+    monday = date(2021, 1, 4)
+    assert rows(ut.retention_cohorts(u, a, by=["kind"])) == [
+        (monday, None, 0, 1, 1, 1.0),
+        (monday, "x", 0, 1, 1, 1.0),
+        (monday, "x", 1, 1, 1, 1.0),
+    ]
+    cells = ut.retention_cohorts(u, a, by=["kind"], zero_cells=True)
+    assert (monday, None, 1, 1, 0, 0.0) in rows(cells) and cells.count() == 4
+    assert rows(ut.retention_curve(cells), "kind", "week_index", "active_users")[1] == (None, 1, 0)
+    churn = {(r.period_start.day, r.kind): r.churned_users for r in ut.churn_rate(a, 3, by=["kind"], users=u).collect()}
+    assert churn[7, "x"] == churn[7, None] == 1 and churn[12, "x"] == churn[12, None] == 0 and len(churn) == 12
 
 
 def test_profile(spark):

@@ -1,8 +1,11 @@
-from datetime import date, datetime
+import hashlib
+from datetime import date, datetime, timezone
 from decimal import Decimal
 
 import pytest
 from helpers import enriched, raw, rows, staged
+from pyspark.errors import AnalysisException
+from pyspark.sql import functions as F
 
 import usertide as ut
 from usertide.operators.facts import purchase_rows
@@ -223,7 +226,9 @@ def test_pipeline_reads_shards(spark, tmp_path):
 
 def test_store_creates_missing_tables(spark, tmp_path):
     store = ut.TableStore(spark, root=f"{tmp_path}/dw")
-    assert all(table.count() == 0 for table in store.model().values())
+    with pytest.raises(AnalysisException):  # a mistyped place is no clean table
+        store.read("dim_user")
+    assert store.read("dim_user", missing_ok=True).count() == 0 and not store.holds_rows()
     store.create_missing()
     store.create_missing()
     assert all((tmp_path / "dw" / name).is_dir() for name in store.model())
@@ -232,6 +237,85 @@ def test_store_creates_missing_tables(spark, tmp_path):
         ut.TableStore(spark)
 
 
+def test_a_failed_full_load_leaves_the_old_tables(spark, tmp_path):
+    from helpers import raw_frame
+
+    store = ut.TableStore(spark, root=f"{tmp_path}/dw")
+    ut.run_pipeline(spark, raw_frame(spark, *FIRST), store, f"{tmp_path}/w1")
+    before = {name: rows(table) for name, table in store.model().items()}
+    events = enriched(spark, *FIRST, *LATE)
+    model = ut.build_model(events, events)
+    model["fact_purchases"] = model["fact_purchases"].withColumn("user_id", F.lit(None).cast("string"))
+    with pytest.raises(Exception, match="NULL in required column|user_id"):
+        ut.load_model(store, model)
+    assert {name: rows(table) for name, table in store.model().items()} == before
+
+
+def test_a_full_load_of_some_days_is_refused_where_there_are_rows(spark, tmp_path):
+    from helpers import raw_frame
+
+    for event in (*FIRST, *LATE):
+        day = datetime.fromtimestamp(event["event_timestamp"] / 1e6, timezone.utc).strftime("%Y%m%d")
+        raw_frame(spark, event).write.mode("append").parquet(f"{tmp_path}/export/events_{day}")
+    days = sorted(p.name[-8:] for p in (tmp_path / "export").iterdir())
+    first = f"{days[0][:4]}-{days[0][4:6]}-{days[0][6:]}"
+    args = (spark, f"{tmp_path}/export", f"{tmp_path}/dw")
+    ut.run_pipeline(*args, f"{tmp_path}/w1", start=first, end=first)
+    with pytest.raises(ValueError, match="would drop the other days"):
+        ut.run_pipeline(*args, f"{tmp_path}/w2", start=first, end=first)
+    ut.run_pipeline(*args, f"{tmp_path}/w3", mode="incremental")
+
+
+def test_purchases_without_a_user_do_not_end_a_load(spark, tmp_path):
+    from helpers import raw_frame
+
+    events = [*FIRST, raw(None, "2020-01-01 10:00:00", "purchase", txn="T9"), raw("x", None, "purchase", txn="T8")]
+    model = ut.run_pipeline(spark, raw_frame(spark, *events), f"{tmp_path}/dw", f"{tmp_path}/w")
+    keys = [r.purchase_key for r in model["fact_purchases"].collect()]
+    assert "T9" not in keys and "T8" in keys
+
+
+def test_dates_do_not_depend_on_the_session_zone(spark):
+    old = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", "America/Los_Angeles")
+    try:
+        events = staged(spark, raw("a", "2020-01-01 02:00:00.5", "purchase"), raw("a", "1969-12-31 23:59:59", "purchase"))
+        assert rows(events, "event_date_utc") == [(date(1969, 12, 31),), (date(2020, 1, 1),)]
+        local = events.select(ut.to_reporting_date(F.col("event_ts_utc"), "Asia/Kolkata"))
+        assert rows(local) == [(date(1970, 1, 1),), (date(2020, 1, 1),)]
+        keys = rows(ut.enrich_events(events).select(ut.functions.columns.purchase_key()))
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", old)
+    texts = ["a|2020-01-01 02:00:00.500+00", "a|1969-12-31 23:59:59+00"]
+    assert keys == sorted((hashlib.md5(t.encode()).hexdigest(),) for t in texts)
+
+
+def test_an_increment_reads_the_stored_rows_of_its_dates_only(spark, tmp_path):
+    events = enriched(spark, *FIRST, *LATE)
+    store = ut.TableStore(spark, root=f"{tmp_path}/dw")
+    days = ut.build_fact_user_daily_activity(events)
+    store.write(days, "fact_user_daily_activity", "overwrite")
+    some = date(2020, 1, 1)
+    plans = []
+    write, store.write = store.write, lambda df, *_: plans.append(df._jdf.queryExecution().executedPlan().toString())
+    store.insert(days, "fact_user_daily_activity", ["user_id", "activity_date"], (some, some))
+    assert "activity_date" in plans[0] and ">= 2020-01-01" in plans[0].split("PartitionFilters: [", 1)[1].split("]")[0]
+
+
+def test_marts_at_rest(spark, tmp_path):
+    events = enriched(spark, *FIRST, *LATE)
+    marts = ut.build_marts(ut.build_model(events, events))
+    store = ut.TableStore(spark, root=f"{tmp_path}/dw")
+    store.publish(marts)
+    store.publish(marts)  # replaces
+    for name, mart in marts.items():
+        assert rows(ut.TableStore(spark, root=f"{tmp_path}/dw").read_mart(name)) == rows(mart)
+    spark.sql(f"CREATE DATABASE marts LOCATION '{tmp_path}/marts'")
+    ut.TableStore(spark, database="marts").publish(marts)
+    assert spark.table("marts.mrt_funnel_daily").count() == marts["mrt_funnel_daily"].count()
+    spark.sql("DROP DATABASE marts CASCADE")
+
+
 def test_rebuild_purchases_in_place(spark, tmp_path):
     from usertide.plans.pipeline import rebuild_purchases
 

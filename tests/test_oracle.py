@@ -6,9 +6,10 @@ import duckdb
 import pytest
 
 import __spark_entry__ as entry_module
+from workload import oracle, queries
 
-QUERIES = entry_module.queries()
-ORACLE = entry_module.oracle_sql()
+QUERIES = queries.queries()
+ORACLE = oracle.oracle_sql()
 
 TYPES = {
     "bigint": "BIGINT",
@@ -50,4 +51,5 @@ def test_query_matches_sql(spark, duck, sf_dir, name):
 
 
 def test_entry(spark):
+    assert set(QUERIES) <= set(entry_module.queries()) and set(ORACLE) <= set(entry_module.oracle_sql())
     assert entry_module.entry(spark).count() > 0

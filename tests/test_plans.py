@@ -6,10 +6,10 @@ import pytest
 from helpers import enriched, raw, rows
 from pyspark.sql import functions as F
 
-import __spark_entry__ as entry_module
 import usertide as ut
+from workload import queries
 
-QUERIES = entry_module.queries()
+QUERIES = queries.queries()
 
 
 def plan(df):
@@ -28,7 +28,7 @@ def no_broadcast(spark):
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
 
 
-@pytest.mark.parametrize("name", [n for n in QUERIES if not n.startswith(("load_", "qa_summary", "qa_row"))])
+@pytest.mark.parametrize("name", QUERIES)
 def test_no_pairwise_join_and_no_python(spark, sf_dir, no_broadcast, name):
     text = plan(QUERIES[name](spark, sf_dir))
     for operator in ("CartesianProduct", "BroadcastNestedLoopJoin", "EvalPython", "MapInPandas", "BroadcastExchange"):

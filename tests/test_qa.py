@@ -130,7 +130,7 @@ def test_unkeyed_events(spark):
         raw(None, "2020-01-01 10:00:00", "purchase", txn="T1"),
     )
     assert dict(ut.qa_unkeyed(events).collect()) == {
-        "unkeyed_events_user": 2, "unkeyed_events_date": 1, "unkeyed_events_session": 3, "unkeyed_events_purchase": 1,
+        "unkeyed_events_user": 2, "unkeyed_events_date": 1, "unkeyed_events_session": 3, "unkeyed_events_purchase": 2,
     }
 
 

@@ -7,6 +7,7 @@ from usertide.operators.facts import (
     build_fact_sessions,
     build_fact_user_daily_activity,
     earliest_purchases,
+    first_events,
     purchase_rows,
 )
 from usertide.operators.marts import (
@@ -15,6 +16,7 @@ from usertide.operators.marts import (
     funnel_daily,
     retention_cohorts,
     retention_curve,
+    with_first_touch,
     wow_kpis,
 )
 from usertide.operators.metrics import (
@@ -32,6 +34,8 @@ from usertide.operators.metrics import (
     purchases_per_purchaser,
     step_conversion,
     step_users,
+    with_user_status,
+    without_noise,
 )
 from usertide.operators.qa import (
     qa_dim_duplicates,

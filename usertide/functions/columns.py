@@ -38,12 +38,25 @@ def session_key(user: str = "user_id", session: str = "ga_session_id") -> Column
     return F.expr(f"concat({user}, '-', cast({session} as string))")
 
 
+def micros_date(micros: str) -> str:
+    """SQL for the calendar date of microseconds since 1970, whatever the session's time zone."""
+    return f"date_add(date'1970-01-01', cast(({micros} - pmod({micros}, 86400000000L)) div 86400000000L as int))"
+
+
 def timestamp_text(ts: str) -> str:
     """SQL for a UTC timestamp as text with 0, 3 or 6 fraction digits and the offset ``+00``."""
-    return f"""concat(date_format({ts}, 'yyyy-MM-dd HH:mm:ss'),
-        case when unix_micros({ts}) % 1000000 = 0 then ''
-             when unix_micros({ts}) % 1000 = 0 then date_format({ts}, '.SSS')
-             else date_format({ts}, '.SSSSSS') end, '+00')"""
+    micros = f"unix_micros({ts})"
+    second = f"pmod({micros}, 86400000000L) div 1000000L"
+    fraction = f"pmod({micros}, 1000000L)"
+
+    def two(number: str) -> str:
+        return f"lpad(cast({number} as string), 2, '0')"
+
+    return f"""concat(cast({micros_date(micros)} as string), ' ', {two(f"{second} div 3600")}, ':',
+        {two(f"{second} div 60 % 60")}, ':', {two(f"{second} % 60")},
+        case when {fraction} = 0 then ''
+             when {fraction} % 1000 = 0 then concat('.', lpad(cast({fraction} div 1000 as string), 3, '0'))
+             else concat('.', lpad(cast({fraction} as string), 6, '0')) end, '+00')"""
 
 
 def purchase_key(user: str = "user_id", ts: str = "event_ts_utc", transaction: str = "transaction_id") -> Column:
@@ -67,7 +80,9 @@ def period_start(day: Column, grain: str) -> Column:
 
 def to_reporting_date(ts: Column, tz: str = "UTC") -> Column:
     """Calendar date of a UTC timestamp in the reporting time zone."""
-    return F.to_date(F.from_utc_timestamp(ts, tz))
+    micros = F.unix_micros(ts if tz == "UTC" else F.from_utc_timestamp(ts, tz))
+    day = (micros - F.pmod(micros, F.lit(86400000000))) / 86400000000
+    return F.date_add(F.lit("1970-01-01").cast("date"), day.cast("int"))
 
 
 def between_dates(column: str, start: str | None, end: str | None) -> Column:

@@ -9,10 +9,12 @@ over structs alone would sort every event.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from usertide.functions.columns import FUNNEL_STEPS, PURCHASE, purchase_key
+from usertide.functions.columns import FUNNEL_STEPS, PURCHASE, is_event, purchase_key
 from usertide.operators.staging import ALL_ATTRIBUTES, dimension_keys, with_measures
 from usertide.schemas import DIM_KEYS, MONEY
 
@@ -28,7 +30,29 @@ def _revenue() -> Column:
 
 
 def _earliest(*columns: str) -> Column:
-    return F.min(F.struct("first_ts", *columns)).alias("earliest")
+    """Of the earliest event; those without a time come last."""
+    return F.min(F.struct(F.col("first_ts").isNull().alias("untimed"), "first_ts", *columns)).alias("earliest")
+
+
+def first_events(events: DataFrame, by: Sequence[str] = (), time: str = "event_ts_utc") -> DataFrame:
+    """The first event of each session without a ``session_start``, as one.
+
+    (session_key, user_id, event_name, event_date_utc, the time, and the columns ``by``).
+    """
+    columns = list(dict.fromkeys(["event_date_utc", "user_id", *by]))
+    known = events.where(F.col("session_key").isNotNull())
+    # Fixed-width buffers first; the minimum over structs sees the few candidates left.
+    few = known.groupBy("session_key", *columns).agg(
+        F.min(time).alias(time), F.bool_or(is_event("session_start")).alias("_started")
+    )
+    first = F.min(F.struct(F.col(time).isNull().alias("_untimed"), time, *columns)).alias("_first")
+    opened = few.groupBy("session_key").agg(first, F.bool_or("_started").alias("_started")).where(~F.col("_started"))
+    return opened.select(
+        "session_key",
+        F.lit("session_start").alias("event_name"),
+        F.col(f"_first.{time}").alias(time),
+        *[F.col(f"_first.{c}").alias(c) for c in columns],
+    )
 
 
 def build_fact_sessions(events: DataFrame, dim_keys: bool = True) -> DataFrame:
@@ -74,10 +98,15 @@ def build_fact_sessions(events: DataFrame, dim_keys: bool = True) -> DataFrame:
 
 
 def build_fact_funnel_steps(
-    events: DataFrame, steps: dict[str, int] = FUNNEL_STEPS, grain: str = "reference"
+    events: DataFrame,
+    steps: dict[str, int] = FUNNEL_STEPS,
+    grain: str = "reference",
+    first_event_starts: bool = False,
 ) -> DataFrame:
     """First time of each funnel step.
 
+    With ``first_event_starts`` the first event of a session that has no ``session_start`` counts as one.
+
     ``grain='reference'`` has a row per session, date, dimension keys and step, so a
     session over midnight or with changing keys has several rows per step.
     ``grain='session_step'`` has exactly one, with date and keys of its earliest event.
@@ -85,12 +114,13 @@ def build_fact_funnel_steps(
     names = list(steps)
     group = ["session_key", "user_id", "event_date_utc", *DIM_KEYS, "event_name"]
     step = F.create_map(*[F.lit(part) for item in steps.items() for part in item])[F.col("event_name")]
-    rows = (
-        with_measures(events)
-        .where(F.col("event_name").isin(names) & F.col("session_key").isNotNull())
-        .groupBy(*group)
-        .agg(F.min("first_ts").alias("first_ts"))
-    )
+    measured = with_measures(events)
+    named = measured.where(F.col("event_name").isin(names) & F.col("session_key").isNotNull())
+    if first_event_starts:
+        named = named.select(*group, "first_ts").unionByName(
+            first_events(measured, DIM_KEYS, "first_ts").select(*group, "first_ts")
+        )
+    rows = named.groupBy(*group).agg(F.min("first_ts").alias("first_ts"))
     if grain == "session_step":
         carried = ["event_date_utc", "user_id", *DIM_KEYS]
         rows = (
@@ -154,9 +184,9 @@ def build_fact_user_daily_activity(events: DataFrame, dim_keys: bool = True) ->
 
 def purchase_rows(events: DataFrame) -> DataFrame:
     """Every keyed purchase event as a purchase row, copies included."""
-    # A key needs a transaction, or a user and a time. Tested on the inputs, so that the
+    # A row needs a user, and its key a transaction or a time. Tested on the inputs, so that the
     # scan can skip on it and no key is hashed twice.
-    keyed = F.expr("transaction_id is not null or (user_id is not null and event_ts_utc is not null)")
+    keyed = F.expr("user_id is not null and (transaction_id is not null or event_ts_utc is not null)")
     return events.where((F.col("event_name") == PURCHASE) & keyed).select(
         purchase_key().alias("purchase_key"),
         "user_id",
@@ -178,6 +208,7 @@ def earliest_purchases(purchases: DataFrame) -> DataFrame:
     """
     rest = [c for c in purchases.columns if c != "purchase_key"]
     order = F.struct(
+        F.col("purchase_ts").isNull().alias("untimed"),
         "purchase_ts",
         "user_id",
         "session_key",

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from usertide.functions.columns import period_start
+from usertide.schemas import DIM_KEYS, MONEY
 
 # Sessions that reached at least this step, by output column.
 _REACHED = {
@@ -33,10 +34,12 @@ def _session_reach(steps: DataFrame, by: Sequence[str]) -> DataFrame:
     aggregates = [F.min("session_date").alias("session_date"), F.max("funnel_step").alias("furthest")]
     if not by:
         return steps.groupBy("session_key").agg(*aggregates)
-    earliest = F.min(F.struct("step_ts", *by)).alias("earliest")
+    # First by hash into fixed-width buffers; the minimum over structs sees the few rows left.
+    few = steps.groupBy("session_key", *by).agg(F.min("step_ts").alias("step_ts"), *aggregates)
+    earliest = F.min(F.struct(F.col("step_ts").isNull().alias("untimed"), "step_ts", *by)).alias("earliest")
     return (
-        steps.groupBy("session_key")
-        .agg(*aggregates, earliest)
+        few.groupBy("session_key")
+        .agg(F.min("session_date").alias("session_date"), F.max("furthest").alias("furthest"), earliest)
         .select("session_key", "session_date", "furthest", *[F.col(f"earliest.{c}").alias(c) for c in by])
     )
 
@@ -75,14 +78,24 @@ def funnel_by_segment(
     return _with_rates(counts.groupBy(*group).agg(*[F.sum(c).alias(c) for c in _REACHED]))
 
 
-def _anchor_dates(users: DataFrame, activity: DataFrame, anchor: str) -> DataFrame:
-    """(user_id, anchor_date) of the users that belong to a cohort."""
+def with_first_touch(users: DataFrame, activity: DataFrame, keys: Sequence[str] = DIM_KEYS) -> DataFrame:
+    """Users with the dimension keys of their first active day; NULL for users without activity."""
+    first = activity.groupBy("user_id").agg(F.min(F.struct("activity_date", *keys)).alias("_first"))
+    return users.join(first, "user_id", "left").select(
+        *[F.col(c) for c in users.columns], *[F.col(f"_first.{k}").alias(k) for k in keys]
+    )
+
+
+def _anchor_dates(users: DataFrame, activity: DataFrame, anchor: str, by: Sequence[str]) -> DataFrame:
+    """(user_id, anchor_date) and segments of the users that belong to a cohort."""
     if anchor in ("first_seen", "first_purchase"):
-        dated = users.select("user_id", F.col(f"{anchor}_date").alias("anchor_date"))
+        dated = users.select("user_id", F.col(f"{anchor}_date").alias("anchor_date"), *by)
     elif anchor == "session_start":
         dated = (
             activity.where("had_session_start").groupBy("user_id").agg(F.min("activity_date").alias("anchor_date"))
         )
+        if by:
+            dated = dated.join(users.select("user_id", *by), "user_id", "left")
     else:
         raise ValueError(f"anchor must be first_seen, first_purchase or session_start, not {anchor!r}")
     return dated.where(F.col("anchor_date").isNotNull())
@@ -97,44 +110,57 @@ def retention_cohorts(
     activity: DataFrame,
     anchor: str = "first_seen",
     grain: str = "week",
-    max_index: int = 12,
+    max_index: int | None = None,
     zero_cells: bool = False,
+    by: Sequence[str] = (),
 ) -> DataFrame:
-    """Users of each cohort active in each later period.
+    """Users of each cohort active in each later period, up to ``max_index`` if that is given.
 
     ``anchor`` is ``first_seen``, ``first_purchase`` or ``session_start``; ``grain`` is
     ``week`` (from Monday) or ``day``. A cell nobody was active in is absent, unless
-    ``zero_cells`` asks for every cell up to the last date of activity.
+    ``zero_cells`` asks for every cell up to the last date of activity. ``by`` names columns of
+    ``users`` that split the cohorts, such as those of ``with_first_touch``.
     """
+    by = list(by)
     if grain not in _GRAINS:
         raise ValueError(f"grain must be week or day, not {grain!r}")
     cohort, index, unit = _GRAINS[grain]
-    cohorts = _anchor_dates(users, activity, anchor).select(
-        "user_id", period_start(F.col("anchor_date"), grain).alias(cohort)
+    cohorts = _anchor_dates(users, activity, anchor, by).select(
+        "user_id", period_start(F.col("anchor_date"), grain).alias(cohort), *by
     )
-    sizes = cohorts.groupBy(cohort).agg(F.count("*").alias("cohort_size"))
+    sizes = cohorts.groupBy(cohort, *by).agg(F.count("*").alias("cohort_size"))
     periods = activity.select("user_id", period_start(F.col("activity_date"), grain).alias("_period"))
     # Both dates start a period, so whole periods lie between them.
     since = F.expr(f"datediff(_period, {cohort}) div {unit}")
+    inside = F.col(index) >= 0 if max_index is None else F.col(index).between(0, max_index)
     # Duplicate user periods are dropped after the join, under the partitioning by
     # user_id that the join has made already; dropping them before would shuffle twice.
     active = (
         cohorts.join(periods, "user_id")
-        .select("user_id", cohort, since.alias(index))
-        .where(F.col(index).between(0, max_index))
+        .select("user_id", cohort, *by, since.alias(index))
+        .where(inside)
         .distinct()
-        .groupBy(cohort, index)
+        .groupBy(cohort, *by, index)
         .agg(F.count("user_id").alias("active_users"))
     )
     if zero_cells:
         last = activity.agg(F.max("activity_date").alias("last")).select(period_start(F.col("last"), grain)).scalar()
+        # least() passes over a NULL, so no bound leaves the weeks observed.
         observed = F.least(F.lit(max_index).cast("bigint"), (F.datediff(last, F.col(cohort)) / unit).cast("bigint"))
-        grid = sizes.withColumn(index, F.explode(F.sequence(F.lit(0).cast("bigint"), observed)))
-        cells = grid.join(active, [cohort, index], "left").fillna(0, ["active_users"])
+        left = sizes.withColumn(index, F.explode(F.sequence(F.lit(0).cast("bigint"), observed)))
+        how = "left"
+    else:
+        left, how = sizes, "inner"
+    # A segment may be NULL, which a join by name would lose.
+    right = active.select(*[F.col(c).alias(f"_{c}") for c in (cohort, *by, index)], "active_users")
+    match = [F.col(c).eqNullSafe(F.col(f"_{c}")) if c in by else F.col(c) == F.col(f"_{c}") for c in (cohort, *by)]
+    if zero_cells:
+        cells = left.join(right, [*match, F.col(index) == F.col(f"_{index}")], how).fillna(0, ["active_users"])
     else:
-        cells = active.join(sizes, cohort)
+        cells = left.join(right, match, how).withColumnRenamed(f"_{index}", index)
     return cells.select(
         cohort,
+        *by,
         index,
         "cohort_size",
         "active_users",
@@ -143,17 +169,19 @@ def retention_cohorts(
 
 
 def retention_curve(cohorts: DataFrame) -> DataFrame:
-    """Retention by period index over the cells of all cohorts, weighted by cohort size."""
+    """Retention by period index over the cells of all cohorts of a segment, weighted by cohort size."""
     index = next(c for c in cohorts.columns if c.endswith("_index"))
+    cells = {index, "cohort_week", "cohort_date", "cohort_size", "active_users", "retention_rate"}
+    by = [c for c in cohorts.columns if c not in cells]
     active, size = F.sum("active_users"), F.sum("cohort_size")
     return (
-        cohorts.groupBy(index)
+        cohorts.groupBy(*by, index)
         .agg(
             active.alias("active_users"),
             size.alias("cohort_users"),
             F.try_divide(active, size).alias("retention_rate_weighted"),
         )
-        .orderBy(index)
+        .orderBy(*by, index)
     )
 
 
@@ -203,7 +231,7 @@ def wow_kpis(
         F.countDistinct("user_id").alias("wau"),
         F.sum("event_count").alias("events"),
         F.sum("purchase_count").alias("purchases"),
-        F.sum(F.coalesce("revenue", F.lit(0).cast("decimal(38,9)"))).alias("revenue"),
+        F.sum(F.coalesce("revenue", F.lit(0).cast(MONEY))).alias("revenue"),
     )
     sessions_weekly = sessions.groupBy(
         period_start(F.col("session_date"), "week").alias("week_start")
@@ -215,7 +243,7 @@ def wow_kpis(
     joined = weekly.join(sessions_weekly, "week_start", "left")
     if fill_weeks:
         joined = joined.fillna(0, ["wau", "events", "sessions", "purchases"]).withColumn(
-            "revenue", F.coalesce("revenue", F.lit(0).cast("decimal(38,9)"))
+            "revenue", F.coalesce("revenue", F.lit(0).cast(MONEY))
         )
 
     # One row per calendar week, so a window without partitions stays small.
@@ -224,6 +252,8 @@ def wow_kpis(
     def change(name: str) -> list[Column]:
         previous = F.lag(name).over(by_week)
         delta = F.col(name) - previous
+        if name == "revenue":  # a difference of amounts is an amount
+            delta = delta.cast(MONEY)
         # Decimal by decimal would round to six places.
         kind = "double" if name == "revenue" else "bigint"
         return [

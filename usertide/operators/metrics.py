@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from usertide.functions.columns import FUNNEL_STEPS, PURCHASE, between_dates, is_event, period_start
+from usertide.operators.facts import first_events
 from usertide.operators.marts import retention_cohorts
 
 
@@ -36,18 +37,20 @@ def step_users(
     start: str | None = None,
     end: str | None = None,
     by: Sequence[str] = (),
+    first_event_starts: bool = False,
 ) -> DataFrame:
     """Distinct users per funnel step in the period, not cumulative; a step without users has 0.
 
+    With ``first_event_starts`` the first event of a session that has no ``session_start`` counts as one.
     Users are first made distinct per event, which spreads them over all reducers; a
     distinct count per step in one aggregate would copy each row once per step.
     """
-    pairs = (
-        events.where(F.col("event_name").isin(list(steps)) & between_dates("event_date_utc", start, end))
-        .where(F.col("user_id").isNotNull())
-        .select(*by, "event_name", "user_id")
-        .distinct()
-    )
+    period = between_dates("event_date_utc", start, end)
+    named = events.where(F.col("event_name").isin(list(steps)) & period).select(*by, "event_name", "user_id")
+    if first_event_starts:
+        opened = first_events(events, by).where(period).select(*by, "event_name", "user_id")
+        named = named.unionByName(opened)
+    pairs = named.where(F.col("user_id").isNotNull()).distinct()
     counts = pairs.groupBy(*by).agg(*[F.count_if(F.col("event_name") == name).alias(name) for name in steps])
     rows = F.array(
         *[
@@ -91,6 +94,13 @@ def overall_conversion(users: DataFrame, first: str = "session_start", last: str
     )
 
 
+def without_noise(events: DataFrame, exclude: Sequence[str]) -> DataFrame:
+    """Events but those with these names; events without a name stay."""
+    if not exclude:
+        return events
+    return events.where(~F.coalesce(F.col("event_name").isin(list(exclude)), F.lit(False)))
+
+
 def active_users(
     events: DataFrame,
     grain: str = "day",
@@ -99,9 +109,7 @@ def active_users(
     approx: bool = False,
 ) -> DataFrame:
     """Distinct users with a qualifying event per day, Monday week or month."""
-    rows = events
-    if exclude:
-        rows = rows.where(~F.coalesce(F.col("event_name").isin(list(exclude)), F.lit(False)))
+    rows = without_noise(events, exclude)
     period = period_start(F.col("event_date_utc"), grain).alias("period_start")
     return rows.groupBy(period, *by).agg(_users(approx).alias("active_users"))
 
@@ -109,17 +117,27 @@ def active_users(
 def nday_retention(
     users: DataFrame,
     activity: DataFrame,
-    max_day: int = 30,
+    max_day: int | None = None,
     anchor: str = "session_start",
     zero_cells: bool = False,
+    by: Sequence[str] = (),
 ) -> DataFrame:
-    """Share of each daily cohort active on day N after its anchor date."""
-    return retention_cohorts(users, activity, anchor, "day", max_day, zero_cells)
+    """Share of each daily cohort active on day N after its anchor date, up to ``max_day`` if that is given."""
+    return retention_cohorts(users, activity, anchor, "day", max_day, zero_cells, by)
 
 
-def churn_rate(activity: DataFrame, window_days: int = 30, grain: str = "day") -> DataFrame:
+def churn_rate(
+    activity: DataFrame,
+    window_days: int = 30,
+    grain: str = "day",
+    by: Sequence[str] = (),
+    users: DataFrame | None = None,
+) -> DataFrame:
     """Users newly inactive for ``window_days`` over users at risk, per period.
 
+    ``by`` names columns of ``users``, one row per user, that split the users; activity of users without a row
+    there has NULL segments.
+
     A user active on date d and next on date n churns on d + X when n is missing or
     after d + X, and stays churned until the day before n. At risk on date T are the
     users first active by T - X that were not churned on T - 1. For a week or month,
@@ -129,10 +147,13 @@ def churn_rate(activity: DataFrame, window_days: int = 30, grain: str = "day") -
     Only changes per date are counted over the users; the running total then goes
     over one row per calendar day up to the last date of activity.
     """
-    x = window_days
+    x, by = window_days, list(by)
+    if by:
+        activity = activity.select("user_id", "activity_date").join(users.select("user_id", *by), "user_id", "left")
     by_date = Window.partitionBy("user_id").orderBy("activity_date")
     spells = activity.select(
         "user_id",
+        *by,
         F.col("activity_date").alias("d"),
         F.lead("activity_date").over(by_date).alias("n"),
         F.lag("activity_date").over(by_date).isNull().alias("is_first"),
@@ -157,24 +178,33 @@ def churn_rate(activity: DataFrame, window_days: int = 30, grain: str = "day") -
         change(churns & F.col("n").isNotNull(), F.date_add("n", 1), 1, 0, 0),
     )
     per_day = (
-        spells.select(F.inline(F.array_compact(changes)))
-        .groupBy("day")
+        spells.select(*by, F.inline(F.array_compact(changes)))
+        .groupBy(*by, "day")
         .agg(*[F.sum(c).alias(c) for c in ("entered", "left", "churned")])
     )
     bounds = activity.agg(F.min("activity_date").alias("lo"), F.max("activity_date").alias("hi"))
     calendar = bounds.where(F.col("lo") <= F.date_sub("hi", x)).select(
         F.explode(F.expr(f"sequence(date_add(lo, {x}), hi)")).alias("day")
     )
-    total = Window.orderBy("day").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    total = Window.partitionBy(*by).orderBy("day").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    if by:
+        # Every segment gets every date: as many rows as segments times days.
+        segments = per_day.select(*by).distinct()
+        days = calendar.agg(F.collect_list("day").alias("days"))
+        every = segments.withColumn("day", F.explode(days.scalar()))
+        found = per_day.select(*[F.col(c).alias(f"_{c}") for c in (*by, "day")], "entered", "left", "churned")
+        match = [F.col(c).eqNullSafe(F.col(f"_{c}")) for c in by] + [F.col("day") == F.col("_day")]
+        dated = every.join(found, match, "left").drop(*[f"_{c}" for c in (*by, "day")])
+    else:
+        dated = calendar.join(per_day, "day", "left")
     daily = (
-        calendar.join(per_day, "day", "left")
-        .fillna(0, ["entered", "left", "churned"])
+        dated.fillna(0, ["entered", "left", "churned"])
         .withColumn("at_risk", F.sum(F.col("entered") - F.col("left")).over(total))
     )
     # The first date of a period counts all at risk on it, the others those who entered.
     opening = F.min(F.struct("day", "at_risk", "entered"))
     at_risk = opening["at_risk"] + F.sum("entered") - opening["entered"]
-    return daily.groupBy(period_start(F.col("day"), grain).alias("period_start")).agg(
+    return daily.groupBy(period_start(F.col("day"), grain).alias("period_start"), *by).agg(
         F.sum("churned").alias("churned_users"),
         at_risk.alias("at_risk_users"),
         F.try_divide(F.sum("churned"), at_risk).alias("churn_rate"),
@@ -229,20 +259,28 @@ def purchases_per_purchaser(events: DataFrame, start: str | None = None, end: st
 
 
 def new_vs_returning(activity: DataFrame, users: DataFrame) -> DataFrame:
-    """Active users per date, split into those first seen that date and those seen before."""
-    first = users.select("user_id", "first_seen_date")
-    is_new = F.col("activity_date") == F.col("first_seen_date")
-    return (
-        activity.join(first, "user_id")
-        .groupBy("activity_date")
-        .agg(
-            F.count_if(is_new).alias("new_users"),
-            F.count_if(F.col("activity_date") > F.col("first_seen_date")).alias("returning_users"),
-            F.count("*").alias("active_users"),
-        )
+    """Active users per date, split into those first seen that date, those seen before, and others.
+
+    Others have no row in ``users``, or one that first saw them later.
+    """
+    status = with_user_status(activity, users, "activity_date")
+    return status.groupBy("activity_date").agg(
+        *[F.count_if(F.col("user_status") == s).alias(f"{s}_users") for s in ("new", "returning", "unknown")],
+        F.count("*").alias("active_users"),
     )
 
 
+def with_user_status(frame: DataFrame, users: DataFrame, date: str = "event_date_utc") -> DataFrame:
+    """Add ``user_status``: new on the date a user was first seen, returning after it, unknown otherwise.
+
+    It serves as a segment of events, steps and user days: give it to ``by`` of the metrics and funnels.
+    """
+    first = users.select(F.col("user_id").alias("_user"), F.col("first_seen_date").alias("_seen"))
+    joined = frame.join(first, F.col("user_id") == F.col("_user"), "left")
+    status = F.when(F.col(date) == F.col("_seen"), "new").when(F.col(date) > F.col("_seen"), "returning")
+    return joined.withColumn("user_status", status.otherwise("unknown")).drop("_user", "_seen")
+
+
 def profile_events(events: DataFrame, exact: bool = True) -> DataFrame:
     """Deciles of events per user and the share of events with a session id, as (metric, value).
 

@@ -44,15 +44,16 @@ def qa_orphans(
     pk: str | None = None,
     null_fk_is_orphan: bool = False,
     name: str = "orphans",
+    weight: str | None = None,
 ) -> DataFrame:
-    """How many fact rows have no row in the dimension.
+    """How many fact rows have no row in the dimension; ``weight`` names a column that counts them.
 
     Facts are counted per foreign key before the anti join, so a key most facts share
     is one row by then, whatever join Spark picks.
     """
     pk = pk or fk
     facts = fact if null_fk_is_orphan else fact.where(F.col(fk).isNotNull())
-    per_key = facts.groupBy(F.col(fk).alias("_key")).agg(F.count("*").alias("_rows"))
+    per_key = facts.groupBy(F.col(fk).alias("_key")).agg((F.sum(weight) if weight else F.count("*")).alias("_rows"))
     missing = per_key.join(dim.select(F.col(pk).alias("_key")), "_key", "left_anti")
     return missing.agg(F.coalesce(F.sum("_rows"), F.lit(0)).cast("bigint").alias(name))
 
@@ -63,6 +64,8 @@ def qa_steps_outside_session(steps: DataFrame, sessions: DataFrame) -> DataFrame
     Equal rows are counted up on both sides first, so copies of one session's rows
     multiply as numbers, not as joined rows.
     """
+    # Dealt by session first, the groupings and the join need no further shuffle.
+    steps, sessions = steps.repartition("session_key"), sessions.repartition("session_key")
     times = steps.groupBy("session_key", "step_ts").agg(F.count("*").alias("_steps"))
     windows = sessions.groupBy("session_key", "session_start_ts", "session_end_ts").agg(
         F.count("*").alias("_sessions")
@@ -141,7 +144,7 @@ def qa_unkeyed(events: DataFrame) -> DataFrame:
         F.count_if(F.col("user_id").isNull()).alias("unkeyed_events_user"),
         F.count_if(F.col("event_date_utc").isNull()).alias("unkeyed_events_date"),
         F.count_if(F.col("session_key").isNull()).alias("unkeyed_events_session"),
-        F.count_if(bought & purchase_key().isNull()).alias("unkeyed_events_purchase"),
+        F.count_if(bought & (F.col("user_id").isNull() | purchase_key().isNull())).alias("unkeyed_events_purchase"),
     )
     return row.unpivot([], row.columns, "metric", "value")
 
@@ -206,9 +209,16 @@ def qa_summary(model: dict[str, DataFrame], events: DataFrame) -> DataFrame:
     """The 31 metrics of a load as (metric, value), ordered by name."""
     sessions = model["fact_sessions"]
     frames = [_table_metrics(name, table) for name, table in model.items()]
+    # One count per set of foreign keys serves all four: Spark reuses its shuffle.
+    per_keys = sessions.groupBy(*_SESSION_DIMS.values()).agg(F.count("*").alias("_rows"))
     frames += [
         qa_orphans(
-            sessions, fk, model[dim], null_fk_is_orphan=dim == "dim_user", name=f"orphans_fact_sessions_{dim}"
+            per_keys,
+            fk,
+            model[dim],
+            null_fk_is_orphan=dim == "dim_user",
+            name=f"orphans_fact_sessions_{dim}",
+            weight="_rows",
         )
         for dim, fk in _SESSION_DIMS.items()
     ]

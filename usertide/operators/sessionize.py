@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
@@ -74,7 +76,7 @@ def session_starts(events: DataFrame) -> DataFrame:
         .groupBy("session_key")
         .agg(
             F.coalesce(marked, F.min("event_ts_utc")).alias("session_start_ts"),
-            marked.isNotNull().alias("has_start_event"),
+            F.bool_or(F.coalesce(F.col("event_name") == "session_start", F.lit(False))).alias("has_start_event"),
         )
     )
 
@@ -82,11 +84,15 @@ def session_starts(events: DataFrame) -> DataFrame:
 def dedup_events(
     events: DataFrame,
     keys: tuple[str, ...] = ("user_id", "event_ts_utc", "event_name", "ga_session_id", "transaction_id"),
+    required: tuple[str, ...] = ("user_id", "event_ts_utc", "event_name"),
 ) -> DataFrame:
     """One row per event identity; of differing copies the smallest row is kept.
 
+    Events that lack a ``required`` part of the identity cannot be told to be copies and all stay.
     Copies are reduced before the shuffle, so a group of many copies is no hot spot.
     """
     rest = [c for c in events.columns if c not in keys]
-    kept = events.groupBy(*keys).agg(F.min(F.struct(*rest)).alias("_kept"))
-    return kept.select(*[F.col(f"_kept.{c}").alias(c) if c in rest else F.col(c) for c in events.columns])
+    known = reduce(lambda a, b: a & b, [F.col(c).isNotNull() for c in required])
+    kept = events.where(known).groupBy(*keys).agg(F.min(F.struct(*rest)).alias("_kept"))
+    kept = kept.select(*[F.col(f"_kept.{c}").alias(c) if c in rest else F.col(c) for c in events.columns])
+    return kept.unionByName(events.where(~known))

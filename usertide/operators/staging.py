@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from usertide.functions.columns import PURCHASE, attribute_key, param_int, session_key
+from usertide.functions.columns import PURCHASE, attribute_key, micros_date, param_int, session_key
 from usertide.schemas import DIM_ATTRIBUTES, MONEY
 
 
@@ -15,14 +15,15 @@ def stage_events(raw: DataFrame, tz: str = "UTC") -> DataFrame:
     ``tz`` is the reporting time zone of ``event_date_utc``; UTC unless chosen otherwise.
     """
     ts = "timestamp_micros(event_timestamp)"
-    local = ts if tz == "UTC" else f"from_utc_timestamp({ts}, '{tz}')"
+    # From the microseconds, so that the zone of the session has no part in it.
+    local = "event_timestamp" if tz == "UTC" else f"unix_micros(from_utc_timestamp({ts}, '{tz}'))"
     return raw.select(
         *[
             F.expr(source).alias(name)
             for name, source in {
                 "user_id": "user_pseudo_id",
                 "event_ts_utc": ts,
-                "event_date_utc": f"to_date({local})",
+                "event_date_utc": micros_date(local),
                 "event_name": "event_name",
                 "platform": "platform",
                 "device_category": "device.category",
@@ -75,11 +76,11 @@ SLICE_COLUMNS = [
 
 
 def with_measures(events: DataFrame) -> DataFrame:
-    """Give single events the measures of a slice; slices pass unchanged.
+    """Give single events the measures of a slice; slices, which have all four, pass unchanged.
 
     Revenue is that of purchases only, so other events add nothing to a sum.
     """
-    if "event_count" in events.columns:
+    if {"event_count", "first_ts", "last_ts", "purchase_revenue"} <= set(events.columns):
         return events
     return events.withColumns(
         {

@@ -3,8 +3,10 @@
 from __future__ import annotations
 
 from concurrent.futures import ThreadPoolExecutor
+from datetime import date
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from usertide.operators.dims import build_dim, build_dim_date, build_dim_user
 from usertide.operators.facts import (
@@ -23,6 +25,10 @@ from usertide.sources.events import read_back, read_events, store_events, write_
 from usertide.sources.tables import TableStore
 
 
+# Fixed value: the last week of a cohort in its mart.
+MART_WEEKS = 12
+
+
 def build_model(
     slices: DataFrame, events: DataFrame, dim_grain: str = "key", funnel_grain: str = "reference"
 ) -> dict[str, DataFrame]:
@@ -42,24 +48,28 @@ def build_model(
     return model
 
 
-def load_model(store: TableStore, model: dict[str, DataFrame], mode: str = "full") -> None:
+def load_model(
+    store: TableStore, model: dict[str, DataFrame], mode: str = "full", dates: tuple[date, date] | None = None
+) -> None:
     """Write the tables: ``full`` replaces them, ``incremental`` adds absent keys only.
 
+    A full load replaces the tables once all nine are written, so a failure leaves the old ones.
     An incremental load never changes a loaded row, so a late event of a known user,
-    session or day has no effect. Each table is its own job, and a load that broke off
-    can simply be run again.
+    session or day has no effect; one that broke off can simply be run again. ``dates`` are the first and
+    last date of its events, if they are known.
     """
     if mode not in ("full", "incremental"):
         raise ValueError(f"mode must be 'full' or 'incremental', not {mode!r}")
 
+    # The tables do not depend on each other: their jobs share the cluster, so small ones
+    # fill the gaps large ones leave. Dimensions are there before the facts that name them.
+    if mode == "full":
+        store.replace(model, tasks=5)
+        return
+
     def load(name: str) -> None:
-        if mode == "full":
-            store.write(model[name], name, "overwrite")
-        else:
-            store.insert(model[name], name, LOAD_KEYS[name])
+        store.insert(model[name], name, LOAD_KEYS[name], dates)
 
-    # The tables of a group do not depend on each other: their jobs share the cluster,
-    # so small ones fill the gaps large ones leave.
     for prefix in ("dim_", "fact_"):
         group = [name for name in model if name.startswith(prefix)]
         with ThreadPoolExecutor(len(group)) as pool:
@@ -83,7 +93,7 @@ def run_pipeline(
     """Load all tables from raw events and return them.
 
     ``src`` is a folder of day shards, which ``start`` and ``end`` narrow, or a raw
-    frame. ``out`` is a folder or a store. ``work`` is a folder on shared storage, of this
+    frame. A full load of some days alone would lose all others, so it is refused where there are rows. ``out`` is a folder or a store. ``work`` is a folder on shared storage, of this
     load alone; unless given, a new one under ``spark.checkpoint.dir``. The rollup of the
     events is written there once and all tables but the purchases read it, so the raw
     events are scanned twice rather than once per table. ``staged_events`` names a folder
@@ -91,6 +101,9 @@ def run_pipeline(
     derives a session id for events without one; ``dedup`` first drops repeated events.
     """
     prepare(spark)
+    store = out if isinstance(out, TableStore) else TableStore(spark, root=out)
+    if mode == "full" and start is not None and store.holds_rows():
+        raise ValueError("a full load of given days would drop the other days of these tables; use mode='incremental'")
     work = (work or shared_dir(spark)).rstrip("/")
     raw = read_events(spark, src, start, end) if isinstance(src, str) else src
     staged = stage_events(raw)
@@ -98,10 +111,13 @@ def run_pipeline(
     if dedup:
         staged = store_events(dedup_events(staged), f"{work}/unique_events")
     if session_gap:
+        # Read three times from here: once flat, rather than the nested events each time.
+        staged = staged if dedup else store_events(staged, f"{work}/flat_events")
         staged = fill_sessions(staged, session_gap)
     events = enrich_events(staged)
     if staged_events:
-        write_events(events, staged_events, rebalance=bool(dedup or session_gap))
+        in_date_order = isinstance(src, str) and not (dedup or session_gap)
+        write_events(events, staged_events, rebalance=not in_date_order)
         events = read_back(spark, events, staged_events)
     elif session_gap:
         events = store_events(events, f"{work}/enriched_events")
@@ -109,15 +125,21 @@ def run_pipeline(
     rolled.write.mode("overwrite").parquet(f"{work}/event_slices")
     slices = enrich_events(spark.read.schema(rolled.schema).parquet(f"{work}/event_slices"))
 
-    store = out if isinstance(out, TableStore) else TableStore(spark, root=out)
-    load_model(store, build_model(slices, events, dim_grain, funnel_grain), mode)
+    dates = None
+    if mode == "incremental":
+        bounds = slices.agg(F.min("event_date_utc"), F.max("event_date_utc")).first()
+        dates = tuple(bounds) if bounds[0] else None
+    load_model(store, build_model(slices, events, dim_grain, funnel_grain), mode, dates)
     return store.model()
 
 
 def build_marts(model: dict[str, DataFrame]) -> dict[str, DataFrame]:
-    """The five reporting marts over the tables, by name, ready for ``publish_views``."""
+    """The five reporting marts over the tables, by name, ready for ``publish_views`` or ``TableStore.publish``.
+
+    The cohort mart holds weeks 0 to 12.
+    """
     users, days = model["dim_user"], model["fact_user_daily_activity"]
-    cohorts = retention_cohorts(users, days)
+    cohorts = retention_cohorts(users, days, max_index=MART_WEEKS)
     return {
         "mrt_funnel_daily": funnel_daily(model["fact_funnel_steps"]),
         "mrt_retention_cohorts": cohorts,

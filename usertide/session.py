@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import atexit
+import shutil
 import tempfile
 import uuid
 
@@ -48,7 +50,7 @@ def shared_dir(spark: SparkSession) -> str:
     """A fresh folder for written intermediate tables.
 
     It lies under ``spark.checkpoint.dir``, which every executor can reach. Only a
-    local session, as in tests, may do without that setting.
+    local session, as in tests, may do without that setting; its folder goes when the program ends.
     """
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
@@ -58,5 +60,6 @@ def shared_dir(spark: SparkSession) -> str:
         app = spark.sparkContext.applicationId
         if app not in _local_dirs:
             _local_dirs[app] = tempfile.mkdtemp(prefix="usertide-")
+            atexit.register(shutil.rmtree, _local_dirs[app], ignore_errors=True)
         base = _local_dirs[app]
     return f"{base.rstrip('/')}/usertide-{uuid.uuid4().hex}"

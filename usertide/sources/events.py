@@ -17,8 +17,9 @@ def read_events(
     start: str | None = None,
     end: str | None = None,
     fmt: str = "parquet",
+    shard: str = "events_{day}",
 ) -> DataFrame:
-    """Read day shards ``path/events_YYYYMMDD`` with the fixed raw schema.
+    """Read day shards ``path/events_YYYYMMDD`` with the fixed raw schema; ``shard`` names the folders otherwise.
 
     ``start`` and ``end`` (ISO dates, inclusive, both or neither) narrow the scan to
     the shards of those days before any file is listed.
@@ -31,7 +32,7 @@ def read_events(
         first, last = date.fromisoformat(start), date.fromisoformat(end)
         days = [(first + timedelta(n)).strftime("%Y%m%d") for n in range((last - first).days + 1)]
         shards = "{" + ",".join(days) + "}"
-    return spark.read.schema(RAW_EVENTS).format(fmt).load(f"{path.rstrip('/')}/events_{shards}")
+    return spark.read.schema(RAW_EVENTS).format(fmt).load(f"{path.rstrip('/')}/{shard.format(day=shards)}")
 
 
 def write_events(events: DataFrame, path: str, mode: str = "overwrite", rebalance: bool = False) -> None:

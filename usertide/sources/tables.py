@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
+from datetime import date
 from functools import reduce
 
 from pyspark.errors import AnalysisException
@@ -28,11 +30,12 @@ def publish_views(frames: dict[str, DataFrame]) -> None:
 
 
 class TableStore:
-    """The nine tables, as Parquet under ``root`` or as catalog tables in ``database``.
+    """The nine tables and the marts, as Parquet under ``root`` or as catalog tables in ``database``.
 
     Facts are stored in one folder per date, unless ``partitioned`` is off. Catalog tables
     may instead get ``buckets``: users, user days, sessions, steps and purchases are then
-    stored by their key, and joins and aggregates on it read them without a shuffle.
+    stored by their key, and joins and aggregates on it read them without a shuffle; they are then not
+    partitioned by date.
     """
 
     def __init__(
@@ -53,8 +56,12 @@ class TableStore:
     def _name(self, table: str) -> str:
         return f"{self.database}.{table}" if self.database else f"{self.root}/{table}"
 
-    def read(self, table: str) -> DataFrame:
-        """The table in its declared column order; empty when nothing was loaded yet."""
+    def read(self, table: str, missing_ok: bool = False) -> DataFrame:
+        """The table in its declared column order.
+
+        A table that was never loaded is an error, so that a mistyped place does not look clean;
+        with ``missing_ok`` it is empty.
+        """
         schema = TABLES[table]
         try:
             if self.database:
@@ -62,11 +69,60 @@ class TableStore:
             else:
                 found = self.spark.read.schema(schema).parquet(self._name(table))
         except AnalysisException as error:
-            if error.getCondition() not in ("PATH_NOT_FOUND", "TABLE_OR_VIEW_NOT_FOUND"):
+            if not missing_ok or error.getCondition() not in ("PATH_NOT_FOUND", "TABLE_OR_VIEW_NOT_FOUND"):
                 raise
             return self.spark.createDataFrame([], schema)
         return found.select(*schema.names)
 
+    def holds_rows(self) -> bool:
+        return any(not self.read(table, missing_ok=True).isEmpty() for table in TABLES)
+
+    def read_mart(self, name: str) -> DataFrame:
+        """A mart that ``publish`` stored, in this session or another."""
+        return self.spark.table(self._name(name)) if self.database else self.spark.read.parquet(self._name(name))
+
+    def publish(self, marts: dict[str, DataFrame]) -> None:
+        """Store marts under their names, replacing earlier ones once all are written."""
+        for name, mart in marts.items():
+            writer = mart.write.mode("overwrite").format("parquet")
+            side = self._beside(name)
+            writer.saveAsTable(side) if self.database else writer.save(side)
+        for name in marts:
+            self._adopt(name)
+
+    def replace(self, model: dict[str, DataFrame], tasks: int = 1) -> None:
+        """Replace tables by these, once all of them are written; a failure before leaves the old ones as they are.
+
+        ``tasks`` tables are written at a time.
+        """
+        with ThreadPoolExecutor(tasks) as pool:
+            list(pool.map(lambda name: self.write(model[name], name, "overwrite", self._beside(name)), model))
+        for name in model:
+            self._adopt(name)
+
+    def _beside(self, table: str) -> str:
+        return f"{self.database}.{table}__next" if self.database else f"{self.root}/_next/{table}"
+
+    def _adopt(self, table: str) -> None:
+        """Put what lies beside a table in its place."""
+        if self.database:
+            # A renamed table would keep its partitions' old places; the rows are whole and checked by now.
+            rows = self.spark.table(self._beside(table))
+            if table in TABLES:
+                self.write(rows, table, "overwrite")
+            else:
+                rows.write.mode("overwrite").format("parquet").saveAsTable(self._name(table))
+            self.spark.sql(f"drop table {self._beside(table)}")
+            return
+        # The file system of the folder, local or not, as Spark itself reaches it.
+        paths = self.spark._jvm.org.apache.hadoop.fs
+        old, new = paths.Path(self._name(table)), paths.Path(self._beside(table))
+        files = old.getFileSystem(self.spark._jsc.hadoopConfiguration())
+        files.delete(old, True)
+        if not files.rename(new, old):
+            raise OSError(f"could not move {new.toString()} to {old.toString()}")
+        self.spark.catalog.refreshByPath(self._name(table))
+
     def model(self) -> dict[str, DataFrame]:
         return {table: self.read(table) for table in TABLES}
 
@@ -75,7 +131,8 @@ class TableStore:
         for table in TABLES:
             self.write(self.spark.createDataFrame([], TABLES[table]), table, "ignore")
 
-    def write(self, df: DataFrame, table: str, mode: str) -> None:
+    def write(self, df: DataFrame, table: str, mode: str, place: str | None = None) -> None:
+        place = place or self._name(table)
         rows = conform(df, TABLES[table])
         key = BUCKET_COLUMN.get(table) if self.buckets else None
         day = DATE_COLUMN.get(table) if self.partitioned and not key else None
@@ -90,19 +147,27 @@ class TableStore:
         elif day:
             writer = writer.partitionBy(day)
         if self.database:
-            writer.saveAsTable(self._name(table))
+            writer.saveAsTable(place)
         else:
-            writer.save(self._name(table))
+            writer.save(place)
+
+    def insert(self, df: DataFrame, table: str, keys: list[str], dates: tuple[date, date] | None = None) -> None:
+        """Append the rows whose key the table does not hold. A repeated run adds nothing.
 
-    def insert(self, df: DataFrame, table: str, keys: list[str]) -> None:
-        """Append the rows whose key the table does not hold. A repeated run adds nothing."""
-        self.write(insert_if_absent(df, self.read(table), keys), table, "append")
+        ``dates`` are the first and last date among the new rows. Where the date is part of the key, only
+        the stored rows of those dates are read.
+        """
+        stored = self.read(table, missing_ok=True)
+        day = next((k for k in keys if k in (DATE_COLUMN.get(table), "date_day")), None)
+        if dates and day:
+            stored = stored.where(F.col(day).between(*[F.lit(d) for d in dates]))
+        self.write(insert_if_absent(df, stored, keys), table, "append")
 
     def rebuild(self, df: DataFrame, table: str, side: str) -> None:
         """Replace a table by a query over itself.
 
-        Spark cannot overwrite what the same query reads, so the rows are first
-        written whole to the folder ``side``; it stays as a copy if the second write fails.
+        The rows are first written whole to the folder ``side``, then beside the table, which takes
+        their place only once they are complete.
         """
         df.write.mode("overwrite").parquet(side)
-        self.write(self.spark.read.schema(df.schema).parquet(side), table, "overwrite")
+        self.replace({table: self.spark.read.schema(df.schema).parquet(side)})

@@ -4,7 +4,8 @@ Every row of the table becomes one raw event. The table's users are alike: all s
 on the first day and stay to the last. So that cohorts, retention and churn have
 something to show, each user's events are moved in time, by integer arithmetic only:
 a later first day, a longer or shorter stay, and a pause half-way for two users in three.
-Some users never purchase and some never fire ``session_start``.
+Some users never purchase and some never fire ``session_start``. Attributes change from event to event; a few events
+have no user or no time, and some give their session id twice.
 """
 
 from __future__ import annotations
@@ -32,27 +33,30 @@ _NESTED = f"""
         + if(x >= 15 * {DAY}, 16 * (user_id % 3) * {DAY}, 0) as u
       from moved)
     select
-      cast(user_id as string) as user_pseudo_id,
-      u as event_timestamp,
+      if(event_id % 61 = 7, null, cast(user_id as string)) as user_pseudo_id,
+      if(event_id % 67 = 5, null, u) as event_timestamp,
       case event_type when 'signup' then if(user_id % 7 = 6, 'scroll', 'session_start')
         when 'view' then 'view_item'
         when 'click' then if(k < 60, 'add_to_cart', 'begin_checkout')
         when 'purchase' then if(user_id % 6 = 5, 'view_item', 'purchase')
         else event_type end as event_name,
-      if((user_id + sid) % 4 = 3, 'APP', 'WEB') as platform,
+      if((user_id + sid + event_id % 9 div 8) % 4 = 3, 'APP', 'WEB') as platform,
       named_struct('category',
         case k % 20 when 0 then null when 1 then ''
           else element_at(array('desktop', 'mobile', 'tablet'), cast((user_id + sid) % 3 as int) + 1)
         end) as device,
       named_struct(
-        'country', concat('NATION_', user_id % 25),
-        'region', if(user_id % 25 % 6 = 0, null, concat('REGION_', user_id % 25 % 5))) as geo,
+        'country', concat('NATION_', (user_id + event_id % 8 div 7) % 25),
+        'region', case when user_id % 25 % 6 = 0 then if(event_id % 2 = 0, null, '')
+          else concat('REGION_', user_id % 25 % 5) end) as geo,
       named_struct(
-        'source', element_at(array('google', '(direct)', 'newsletter', 'partner', null), cast(user_id % 5 as int) + 1),
+        'source', element_at(array('google', '(direct)', 'newsletter', 'partner', null), cast((user_id + event_id % 7 div 6) % 5 as int) + 1),
         'medium', element_at(array('organic', '(none)', 'email', 'referral', null), cast(user_id % 5 as int) + 1),
         'name', if(sid % 2 = 0, 'brand', null)) as traffic_source,
       array(
         named_struct('key', if(k = 99, 'batch', 'ga_session_id'), 'value', named_struct('int_value', sid)),
+        named_struct('key', if(k <> 99 and event_id % 5 = 0, 'ga_session_id', 'page'), 'value',
+          named_struct('int_value', -1L)),
         named_struct('key', 'ga_session_number', 'value',
           named_struct('int_value', sid - arrival div {SESSION} + 1))
       ) as event_params,

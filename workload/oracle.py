@@ -6,9 +6,11 @@ it needs. Where Spark aggregates, the SQL here often ranks or brute-forces inste
 
 from __future__ import annotations
 
-from usertide.functions.columns import FUNNEL_STEPS
 from workload.fixture import DAY, SESSION, SOURCE_EPOCH, TARGET_EPOCH
 
+# The steps of the funnel, stated here once more so that the check borrows nothing.
+FUNNEL_STEPS = {"session_start": 1, "view_item": 2, "add_to_cart": 3, "begin_checkout": 4, "purchase": 5}
+
 STAGED = f"""
 moved AS (
   SELECT event_id, user_id, event_type, value,
@@ -29,16 +31,16 @@ named AS (
       ELSE event_type END AS event_name
   FROM timed),
 stg AS (
-  SELECT CAST(user_id AS VARCHAR) AS user_id,
-    make_timestamp(u) AS event_ts_utc,
-    CAST(make_timestamp(u) AS DATE) AS event_date_utc,
+  SELECT CASE WHEN event_id % 61 <> 7 THEN CAST(user_id AS VARCHAR) END AS user_id,
+    CASE WHEN event_id % 67 <> 5 THEN make_timestamp(u) END AS event_ts_utc,
+    CASE WHEN event_id % 67 <> 5 THEN CAST(make_timestamp(u) AS DATE) END AS event_date_utc,
     event_name,
-    CASE WHEN (user_id + sid) % 4 = 3 THEN 'APP' ELSE 'WEB' END AS platform,
+    CASE WHEN (user_id + sid + event_id % 9 // 8) % 4 = 3 THEN 'APP' ELSE 'WEB' END AS platform,
     CASE k % 20 WHEN 0 THEN NULL WHEN 1 THEN ''
       ELSE CASE (user_id + sid) % 3 WHEN 0 THEN 'desktop' WHEN 1 THEN 'mobile' ELSE 'tablet' END END AS device_category,
-    'NATION_' || (user_id % 25) AS country,
-    CASE WHEN user_id % 25 % 6 = 0 THEN NULL ELSE 'REGION_' || (user_id % 25 % 5) END AS region,
-    CASE user_id % 5 WHEN 0 THEN 'google' WHEN 1 THEN '(direct)' WHEN 2 THEN 'newsletter'
+    'NATION_' || ((user_id + event_id % 8 // 7) % 25) AS country,
+    CASE WHEN user_id % 25 % 6 <> 0 THEN 'REGION_' || (user_id % 25 % 5) WHEN event_id % 2 = 1 THEN '' END AS region,
+    CASE (user_id + event_id % 7 // 6) % 5 WHEN 0 THEN 'google' WHEN 1 THEN '(direct)' WHEN 2 THEN 'newsletter'
       WHEN 3 THEN 'partner' END AS traffic_source,
     CASE user_id % 5 WHEN 0 THEN 'organic' WHEN 1 THEN '(none)' WHEN 2 THEN 'email'
       WHEN 3 THEN 'referral' END AS traffic_medium,
@@ -94,14 +96,14 @@ def bodies(source: str = "ev") -> dict[str, str]:
   SELECT d AS date_day, year(d) AS year, quarter(d) AS quarter, month(d) AS month,
     monthname(d) AS month_name, CAST(strftime(d, '%U') AS BIGINT) AS week,
     dayofweek(d) + 1 AS day_of_week, dayname(d) AS day_name, dayofweek(d) IN (0, 6) AS is_weekend
-  FROM (SELECT DISTINCT event_date_utc AS d FROM {source})""",
+  FROM (SELECT DISTINCT event_date_utc AS d FROM {source} WHERE event_date_utc IS NOT NULL)""",
         **{name: dim_body(key, attributes, source) for name, (key, attributes) in DIMS.items()},
         "dim_user": f"""
   SELECT user_id, min(event_ts_utc) AS first_seen_ts, min(event_date_utc) AS first_seen_date,
     min(event_ts_utc) FILTER (event_name = 'purchase') AS first_purchase_ts,
     min(event_date_utc) FILTER (event_name = 'purchase') AS first_purchase_date,
     count(*) FILTER (event_name = 'purchase') > 0 AS is_purchaser
-  FROM {source} GROUP BY 1""",
+  FROM {source} WHERE user_id IS NOT NULL GROUP BY 1""",
         "fact_sessions": f"""
   SELECT session_key, first(user_id {FIRST}) AS user_id, first(ga_session_id {FIRST}) AS session_id,
     first(ga_session_number {FIRST}) AS session_number,
@@ -127,14 +129,15 @@ def bodies(source: str = "ev") -> dict[str, str]:
     count(*) FILTER (event_name = 'begin_checkout') > 0 AS had_begin_checkout,
     count(*) FILTER (event_name = 'purchase') > 0 AS had_purchase,
     count(*) FILTER (event_name = 'purchase') AS purchase_count, {REVENUE} AS revenue
-  FROM {source} GROUP BY user_id, event_date_utc""",
+  FROM {source} WHERE user_id IS NOT NULL AND event_date_utc IS NOT NULL GROUP BY user_id, event_date_utc""",
         "fact_purchases": f"""
   SELECT purchase_key, user_id, event_ts_utc AS purchase_ts, event_date_utc AS purchase_date, transaction_id,
     purchase_revenue AS revenue, device_key, geo_key, traffic_key, session_key
   FROM (
     SELECT *, row_number() OVER (PARTITION BY purchase_key ORDER BY event_ts_utc, user_id,
       session_key NULLS FIRST, purchase_revenue DESC NULLS LAST, device_key, geo_key, traffic_key) AS rn
-    FROM (SELECT *, {PURCHASE_KEY} AS purchase_key FROM {source} WHERE event_name = 'purchase'))
+    FROM (SELECT *, {PURCHASE_KEY} AS purchase_key FROM {source} WHERE event_name = 'purchase')
+    WHERE user_id IS NOT NULL AND purchase_key IS NOT NULL)
   WHERE rn = 1""",
     }
 
@@ -161,7 +164,7 @@ _DATE_OUT = """SELECT * REPLACE (CAST(year AS BIGINT) AS year, CAST(quarter AS B
 def shown(table: str, source: str | None = None) -> str:
     source = source or table
     if table in MONEY:
-        return f"SELECT * REPLACE (round(CAST(revenue AS DOUBLE), 6) AS revenue) FROM {source}"
+        return f"SELECT * REPLACE ({money('revenue')} AS revenue) FROM {source}"
     if table == "dim_date":
         return _DATE_OUT.format(source)
     if table == "fact_funnel_steps":
@@ -176,6 +179,14 @@ def with_tables(tables: list[str], final: str, *more: str) -> str:
     return "WITH " + ",\n".join(parts) + "\n" + final
 
 
+def money(amount: str) -> str:
+    """An amount as text with all nine places."""
+    return f"CAST(CAST({amount} AS DECIMAL(38, 9)) AS VARCHAR)"
+
+
+# Nine places, as an amount divided by a count has.
+PER_SESSION = money("round(CAST(revenue AS DOUBLE) / nullif(sessions, 0), 9)")
+
 RATES = """round(sessions_view_item / nullif(sessions, 0), 9) AS rate_view_item,
   round(sessions_add_to_cart / nullif(sessions_view_item, 0), 9) AS rate_add_to_cart_given_view,
   round(sessions_begin_checkout / nullif(sessions_add_to_cart, 0), 9) AS rate_begin_checkout_given_cart,
@@ -187,34 +198,45 @@ REACHED = """count(*) AS sessions, count(*) FILTER (top >= 2) AS sessions_view_i
   count(*) FILTER (top >= 5) AS sessions_purchase"""
 
 
-def cohorts(anchor: str, unit: str, top: int, cohort: str, index: str) -> str:
-    """Cells of a retention table as the expressions ``sizes`` and ``cells``."""
-    days = 7 if unit == "week" else 1
+def cohorts(anchor: str, unit: str, top: int | None, cohort: str, index: str, by: str = "") -> str:
+    """Cells of a retention table as the expressions ``sizes`` and ``cells``; ``by`` is a key of the user's first day."""
+    bound = "" if top is None else f" AND (period - cohort) // {days_of(unit)} <= {top}"
+    of = f", {by}" if by else ""
+    touch = f"""LEFT JOIN (
+    SELECT user_id, {by} FROM (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY activity_date) AS rn
+      FROM fact_user_daily_activity) WHERE rn = 1) USING (user_id)""" if by else ""
+    days = days_of(unit)
     dates = (
         "SELECT user_id, min(activity_date) AS a FROM fact_user_daily_activity WHERE had_session_start GROUP BY 1"
         if anchor == "session_start"
         else f"SELECT user_id, {anchor}_date AS a FROM dim_user WHERE {anchor}_date IS NOT NULL"
     )
-    return f"""members AS (SELECT user_id, CAST(date_trunc('{unit}', a) AS DATE) AS cohort FROM ({dates})),
-sizes AS (SELECT cohort, count(*) AS cohort_size FROM members GROUP BY 1),
+    return f"""members AS (SELECT user_id, CAST(date_trunc('{unit}', a) AS DATE) AS cohort{of} FROM ({dates}) {touch}),
+sizes AS (SELECT cohort{of}, count(*) AS cohort_size FROM members GROUP BY ALL),
 cells AS (
-  SELECT cohort AS {cohort}, (period - cohort) // {days} AS {index}, cohort_size,
+  SELECT cohort AS {cohort}{of}, (period - cohort) // {days} AS {index}, cohort_size,
     count(DISTINCT user_id) AS active_users,
     round(count(DISTINCT user_id) / cohort_size, 9) AS retention_rate
-  FROM members JOIN sizes USING (cohort)
+  FROM members JOIN sizes USING (cohort{of})
   JOIN (SELECT user_id, CAST(date_trunc('{unit}', activity_date) AS DATE) AS period
         FROM fact_user_daily_activity) USING (user_id)
-  WHERE (period - cohort) // {days} BETWEEN 0 AND {top}
-  GROUP BY cohort, period, cohort_size)"""
+  WHERE period >= cohort{bound}
+  GROUP BY cohort, period, cohort_size{of})"""
 
 
-def curve(index: str) -> str:
-    return f"""SELECT {index}, CAST(sum(active_users) AS BIGINT) AS active_users,
+def days_of(unit: str) -> int:
+    return 7 if unit == "week" else 1
+
+
+def curve(index: str, by: str = "") -> str:
+    of = f"{by}, " if by else ""
+    return f"""SELECT {of}{index}, CAST(sum(active_users) AS BIGINT) AS active_users,
   CAST(sum(cohort_size) AS BIGINT) AS cohort_users,
   round(sum(active_users) / sum(cohort_size), 9) AS retention_rate_weighted
-FROM cells GROUP BY 1 ORDER BY 1"""
+FROM cells GROUP BY {of}{index} ORDER BY {of}{index}"""
 
 
+ALL_WEEKS = cohorts("first_seen", "week", None, "cohort_week", "week_index")
 WEEKLY_COHORTS = cohorts("first_seen", "week", 12, "cohort_week", "week_index")
 USERS_DAYS = ["dim_user", "fact_user_daily_activity"]
 
@@ -241,21 +263,21 @@ ws AS (SELECT CAST(date_trunc('week', session_date) AS DATE) AS week_start, coun
   FROM fact_sessions GROUP BY 1),
 j AS (
   SELECT week_start, {zero.format('wau')} AS wau, {zero.format('sessions')} AS sessions,
-    {zero.format('purchases')} AS purchases, CAST({zero.format('revenue')} AS DOUBLE) AS revenue
+    {zero.format('purchases')} AS purchases, {zero.format('revenue')} AS revenue
   FROM ({weeks}) LEFT JOIN w USING (week_start) LEFT JOIN ws USING (week_start)),
 p AS (
   SELECT *, lag(wau) OVER o AS wau_p, lag(sessions) OVER o AS sessions_p, lag(purchases) OVER o AS purchases_p,
     lag(revenue) OVER o AS revenue_p FROM j WINDOW o AS (ORDER BY week_start))
-SELECT week_start, wau, sessions, purchases, round(revenue, 6) AS revenue,
+SELECT week_start, wau, sessions, purchases, {money('revenue')} AS revenue,
   round(purchases / nullif(sessions, 0), 9) AS purchase_per_session,
-  round(revenue / nullif(sessions, 0), 6) AS revenue_per_session,
+  {PER_SESSION} AS revenue_per_session,
   wau - wau_p AS wau_wow_delta, round((wau - wau_p) / nullif(wau_p, 0), 9) AS wau_wow_pct,
   sessions - sessions_p AS sessions_wow_delta,
   round((sessions - sessions_p) / nullif(sessions_p, 0), 9) AS sessions_wow_pct,
   purchases - purchases_p AS purchases_wow_delta,
   round((purchases - purchases_p) / nullif(purchases_p, 0), 9) AS purchases_wow_pct,
-  round(revenue - revenue_p, 6) AS revenue_wow_delta,
-  round((revenue - revenue_p) / nullif(revenue_p, 0), 9) AS revenue_wow_pct
+  {money('revenue - revenue_p')} AS revenue_wow_delta,
+  round(CAST(revenue - revenue_p AS DOUBLE) / nullif(CAST(revenue_p AS DOUBLE), 0), 9) AS revenue_wow_pct
 FROM p ORDER BY week_start"""
 
 
@@ -292,14 +314,14 @@ def null_counts(table: str, total: str, columns: list[str]) -> str:
 
 
 def orphans(dim: str, key: str, name: str) -> str:
-    guard = "" if dim == "dim_user" else f"s.{key} IS NOT NULL AND "
-    return f"""SELECT count(*) AS {name} FROM {{fact_sessions}} s LEFT JOIN {{{dim}}} d ON s.{key} = d.{key}
-WHERE {guard}d.{key} IS NULL"""
+    known = "" if dim == "dim_user" else f" AND s.{key} IS NOT NULL"
+    return f"""SELECT count(*) AS {name} FROM {{fact_sessions}} s
+WHERE NOT EXISTS (SELECT 1 FROM {{{dim}}} d WHERE d.{key} = s.{key}){known}"""
 
 
 ORDERING = """SELECT count(*) AS funnel_steps_outside_session_window
-FROM {fact_funnel_steps} f JOIN {fact_sessions} s ON f.session_key = s.session_key
-WHERE f.step_ts < s.session_start_ts OR f.step_ts > s.session_end_ts"""
+FROM {fact_funnel_steps} JOIN {fact_sessions} USING (session_key)
+WHERE step_ts NOT BETWEEN session_start_ts AND session_end_ts"""
 
 RECONCILE = """SELECT metric, from_events, from_model, from_model - from_events AS diff, from_model = from_events AS ok
 FROM (
@@ -397,17 +419,17 @@ LOADED_COUNTS = "\nUNION ALL ".join(f"SELECT '{t}' AS table_name, count(*) AS cn
 # Metrics ---------------------------------------------------------------------
 
 
-def step_counts(by: list[str]) -> str:
+def step_counts(by: list[str], source: str = "ev") -> str:
     """``su``: users per step and segment, steps without users included."""
     names = "".join(f"{c}, " for c in by)
     on = " AND ".join(["e.event_name = s.name", *[f"e.{c} IS NOT DISTINCT FROM g.{c}" for c in by]])
-    groups = f"""(SELECT DISTINCT {', '.join(by)} FROM ev
-      WHERE event_name IN ({STEP_NAMES})) g
+    groups = f"""(SELECT DISTINCT {', '.join(by)} FROM {source}
+      WHERE event_name IN ({STEP_NAMES}) AND user_id IS NOT NULL) g
     CROSS JOIN """ if by else ""
     group = "".join(f"g.{c}, " for c in by)
     return f"""su AS (
   SELECT {group}CAST(s.n AS BIGINT) AS funnel_step, s.name AS funnel_event_name, count(DISTINCT e.user_id) AS users
-  FROM {groups}({STEPS}) AS s(n, name) LEFT JOIN ev e ON {on}
+  FROM {groups}({STEPS}) AS s(n, name) LEFT JOIN {source} e ON {on}
   GROUP BY {group}s.n, s.name)"""
 
 
@@ -434,23 +456,32 @@ def active(grain: str, where: str = "TRUE") -> str:
   count(DISTINCT user_id) AS active_users FROM ev WHERE {where} GROUP BY 1"""
 
 
-def churn_by_day(x: int) -> str:
-    """``daily``: churned and at risk per date, by the state of every user on every date."""
-    return f"""days AS (SELECT DISTINCT user_id, event_date_utc AS d FROM ev),
+def churn_by_day(x: int, by: str = "") -> str:
+    """``daily``: churned and at risk per date, by the state of every user on every date.
+
+    ``by`` is a key of the user's first day, taken from the user days.
+    """
+    of = f", {by}" if by else ""
+    touched = f", first_day.{by}" if by else ""
+    touch = f"""JOIN (SELECT user_id, first({by} ORDER BY activity_date) AS {by} FROM fact_user_daily_activity
+  GROUP BY 1) AS first_day USING (user_id)""" if by else ""
+    every = f"CROSS JOIN (SELECT DISTINCT {by} FROM days)" if by else ""
+    return f"""days AS (SELECT DISTINCT user_id, event_date_utc AS d{touched} FROM ev {touch}
+  WHERE user_id IS NOT NULL AND event_date_utc IS NOT NULL),
 span AS (SELECT min(d) AS lo, max(d) AS hi FROM days),
 calendar AS (SELECT CAST(unnest(generate_series(lo + {x}, hi, INTERVAL 1 DAY)) AS DATE) AS t FROM span),
 state AS (
-  SELECT t, user_id,
+  SELECT t, user_id{of},
     max(d) = t - {x} AS churned,
     min(d) <= t - {x} AND t - 1 - max(d) FILTER (d < t) < {x} AS at_risk
-  FROM calendar JOIN days ON d <= t GROUP BY t, user_id),
+  FROM calendar JOIN days ON d <= t GROUP BY t, user_id{of}),
 flagged AS (
   SELECT *, at_risk AND NOT coalesce(lag(at_risk) OVER (PARTITION BY user_id ORDER BY t), FALSE) AS entered
   FROM state),
 daily AS (
-  SELECT t, count(*) FILTER (churned) AS churned, count(*) FILTER (at_risk) AS at_risk,
+  SELECT t{of}, count(*) FILTER (churned) AS churned, count(*) FILTER (at_risk) AS at_risk,
     count(*) FILTER (entered) AS entered
-  FROM calendar LEFT JOIN flagged USING (t) GROUP BY t)"""
+  FROM calendar {every} LEFT JOIN flagged USING (t{of}) GROUP BY t{of})"""
 
 
 CHURN_RATE = """SELECT t AS period_start, churned AS churned_users, at_risk AS at_risk_users,
@@ -492,21 +523,22 @@ def gap_sessions(gap: str) -> str:
 numbered AS (
   SELECT *, sum(opens) OVER (PARTITION BY user_id ORDER BY event_ts_utc) AS nr FROM flagged),
 derived AS (
-  SELECT *, epoch_us(min(event_ts_utc) OVER (PARTITION BY user_id, nr)) AS derived_id FROM numbered)"""
+  SELECT *, CASE WHEN user_id IS NOT NULL AND event_ts_utc IS NOT NULL
+    THEN epoch_us(min(event_ts_utc) OVER (PARTITION BY user_id, nr)) END AS derived_id FROM numbered)"""
 
 
 def oracle_sql() -> dict[str, str]:
     found: dict[str, str] = {
         "stg_events_base": with_tables([], "SELECT * REPLACE (round(purchase_revenue, 9) AS purchase_revenue) FROM stg"),
         "stg_events_enriched": with_tables(
-            [], "SELECT * REPLACE (round(CAST(purchase_revenue AS DOUBLE), 6) AS purchase_revenue) FROM ev"
+            [], f"SELECT * REPLACE ({money('purchase_revenue')} AS purchase_revenue) FROM ev"
         ),
         "event_slices": with_tables(
             [],
             f"""SELECT user_id, ga_session_id, ga_session_number, event_date_utc, event_name, device_category, platform,
   country, region, traffic_source, traffic_medium, traffic_campaign, count(*) AS event_count,
   min(event_ts_utc) AS first_ts, max(event_ts_utc) AS last_ts,
-  round(CAST(sum(purchase_revenue) FILTER (event_name = 'purchase') AS DOUBLE), 6) AS purchase_revenue
+  {money("sum(purchase_revenue) FILTER (event_name = 'purchase')")} AS purchase_revenue
 FROM ev GROUP BY ALL""",
         ),
     }
@@ -548,25 +580,29 @@ FROM (SELECT *, row_number() OVER (PARTITION BY session_key, event_name {order})
         "SELECT * FROM kpis JOIN events_weekly USING (week_start) ORDER BY week_start",
         "kpis AS (WITH " + weekly_kpis("fact_user_daily_activity") + ")",
         """events_weekly AS (SELECT CAST(date_trunc('week', event_date_utc) AS DATE) AS week_start, count(*) AS events
-  FROM ev GROUP BY 1)""",
+  FROM ev WHERE user_id IS NOT NULL GROUP BY 1)""",
     )
     found["retention_cohorts_zero_cells"] = with_tables(
         USERS_DAYS,
         """SELECT g.cohort AS cohort_week, g.i AS week_index, g.cohort_size,
   coalesce(active_users, 0) AS active_users, round(coalesce(active_users, 0) / g.cohort_size, 9) AS retention_rate
 FROM grid g LEFT JOIN cells c ON c.cohort_week = g.cohort AND c.week_index = g.i""",
-        WEEKLY_COHORTS,
+        ALL_WEEKS,
         """grid AS (
-  SELECT cohort, cohort_size, i FROM sizes, range(0, 13) AS r(i),
+  SELECT cohort, cohort_size, i FROM sizes, range(0, 1000) AS r(i),
     (SELECT max(activity_date) AS hi FROM fact_user_daily_activity) WHERE cohort + 7 * CAST(i AS INTEGER) <= hi)""",
     )
-    some_days = f"""some_days AS (SELECT user_id, event_date_utc AS activity_date, count(*) AS purchase_count,
-  {REVENUE} AS revenue FROM ev WHERE event_name = 'purchase' AND purchase_revenue > 120 GROUP BY 1, 2)"""
+    bought = bodies("bought")
+    some_days = ["bought AS (SELECT * FROM ev WHERE event_name = 'purchase')"]
+    some_days += [f"{t} AS ({bought[t]})" for t in ("fact_user_daily_activity", "fact_sessions")]
     all_weeks = """SELECT CAST(unnest(generate_series(lo, hi, INTERVAL 7 DAY)) AS DATE) AS week_start
     FROM (SELECT min(week_start) AS lo, max(week_start) AS hi FROM w)"""
-    found["wow_kpis_purchase_weeks_filled"] = with_tables(
-        ["fact_sessions"], ", " + weekly_kpis("some_days", all_weeks, fill=True), some_days
-    )
+    filled = ", " + weekly_kpis("fact_user_daily_activity", all_weeks, fill=True)
+    found["wow_kpis_weeks_filled"] = with_tables(["fact_user_daily_activity", "fact_sessions"], filled)
+    found["wow_kpis_purchase_weeks_filled"] = with_tables([], filled, *some_days)
+    for name in ("mrt_funnel_daily", "mrt_retention_cohorts"):
+        found[f"{name}_at_rest"] = found[name]
+    found["mart_view_by_name"] = found["mrt_wow_kpis"]
 
     for name, sql in CHECKS.items():
         found[name] = check(sql, fault=False)
@@ -582,19 +618,24 @@ FROM grid g LEFT JOIN cells c ON c.cohort_week = g.cohort AND c.week_index = g.i
         [],
         """SELECT count(*) FILTER (n > 1) AS dup_purchase_keys, CAST(sum(missing) AS BIGINT) AS purchase_null_revenue_cnt
 FROM (SELECT purchase_key, count(*) AS n, count(*) FILTER (purchase_revenue IS NULL) AS missing FROM bought GROUP BY 1)""",
-        f"bought AS (SELECT *, {PURCHASE_KEY} AS purchase_key FROM ev WHERE event_name = 'purchase')",
+        f"""bought AS (SELECT * FROM (SELECT *, {PURCHASE_KEY} AS purchase_key FROM ev WHERE event_name = 'purchase')
+  WHERE user_id IS NOT NULL AND purchase_key IS NOT NULL)""",
     )
     found["qa_unkeyed"] = with_tables(
         [],
         f"""SELECT 'unkeyed_events_user' AS metric, count(*) FILTER (user_id IS NULL) AS value FROM ev
 UNION ALL SELECT 'unkeyed_events_date', count(*) FILTER (event_date_utc IS NULL) FROM ev
 UNION ALL SELECT 'unkeyed_events_session', count(*) FILTER (session_key IS NULL) FROM ev
-UNION ALL SELECT 'unkeyed_events_purchase', count(*) FILTER (event_name = 'purchase' AND {PURCHASE_KEY} IS NULL)
-FROM ev""",
+UNION ALL SELECT 'unkeyed_events_purchase', count(*) FILTER (event_name = 'purchase'
+  AND (user_id IS NULL OR {PURCHASE_KEY} IS NULL)) FROM ev""",
     )
 
     for t in TABLES:
         found[f"incremental_{t}"] = with_tables([], shown(t, f"{t}_2"), EARLY, *twice(t))
+        found[f"load_incremental_{t}"] = found[f"incremental_{t}"]
+        found[f"load_full_{t}"] = found[t]
+    found["fact_purchases_rebuilt"] = found["fact_purchases"]
+    found["source_day_shards"] = found["stg_events_base"] + " WHERE event_date_utc BETWEEN DATE '2020-11-20' AND DATE '2020-12-10'"
     found["load_full"] = with_tables(TABLES, ROW_COUNTS.format(**{t: t for t in TABLES}))
     both = [part for t in TABLES for part in twice(t)]
     found["load_incremental"] = with_tables([], LOADED_COUNTS, EARLY, *both)
@@ -625,17 +666,33 @@ WHERE event_name = 'purchase' AND event_date_utc BETWEEN DATE '2020-11-15' AND D
     found["active_users_without_noise"] = with_tables([], active("day", "event_name NOT IN ('error', 'scroll')"))
 
     found["retention_activation_cohort"] = with_tables(
-        USERS_DAYS, "SELECT * FROM cells", cohorts("first_purchase", "week", 12, "cohort_week", "week_index")
+        USERS_DAYS, "SELECT * FROM cells", cohorts("first_purchase", "week", None, "cohort_week", "week_index")
     )
     found["retention_session_start_cohort"] = with_tables(
-        USERS_DAYS, "SELECT * FROM cells", cohorts("session_start", "week", 12, "cohort_week", "week_index")
+        USERS_DAYS, "SELECT * FROM cells", cohorts("session_start", "week", None, "cohort_week", "week_index")
+    )
+    found["retention_nday_30"] = with_tables(
+        USERS_DAYS, "SELECT * FROM cells", cohorts("session_start", "day", 30, "cohort_date", "day_index")
+    )
+    found["retention_by_device"] = with_tables(
+        USERS_DAYS,
+        "SELECT * FROM cells",
+        cohorts("first_seen", "week", None, "cohort_week", "week_index", "device_key"),
+    )
+    found["retention_by_traffic_curve"] = with_tables(
+        USERS_DAYS,
+        curve("week_index", "traffic_key"),
+        cohorts("first_seen", "week", None, "cohort_week", "week_index", "traffic_key"),
     )
-    nday = cohorts("session_start", "day", 30, "cohort_date", "day_index")
+    nday = cohorts("session_start", "day", None, "cohort_date", "day_index")
     found["retention_nday"] = with_tables(USERS_DAYS, "SELECT * FROM cells", nday)
     found["retention_nday_curve"] = with_tables(USERS_DAYS, curve("day_index"), nday)
 
     for x in (14, 30, 60):
         found[f"churn_rate_{x}d"] = with_tables([], CHURN_RATE, churn_by_day(x))
+    found["churn_rate_30d_by_geo"] = with_tables(
+        ["fact_user_daily_activity"], CHURN_RATE.replace("SELECT t", "SELECT geo_key, t"), churn_by_day(30, "geo_key")
+    )
     found["churn_rate_14d_week"] = with_tables([], CHURN_RATE_WEEK, churn_by_day(14))
     found["churn_by_purchaser"] = with_tables(
         USERS_DAYS,
@@ -663,30 +720,88 @@ FROM ev WHERE event_name = 'purchase'""",
         """SELECT 'events_per_user_p' || lpad(CAST(10 * i AS VARCHAR), 2, '0') AS metric,
   round(CAST(q[i + 1] AS DOUBLE), 9) AS value
 FROM (SELECT quantile_cont(n, [0, 0.1, 0.2, 0.3, 0.4, 0.5, 0.6, 0.7, 0.8, 0.9, 1]) AS q
-  FROM (SELECT count(*) AS n FROM ev GROUP BY user_id)), range(0, 11) AS r(i)
+  FROM (SELECT count(*) AS n FROM ev WHERE user_id IS NOT NULL GROUP BY user_id)), range(0, 11) AS r(i)
 WHERE i < 10
-UNION ALL SELECT 'events_per_user_p100', CAST(max(n) AS DOUBLE) FROM (SELECT count(*) AS n FROM ev GROUP BY user_id)
+UNION ALL SELECT 'events_per_user_p100', CAST(max(n) AS DOUBLE)
+FROM (SELECT count(*) AS n FROM ev WHERE user_id IS NOT NULL GROUP BY user_id)
 UNION ALL SELECT 'ga_session_id_coverage', round(count(ga_session_id) / count(*), 9) FROM ev""",
     )
     found["funnel_by_device"] = by_segment("dim_device", ["device_category"])
     found["funnel_by_geo"] = by_segment("dim_geo", ["country", "region"])
     found["funnel_by_traffic"] = by_segment("dim_traffic_source", ["traffic_source", "traffic_medium"])
-    found["new_vs_returning"] = with_tables(
-        ["dim_user"],
-        """SELECT event_date_utc AS activity_date,
+    for name, source in (("new_vs_returning", "dim_user"), ("new_vs_returning_unknown_users", "buyers")):
+        found[name] = with_tables(
+            ["dim_user"],
+            f"""SELECT event_date_utc AS activity_date,
   count(DISTINCT user_id) FILTER (event_date_utc = first_seen_date) AS new_users,
   count(DISTINCT user_id) FILTER (event_date_utc > first_seen_date) AS returning_users,
+  count(DISTINCT user_id) FILTER (first_seen_date IS NULL) AS unknown_users,
   count(DISTINCT user_id) AS active_users
-FROM ev JOIN dim_user USING (user_id) GROUP BY 1""",
+FROM ev LEFT JOIN {source} USING (user_id) WHERE user_id IS NOT NULL AND event_date_utc IS NOT NULL GROUP BY 1""",
+            "buyers AS (SELECT * FROM dim_user WHERE is_purchaser)",
+        )
+    status = """CASE WHEN {0} = first_seen_date THEN 'new' WHEN {0} > first_seen_date THEN 'returning'
+  ELSE 'unknown' END AS user_status"""
+    told = f"""told AS (SELECT ev.*, {status.format('event_date_utc')}
+  FROM ev LEFT JOIN dim_user USING (user_id))"""
+    found["activated_users_by_status"] = with_tables(
+        ["dim_user"],
+        """SELECT user_status, count(DISTINCT user_id) AS activated_users FROM told WHERE event_name = 'purchase'
+GROUP BY 1""",
+        told,
+    )
+    found["step_users_by_status"] = with_tables(
+        ["dim_user"], "SELECT * FROM su", told, step_counts(["user_status"], "told")
+    )
+    found["funnel_by_status"] = with_tables(
+        ["fact_funnel_steps", "dim_user"],
+        f"SELECT session_date, user_status, {', '.join(FUNNEL_COLUMNS)}, {RATES} FROM counted",
+        f"""told_steps AS (SELECT s.*, {status.format('session_date')}
+  FROM fact_funnel_steps s LEFT JOIN dim_user USING (user_id))""",
+        """per_session AS (SELECT session_key, min(session_date) AS session_date, max(funnel_step) AS top,
+  first(user_status ORDER BY step_ts, user_status) AS user_status FROM told_steps GROUP BY 1)""",
+        f"counted AS (SELECT session_date, user_status, {REACHED} FROM per_session GROUP BY 1, 2)",
+    )
+    opened = """opened AS (SELECT * FROM ev UNION ALL
+  SELECT * EXCLUDE (rn, started) REPLACE ('session_start' AS event_name) FROM (
+    SELECT *, row_number() OVER (PARTITION BY session_key ORDER BY event_ts_utc, event_date_utc, user_id, {0}) AS rn,
+      count(*) FILTER (event_name = 'session_start') OVER (PARTITION BY session_key) > 0 AS started
+    FROM ev WHERE session_key IS NOT NULL) WHERE rn = 1 AND NOT started)"""
+    found["step_users_first_event"] = with_tables([], "SELECT * FROM su", opened.format("platform"), step_counts([], "opened"))
+    found["step_users_first_event_by_device"] = with_tables(
+        [],
+        "SELECT * FROM su",
+        opened.format("device_category NULLS FIRST"),
+        step_counts(["device_category"], "opened"),
+    )
+    found["overall_conversion_first_event"] = with_tables([], overall([]), opened.format("platform"), step_counts([], "opened"))
+    found["fact_funnel_steps_first_event"] = with_tables(
+        [],
+        shown("fact_funnel_steps", "steps"),
+        opened.format("device_key, geo_key, traffic_key"),
+        f"steps AS ({bodies('opened')['fact_funnel_steps']})",
+    )
+    found["daily_activity_without_noise"] = with_tables(
+        [],
+        shown("fact_user_daily_activity", "quiet_days"),
+        "quiet AS (SELECT * FROM ev WHERE event_name IS NULL OR event_name NOT IN ('error', 'scroll'))",
+        f"quiet_days AS ({bodies('quiet')['fact_user_daily_activity']})",
+    )
+    found["dedup_events_unidentified"] = with_tables(
+        [],
+        """SELECT * EXCLUDE (device_key, geo_key, traffic_key, session_key)
+  REPLACE (CAST(purchase_revenue AS VARCHAR) AS purchase_revenue)
+FROM (SELECT * FROM ev UNION ALL SELECT * REPLACE (platform || '_RETRY' AS platform) FROM ev)
+WHERE user_id IS NULL OR event_ts_utc IS NULL""",
     )
     found["dedup_events"] = with_tables(
         [],
         """SELECT * EXCLUDE (rn, device_key, geo_key, traffic_key, session_key)
-  REPLACE (round(CAST(purchase_revenue AS DOUBLE), 6) AS purchase_revenue)
+  REPLACE (CAST(purchase_revenue AS VARCHAR) AS purchase_revenue)
 FROM (SELECT *, row_number() OVER (
     PARTITION BY user_id, event_ts_utc, event_name, ga_session_id, transaction_id ORDER BY platform) AS rn
   FROM (SELECT * FROM ev UNION ALL SELECT * REPLACE (platform || '_RETRY' AS platform) FROM ev))
-WHERE rn = 1""",
+WHERE rn = 1 OR user_id IS NULL OR event_ts_utc IS NULL""",
     )
     found["sessionize_gap"] = with_tables(
         [], "SELECT user_id, event_ts_utc, event_name, derived_id AS session_id FROM derived", gap_sessions("30 MINUTE")

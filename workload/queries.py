@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 import usertide as ut
+from usertide.plans.pipeline import MART_WEEKS
 from usertide.schemas import DIM_ATTRIBUTES, DIM_KEYS, LOAD_KEYS
 from usertide.session import shared_dir, prepare
 from workload.fixture import enriched_events, raw_events, staged_events
@@ -18,16 +19,19 @@ Query = Callable[[SparkSession, str], DataFrame]
 # Fixed value: the last date of the first of two loads.
 FIRST_LOAD_UNTIL = "2020-12-30"
 
+# First and last day of the shards to read.
+SHARD_DAYS = ("2020-11-20", "2020-12-10")
+
 REPORTING_TZ = "Asia/Kolkata"
 
 
 def comparable(df: DataFrame) -> DataFrame:
-    """Types that compare across engines: bigint, rounded double, timestamp without zone."""
+    """Types that compare across engines: bigint, rounded double, timestamp without zone; amounts as text, whole."""
     columns = []
     for field in df.schema.fields:
         name, kind = f"`{field.name}`", field.dataType
         if isinstance(kind, T.DecimalType):
-            name = f"round(cast({name} as double), 6) as {name}"
+            name = f"cast(cast({name} as decimal(38, 9)) as string) as {name}"
         elif isinstance(kind, T.DoubleType):
             name = f"round({name}, 9) as {name}"
         elif isinstance(kind, T.IntegerType):
@@ -82,7 +86,7 @@ def load(*modes: str) -> Query:
 
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
         raw = raw_events(spark, sf_dir)
-        early = raw.where(F.to_date(F.timestamp_micros("event_timestamp")) <= F.lit(FIRST_LOAD_UNTIL).cast("date"))
+        early = early_events(raw)
         base = shared_dir(spark)
         store = ut.TableStore(spark, root=f"{base}/dw", partitioned=False)
         for i, mode in enumerate(modes):
@@ -93,20 +97,68 @@ def load(*modes: str) -> Query:
     return run
 
 
-_stored: dict[tuple[str, str], dict[str, DataFrame]] = {}
+_stored: dict[tuple[str, ...], dict[str, DataFrame]] = {}
+
+
+def early_events(raw: DataFrame) -> DataFrame:
+    return raw.where(ut.to_reporting_date(F.timestamp_micros("event_timestamp")) <= F.lit(FIRST_LOAD_UNTIL).cast("date"))
 
 
-def stored_model(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
-    """All nine tables, loaded once per session, for the checks that read most of them."""
+def stored_model(spark: SparkSession, sf_dir: str, mode: str = "full") -> dict[str, DataFrame]:
+    """All nine tables, loaded once per session, for the queries that read most of them.
+
+    The incremental kind is a full load of the first part of the events, and an incremental one of all.
+    """
     prepare(spark)
-    key = (spark.sparkContext.applicationId, sf_dir)
+    key = (spark.sparkContext.applicationId, sf_dir, mode)
     if key not in _stored:
-        base = shared_dir(spark)
-        store = ut.TableStore(spark, root=f"{base}/dw", partitioned=False)
-        _stored[key] = ut.run_pipeline(spark, raw_events(spark, sf_dir), store, f"{base}/work")
+        base, raw = shared_dir(spark), raw_events(spark, sf_dir)
+        store = ut.TableStore(spark, root=f"{base}/dw", partitioned=mode == "incremental")
+        if mode == "incremental":
+            ut.run_pipeline(spark, early_events(raw), store, f"{base}/first")
+        _stored[key] = ut.run_pipeline(spark, raw, store, f"{base}/work", mode)
     return _stored[key]
 
 
+def loaded(name: str, mode: str) -> Query:
+    """The contents of a stored table."""
+    return lambda spark, sf_dir: comparable(stored_model(spark, sf_dir, mode)[name])
+
+
+def day_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Events staged from day shards, those of given days alone."""
+    path, day = f"{shared_dir(spark)}/export", ut.to_reporting_date(F.timestamp_micros("event_timestamp"))
+    dated = raw_events(spark, sf_dir).withColumn("day", F.date_format(day, "yyyyMMdd"))
+    dated.hint("rebalance", F.col("day")).write.partitionBy("day").parquet(path)
+    return comparable(ut.stage_events(ut.read_events(spark, path, *SHARD_DAYS, shard="day={day}")))
+
+
+def views_by_name(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A mart read by its name in SQL."""
+    model = stored_model(spark, sf_dir)
+    ut.publish_views({**model, **ut.build_marts(model)})
+    return comparable(spark.sql("select * from mrt_wow_kpis"))
+
+
+def mart_at_rest(name: str) -> Query:
+    """A mart that was stored, read back by its name through a new store."""
+
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        base = shared_dir(spark)
+        ut.TableStore(spark, root=base).publish(ut.build_marts(stored_model(spark, sf_dir)))
+        return comparable(ut.TableStore(spark, root=base).read_mart(name))
+
+    return run
+
+
+def purchases_rebuilt(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Purchases stored with copies, and reduced in place."""
+    base = shared_dir(spark)
+    store = ut.TableStore(spark, root=f"{base}/dw", partitioned=False)
+    store.write(ut.purchase_rows(enriched_events(spark, sf_dir)), "fact_purchases", "overwrite")
+    return comparable(ut.rebuild_purchases(store, f"{base}/work"))
+
+
 # Faults ----------------------------------------------------------------------
 
 Fault = Callable[[DataFrame], DataFrame]
@@ -282,9 +334,11 @@ def _tables() -> dict[str, Query]:
 def _marts() -> dict[str, Query]:
     return {
         "mrt_funnel_daily": on_events(lambda ev: ut.funnel_daily(ut.build_fact_funnel_steps(ev))),
-        "mrt_retention_cohorts": on_events(lambda ev: ut.retention_cohorts(users_of(ev), days_of(ev))),
+        "mrt_retention_cohorts": on_events(
+            lambda ev: ut.retention_cohorts(users_of(ev), days_of(ev), max_index=MART_WEEKS)
+        ),
         "mrt_retention_curve": on_events(
-            lambda ev: ut.retention_curve(ut.retention_cohorts(users_of(ev), days_of(ev)))
+            lambda ev: ut.retention_curve(ut.retention_cohorts(users_of(ev), days_of(ev), max_index=MART_WEEKS))
         ),
         "mrt_churn_proxy": on_events(lambda ev: ut.churn_proxy(users_of(ev), days_of(ev))),
         "mrt_wow_kpis": on_events(lambda ev: ut.wow_kpis(days_of(ev), sessions_of(ev))),
@@ -292,13 +346,17 @@ def _marts() -> dict[str, Query]:
         "retention_cohorts_zero_cells": on_events(
             lambda ev: ut.retention_cohorts(users_of(ev), days_of(ev), zero_cells=True)
         ),
+        "wow_kpis_weeks_filled": on_events(lambda ev: ut.wow_kpis(days_of(ev), sessions_of(ev), fill_weeks=True)),
+        # Activity of purchases alone leaves weeks without any, which then have zeros.
         "wow_kpis_purchase_weeks_filled": on_events(
             lambda ev: ut.wow_kpis(
-                days_of(ev.where((F.col("event_name") == "purchase") & (F.col("purchase_revenue") > 120))),
-                sessions_of(ev),
+                days_of(ev.where("event_name = 'purchase'")),
+                sessions_of(ev.where("event_name = 'purchase'")),
                 fill_weeks=True,
             )
         ),
+        **{f"{name}_at_rest": mart_at_rest(name) for name in ("mrt_funnel_daily", "mrt_retention_cohorts")},
+        "mart_view_by_name": views_by_name,
     }
 
 
@@ -319,6 +377,11 @@ def _checks() -> dict[str, Query]:
 
 def _loads() -> dict[str, Query]:
     found = {f"incremental_{name}": second_load(name, build) for name, build in BUILDERS.items()}
+    for name in BUILDERS:
+        found[f"load_full_{name}"] = loaded(name, "full")
+        found[f"load_incremental_{name}"] = loaded(name, "incremental")
+    found["source_day_shards"] = day_shards
+    found["fact_purchases_rebuilt"] = purchases_rebuilt
     found["load_full"] = load("full")
     found["load_incremental"] = load("full", "incremental")
     found["load_rerun"] = load("full", "incremental", "incremental")
@@ -340,6 +403,14 @@ def _metrics() -> dict[str, Query]:
     def churn(ev: DataFrame) -> DataFrame:
         return ut.churn_proxy(users_of(ev), days_of(ev))
 
+    def touched(ev: DataFrame) -> DataFrame:
+        """Users with the device, place and traffic of their first day."""
+        return ut.with_first_touch(users_of(ev), ut.build_fact_user_daily_activity(ev))
+
+    def unidentified(ev: DataFrame) -> DataFrame:
+        """Events of unknown users or without a time, each twice, and of all others none."""
+        return ut.dedup_events(copies(ev.drop(*DIM_KEYS, "session_key")).where("user_id is null or event_ts_utc is null"))
+
     return {
         "activated_users": on_events(ut.activated_users),
         "activated_users_by_country": on_events(
@@ -367,6 +438,38 @@ def _metrics() -> dict[str, Query]:
             lambda ev: ut.retention_cohorts(users_of(ev), days_of(ev), anchor="session_start")
         ),
         "retention_nday": on_events(lambda ev: ut.nday_retention(users_of(ev), days_of(ev))),
+        "retention_nday_30": on_events(lambda ev: ut.nday_retention(users_of(ev), days_of(ev), max_day=30)),
+        "retention_by_device": on_events(
+            lambda ev: ut.retention_cohorts(touched(ev), days_of(ev), by=["device_key"])
+        ),
+        "retention_by_traffic_curve": on_events(
+            lambda ev: ut.retention_curve(ut.retention_cohorts(touched(ev), days_of(ev), by=["traffic_key"]))
+        ),
+        "churn_rate_30d_by_geo": on_events(
+            lambda ev: ut.churn_rate(days_of(ev), 30, by=["geo_key"], users=touched(ev))
+        ),
+        "activated_users_by_status": on_events(
+            lambda ev: ut.activated_users(ut.with_user_status(ev, users_of(ev)), by=["user_status"])
+        ),
+        "step_users_by_status": on_events(
+            lambda ev: ut.step_users(ut.with_user_status(ev, users_of(ev)), by=["user_status"])
+        ),
+        "funnel_by_status": on_events(
+            lambda ev: ut.funnel_daily(ut.with_user_status(steps(ev), users_of(ev), "session_date"), by=["user_status"])
+        ),
+        "step_users_first_event": on_events(lambda ev: ut.step_users(ev, first_event_starts=True)),
+        "step_users_first_event_by_device": on_events(
+            lambda ev: ut.step_users(ev, by=["device_category"], first_event_starts=True)
+        ),
+        "overall_conversion_first_event": on_events(
+            lambda ev: ut.overall_conversion(ut.step_users(ev, first_event_starts=True))
+        ),
+        "fact_funnel_steps_first_event": on_events(
+            lambda ev: ut.build_fact_funnel_steps(ev, first_event_starts=True)
+        ),
+        "daily_activity_without_noise": on_events(
+            lambda ev: ut.build_fact_user_daily_activity(ut.without_noise(ev, noise))
+        ),
         "retention_nday_curve": on_events(
             lambda ev: ut.retention_curve(ut.nday_retention(users_of(ev), days_of(ev)))
         ),
@@ -383,6 +486,10 @@ def _metrics() -> dict[str, Query]:
         "funnel_by_geo": segment("dim_geo", "country", "region"),
         "funnel_by_traffic": segment("dim_traffic_source", "traffic_source", "traffic_medium"),
         "new_vs_returning": on_events(lambda ev: ut.new_vs_returning(days_of(ev), users_of(ev))),
+        "new_vs_returning_unknown_users": on_events(
+            lambda ev: ut.new_vs_returning(days_of(ev), users_of(ev).where("is_purchaser"))
+        ),
+        "dedup_events_unidentified": on_events(unidentified),
         "dedup_events": on_events(lambda ev: ut.dedup_events(copies(ev.drop(*DIM_KEYS, "session_key")))),
         "sessionize_gap": on_events(
             lambda ev: ut.sessionize(ev.select("user_id", "event_ts_utc", "event_name"))
