@@ -96,3 +96,36 @@ def test_one_user_with_most_events_gives_whole_results(spark):
     assert ut.dedup_events(events.union(events)).count() == 20_000
     assert rows(ut.sessionize(events).groupBy("session_id").count()) == [(1600000000000000, 20_000)]
     assert ut.qa_orphans(events.withColumn("k", F.lit("x")), "k", events.limit(0).withColumn("k", F.lit("x"))).first()[0] == 20_000
+
+
+def final_plan(df):
+    """The plan that ran, with the exchanges that were used again; without the one it began with."""
+    df.collect()
+    return plan(df).split("== Initial Plan ==")[0]
+
+
+@pytest.fixture
+def stored(spark, tmp_path):
+    events = enriched(spark, raw("a", "2020-01-01 10:00:00", "purchase"), raw("b", "2020-01-02 10:00:00", "session_start"))
+    for name, table in ut.build_model(events, events).items():
+        table.write.parquet(f"{tmp_path}/{name}")
+    return {name: spark.read.parquet(f"{tmp_path}/{name}") for name in ut.schemas.TABLES}
+
+
+def test_step_ordering_shuffles_each_side_once(stored, no_broadcast):
+    found = ut.qa_steps_outside_session(stored["fact_funnel_steps"], stored["fact_sessions"])
+    assert exchanges(found) == 2  # and the one row of sums
+
+
+def test_summary_reads_sessions_three_times_at_most(spark, stored, no_broadcast):
+    events = enriched(spark, raw("a", "2020-01-01 10:00:00", "purchase"))
+    text = final_plan(ut.qa_summary(stored, events))
+    # One read for its own figures, one for the orphan checks together, one for the step times.
+    scans = re.findall(r"FileScan parquet \[([^\]]*)\][^\n]*Location", text)
+    of = [s for s in scans if "session_start_ts" in s or "geo_key" in s and "user_id" in s]
+    assert len(of) == 3 and text.count("ReusedExchange") >= 3 and "Cartesian" not in text
+
+
+def test_segment_funnel_hashes_the_steps(stored, no_broadcast):
+    text = plan(ut.funnel_daily(stored["fact_funnel_steps"], by=["device_key"]))
+    assert text.rindex("HashAggregate") > text.rfind("SortAggregate")
