@@ -34,7 +34,7 @@ GRAM, CONTEXT, TOTAL = 0, 1, 2
 #: Hashes of the ends of a text. Words are hashed with another seed.
 START, END = np.uint64(xxhash.xxh64_intdigest(b"start", 1)), np.uint64(xxhash.xxh64_intdigest(b"end", 1))
 #: Tokens counted, or scored, at once, and different words that a worker keeps.
-FLUSH, BATCH, MAX_WORDS = 4 << 20, 1 << 20, 400_000
+FLUSH, BATCH, MAX_WORDS = 3 << 20, 1 << 20, 300_000
 _ROWS = "kind int, part int, blob binary"
 
 
@@ -146,11 +146,17 @@ def count_grams(batches: Iterator[pa.RecordBatch], order: int, grid: int) -> Ite
 
     def flush(tokens: list[np.ndarray]) -> Iterator[pa.RecordBatch]:
         flat = np.concatenate(tokens)
+        tokens.clear()
         last = np.flatnonzero(flat != START)
         key = fold([flat[last - k] for k in range(order - 1, -1, -1)])
-        _, at, (n,) = summed(key, [np.ones(len(key), np.uint64)])
-        del key
-        words = [flat[last[at] - k] for k in range(order - 1, -1, -1)]
+        place = np.argsort(key)
+        key = key[place]
+        first = np.flatnonzero(np.append(True, key[1:] != key[:-1]))
+        n = np.diff(np.append(first, len(key))).astype(np.uint64)
+        last = last[place[first]]
+        del key, place, first
+        words = [flat[last - k] for k in range(order - 1, -1, -1)]
+        del flat, last
         yield from _parts(GRAM, cell_of(words, grid), [*words, n])
 
     held, size = [], 0
