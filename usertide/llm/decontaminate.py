@@ -100,7 +100,13 @@ def find_overlaps(
     for k in lengths:
         first = F.when(F.col("len") == k, F.col("p") - before).otherwise(first)
         before = before + sizes[k]
-    hits = seen.join(F.broadcast(keyed) if size <= max_broadcast_bytes else keyed, "key").withColumn("first", first)
+    if size <= max_broadcast_bytes:
+        hits = seen.join(F.broadcast(keyed), "key").withColumn("first", first)
+    else:
+        # Only the hashes are shuffled; the words come back for what they hit.
+        hits = seen.drop("words").join(keyed, "key").withColumn("first", first).where("first >= 0")
+        again = texts.select(F.col("id").alias("__i"), F.col("text_hash").alias("__h"), "words")
+        hits = hits.join(again, F.col("id").eqNullSafe(F.col("__i")) & (F.col("text_hash") == F.col("__h")))
     there = F.array_join(F.slice("words", F.greatest("first", F.lit(0)) + 1, F.col("len")), " ")
     hits = hits.where((F.col("first") >= 0) & (there == F.col("gram")))
     hits = hits.select("id", "text_hash", F.struct("first", (F.col("first") + F.col("len")).alias("end")).alias("span"), "items")
