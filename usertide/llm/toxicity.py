@@ -15,11 +15,13 @@ from __future__ import annotations
 
 import re
 import zlib
-from collections import Counter
+from array import array
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -128,23 +130,56 @@ def marginals(
     return found, (joint / joint.sum((0, 1))).sum(2)
 
 
-def label_tokens(words: list[list[str]], toxic: np.ndarray, lift: float = 15.0, share: float = 0.01) -> set[str]:
-    """Words and beginnings that are ``lift`` times as common, by documents, among the toxic ones, and in ``share`` of them."""
-    of: list[Counter] = [Counter(), Counter()]
-    n = [int((toxic == 0).sum()), int((toxic == 1).sum())]
-    for found, y in zip(words, toxic, strict=True):
-        of[int(y)].update({b for w in set(found) if w for b in beginnings(w)})
-    least = max(3, share * n[1])
-    return {
-        b for b, a in of[1].items() if a >= least and (a + 0.5) / (n[1] + 1) >= lift * (of[0][b] + 0.5) / (n[0] + 1)
-    }
+def _flat(types: list[str], features: Callable[[str], list[int]], kind: str) -> tuple[np.ndarray, np.ndarray]:
+    """The features of all types in one array, and where those of each type begin."""
+    flat, ends = array(kind), array("q", [0])
+    for t in types:
+        flat.extend(features(t))
+        ends.append(len(flat))
+    return np.frombuffer(flat, flat.typecode), np.frombuffer(ends, np.int64)
+
+
+def label_tokens(
+    types: list[str], docs: list[np.ndarray], toxic: np.ndarray, lift: float = 15.0, share: float = 0.01
+) -> np.ndarray:
+    """Which types are toxic words: those with a beginning that is ``lift`` times as common, by documents, among the
+    toxic ones as among the others, and in ``share`` of them. ``docs``: the types of each document's tokens.
+    """
+    hashes, begin = _flat(types, lambda t: [xxhash.xxh64_intdigest(b) for b in beginnings(t)], "Q")
+    known, ids = np.unique(hashes, return_inverse=True)
+    count = np.zeros((2, len(known)), np.int32)
+    size = np.diff(begin)
+    for found, y in zip(docs, toxic, strict=True):
+        found = np.unique(found)
+        n = size[found]
+        at = np.arange(n.sum()) + np.repeat(begin[found] - (np.cumsum(n) - n), n)
+        count[y, np.unique(ids[at])] += 1
+    clean, bad = np.bincount(toxic, minlength=2)
+    often = (count[1] + 0.5) / (bad + 1) >= lift * (count[0] + 0.5) / (clean + 1)
+    marked = often & (count[1] >= max(3, share * bad))
+    words = np.fromiter(map(bool, types), bool, len(types))
+    return np.logical_or.reduceat(marked[ids], begin[:-1]) & words
+
+
+def _parts(starts: np.ndarray, most: int = 1 << 17) -> Iterator[slice]:
+    """Runs of whole texts of so many tokens at most, or of one text."""
+    edges = [*np.flatnonzero(starts).tolist(), len(starts)]
+    first = 0
+    for last, after in zip(edges, edges[1:], strict=False):
+        if after - first > most and last > first:
+            yield slice(first, last)
+            first = last
+    if first < len(starts):
+        yield slice(first, len(starts))
 
 
 def train_chain(types: list[str], of: np.ndarray, starts: np.ndarray, toxic: np.ndarray, rounds: int = 40) -> Crf:
-    """Maximum likelihood with a small penalty, by adaptive gradient steps. ``of``: the type of each token."""
-    places = [slots(t) for t in types]
-    size = np.array([len(p) for p in places])
-    place, owner = np.concatenate([np.array(p) for p in places]), np.repeat(np.arange(len(types)), size)
+    """Maximum likelihood with a small penalty, by adaptive gradient steps. ``of``: the type of each token.
+
+    Texts are gone through a part at a time, so that memory does not grow with their number.
+    """
+    place, begin = _flat(types, slots, "i")
+    owner = np.repeat(np.arange(len(types), dtype=np.int32), np.diff(begin))
     weights, moves, first = np.zeros(SLOTS), np.zeros((2, 2)), np.zeros(2)
     inner = np.flatnonzero(~starts[1:]) + 1
     moved = np.zeros((2, 2))
@@ -154,9 +189,12 @@ def train_chain(types: list[str], of: np.ndarray, starts: np.ndarray, toxic: np.
     past = [np.full_like(x, 1e-6) for x in (weights, moves, first)]
     for _ in range(rounds):
         emissions = np.bincount(owner, weights[place], len(types))
-        p, expected = marginals(emissions[of], starts, moves, first, pairs=True)
-        slope = seen - np.bincount(of, p, len(types))
-        ones = p[starts].sum()
+        slope, expected, ones = seen.copy(), np.zeros((2, 2)), 0.0
+        for part in _parts(starts):
+            p, pairs = marginals(emissions[of[part]], starts[part], moves, first, pairs=True)
+            slope -= np.bincount(of[part], p, len(types))
+            expected += pairs
+            ones += p[starts[part]].sum()
         slopes = (
             np.bincount(place, slope[owner], SLOTS) - 0.05 * weights,
             moved - expected - 0.05 * moves,
@@ -227,30 +265,34 @@ def fit(
     if len(set(toxic.tolist())) < 2:
         document = np.array([np.log((n[1] + 1) / (n[0] + 1)), 0, 0, 0])
         return Crf(np.zeros(SLOTS), np.zeros((2, 2)), np.zeros(2), document)
-    index: dict[str, int] = {}
-    lists, of = [], []
+    index = _Numbers()
+    of = []
     for text, _ in sample:
-        lists.append([word_of(t) for t in text.split()])
-        of.append(np.array([index.setdefault(w, len(index)) for w in lists[-1]], np.int32))
-    marks = label_tokens(lists, toxic)
+        found = text.split()
+        of.append(np.fromiter((index[word_of(t)] for t in found), np.int32, len(found)))
     types = list(index)
-    marked = np.array([bool(t) and not marks.isdisjoint(beginnings(t)) for t in types])
+    marked = label_tokens(types, of, toxic)
     size = np.array([len(x) for x in of])
     flat = np.concatenate(of)
     starts = np.zeros(len(flat), bool)
     starts[(np.cumsum(size) - size)[size > 0]] = True
-    tokens = (marked[flat] & np.repeat(toxic == 1, size)).astype(int)
+    tokens = (marked[flat] & np.repeat(toxic == 1, size)).astype(np.int8)
     crf = train_chain(types, flat, starts, tokens)
-    emissions = np.bincount(*_type_slots(types, crf.weights), len(types))
-    p, _ = marginals(emissions[flat], starts, crf.moves, crf.first)
+    place, begin = _flat(types, slots, "i")
+    emissions = np.add.reduceat(crf.weights[place], begin[:-1])
+    p = [marginals(emissions[flat[x]], starts[x], crf.moves, crf.first)[0] for x in _parts(starts)]
     of_label = np.bincount(toxic, minlength=2)
-    document = train_document(document_features(p, size), toxic, (n / n.sum())[toxic] / (of_label / of_label.sum())[toxic])
+    weight = (n / n.sum())[toxic] / (of_label / of_label.sum())[toxic]
+    document = train_document(document_features(np.concatenate([np.zeros(0), *p]), size), toxic, weight)
     return Crf(crf.weights.astype(np.float32), crf.moves, crf.first, document)
 
 
-def _type_slots(types: list[str], weights: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    places = [slots(t) for t in types]
-    return np.repeat(np.arange(len(types)), [len(p) for p in places]), weights[np.concatenate([np.array(p) for p in places])]
+class _Numbers(dict):
+    """Numbers the keys in the order in which they are first asked for."""
+
+    def __missing__(self, key: str) -> int:
+        self[key] = n = len(self)
+        return n
 
 
 class Tagger:
