@@ -41,3 +41,5 @@ def test_odd_rows_other_lists_and_empty_tables(spark):
     assert licences.scan(frames.odd(spark)).count() == frames.odd(spark).count()
     assert licences.scan(df.limit(0)).count() == 0
     assert licences.scan(df, known.limit(0)).where("licence is not null").count() == 0
+    shuffled = licences.scan(df, known, max_broadcast_rows=0)
+    assert sorted((str(r.id), str(r.licence)) for r in shuffled.collect()) == got

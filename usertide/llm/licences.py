@@ -157,18 +157,21 @@ def scan(
     known: DataFrame | None = None,
     id_col: str = "doc_id",
     text_col: str = "text",
+    max_broadcast_rows: int = 200_000,
     work: str | None = None,
 ) -> DataFrame:
     """Per input row ``id, text_hash, licence, notices, n_notices``.
 
     ``licence`` is the licence that the whole text is, or NULL; ``notices`` are the sorted licences that whole lines of it are,
-    ``n_notices`` the number of such lines. ``known`` has columns ``licence, digest``.
+    ``n_notices`` the number of such lines. ``known`` has columns ``licence, digest``; it is broadcast if it has
+    ``max_broadcast_rows`` or fewer, and joined by a shuffle on the digest beyond that.
 
     NULL and empty texts, and those of copyright lines alone, have none. Repeated rows get the same result each; rows with the
     same id and other texts are told apart by ``text_hash``. An empty table gives an empty result. Other columns are ignored.
     """
     work = work_folder(docs.sparkSession, work)
-    known = known_digests(docs.sparkSession) if known is None else known
+    known = stored(known_digests(docs.sparkSession) if known is None else known, f"{work}/known")
+    known = F.broadcast(known) if known.count() <= max_broadcast_rows else known
     rows = docs.select(F.col(id_col).alias("id"), whole_text(text_col).alias("t"))
     lines = rows.select("id", F.xxhash64("t").alias("text_hash"), canonical_lines(F.col("t")).alias("lines"))
     whole = F.struct(F.lit(True).alias("whole"), digest(F.array_join("lines", " ")).alias("digest"))
