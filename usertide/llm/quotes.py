@@ -8,6 +8,8 @@ with white space collapsed, if that message is earlier than the quoting one.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -114,20 +116,27 @@ def link_quotes(
 def thread_roots(parents: DataFrame, work: str, rounds: int = 64) -> DataFrame:
     """Where parents lead in the end (``root``), and in how many steps (``depth``): each round doubles the steps taken.
 
-    Parents come before their messages, so there is no cycle. A message without a parent is a root and has no row.
+    Parents come before their messages, so there is no cycle. A message without a parent is a root and has no row. Messages
+    that have arrived at their root take no part in later rounds, so these are as large as long threads are many.
     """
     now = parents.select("scope", "at", "parent", F.col("parent").alias("root"), F.lit(1).cast("long").alias("depth"))
-    now = stored(now, f"{work}/jump-0")
+    now, arrived = stored(now, f"{work}/jump-0"), []
     for k in range(1, rounds + 1):
-        up = now.select(F.col("scope").alias("s"), F.col("at").alias("a"), F.col("root").alias("next"), F.col("depth").alias("more"))
-        far = now.join(up, (now["scope"] == up["s"]) & (now["root"] == up["a"]), "left")
-        far = far.select(
-            "scope", "at", "parent", F.coalesce("next", "root").alias("root"), (F.col("depth") + F.coalesce("more", F.lit(0))).alias("depth"), F.col("next").isNotNull().alias("moved")
+        known = reduce(DataFrame.unionByName, arrived, now)
+        up = known.select(F.col("scope").alias("s"), F.col("at").alias("a"), F.col("root").alias("next"), F.col("depth").alias("more"))
+        far = now.join(up, (now["scope"] == up["s"]) & (now["root"] == up["a"]), "left").select(
+            "scope",
+            "at",
+            "parent",
+            F.coalesce("next", "root").alias("root"),
+            (F.col("depth") + F.coalesce("more", F.lit(0))).alias("depth"),
+            F.col("next").isNotNull().alias("moved"),
         )
         far = stored(far, f"{work}/jump-{k}")
-        now, moved = far.drop("moved"), far.where("moved")
-        if moved.isEmpty():
-            return now
+        arrived.append(far.where("not moved").drop("moved"))
+        now = far.where("moved").drop("moved")
+        if now.isEmpty():
+            return reduce(DataFrame.unionByName, arrived)
     raise RuntimeError(f"threads did not settle in {rounds} rounds")
 
 
