@@ -41,6 +41,11 @@ def crc_remainder(id_col: str, modulus: int) -> Column:
     return F.crc32(F.coalesce(F.col(id_col).cast("string"), F.lit("")).cast("binary")) % F.lit(modulus)
 
 
+def sampled(id_col: str, fraction: Column | float) -> Column:
+    """Whether a row is in a sample of this fraction, by a hash of its id; fine enough for very small fractions."""
+    return F.pmod(F.xxhash64(F.col(id_col).cast("string")), F.lit(1 << 40)) < F.lit(float(1 << 40)) * fraction
+
+
 def rows_that_stay(docs: DataFrame, found: DataFrame, id_col: str, key: Column, work: str) -> DataFrame:
     """The rows of ``docs`` that ``found`` (``id, key, kept``, one row per input row) says to keep, all columns as they were.
 

@@ -19,7 +19,7 @@ from pyspark.ml.functions import array_to_vector
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from usertide.llm._shared import stored, whole_text, work_folder
+from usertide.llm._shared import sampled, stored, whole_text, work_folder
 
 #: Conditions (statistic, is it at most, threshold) that must all hold.
 Rule = tuple[tuple[str, bool, float], ...]
@@ -142,7 +142,7 @@ def fit(
     )
     known = known.where("__y = __other").select("__of", F.col("__y").cast("double").alias("label"))
     n = known.count()
-    part = F.pmod(F.xxhash64(F.col(id_col).cast("string")), F.lit(1_000_000)) < int(1_000_000 * min(1.0, max_rows / max(n, 1)))
+    part = sampled(id_col, min(1.0, max_rows / max(n, 1)))
     texts = docs.where(part if learn is None else part & learn).select(F.col(id_col).alias("__id"), F.col(text_col).alias("__t"))
     sample = texts.join(known, F.col("__id") == F.col("__of")).select("label", "__t")
     sample = stored(with_statistics(sample, "__t").select("label", "__stats"), f"{work}/sample")

@@ -25,7 +25,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from usertide.llm._shared import whole_text
+from usertide.llm._shared import sampled, whole_text
 
 #: Hashed features; different tokens that a worker keeps; characters scored at once.
 SLOTS, MAX_TOKENS, MAX_CHARS = 1 << 18, 400_000, 4 << 20
@@ -257,7 +257,7 @@ def fit(
     counts = {r[0]: r[1] for r in known.groupBy("y").count().collect()}
     n = np.array([counts.get(0, 0), counts.get(1, 0)], float)
     part = F.when(F.col("y") == 1, min(1.0, max_docs / max(n[1], 1))).otherwise(min(1.0, max_docs / max(n[0], 1)))
-    chosen = known.where(F.pmod(F.xxhash64(F.col("__of").cast("string")), F.lit(1_000_000)) < part * 1_000_000)
+    chosen = known.where(sampled("__of", part))
     texts = docs.select(F.col(id_col).alias("__id"), whole_text(text_col).alias("t"))
     sample = texts.join(F.broadcast(chosen), F.col("__id") == F.col("__of")).groupBy("t").agg(F.max("y").alias("y"))
     sample = sorted((r.t, r.y) for r in sample.collect())
