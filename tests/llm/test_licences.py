@@ -1,3 +1,5 @@
+import textwrap
+
 from pyspark.sql import functions as F
 
 from tests.llm import frames
@@ -43,3 +45,26 @@ def test_odd_rows_other_lists_and_empty_tables(spark):
     assert licences.scan(df, known.limit(0)).where("licence is not null").count() == 0
     shuffled = licences.scan(df, known, max_broadcast_rows=0)
     assert sorted((str(r.id), str(r.licence)) for r in shuffled.collect()) == got
+
+
+def wrapped(text: str, width: int) -> str:
+    return "\n".join(textwrap.fill(line, width, break_long_words=False, break_on_hyphens=False) for line in text.split("\n"))
+
+
+def test_texts_wrapped_at_any_width(spark):
+    whole = [(name, text) for name, text in licences.KNOWN if len(text) > 200]
+    rows = [(name, wrapped(text, width)) for name, text in whole for width in (1, 12, *range(20, 101))]
+    rows += [(name, "Copyright (c) 2020 Somebody\n" + wrapped(text, 72).upper()) for name, text in whole]
+    got = licences.scan(spark.createDataFrame(rows, "doc_id string, text string")).select("id", "licence").collect()
+    assert len(got) == len(rows) and [r for r in got if r.licence != r.id] == []
+    assert any("\ncopyright notice and this permission notice appear" in text for _, text in rows)
+
+
+def test_copyright_lines(spark):
+    gone = ["Copyright 2020", "# Copyright (c) <year> <owner>", "Copyright © X", "(c) 2001-2003 X", "(C) X, 1999", "(c) Copyright X"]
+    gone += ["© X", "Copyright The Foo Authors", "copyright: Joyent, Inc. and others", "Copyright [yyyy] [name]", "* All rights reserved."]
+    kept = ["copyright notice and this permission notice appear in all copies.", "COPYRIGHT HOLDERS BE LIABLE", "copyright", "(c) You must retain"]
+    kept += ["copyright, patent, trademark", '"Copyright" also means copyright-like laws', "copyrighted 2020", "all rights reserved to them stay", "(c)"]
+    df = spark.createDataFrame([(x,) for x in gone + kept], "t string")
+    empty = [r.t for r in df.where(F.size(licences.canonical_lines(F.col("t"))) == 0).collect()]
+    assert sorted(empty) == sorted(gone)

@@ -3,6 +3,9 @@
 The canonical form is lower case, without copyright lines, with runs of anything but letters and digits as one blank, and
 with one of several equivalent spellings. It is made line by line, so the same pass serves two kinds of unit: a text
 as a whole, and each of its lines, where licence notices stand. A unit matches if the whole of it does.
+
+A copyright line names a year, a holder or another mark. A licence's own words that happen to start a line with "copyright" or
+"(c)", as in a text wrapped there, stay; so does a "(c)" with neither a year nor another mark, which could be a list item.
 """
 
 from __future__ import annotations
@@ -14,7 +17,20 @@ from pyspark.sql import functions as F
 
 from usertide.llm._shared import stored, whole_text, work_folder
 
-COPYRIGHT = r"(?i)^[^\p{L}\p{N}]*(?:copyright\b|©|\(c\)|all rights reserved\b)"
+#: Words that go on after "copyright" where a licence's text is wrapped there, not where somebody is named.
+_BODY = (
+    "notices?|holders?|owners?|ownership|laws?|licen[cs]es?|statements?|permissions?|protection|treaty|treaties|interests?|rights?|"
+    "disclaimers?|status|terms?|infringements?|information|management|legends?|works?|and|or|on|in|to|for|is|are|as|that|under|also|like|"
+    "does|resulting|the (?:software|library|program|work)"
+)
+_MARK = r"[^\p{L}\p{N}]*(?:\d{4}\b|copyright\b|©|\(c\))"
+#: Copyright lines: a mark with a year or another mark, a name after "copyright" or the sign, or the reservation of rights alone.
+COPYRIGHT = (
+    rf"(?i)^[^\p{{L}}\p{{N}}]*(?:©|copyright\b{_MARK}|\(c\){_MARK}"
+    r"|\(c\).*\b(?:19|20)\d\d[^\p{L}\p{N}]*(?:all rights reserved[^\p{L}\p{N}]*)?$"
+    rf"|copyright\b(?![^\p{{L}}\p{{N}}]*$|\s*[-,;.)\"”'’/]|[^\p{{L}}\p{{N}}]+(?:{_BODY})\b)"
+    r"|all rights reserved[^\p{L}\p{N}]*$)"
+)
 OTHER = r"[^\p{L}\p{N}]+"
 
 #: Spellings that count as the same word.
