@@ -1,3 +1,4 @@
+import re
 import textwrap
 
 from pyspark.sql import functions as F
@@ -68,3 +69,31 @@ def test_copyright_lines(spark):
     df = spark.createDataFrame([(x,) for x in gone + kept], "t string")
     empty = [r.t for r in df.where(F.size(licences.canonical_lines(F.col("t"))) == 0).collect()]
     assert sorted(empty) == sorted(gone)
+
+
+def test_titles_and_whole_texts_from_files(spark):
+    mit, bsd3 = MIT.split("\n")[1], dict(licences.KNOWN[:6])["BSD-3-Clause"]
+    rows = [("MIT", t + mit) for t in ("", "The MIT License (MIT)\n\nCopyright (c) 2020 X\n\n", "(The MIT License)\n")]
+    rows += [("BSD-3-Clause", t + bsd3) for t in ("", "BSD 3-Clause License\n\nCopyright (c) 2020, X\nAll rights reserved.\n\n", "The BSD License\n")]
+    rows += [("BSD-3-Clause", "New BSD License\n" + bsd3.replace("1. ", "* ").replace("2. ", "* ").replace("3. ", "* "))]
+    for path in licences.FILES.glob("*.txt"):
+        text = path.read_text()
+        body = text.split("END OF TERMS AND CONDITIONS")[0]
+        start = re.search(licences._BODY_STARTS, body)
+        rows += [(path.stem, text), (path.stem, body), (path.stem, body[start.start() if start else 0 :].upper())]
+    for name in ("GPL-2.0-only", "LGPL-2.1-only"):
+        text = (licences.FILES / f"{name}.txt").read_text()
+        rows.append((name, re.sub(r"51 Franklin.*USA", "59 Temple Place, Suite 330, Boston, MA  02111-1307  USA", text)))
+    for name in ("Apache-2.0", "GPL-2.0-only", "GPL-3.0-only", "LGPL-2.1-only"):
+        body = (licences.FILES / f"{name}.txt").read_text().split("END OF TERMS AND CONDITIONS")[0]
+        parts = body[re.search(licences._BODY_STARTS, body).start() :].split("\n\n")
+        rows += [(name, "\n\n".join(textwrap.fill(" ".join(x.split()), w, break_on_hyphens=False) for x in parts)) for w in range(20, 121, 4)]
+    got = licences.scan(spark.createDataFrame(rows, "doc_id string, text string")).select("id", "licence").collect()
+    assert len(got) == len(rows) and [r for r in got if r.licence != r.id] == []
+
+
+def test_notices_of_other_licences(spark):
+    text = "SPDX-License-Identifier: MPL-2.0\nThis project is licensed under the BSD 3-Clause License.\nLicensed under CC BY-SA 3.0\nreleased under the GNU GPL v2"
+    got = licences.scan(frames.docs(spark, [text, MIT])).orderBy("id").collect()
+    assert got[0].notices == ["BSD-3-Clause", "CC-BY-SA-3.0", "GPL-2.0-only", "MPL-2.0"] and got[0].n_notices == 4
+    assert (got[1].licence, got[1].notices) == ("MIT", [])
