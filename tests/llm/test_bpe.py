@@ -48,3 +48,13 @@ def test_empty_table_and_other_files(spark):
     assert bpe.round_trip(frames.docs(spark, []), PATH).count() == 0
     with pytest.raises(ValueError):
         bpe.Bpe(public_tokenizers.path("byte_bpe_50k.json"))
+
+
+def test_special_tokens_in_other_case(library):
+    texts = ["a <|ENDOFTEXT|> b", "<|EndOfText|>", "<|endoftext|> <|ENDOFTEXT|><|endoftext|>", "x<|STARTOFTEXT|>y <|startoftext|>", "<|endoftext|>"]
+    for order in (texts, texts[::-1]):
+        coder = bpe.Bpe(PATH)
+        ids, size = coder.encode(order)
+        want = [e.ids for e in library.encode_batch(order, add_special_tokens=False)]
+        assert ids.tolist() == sum(want, []) and size.tolist() == [len(w) for w in want]
+    assert bpe.Bpe(PATH).encode(["<|ENDOFTEXT|>"])[0].tolist() == [27, 347, 40786, 4160, 91, 285]

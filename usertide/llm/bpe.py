@@ -114,7 +114,7 @@ class Bpe:
         words: list[bytes] = []
         counts = np.zeros(len(pieces), np.int64)
         for i, piece in enumerate(pieces):
-            if piece in self.added:
+            if piece.startswith(" "):
                 words.append(b"")
                 counts[i] = 1
             else:
@@ -124,16 +124,16 @@ class Bpe:
         special = [i for i, w in enumerate(words) if not w]
         ids, size = self.merge([w or b" " for w in words])
         ends = np.cumsum(size)
-        for i, piece in zip(special, (p for p in pieces if p in self.added), strict=True):
-            ids[ends[i] - 1] = self.added[piece]
+        for i, piece in zip(special, (p for p in pieces if p.startswith(" ")), strict=True):
+            ids[ends[i] - 1] = self.added[piece[1:]]
         total = np.append(0, ends)[np.append(0, np.cumsum(counts))]
         self.flat = np.concatenate([self.flat, ids])
         self.starts = np.concatenate([self.starts, self.starts[-1] + total[1:]])
 
     def pieces(self, text: str) -> list[str]:
-        """What lies between white space, after normalisation; special tokens are pieces of their own."""
+        """What lies between white space, after normalisation; special tokens are pieces of their own, marked by a blank before."""
         if self.split_added and "<|" in text and (parts := self.split_added.split(text))[1:]:
-            return [p for i, part in enumerate(parts) for p in ([part] if i % 2 else self.pieces(part))]
+            return [p for i, part in enumerate(parts) for p in ([" " + part] if i % 2 else self.pieces(part))]
         if not text.isascii():
             # lower case goes character by character: no special form of sigma at a word's end
             text = unicodedata.normalize("NFC", text).replace("Σ", "σ")
