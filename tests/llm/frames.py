@@ -40,5 +40,5 @@ def clashing(df):
     """The same rows with columns named as operators name theirs."""
     from pyspark.sql import functions as F
 
-    names = ["id", "t", "fp", "digest", "run", "row", "kept", "keep_id", "words", "n_words", "score", "found", "ids", "spans", "text_hash", "label", "key", "n", "root", "node"]
+    names = ["id", "t", "fp", "digest", "run", "row", "kept", "keep_id", "words", "n_words", "score", "found", "ids", "spans", "text_hash", "label", "key", "n", "root", "node", "__id", "__key", "__text", "__words", "__lines", "__stats", "__score", "c", "p", "cell", "block", "vec", "dims", "slot"]
     return df.withColumns({n: F.lit("clash") for n in names})

@@ -33,7 +33,7 @@ def test_query_matches_sql(spark, duck, name):
 def test_all_are_registered():
     names = entry_module.queries()
     assert set(queries.queries()) | {"pipeline"} <= set(names)
-    assert sorted(int(n[2:].split("_")[0]) for n in queries.queries()) == list(range(1, 11))
+    assert sorted(int(n[2:].split("_")[0]) for n in queries.queries()) == list(range(1, 14))
     assert set(oracle.oracle_sql()) <= set(entry_module.oracle_sql())
 
 

@@ -196,6 +196,94 @@ select d.doc_id, k.licence, coalesce(n.names, '') as notices, coalesce(n.n, 0) a
 from documents d left join whole w using (doc_id) left join known k using (plain) left join notices n on n.doc_id = d.doc_id
 """
 
+_USABLE = "embedding is not null and label is not null and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0"
+
+_OP11 = f"""
+with recursive v as (
+    select vec_id, label, list_transform(embedding, lambda x: cast(x as double)) as e from embeddings
+    where {_USABLE} and len(list_filter(embedding, lambda x: x <> 0)) > 0
+),
+links as (
+    select a.vec_id as x, b.vec_id as y from v a join v b on a.label = b.label and a.vec_id <> b.vec_id and len(a.e) = len(b.e)
+    where list_cosine_similarity(a.e, b.e) >= 0.93
+),
+reach as (select vec_id as x, vec_id as r from embeddings union select reach.x, links.y from reach join links on links.x = reach.r),
+components as (select x, min(r) as component_id from reach group by x),
+degrees as (select x, count(*) as n_links from links group by x)
+select vec_id, coalesce(n_links, 0) as n_links, component_id, vec_id = component_id as kept
+from embeddings join components on components.x = vec_id left join degrees on degrees.x = vec_id
+"""
+
+_OP13 = f"""
+with v as (
+    select vec_id, case when vec_id % 7 = 0 then (label + 1) % 10 else label end as label,
+        list_transform(embedding, lambda x: floor(256 * cast(x as double))) as q
+    from embeddings where {_USABLE}
+),
+scores as (
+    select a.vec_id as anchor_id, b.vec_id as other, a.label = b.label as same, cast(list_dot_product(a.q, b.q) as bigint) as score
+    from v a join v b on a.vec_id <> b.vec_id where a.vec_id % 100 = 0
+),
+near as (
+    select anchor_id, other as positive_id, score as positive_score from scores where same
+    qualify row_number() over (partition by anchor_id order by score desc, other) <= 5
+)
+select anchor_id, positive_id, cast(row_number() over hardest as integer) as rank, other as negative_id, positive_score, score as negative_score
+from near join scores using (anchor_id)
+where not same and 80 * positive_score <= 100 * score and 100 * score <= 100 * positive_score
+window hardest as (partition by anchor_id, positive_id order by score desc, other)
+qualify row_number() over hardest <= 5
+"""
+
+_OP12 = r"""
+with recursive bits as (
+    select n, 0 as i, n as v from (select cast(range as bigint) as n from range(256))
+    union all
+    select n, i + 1, case when v & 1 = 1 then xor(v >> 1, 3988292384) else v >> 1 end from bits where i < 8
+),
+crcs as (
+    select c, cast(c as varchar) as s, 0 as i, cast(4294967295 as bigint) as v from (select distinct conv_id as c from conversations where conv_id is not null)
+    union all
+    select c, s, i + 1, xor(crcs.v >> 8, step.v) from crcs
+    join (select n, v from bits where i = 8) step on step.n = xor(crcs.v, cast(ascii(substr(s, crcs.i + 1, 1)) as bigint)) & 255
+    where crcs.i < length(s)
+),
+convs as (select c, xor(v, 4294967295) % 4 as h, c - c % 20 as base from crcs where i = length(s)),
+turns as (
+    select conv_id as c, row_number() over (partition by conv_id order by turn nulls first) as i, coalesce(text, '') as text,
+        length(coalesce(role, '')) || ':' || coalesce(role, '') || coalesce(text, '') as said
+    from conversations
+),
+sequence as (
+    select convs.c, i, 0 as own, text, said from convs join turns on turns.c = base and i <= h
+    union all
+    select convs.c, i, 1, text, said from convs join turns on turns.c = convs.c and i > h
+),
+placed as (select c, row_number() over (partition by c order by own, i) as p, text, said from sequence),
+prefixes as (
+    select c, p, string_agg(sha256(said), '') over (partition by c order by p) as key, string_agg(sha256(said), '') over (partition by c order by p rows between unbounded preceding and 1 preceding) as up,
+        len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')) as words
+    from placed
+    union all
+    select c, 0, '', null, 0 from convs
+),
+members as (select c, p, key, case when p = 1 then '' else up end as up, words, p = max(p) over (partition by c) as last from prefixes),
+nodes as (
+    select p as depth, key, any_value(up) as up, any_value(words) as words, min(c) as conv_id, count(*) as n_convs,
+        sha256(coalesce(string_agg(cast(c as varchar), ',' order by c) filter (last), '')) as ends_sha256
+    from members group by p, key
+),
+counted as (select nodes.*, (select count(*) from nodes below where below.depth = nodes.depth + 1 and below.up = nodes.key) as n_children from nodes),
+sums as (
+    select above.p as depth, above.key, count(*) filter (n_children = 0) as n_leaves, sum((n_convs - 1) * counted.words) as saved
+    from counted join members above on above.c = conv_id and above.p <= depth group by above.p, above.key
+)
+select counted.conv_id, counted.depth, parent.conv_id as parent_conv_id, counted.n_convs, counted.n_children, n_leaves,
+    cast(saved as bigint) as saved_tokens, counted.ends_sha256
+from counted join sums on sums.depth = counted.depth and sums.key = counted.key
+left join nodes parent on parent.depth = counted.depth - 1 and parent.key = counted.up
+"""
+
 
 def oracle_sql() -> dict[str, str]:
     return {
@@ -203,4 +291,7 @@ def oracle_sql() -> dict[str, str]:
         "op6_decontaminate": _OP6,
         "op7_licence_scan": _OP7,
         "op9_exact_dedup": _OP9,
+        "op11_embedding_dedup": _OP11,
+        "op12_prefix_trie": _OP12,
+        "op13_hard_negatives": _OP13,
     }

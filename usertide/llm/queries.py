@@ -10,10 +10,13 @@ from pyspark.sql import functions as F
 from usertide.llm import (
     bpe,
     decontaminate,
+    embeddings,
     exact_dedup,
+    hard_negatives,
     kneser_ney,
     licences,
     oracle,
+    prefix_trie,
     quality,
     quotes,
     simhash,
@@ -136,6 +139,24 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Vectors of one label linked at a cosine of 0.93 or more, and the representative of each group."""
+    found = embeddings.near_dedup(table(spark, sf_dir, "embeddings"), threshold=0.93)
+    return found.select(F.col("id").alias("vec_id"), "n_links", "component_id", "kept")
+
+
+def op12_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The prefix trie of conversations that borrow their first turns from a neighbour."""
+    return prefix_trie.prefix_trie(table(spark, sf_dir, "conversations"), share=20, heads_below=4)
+
+
+def op13_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Hard negatives of every hundredth vector; the labels of every seventh are moved on by one first."""
+    rows = table(spark, sf_dir, "embeddings")
+    moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return hard_negatives.hard_negatives(rows.withColumn("label", moved), lambda vec_id: vec_id % 100 == 0)
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         f.__name__: f
@@ -150,6 +171,9 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
             op8_bpe_round_trip,
             op9_exact_dedup,
             op10_token_counts,
+            op11_embedding_dedup,
+            op12_prefix_trie,
+            op13_hard_negatives,
         )
     }
 
