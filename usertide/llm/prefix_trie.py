@@ -266,13 +266,14 @@ def prefix_trie(
     nodes = stored(nodes.join(ups, above, "left").drop("up_depth", "up1", "up2"), f"{work}/nodes")
     children = nodes.where("up_node is not null").groupBy(F.col("up_node").alias("node")).agg(F.count("*").alias("n_children"))
     ends = joined_ids(seen.where("node is not null and last"), "node", "c")
-    found = nodes.join(children, "node", "left").join(sums, "node", "left").join(ends, "node", "left")
-    parent = F.when(F.col("depth") > 0, F.coalesce("up", "c"))
-    alone = F.col("node").isNull()
+    parent = F.when(F.col("depth") > 0, F.coalesce("up", "c")).alias("parent_conv_id")
+    top = nodes.where("node is null").select(
+        F.col("c").alias("conv_id"), "depth", parent, one.alias("n_convs"), F.when(F.col("last"), none).otherwise(one).alias("n_children"),
+        one.alias("n_leaves"), none.alias("saved_tokens"), ended.alias("ends_sha256"),
+    )
+    found = nodes.where("node is not null").join(children, "node", "left").join(sums, "node").join(ends, "node", "left")
     found = found.select(
-        F.col("c").alias("conv_id"), "depth", parent.alias("parent_conv_id"), "n_convs",
-        F.when(alone & ~F.col("last"), one).otherwise(F.coalesce("n_children", none)).alias("n_children"),
-        F.when(alone, one).otherwise(F.col("n_leaves")).alias("n_leaves"), F.coalesce("saved_tokens", none).alias("saved_tokens"),
-        F.when(alone, ended).otherwise(F.coalesce("ends_sha256", F.lit(empty))).alias("ends_sha256"),
+        F.col("c").alias("conv_id"), "depth", parent, "n_convs", F.coalesce("n_children", none).alias("n_children"),
+        "n_leaves", "saved_tokens", F.coalesce("ends_sha256", F.lit(empty)).alias("ends_sha256"),
     )
-    return stored(found.unionByName(local), f"{work}/found")
+    return stored(found.unionByName(top).unionByName(local), f"{work}/found")
