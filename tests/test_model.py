@@ -385,3 +385,13 @@ def test_pipeline_with_gap_sessions_and_dedup(spark, tmp_path):
     )
     assert rows(model["fact_sessions"], "session_key", "event_count") == [("a-1577880000000000", 2), ("a-5", 1)]
     assert rows(model["dim_device"], "platform") == [("APP",), ("WEB",)]
+
+
+def test_a_table_that_cannot_take_its_place_leaves_the_old_one(spark, tmp_path):
+    store = ut.TableStore(spark, root=f"{tmp_path}/dw")
+    events = enriched(spark, *FIRST)
+    store.replace({"dim_user": ut.build_dim_user(events)})
+    before = rows(store.read("dim_user"))
+    with pytest.raises(Exception, match="could not move"):
+        store._adopt("dim_user")  # nothing lies beside it
+    assert rows(store.read("dim_user")) == before and len(before) == 2

@@ -53,8 +53,10 @@ from usertide.operators.sessionize import dedup_events, fill_sessions, session_s
 from usertide.operators.staging import enrich_events, rollup_events, stage_events
 from usertide.functions.columns import to_reporting_date
 from usertide.plans.pipeline import build_marts, build_model, load_model, rebuild_purchases, run_pipeline
+from usertide.plans.snapshot_loads import load_snapshot
 from usertide.schemas import conform
 from usertide.sources.events import read_events, store_events, write_events
+from usertide.sources.snapshots import ConcurrentLoad, SnapshotStore
 from usertide.sources.tables import TableStore, insert_if_absent, publish_views
 
 __all__ = [name for name in dir() if not name.startswith("_")]

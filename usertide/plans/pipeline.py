@@ -20,8 +20,10 @@ from usertide.operators.marts import churn_proxy, funnel_daily, retention_cohort
 from usertide.operators.sessionize import dedup_events, fill_sessions
 from usertide.operators.staging import enrich_events, rollup_events, stage_events
 from usertide.schemas import DIM_ATTRIBUTES, LOAD_KEYS
+from usertide.plans.snapshot_loads import load_snapshot
 from usertide.session import prepare, shared_dir
 from usertide.sources.events import read_back, read_events, store_events, write_events
+from usertide.sources.snapshots import SnapshotStore
 from usertide.sources.tables import TableStore
 
 
@@ -53,7 +55,7 @@ def load_model(
 ) -> None:
     """Write the tables: ``full`` replaces them, ``incremental`` adds absent keys only.
 
-    A full load replaces the tables once all nine are written, so a failure leaves the old ones.
+    A full load replaces the tables once all nine are written, so a failure while writing leaves the old ones.
     An incremental load never changes a loaded row, so a late event of a known user,
     session or day has no effect; one that broke off can simply be run again. ``dates`` are the first and
     last date of its events, if they are known.
@@ -79,7 +81,7 @@ def load_model(
 def run_pipeline(
     spark: SparkSession,
     src: str | DataFrame,
-    out: str | TableStore,
+    out: str | TableStore | SnapshotStore,
     work: str | None = None,
     mode: str = "full",
     start: str | None = None,
@@ -93,7 +95,8 @@ def run_pipeline(
     """Load all tables from raw events and return them.
 
     ``src`` is a folder of day shards, which ``start`` and ``end`` narrow, or a raw
-    frame. A full load of some days alone would lose all others, so it is refused where there are rows. ``out`` is a folder or a store. ``work`` is a folder on shared storage, of this
+    frame. A full load of some days alone would lose all others, so it is refused where there are rows. ``out`` is a folder or a store; a
+    ``SnapshotStore`` gets a new version of all tables at once, and takes ``mode="merge"`` too, for events that it does not hold yet. ``work`` is a folder on shared storage, of this
     load alone; unless given, a new one under ``spark.checkpoint.dir``. The rollup of the
     events is written there once and all tables but the purchases read it, so the raw
     events are scanned twice rather than once per table. ``staged_events`` names a folder
@@ -101,7 +104,9 @@ def run_pipeline(
     derives a session id for events without one; ``dedup`` first drops repeated events.
     """
     prepare(spark)
-    store = out if isinstance(out, TableStore) else TableStore(spark, root=out)
+    store = TableStore(spark, root=out) if isinstance(out, str) else out
+    if mode == "merge" and (not isinstance(store, SnapshotStore) or session_gap or dedup):
+        raise ValueError("mode='merge' needs a SnapshotStore, and events whose sessions and copies do not depend on other events")
     if mode == "full" and start is not None and store.holds_rows():
         raise ValueError("a full load of given days would drop the other days of these tables; use mode='incremental'")
     work = (work or shared_dir(spark)).rstrip("/")
@@ -123,7 +128,11 @@ def run_pipeline(
         events = store_events(events, f"{work}/enriched_events")
     rolled = rollup_events(events)
     rolled.write.mode("overwrite").parquet(f"{work}/event_slices")
-    slices = enrich_events(spark.read.schema(rolled.schema).parquet(f"{work}/event_slices"))
+    rolled = spark.read.schema(rolled.schema).parquet(f"{work}/event_slices")
+    slices = enrich_events(rolled)
+    if isinstance(store, SnapshotStore):
+        load_snapshot(store, build_model(slices, events, dim_grain, funnel_grain), rolled, work, mode, dim_grain, funnel_grain)
+        return store.model()
 
     dates = None
     if mode == "incremental":

@@ -143,6 +143,26 @@ TABLES: dict[str, T.StructType] = {
     ),
 }
 
+# The rollup at rest: the columns that hold a slice, and its measures.
+SLICES = _struct(
+    user_id="string",
+    ga_session_id="bigint",
+    ga_session_number="bigint",
+    event_date_utc="date",
+    event_name="string",
+    device_category="string",
+    platform="string",
+    country="string",
+    region="string",
+    traffic_source="string",
+    traffic_medium="string",
+    traffic_campaign="string",
+    event_count="bigint",
+    first_ts="timestamp",
+    last_ts="timestamp",
+    purchase_revenue="money",
+)
+
 # The key under which a load finds a row already present.
 LOAD_KEYS: dict[str, list[str]] = {
     "dim_date": ["date_day"],

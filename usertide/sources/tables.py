@@ -93,7 +93,8 @@ class TableStore:
     def replace(self, model: dict[str, DataFrame], tasks: int = 1) -> None:
         """Replace tables by these, once all of them are written; a failure before leaves the old ones as they are.
 
-        ``tasks`` tables are written at a time.
+        The tables then take their places one after the other: a process that ends in between leaves some old and some new ones, and the
+        one in the middle under ``_old``. A ``SnapshotStore`` has no such moment. ``tasks`` tables are written at a time.
         """
         with ThreadPoolExecutor(tasks) as pool:
             list(pool.map(lambda name: self.write(model[name], name, "overwrite", self._beside(name)), model))
@@ -118,9 +119,23 @@ class TableStore:
         paths = self.spark._jvm.org.apache.hadoop.fs
         old, new = paths.Path(self._name(table)), paths.Path(self._beside(table))
         files = old.getFileSystem(self.spark._jsc.hadoopConfiguration())
-        files.delete(old, True)
-        if not files.rename(new, old):
+        # The old one is moved aside, not deleted, until the new one has its place.
+        aside = paths.Path(f"{self.root}/_old/{table}")
+        files.mkdirs(aside.getParent())
+        if files.exists(aside):
+            files.delete(aside, True)
+        held = files.exists(old)
+        if held and not files.rename(old, aside):
+            raise OSError(f"could not move {old.toString()} aside")
+        try:
+            moved = files.rename(new, old)
+        except Exception:
+            moved = False
+        if not moved:
+            if held:
+                files.rename(aside, old)
             raise OSError(f"could not move {new.toString()} to {old.toString()}")
+        files.delete(aside, True)
         self.spark.catalog.refreshByPath(self._name(table))
 
     def model(self) -> dict[str, DataFrame]:

@@ -634,6 +634,16 @@ UNION ALL SELECT 'unkeyed_events_purchase', count(*) FILTER (event_name = 'purch
         found[f"incremental_{t}"] = with_tables([], shown(t, f"{t}_2"), EARLY, *twice(t))
         found[f"load_incremental_{t}"] = found[f"incremental_{t}"]
         found[f"load_full_{t}"] = found[t]
+        found[f"load_merge_{t}"] = found[t]
+    for t in ("dim_user", "fact_sessions", "fact_funnel_steps", "fact_purchases"):
+        found[f"load_filtered_{t}"] = found[f"incremental_{t}"]
+    found["load_snapshot_previous"] = with_tables(
+        [],
+        shown("fact_sessions", "first_sessions"),
+        EARLY,
+        "first_load AS (SELECT * FROM early WHERE epoch_us(event_ts_utc) % 5 <> 0)",
+        f"first_sessions AS ({bodies('first_load')['fact_sessions']})",
+    )
     found["fact_purchases_rebuilt"] = found["fact_purchases"]
     found["source_day_shards"] = found["stg_events_base"] + " WHERE event_date_utc BETWEEN DATE '2020-11-20' AND DATE '2020-12-10'"
     found["load_full"] = with_tables(TABLES, ROW_COUNTS.format(**{t: t for t in TABLES}))

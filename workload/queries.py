@@ -12,6 +12,7 @@ import usertide as ut
 from usertide.plans.pipeline import MART_WEEKS
 from usertide.schemas import DIM_ATTRIBUTES, DIM_KEYS, LOAD_KEYS
 from usertide.session import shared_dir, prepare
+from usertide.sources.snapshots import FILTER_KEYS
 from workload.fixture import enriched_events, raw_events, staged_events
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -125,6 +126,42 @@ def loaded(name: str, mode: str) -> Query:
     return lambda spark, sf_dir: comparable(stored_model(spark, sf_dir, mode)[name])
 
 
+def _arrivals(raw: DataFrame) -> list[DataFrame]:
+    """The events in three loads: most of the first part; the second part, with events of no date; and what was late for the first."""
+    held = F.coalesce(F.col("event_timestamp") % 5 != 0, F.lit(False))
+    early = F.coalesce(
+        ut.to_reporting_date(F.timestamp_micros("event_timestamp")) <= F.lit(FIRST_LOAD_UNTIL).cast("date"), F.lit(False)
+    )
+    return [raw.where(early & held), raw.where(~early), raw.where(early & ~held)]
+
+
+_snapshots: dict[tuple[str, ...], ut.SnapshotStore] = {}
+
+
+def snapshots(spark: SparkSession, sf_dir: str, mode: str) -> ut.SnapshotStore:
+    """A store of snapshots, loaded once per session: a load of the first events, and merges or an insert-only load after it."""
+    prepare(spark)
+    key = (spark.sparkContext.applicationId, sf_dir, mode)
+    if key not in _snapshots:
+        base, raw = shared_dir(spark), raw_events(spark, sf_dir)
+        store = ut.SnapshotStore(spark, f"{base}/dw")
+        loads = _arrivals(raw) if mode == "merge" else [early_events(raw), raw]
+        for i, events in enumerate(loads):
+            ut.run_pipeline(spark, events, store, f"{base}/work{i}", mode if i else "full")
+        _snapshots[key] = store
+    return _snapshots[key]
+
+
+def snapshot(name: str, mode: str, version: int | None = None) -> Query:
+    """The contents of a table in the latest version of a snapshot store, or in an older one."""
+
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        store = snapshots(spark, sf_dir, mode)
+        return comparable((store.at(version) if version else store).read(name))
+
+    return run
+
+
 def day_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Events staged from day shards, those of given days alone."""
     path, day = f"{shared_dir(spark)}/export", ut.to_reporting_date(F.timestamp_micros("event_timestamp"))
@@ -380,6 +417,10 @@ def _loads() -> dict[str, Query]:
     for name in BUILDERS:
         found[f"load_full_{name}"] = loaded(name, "full")
         found[f"load_incremental_{name}"] = loaded(name, "incremental")
+        found[f"load_merge_{name}"] = snapshot(name, "merge")
+    for name in FILTER_KEYS:
+        found[f"load_filtered_{name}"] = snapshot(name, "incremental")
+    found["load_snapshot_previous"] = snapshot("fact_sessions", "merge", version=1)
     found["source_day_shards"] = day_shards
     found["fact_purchases_rebuilt"] = purchases_rebuilt
     found["load_full"] = load("full")
