@@ -129,3 +129,21 @@ def test_summary_reads_sessions_three_times_at_most(spark, stored, no_broadcast)
 def test_segment_funnel_hashes_the_steps(stored, no_broadcast):
     text = plan(ut.funnel_daily(stored["fact_funnel_steps"], by=["device_key"]))
     assert text.rindex("HashAggregate") > text.rfind("SortAggregate")
+
+
+def test_bucketed_slices_feed_the_tables_of_users_without_a_shuffle(spark, tmp_path, no_broadcast):
+    spark.sql(f"CREATE DATABASE sliced LOCATION '{tmp_path}/sliced'")
+    store = ut.TableStore(spark, database="sliced", buckets=4)
+    odd = [raw("e", "2020-01-03 10:00:00", session=-9), raw("e-", "2020-01-03 09:00:00", session=9), raw(None, "2020-01-03 09:00:00")]
+    more = [raw(f"u{i}", f"2020-01-0{1 + i % 8} 10:00:00", "purchase", session=i % 3, txn=f"t{i}") for i in range(40)]
+    events = enriched(spark, *odd, *more, raw("u1", "2020-01-05 10:00:00", "view_item", session=1))
+    slices = ut.enrich_events(store.keep_slices(ut.rollup_events(events)))
+    plain = ut.build_model(events, events)
+    for grain in ("reference", "session_step"):
+        model = ut.build_model(slices, events, funnel_grain=grain, within=["user_home"])
+        plain["fact_funnel_steps"] = ut.build_fact_funnel_steps(events, grain=grain)
+        for name in ("dim_user", "fact_sessions", "fact_user_daily_activity", "fact_funnel_steps"):
+            assert exchanges(model[name]) == 0, name
+            assert rows(model[name]) == rows(plain[name]), name
+    assert "e--9" in {r[0] for r in rows(model["fact_sessions"], "session_key")} and model["fact_sessions"].where("session_key = 'e--9'").count() == 1
+    spark.sql("DROP DATABASE sliced CASCADE")

@@ -38,6 +38,15 @@ def session_key(user: str = "user_id", session: str = "ga_session_id") -> Column
     return F.expr(f"concat({user}, '-', cast({session} as string))")
 
 
+def user_home(user: str = "user_id") -> Column:
+    """The user without trailing hyphens: one value for all users who could share a session key.
+
+    ``a-`` with session 5 and ``a`` with session -5 have the same key, and no other users can. So rows that are stored by this column hold
+    users and sessions whole, and grouping by it as well changes no group of either.
+    """
+    return F.rtrim(F.col(user), F.lit("-"))
+
+
 def micros_date(micros: str) -> str:
     """SQL for the calendar date of microseconds since 1970, whatever the session's time zone."""
     return f"date_add(date'1970-01-01', cast(({micros} - pmod({micros}, 86400000000L)) div 86400000000L as int))"

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
@@ -51,13 +53,13 @@ def build_dim(events: DataFrame, key: str, attributes: list[str], grain: str = "
     return rows.withColumn("_rank", F.row_number().over(best)).where("_rank = 1").drop("_rank")
 
 
-def build_dim_user(events: DataFrame) -> DataFrame:
-    """First sight, first purchase and purchaser flag of every known user."""
+def build_dim_user(events: DataFrame, within: Sequence[str] = ()) -> DataFrame:
+    """First sight, first purchase and purchaser flag of every known user. ``within`` names columns that a user determines."""
     bought = is_event(PURCHASE)
     return (
         with_measures(events)
         .where(F.col("user_id").isNotNull())
-        .groupBy("user_id")
+        .groupBy(*within, "user_id")
         .agg(
             F.min("first_ts").alias("first_seen_ts"),
             F.min("event_date_utc").alias("first_seen_date"),
@@ -65,4 +67,5 @@ def build_dim_user(events: DataFrame) -> DataFrame:
             F.min(F.when(bought, F.col("event_date_utc"))).alias("first_purchase_date"),
             F.bool_or(bought).alias("is_purchaser"),
         )
+        .drop(*within)
     )

@@ -55,14 +55,18 @@ def first_events(events: DataFrame, by: Sequence[str] = (), time: str = "event_t
     )
 
 
-def build_fact_sessions(events: DataFrame, dim_keys: bool = True) -> DataFrame:
-    """One row per session key. ``dim_keys=False`` leaves out the three dimension keys."""
+def build_fact_sessions(events: DataFrame, dim_keys: bool = True, within: Sequence[str] = ()) -> DataFrame:
+    """One row per session key. ``dim_keys=False`` leaves out the three dimension keys.
+
+    ``within`` names columns that a session key determines, such as the one the events are stored by: grouping by them as
+    well spares the shuffle.
+    """
     keys = dimension_keys() if dim_keys else {}
     identity = ["user_id", "ga_session_id", "ga_session_number"]
     candidates = (
         with_measures(events)
         .where(F.col("session_key").isNotNull())
-        .groupBy("session_key", *identity, *(ALL_ATTRIBUTES if keys else []))
+        .groupBy(*within, "session_key", *identity, *(ALL_ATTRIBUTES if keys else []))
         .agg(
             F.min("first_ts").alias("first_ts"),
             F.max("last_ts").alias("last_ts"),
@@ -73,7 +77,7 @@ def build_fact_sessions(events: DataFrame, dim_keys: bool = True) -> DataFrame:
         )
         .select("*", *[key.alias(name) for name, key in keys.items()])
     )
-    sessions = candidates.groupBy("session_key").agg(
+    sessions = candidates.groupBy(*within, "session_key").agg(
         _earliest(*identity, *keys),
         F.min("first_ts").alias("session_start_ts"),
         F.max("last_ts").alias("session_end_ts"),
@@ -102,6 +106,7 @@ def build_fact_funnel_steps(
     steps: dict[str, int] = FUNNEL_STEPS,
     grain: str = "reference",
     first_event_starts: bool = False,
+    within: Sequence[str] = (),
 ) -> DataFrame:
     """First time of each funnel step.
 
@@ -109,7 +114,8 @@ def build_fact_funnel_steps(
 
     ``grain='reference'`` has a row per session, date, dimension keys and step, so a
     session over midnight or with changing keys has several rows per step.
-    ``grain='session_step'`` has exactly one, with date and keys of its earliest event.
+    ``grain='session_step'`` has exactly one, with date and keys of its earliest event. ``within`` is that of ``build_fact_sessions``;
+    first events that count as starts are shuffled all the same.
     """
     names = list(steps)
     group = ["session_key", "user_id", "event_date_utc", *DIM_KEYS, "event_name"]
@@ -117,14 +123,15 @@ def build_fact_funnel_steps(
     measured = with_measures(events)
     named = measured.where(F.col("event_name").isin(names) & F.col("session_key").isNotNull())
     if first_event_starts:
+        within = ()
         named = named.select(*group, "first_ts").unionByName(
             first_events(measured, DIM_KEYS, "first_ts").select(*group, "first_ts")
         )
-    rows = named.groupBy(*group).agg(F.min("first_ts").alias("first_ts"))
+    rows = named.groupBy(*within, *group).agg(F.min("first_ts").alias("first_ts"))
     if grain == "session_step":
         carried = ["event_date_utc", "user_id", *DIM_KEYS]
         rows = (
-            rows.groupBy("session_key", "event_name")
+            rows.groupBy(*within, "session_key", "event_name")
             .agg(_earliest(*carried))
             .select("session_key", "event_name", "earliest.first_ts", *[f"earliest.{c}" for c in carried])
         )
@@ -141,14 +148,14 @@ def build_fact_funnel_steps(
     )
 
 
-def build_fact_user_daily_activity(events: DataFrame, dim_keys: bool = True) -> DataFrame:
-    """One row per user and active date. ``dim_keys=False`` leaves out the dimension keys."""
+def build_fact_user_daily_activity(events: DataFrame, dim_keys: bool = True, within: Sequence[str] = ()) -> DataFrame:
+    """One row per user and active date. ``dim_keys=False`` leaves out the dimension keys; ``within`` names columns that a user determines."""
     # The funnel events of a group as one bit each: one small buffer instead of five.
     bits = {name: 1 << i for i, name in enumerate(FUNNEL_STEPS)}
     cases = " ".join(f"when '{name}' then {mask}" for name, mask in bits.items())
     bit = F.expr(f"case event_name {cases} else 0 end")
     rows = with_measures(events).where(F.col("user_id").isNotNull() & F.col("event_date_utc").isNotNull())
-    group = ["user_id", F.col("event_date_utc").alias("activity_date")]
+    group = [*within, "user_id", F.col("event_date_utc").alias("activity_date")]
     measures = [
         F.sum("event_count").alias("event_count"),
         F.bit_or(bit).alias("seen"),
@@ -159,7 +166,7 @@ def build_fact_user_daily_activity(events: DataFrame, dim_keys: bool = True) ->
         candidates = rows.groupBy(*group, *ALL_ATTRIBUTES).agg(F.min("first_ts").alias("first_ts"), *measures)
         days = (
             candidates.withColumns(dimension_keys())
-            .groupBy("user_id", "activity_date")
+            .groupBy(*within, "user_id", "activity_date")
             .agg(
                 _earliest(*DIM_KEYS),
                 F.sum("event_count").alias("event_count"),

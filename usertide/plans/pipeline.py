@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from concurrent.futures import ThreadPoolExecutor
 from datetime import date
 
@@ -24,7 +25,7 @@ from usertide.plans.snapshot_loads import load_snapshot
 from usertide.session import prepare, shared_dir
 from usertide.sources.events import read_back, read_events, store_events, write_events
 from usertide.sources.snapshots import SnapshotStore
-from usertide.sources.tables import TableStore
+from usertide.sources.tables import HOME, TableStore
 
 
 # Fixed value: the last week of a cohort in its mart.
@@ -32,20 +33,24 @@ MART_WEEKS = 12
 
 
 def build_model(
-    slices: DataFrame, events: DataFrame, dim_grain: str = "key", funnel_grain: str = "reference"
+    slices: DataFrame,
+    events: DataFrame,
+    dim_grain: str = "key",
+    funnel_grain: str = "reference",
+    within: Sequence[str] = (),
 ) -> dict[str, DataFrame]:
     """The nine tables, dimensions first, from enriched slices and enriched events.
 
-    Only the purchases need single events. To derive everything without a stored
+    ``within`` names the column that stored slices are bucketed by, if they are. Only the purchases need single events. To derive everything without a stored
     rollup, pass the enriched events twice.
     """
     model = {"dim_date": build_dim_date(slices)}
     for name, (key, attributes) in DIM_ATTRIBUTES.items():
         model[name] = build_dim(slices, key, attributes, dim_grain)
-    model["dim_user"] = build_dim_user(slices)
-    model["fact_sessions"] = build_fact_sessions(slices)
-    model["fact_funnel_steps"] = build_fact_funnel_steps(slices, grain=funnel_grain)
-    model["fact_user_daily_activity"] = build_fact_user_daily_activity(slices)
+    model["dim_user"] = build_dim_user(slices, within)
+    model["fact_sessions"] = build_fact_sessions(slices, within=within)
+    model["fact_funnel_steps"] = build_fact_funnel_steps(slices, grain=funnel_grain, within=within)
+    model["fact_user_daily_activity"] = build_fact_user_daily_activity(slices, within=within)
     model["fact_purchases"] = build_fact_purchases(events)
     return model
 
@@ -126,9 +131,11 @@ def run_pipeline(
         events = read_back(spark, events, staged_events)
     elif session_gap:
         events = store_events(events, f"{work}/enriched_events")
-    rolled = rollup_events(events)
-    rolled.write.mode("overwrite").parquet(f"{work}/event_slices")
-    rolled = spark.read.schema(rolled.schema).parquet(f"{work}/event_slices")
+    within = []
+    if isinstance(store, TableStore) and store.buckets:
+        rolled, within = store.keep_slices(rollup_events(events)), [HOME]
+    else:
+        rolled = store_events(rollup_events(events), f"{work}/event_slices")
     slices = enrich_events(rolled)
     if isinstance(store, SnapshotStore):
         load_snapshot(store, build_model(slices, events, dim_grain, funnel_grain), rolled, work, mode, dim_grain, funnel_grain)
@@ -138,7 +145,7 @@ def run_pipeline(
     if mode == "incremental":
         bounds = slices.agg(F.min("event_date_utc"), F.max("event_date_utc")).first()
         dates = tuple(bounds) if bounds[0] else None
-    load_model(store, build_model(slices, events, dim_grain, funnel_grain), mode, dates)
+    load_model(store, build_model(slices, events, dim_grain, funnel_grain, within), mode, dates)
     return store.model()
 
 

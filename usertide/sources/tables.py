@@ -10,8 +10,12 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from usertide.functions.columns import user_home
 from usertide.schemas import BUCKET_COLUMN, DATE_COLUMN, TABLES, conform
 
+#: The column that stored slices are bucketed by.
+HOME = "user_home"
+
 
 def insert_if_absent(new: DataFrame, existing: DataFrame, keys: list[str]) -> DataFrame:
     """Rows of ``new`` whose key is not in ``existing``.
@@ -166,6 +170,17 @@ class TableStore:
         else:
             writer.save(place)
 
+    def keep_slices(self, rolled: DataFrame) -> DataFrame:
+        """Store the rollup of a load in buckets of users, and return it as it lies there.
+
+        All tables of users, days, sessions and steps are then aggregated bucket by bucket, with no shuffle. A user with a large share of all slices makes
+        a large bucket.
+        """
+        rows = rolled.withColumn(HOME, user_home()).repartition(self.buckets, HOME)
+        place = self._name("event_slices")
+        rows.write.mode("overwrite").format("parquet").bucketBy(self.buckets, HOME).sortBy(HOME).saveAsTable(place)
+        return self.spark.table(place)
+
     def insert(self, df: DataFrame, table: str, keys: list[str], dates: tuple[date, date] | None = None) -> None:
         """Append the rows whose key the table does not hold. A repeated run adds nothing.
 
