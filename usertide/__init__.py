@@ -1,5 +1,12 @@
 """Product-lifecycle analytics on PySpark DataFrames."""
 
+from usertide.operators.calendar import (
+    activity_calendar,
+    calendar_churn_rate,
+    calendar_retention,
+    merge_calendars,
+    rolling_active_users,
+)
 from usertide.operators.dims import build_dim, build_dim_date, build_dim_user
 from usertide.operators.facts import (
     build_fact_funnel_steps,
@@ -50,6 +57,7 @@ from usertide.operators.qa import (
     qa_unkeyed,
 )
 from usertide.operators.sessionize import dedup_events, fill_sessions, session_starts, sessionize
+from usertide.operators.sketches import daily_sketches, sketched_overlap, sketched_quantiles, sketched_users
 from usertide.operators.staging import enrich_events, rollup_events, stage_events
 from usertide.functions.columns import to_reporting_date
 from usertide.plans.pipeline import build_marts, build_model, load_model, rebuild_purchases, run_pipeline

@@ -704,6 +704,32 @@ WHERE event_name = 'purchase' AND event_date_utc BETWEEN DATE '2020-11-15' AND D
         ["fact_user_daily_activity"], CHURN_RATE.replace("SELECT t", "SELECT geo_key, t"), churn_by_day(30, "geo_key")
     )
     found["churn_rate_14d_week"] = with_tables([], CHURN_RATE_WEEK, churn_by_day(14))
+    for n in (7, 28):
+        found[f"rolling_active_users_{n}d"] = with_tables(
+            [],
+            f"""SELECT CAST(t AS DATE) AS activity_date, (SELECT count(DISTINCT user_id) FROM days
+  WHERE d BETWEEN t - INTERVAL {n - 1} DAY AND t) AS active_users
+FROM (SELECT unnest(generate_series(min(d), max(d), INTERVAL 1 DAY)) AS t FROM days)""",
+            "days AS (SELECT DISTINCT user_id, event_date_utc AS d FROM ev WHERE user_id IS NOT NULL AND event_date_utc IS NOT NULL)",
+        )
+    found["calendar_retention_nday"] = found["retention_nday"]
+    found["calendar_churn_rate_30d"] = found["churn_rate_30d"]
+    found["calendar_churn_rate_14d_week"] = found["churn_rate_14d_week"]
+    active_days = "FROM ev WHERE user_id IS NOT NULL AND event_date_utc IS NOT NULL"
+    month = "CAST(date_trunc('month', event_date_utc) AS DATE)"
+    found["sketched_users_month"] = with_tables(
+        [], f"SELECT {month} AS period_start, count(DISTINCT user_id) AS exact_users, TRUE AS in_bound {active_days} GROUP BY 1"
+    )
+    found["sketched_users_overlap"] = with_tables(
+        [],
+        f"""SELECT count(*) FILTER (a AND b) AS exact_both, count(*) AS exact_either, TRUE AS in_bound
+FROM (SELECT user_id, bool_or(event_date_utc <= DATE '2020-12-30') AS a, bool_or(event_date_utc > DATE '2020-12-30') AS b {active_days} GROUP BY 1)""",
+    )
+    found["sketched_event_deciles"] = with_tables(
+        [],
+        f"""SELECT period_start, round(p / 10, 9) AS point, count(*) AS user_days, TRUE AS in_bound
+FROM (SELECT DISTINCT user_id, event_date_utc, {month} AS period_start {active_days}), range(1, 10) AS r(p) GROUP BY 1, 2""",
+    )
     found["churn_by_purchaser"] = with_tables(
         USERS_DAYS,
         """SELECT is_purchaser, count(*) AS users, round(avg(churn_14d), 9) AS churn_14d_rate,

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 import usertide as ut
+from usertide.operators.sketches import overlap_bound, rank_bound, users_bound
 from usertide.plans.pipeline import MART_WEEKS
 from usertide.schemas import DIM_ATTRIBUTES, DIM_KEYS, LOAD_KEYS
 from usertide.session import shared_dir, prepare
@@ -429,6 +430,75 @@ def _loads() -> dict[str, Query]:
     return found
 
 
+def calendar_of(events: DataFrame) -> DataFrame:
+    """Calendars of two overlapping stretches of user days, merged."""
+    days = ut.build_fact_user_daily_activity(events, dim_keys=False)
+    cut = F.lit(FIRST_LOAD_UNTIL).cast("date")
+    early, late = days.where(F.col("activity_date") <= cut), days.where(F.col("activity_date") >= F.date_sub(cut, 20))
+    return ut.merge_calendars(ut.activity_calendar(early), ut.activity_calendar(late))
+
+
+def on_sketches(operator: Callable[[DataFrame, DataFrame], DataFrame]) -> Query:
+    """A query over stored sketches of each day and the user days themselves."""
+
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        days = stored_model(spark, sf_dir)["fact_user_daily_activity"]
+        store = ut.TableStore(spark, root=shared_dir(spark))
+        store.publish({"daily_sketches": ut.daily_sketches(days)})
+        return comparable(operator(store.read_mart("daily_sketches"), days))
+
+    return run
+
+
+def sketched_months(sketches: DataFrame, days: DataFrame) -> DataFrame:
+    """Exact users of each month, and whether the sketches come within three standard errors."""
+    exact = days.groupBy(F.trunc("activity_date", "month").alias("period_start")).agg(F.countDistinct("user_id").alias("exact_users"))
+    both = exact.join(ut.sketched_users(sketches), "period_start")
+    error = F.abs(F.col("active_users") - F.col("exact_users"))
+    return both.select("period_start", "exact_users", (error <= users_bound() * F.col("exact_users") + 0.5).alias("in_bound"))
+
+
+def sketched_returners(sketches: DataFrame, days: DataFrame) -> DataFrame:
+    """Users active both by and after a date, exactly, and whether the sketches' intersection is in its bound."""
+    sides = days.groupBy("user_id").agg(*[F.bool_or(F.expr(f"activity_date {op} date'{FIRST_LOAD_UNTIL}'")).alias(n) for op, n in (("<=", "a"), (">", "b"))])
+    exact = sides.agg(F.count_if(F.expr("a and b")).alias("exact_both"), F.count("*").alias("exact_either"))
+    found = ut.sketched_overlap(sketches, (None, FIRST_LOAD_UNTIL), ("2020-12-31", None))
+    error = F.abs(found.select("both_users").scalar() - F.col("exact_both"))
+    bound = overlap_bound(F.col("exact_both"), F.col("exact_either"))
+    return exact.select("exact_both", "exact_either", (error <= bound).alias("in_bound"))
+
+
+def sketched_deciles(sketches: DataFrame, days: DataFrame) -> DataFrame:
+    """User days of each month, and whether the rank of each sketched decile of their events is in its bound."""
+    points = [i / 10 for i in range(1, 10)]
+    found = ut.sketched_quantiles(sketches, points).withColumnRenamed("event_count", "value")
+    rows = days.select(F.trunc("activity_date", "month").alias("period_start"), "event_count")
+    counts = rows.groupBy("period_start", "event_count").agg(F.count("*").alias("n"))
+    ranks = counts.join(found, "period_start").groupBy("period_start", "point").agg(
+        F.sum("n").alias("user_days"),
+        F.sum(F.when(F.col("event_count") < F.col("value"), F.col("n")).otherwise(0)).alias("below"),
+        F.sum(F.when(F.col("event_count") <= F.col("value"), F.col("n")).otherwise(0)).alias("upto"),
+    )
+    # two bounds: each is passed by one sketch in a hundred
+    slack = 2 * rank_bound() * F.col("user_days") + 1
+    rank = F.col("point") * F.col("user_days")
+    inside = (F.col("below") - slack <= rank) & (F.col("upto") + slack >= rank)
+    return ranks.select("period_start", "point", "user_days", inside.alias("in_bound"))
+
+
+def _calendars() -> dict[str, Query]:
+    return {
+        "rolling_active_users_7d": on_events(lambda ev: ut.rolling_active_users(calendar_of(ev), 7)),
+        "rolling_active_users_28d": on_events(lambda ev: ut.rolling_active_users(calendar_of(ev), 28)),
+        "calendar_retention_nday": on_events(lambda ev: ut.calendar_retention(calendar_of(ev))),
+        "calendar_churn_rate_30d": on_events(lambda ev: ut.calendar_churn_rate(calendar_of(ev), 30)),
+        "calendar_churn_rate_14d_week": on_events(lambda ev: ut.calendar_churn_rate(calendar_of(ev), 14, "week")),
+        "sketched_users_month": on_sketches(sketched_months),
+        "sketched_users_overlap": on_sketches(sketched_returners),
+        "sketched_event_deciles": on_sketches(sketched_deciles),
+    }
+
+
 def _metrics() -> dict[str, Query]:
     noise = ["error", "scroll"]
     steps = ut.build_fact_funnel_steps
@@ -553,4 +623,4 @@ def _metrics() -> dict[str, Query]:
 
 
 def queries() -> dict[str, Query]:
-    return {**_staging(), **_tables(), **_marts(), **_checks(), **_loads(), **_metrics()}
+    return {**_staging(), **_tables(), **_marts(), **_checks(), **_loads(), **_metrics(), **_calendars()}
