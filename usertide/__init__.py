@@ -17,6 +17,7 @@ from usertide.operators.facts import (
     first_events,
     purchase_rows,
 )
+from usertide.operators.in_flight import alarms, observed
 from usertide.operators.marts import (
     churn_proxy,
     funnel_by_segment,
@@ -64,7 +65,10 @@ from usertide.plans.pipeline import build_marts, build_model, load_model, rebuil
 from usertide.plans.snapshot_loads import load_snapshot
 from usertide.schemas import conform
 from usertide.sources.events import read_events, store_events, write_events
+from usertide.sources.ledger import ShardLedger
 from usertide.sources.snapshots import ConcurrentLoad, SnapshotStore
 from usertide.sources.tables import TableStore, insert_if_absent, publish_views
+from usertide.streaming.loads import stream_load, without_copies
+from usertide.streaming.sessions import late_rows, stream_gap_sessions, write_sessions
 
 __all__ = [name for name in dir() if not name.startswith("_")]

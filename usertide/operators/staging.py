@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -9,10 +11,10 @@ from usertide.functions.columns import PURCHASE, attribute_key, micros_date, par
 from usertide.schemas import DIM_ATTRIBUTES, MONEY
 
 
-def stage_events(raw: DataFrame, tz: str = "UTC") -> DataFrame:
+def stage_events(raw: DataFrame, tz: str = "UTC", keep: Sequence[str] = ()) -> DataFrame:
     """Flatten raw events to fifteen columns; a row-local select, no shuffle.
 
-    ``tz`` is the reporting time zone of ``event_date_utc``; UTC unless chosen otherwise.
+    ``tz`` is the reporting time zone of ``event_date_utc``; UTC unless chosen otherwise. ``keep`` names further columns to take along.
     """
     ts = "timestamp_micros(event_timestamp)"
     # From the microseconds, so that the zone of the session has no part in it.
@@ -38,6 +40,7 @@ def stage_events(raw: DataFrame, tz: str = "UTC") -> DataFrame:
         param_int("ga_session_number").alias("ga_session_number"),
         F.expr("ecommerce.transaction_id").alias("transaction_id"),
         F.expr("ecommerce.purchase_revenue").alias("purchase_revenue"),
+        *keep,
     )
 
 

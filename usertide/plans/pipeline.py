@@ -96,6 +96,7 @@ def run_pipeline(
     staged_events: str | None = None,
     session_gap: str | None = None,
     dedup: bool = False,
+    progress: tuple[str, int] | None = None,
 ) -> dict[str, DataFrame]:
     """Load all tables from raw events and return them.
 
@@ -106,7 +107,8 @@ def run_pipeline(
     events is written there once and all tables but the purchases read it, so the raw
     events are scanned twice rather than once per table. ``staged_events`` names a folder
     that also keeps the enriched events, by date. ``session_gap``, such as '30 minutes',
-    derives a session id for events without one; ``dedup`` first drops repeated events.
+    derives a session id for events without one; ``dedup`` first drops repeated events. ``progress``, a stream's name and
+    the number of its batch, is noted in the version of a snapshot store that the load makes.
     """
     prepare(spark)
     store = TableStore(spark, root=out) if isinstance(out, str) else out
@@ -138,7 +140,8 @@ def run_pipeline(
         rolled = store_events(rollup_events(events), f"{work}/event_slices")
     slices = enrich_events(rolled)
     if isinstance(store, SnapshotStore):
-        load_snapshot(store, build_model(slices, events, dim_grain, funnel_grain), rolled, work, mode, dim_grain, funnel_grain)
+        model = build_model(slices, events, dim_grain, funnel_grain)
+        load_snapshot(store, model, rolled, work, mode, dim_grain, funnel_grain, progress)
         return store.model()
 
     dates = None

@@ -166,7 +166,7 @@ def merge_model(
         "fact_purchases": rows(earliest_purchases),
         ROLLUP: lambda table: change.put(table, rolled, drop=[]),
     }
-    with ThreadPoolExecutor(4) as pool:
+    with ThreadPoolExecutor(len(steps)) as pool:
         list(pool.map(lambda table: steps[table](table), steps))
 
 
@@ -178,11 +178,13 @@ def load_snapshot(
     mode: str = "full",
     dim_grain: str = "key",
     funnel_grain: str = "reference",
+    progress: tuple[str, int] | None = None,
 ) -> int:
     """Load the tables that events give, and their rollup, and return the new version.
 
     ``full`` replaces all; ``incremental`` adds absent keys and never changes a row, and leaves the rollup out of the new version;
-    ``merge`` takes events that were not loaded before, of any date, and gives what a full load of all of them would. A merge that ran twice counts twice.
+    ``merge`` takes events that were not loaded before, of any date, and gives what a full load of all of them would. A merge that ran twice counts twice; ``progress``, a stream's name
+    and batch, is committed with the version, so that a stream can tell.
     """
     if mode not in ("full", "incremental", "merge"):
         raise ValueError(f"mode must be 'full', 'incremental' or 'merge', not {mode!r}")
@@ -198,8 +200,10 @@ def load_snapshot(
                 insert_absent(change, table, model[table], work)
 
         tables = [*model, ROLLUP] if mode == "full" else [*model]
-        with ThreadPoolExecutor(4) as pool:
+        with ThreadPoolExecutor(len(tables)) as pool:
             list(pool.map(load, tables))
         if mode == "incremental":
             change.leave_out(ROLLUP)
+    if progress:
+        change.manifest["streams"] = change.manifest.get("streams", {}) | {progress[0]: progress[1]}
     return change.commit()

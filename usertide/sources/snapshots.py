@@ -19,6 +19,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from usertide.operators.in_flight import observed
 from usertide.schemas import DATE_COLUMN, SLICES, TABLES, conform
 from usertide.sources.key_filters import SCHEMA as FILTER_SCHEMA
 from usertide.sources.key_filters import build_filter, filter_widths, may_hold
@@ -41,18 +42,13 @@ class ConcurrentLoad(RuntimeError):
     """Another load has put its manifest in place first. Nothing of this one is seen; it can be run again."""
 
 
-class SnapshotStore:
-    """The nine tables, the rollup and the marts under ``root``, by version.
+class Versions:
+    """Numbered manifests under ``root``; the latest one counts, unless a version is given."""
 
-    Without ``version`` the store reads the latest one there is at each call; with it, that one for good. ``buckets`` parts hold the users;
-    a store keeps the number it began with. Loads of one store exclude each other where the file system's rename does (HDFS); elsewhere they must
-    not run at the same time.
-    """
-
-    def __init__(self, spark: SparkSession, root: str, version: int | None = None, buckets: int = 16):
-        self.spark, self.root, self.version, self._buckets = spark, root.rstrip("/"), version, buckets
+    empty: dict = {"version": 0}
 
-    # Versions --------------------------------------------------------------------
+    def __init__(self, spark: SparkSession, root: str, version: int | None = None):
+        self.spark, self.root, self.version = spark, root.rstrip("/"), version
 
     def _path(self, path: str):
         return self.spark._jvm.org.apache.hadoop.fs.Path(f"{self.root}/{path}")
@@ -75,15 +71,11 @@ class SnapshotStore:
         if self.version is not None and self.version not in known:
             raise ValueError(f"there is no version {self.version}; there are {known}")
         if not known:
-            return {"version": 0, "buckets": self._buckets, "tables": {}, "filters": {}, "marts": {}}
+            return json.loads(json.dumps(self.empty))
         version = known[-1] if self.version is None else self.version
         text = self.spark.read.text(f"{self.root}/manifests/{version:08d}.json", wholetext=True).first()[0]
         return json.loads(text)
 
-    def at(self, version: int) -> SnapshotStore:
-        """The store as a reader of one version, whatever is loaded later."""
-        return SnapshotStore(self.spark, self.root, version)
-
     def publish_manifest(self, manifest: dict) -> None:
         """Put a manifest in place: written beside, then renamed to a name that must not exist yet."""
         beside = self._path(f"manifests/.{uuid.uuid4().hex}")
@@ -101,6 +93,23 @@ class SnapshotStore:
                 raise ConcurrentLoad(f"version {manifest['version']} is there already") from error
             raise
 
+
+class SnapshotStore(Versions):
+    """The nine tables, the rollup and the marts under ``root``, by version.
+
+    Without ``version`` the store reads the latest one there is at each call; with it, that one for good. ``buckets`` parts hold the users;
+    a store keeps the number it began with. Loads of one store exclude each other where the file system's rename does (HDFS); elsewhere they must
+    not run at the same time.
+    """
+
+    def __init__(self, spark: SparkSession, root: str, version: int | None = None, buckets: int = 16):
+        super().__init__(spark, root, version)
+        self.empty = {"version": 0, "buckets": buckets, "tables": {}, "filters": {}, "marts": {}, "measures": {}, "streams": {}}
+
+    def at(self, version: int) -> SnapshotStore:
+        """The store as a reader of one version, whatever is loaded later."""
+        return SnapshotStore(self.spark, self.root, version)
+
     def expire(self, keep: int) -> list[str]:
         """Delete the versions before the last ``keep``, and the loads' folders that no version left names; not while a load runs.
 
@@ -151,6 +160,17 @@ class SnapshotStore:
         store = self.at(self.manifest()["version"]) if self.versions() else self
         return {table: store.read(table) for table in TABLES}
 
+    def measures(self) -> DataFrame:
+        """What was observed of the rows that each load wrote: ``version, kind, table_name, metric, value``.
+
+        Of a full load these are the counts and NULLs of the summary; of other loads, those of the rows written.
+        """
+        rows = []
+        for version in self.versions():
+            held = self.at(version).manifest()
+            rows += [(version, held["kind"], t, m, v) for t, of in held["measures"].items() for m, v in of.items()]
+        return self.spark.createDataFrame(rows, "version long, kind string, table_name string, metric string, value long")
+
     def holds_rows(self) -> bool:
         return any(not self.read(table, missing_ok=True).isEmpty() for table in TABLES)
 
@@ -208,7 +228,7 @@ class Change:
     def __init__(self, store: SnapshotStore, kind: str):
         self.store, self.load = store, uuid.uuid4().hex
         self.before = store.manifest()
-        self.manifest = json.loads(json.dumps(self.before)) | {"version": self.before["version"] + 1, "kind": kind, "load": self.load}
+        self.manifest = json.loads(json.dumps(self.before)) | {"version": self.before["version"] + 1, "kind": kind, "load": self.load, "measures": {}}
         self.written: dict[str, list[str]] = {}
 
     def put(self, table: str, rows: DataFrame, drop: list[str] | None = None) -> None:
@@ -218,7 +238,9 @@ class Change:
         rows = conform(rows, schema).withColumn("part", store.part_of(table))
         if table in DATE_COLUMN or table in (ROLLUP, "dim_user"):
             rows = rows.hint("rebalance", F.col("part"))
+        rows, seen = observed(rows, table)
         rows.write.partitionBy("part").parquet(f"{store.root}/{place}")
+        self.manifest["measures"][table] = seen.get
         new = {n.removeprefix("part="): f"{place}/{n}" for n in store._names(place) if n.startswith("part=")}
         self.written[table] = sorted(new)
         held = {} if drop is None else {p: f for p, f in self.manifest["tables"].get(table, {}).items() if p not in drop}

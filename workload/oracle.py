@@ -635,13 +635,35 @@ UNION ALL SELECT 'unkeyed_events_purchase', count(*) FILTER (event_name = 'purch
         found[f"load_incremental_{t}"] = found[f"incremental_{t}"]
         found[f"load_full_{t}"] = found[t]
         found[f"load_merge_{t}"] = found[t]
+    first_load = "first_load AS (SELECT * FROM early WHERE epoch_us(event_ts_utc) % 5 <> 0)"
+    measured = [f"SELECT 'count_{t}' AS metric, count(*) AS value FROM {t}_1" for t in TABLES]
+    measured += [f"SELECT 'nulls_{t}_{c}', count(*) FILTER ({c} IS NULL) FROM {t}_1" for t, cs in WATCHED.items() for c in cs]
+    found["load_measures"] = with_tables(
+        [], "\nUNION ALL ".join(measured), EARLY, first_load, *[f"{t}_1 AS ({bodies('first_load')[t]})" for t in TABLES]
+    )
+    found["load_changed_shards"] = with_tables(
+        [],
+        """SELECT strftime(event_date_utc, '%Y%m%d') AS day, count(*) AS rows,
+  CAST(CASE WHEN strftime(event_date_utc, '%Y%m%d') IN ('20201210', '20201125') THEN 2
+    WHEN strftime(event_date_utc, '%Y%m%d') = '20201201' AND bool_or(epoch_us(event_ts_utc) % 2 <> 0) THEN 2 ELSE 1 END AS BIGINT) AS version
+FROM ev WHERE event_date_utc BETWEEN DATE '2020-11-20' AND DATE '2020-12-10' GROUP BY event_date_utc""",
+    )
+    found["stream_gap_sessions"] = with_tables(
+        [],
+        """SELECT user_id, derived_id AS session_id, min(event_ts_utc) AS session_start_ts, max(event_ts_utc) AS session_end_ts,
+  count(*) AS event_count, count(*) FILTER (ga_session_id IS NULL) AS derived_count
+FROM derived WHERE derived_id IS NOT NULL GROUP BY user_id, derived_id
+HAVING max(event_ts_utc) + INTERVAL 8 HOUR <= (SELECT max(event_ts_utc) - INTERVAL 40 DAY FROM ev WHERE user_id IS NOT NULL)""",
+        gap_sessions("8 HOUR"),
+    )
+    found["stream_load_fact_sessions"] = found["fact_sessions"]
     for t in ("dim_user", "fact_sessions", "fact_funnel_steps", "fact_purchases"):
         found[f"load_filtered_{t}"] = found[f"incremental_{t}"]
     found["load_snapshot_previous"] = with_tables(
         [],
         shown("fact_sessions", "first_sessions"),
         EARLY,
-        "first_load AS (SELECT * FROM early WHERE epoch_us(event_ts_utc) % 5 <> 0)",
+        first_load,
         f"first_sessions AS ({bodies('first_load')['fact_sessions']})",
     )
     found["fact_purchases_rebuilt"] = found["fact_purchases"]

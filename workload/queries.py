@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -13,6 +13,7 @@ from usertide.operators.sketches import overlap_bound, rank_bound, users_bound
 from usertide.plans.pipeline import MART_WEEKS
 from usertide.schemas import DIM_ATTRIBUTES, DIM_KEYS, LOAD_KEYS
 from usertide.session import shared_dir, prepare
+from usertide.sources.events import store_events
 from usertide.sources.snapshots import FILTER_KEYS
 from workload.fixture import enriched_events, raw_events, staged_events
 
@@ -163,6 +164,69 @@ def snapshot(name: str, mode: str, version: int | None = None) -> Query:
     return run
 
 
+def load_measures(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Counts and NULLs that were observed while the first load was written, without a scan."""
+    found = snapshots(spark, sf_dir, "merge").measures()
+    wanted = F.col("metric").startswith("count_fact") | F.col("metric").startswith("count_dim") | F.col("metric").startswith("nulls_")
+    return comparable(found.where((F.col("version") == 1) & wanted).select("metric", "value"))
+
+
+# Shards that come late or change after the ledger has read the others.
+LATE_SHARD, CHANGED_SHARD = "20201125", "20201201"
+
+
+def changed_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Staged events by a ledger that saw a new shard, a late one, a changed one, and left the others unread."""
+    base, day = shared_dir(spark), ut.to_reporting_date(F.timestamp_micros("event_timestamp"))
+    raw = raw_events(spark, sf_dir).where("event_timestamp is not null").withColumn("day", F.date_format(day, "yyyyMMdd"))
+    shards = store_events(raw.where(F.col("day").between("20201120", "20201210")), f"{base}/all")
+    ledger = ut.ShardLedger(spark, f"{base}/ledger", shard="day={day}")
+
+    def write(rows: DataFrame, mode: str) -> None:
+        rows.hint("rebalance", F.col("day")).write.mode(mode).partitionBy("day").parquet(f"{base}/export")
+
+    write(shards.where(f"day < '20201210' and day <> '{LATE_SHARD}' and (day <> '{CHANGED_SHARD}' or event_timestamp % 2 = 0)"), "append")
+    ledger.refresh(f"{base}/export")
+    write(shards.where(f"day in ('20201210', '{LATE_SHARD}') or (day = '{CHANGED_SHARD}' and event_timestamp % 2 <> 0)"), "append")
+    ledger.refresh(f"{base}/export")
+    # the version in which each shard was last read
+    return comparable(ledger.seen().select(F.regexp_extract("shard", r"(\d+)$", 1).alias("day"), "rows", "version"))
+
+
+def _in_turn(spark: SparkSession, rows: DataFrame, turn: Column, path: str) -> DataFrame:
+    """A stream of the rows, in as many batches as there are turns."""
+    turned = store_events(rows.withColumn("turn", turn), f"{path}/turned")
+    for n in range(4):
+        turned.where(F.col("turn") == n).drop("turn").coalesce(1).write.mode("append").parquet(f"{path}/arrived")
+    return spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", 1).parquet(f"{path}/arrived")
+
+
+STREAM_GAP, STREAM_DELAY = "8 hours", "40 days"
+
+
+def streamed_sessions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Gap sessions of events that arrive in four batches, up to ten days out of order; those that are closed."""
+    base, staged = shared_dir(spark), staged_events(spark, sf_dir)
+    since = F.datediff("event_date_utc", F.lit("2020-11-01").cast("date")) + F.pmod(F.xxhash64("event_ts_utc", "user_id"), F.lit(10))
+    turn = F.coalesce(F.least(F.greatest(F.floor(since / 40), F.lit(0)), F.lit(3)), F.lit(0))
+    arrived = _in_turn(spark, staged, turn, base)
+    query = ut.write_sessions(ut.stream_gap_sessions(arrived, STREAM_GAP, STREAM_DELAY), f"{base}/sessions", f"{base}/checkpoint")
+    query.awaitTermination()
+    return comparable(spark.read.parquet(f"{base}/sessions"))
+
+
+def streamed_load(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Sessions of a store that a stream was merged into, in four batches without any order; loaded once per session."""
+    key = (spark.sparkContext.applicationId, sf_dir, "stream")
+    if key not in _snapshots:
+        base, raw = shared_dir(spark), raw_events(spark, sf_dir)
+        arrived = _in_turn(spark, raw, F.pmod(F.xxhash64("event_timestamp", "user_pseudo_id"), F.lit(4)), base)
+        store = ut.SnapshotStore(spark, f"{base}/dw")
+        ut.stream_load(arrived, store, f"{base}/work", f"{base}/checkpoint").awaitTermination()
+        _snapshots[key] = store
+    return comparable(_snapshots[key].read("fact_sessions"))
+
+
 def day_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Events staged from day shards, those of given days alone."""
     path, day = f"{shared_dir(spark)}/export", ut.to_reporting_date(F.timestamp_micros("event_timestamp"))
@@ -422,6 +486,10 @@ def _loads() -> dict[str, Query]:
     for name in FILTER_KEYS:
         found[f"load_filtered_{name}"] = snapshot(name, "incremental")
     found["load_snapshot_previous"] = snapshot("fact_sessions", "merge", version=1)
+    found["load_measures"] = load_measures
+    found["load_changed_shards"] = changed_shards
+    found["stream_gap_sessions"] = streamed_sessions
+    found["stream_load_fact_sessions"] = streamed_load
     found["source_day_shards"] = day_shards
     found["fact_purchases_rebuilt"] = purchases_rebuilt
     found["load_full"] = load("full")
