@@ -4,6 +4,9 @@ from __future__ import annotations
 
 import string
 
+import numpy as np
+import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -46,23 +49,92 @@ def sampled(id_col: str, fraction: Column | float) -> Column:
     return F.pmod(F.xxhash64(F.col(id_col).cast("string")), F.lit(1 << 40)) < F.lit(float(1 << 40)) * fraction
 
 
-def rows_that_stay(docs: DataFrame, found: DataFrame, id_col: str, key: Column, work: str) -> DataFrame:
+def unused(df: DataFrame, name: str) -> str:
+    """The name, or one made from it, that no column of the table has."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name = f"_{name}"
+    return name
+
+
+def set_aside(df: DataFrame, names: list[str]) -> tuple[DataFrame, dict[str, str]]:
+    """The table without columns of these names: they get unused ones. Also the renaming that gives them back."""
+    wanted, back = {n.lower() for n in names}, {}
+    for column in df.columns:
+        if column.lower() in wanted:
+            spare = unused(df, f"_aside_{column}")
+            df, back = df.withColumnRenamed(column, spare), back | {spare: column}
+    return df, back
+
+
+#: Rows of a text table that are broadcast to say which rows go, at most so many bytes; bits of the filter beyond that.
+MAX_DECISIONS, FILTER_BITS = 64 << 20, 1 << 28
+_PIECE = 1 << 19
+
+
+def bit_filter(hashes: DataFrame, bits: int = FILTER_BITS) -> np.ndarray:
+    """One bit for each of the ``bits`` (a power of two) values that the lowest bits of a long column can have."""
+    piece = min(bits, _PIECE)
+
+    def pack(part: pd.DataFrame) -> pd.DataFrame:
+        held = np.zeros(piece, bool)
+        held[part["at"].to_numpy() % piece] = True
+        return pd.DataFrame({"piece": part["piece"].iloc[:1], "bits": [np.packbits(held).tobytes()]})
+
+    at = F.col(hashes.columns[0]).bitwiseAND(F.lit(bits - 1)).alias("at")
+    places = hashes.select(at).distinct().withColumn("piece", F.floor(F.col("at") / piece))
+    found = np.zeros((bits // piece, piece // 8), np.uint8)
+    for row in places.groupBy("piece").applyInPandas(pack, "piece long, bits binary").toLocalIterator():
+        found[row["piece"]] = np.frombuffer(row["bits"], np.uint8)
+    return found.reshape(-1)
+
+
+def rows_that_stay(
+    docs: DataFrame, found: DataFrame, id_col: str, key: Column, work: str, max_bytes: int = MAX_DECISIONS, bits: int = FILTER_BITS
+) -> DataFrame:
     """The rows of ``docs`` that ``found`` (``id, key, kept``, one row per input row) says to keep, all columns as they were.
 
-    Decisions are joined back by id and ``key``, an expression of the text. Input rows that repeat both are one document, of
-    which any one row stays.
+    Decisions are joined back by id and ``key``, an expression of the text. Input rows that repeat both are one document, of which any one
+    row stays. Rows of which nothing is said stay.
+
+    Only what is out of the ordinary is joined: documents that go, and those that are repeated. Their ids and keys are broadcast if they measure
+    no more than ``max_bytes``, and no row is shuffled, but for repeated ones that stay. Beyond that their hashes are broadcast as a filter of
+    ``bits`` bits; rows that it does not hold pass, and only the others are shuffled and told apart exactly.
     """
-    found = found.groupBy("id", "key").agg(F.max("kept").alias("kept"), F.count("*").alias("n")).where("kept")
-    found = stored(found, f"{work}/decisions").select(F.col("id").alias("__kept_id"), F.col("key").alias("__kept_key"), "n")
-    keyed = docs.withColumns({"__id": F.col(id_col), "__key": key})
-    on = F.col("__id").eqNullSafe(F.col("__kept_id")) & (F.col("__key") == F.col("__kept_key"))
-    repeated = found.where("n > 1")
-    if repeated.isEmpty():
-        kept = keyed.join(found, on, "left_semi")
+    spark = docs.sparkSession
+    told = found.groupBy("id", "key").agg(F.max("kept").alias("kept"), F.count("*").alias("n"))
+    told = stored(told.where(~F.col("kept") | (F.col("n") > 1)).withColumn("hash", F.xxhash64("id", "key")), f"{work}/decisions")
+    size, repeated = told.agg(F.sum(F.octet_length(F.col("key").cast("binary" if _is_binary(told) else "string")) + 64), F.count_if("kept")).first()
+    if not size:
+        return docs
+    of, its, says = (unused(docs, n) for n in ("_id_of", "_key_of", "_says"))
+    mine, hashed = unused(docs, "_key"), unused(docs, "_hash")
+    told = told.select(F.col("id").alias(of), F.col("key").alias(its), F.col("kept").alias(says), "hash")
+    keyed = docs.withColumn(mine, key)
+    on = F.col(f"`{id_col}`").eqNullSafe(F.col(of)) & (F.col(mine) == F.col(its))
+    columns = [F.col(f"`{c}`") for c in docs.columns]
+    passed = None
+    if size <= max_bytes:
+        asked = F.broadcast(told.drop("hash"))
     else:
-        again = keyed.join(repeated, on, "left_semi").dropDuplicates(["__id", "__key"])
-        kept = keyed.join(found.where("n = 1"), on, "left_semi").unionByName(again)
-    return kept.drop("__id", "__key")
+        held = spark.sparkContext.broadcast(bit_filter(told.select("hash"), bits))
+
+        @F.arrow_udf("boolean")
+        def named(hashes: pa.Array) -> pa.Array:
+            at = hashes.to_numpy() & (bits - 1)
+            return pa.array((held.value[at >> 3] >> (7 - (at & 7)).astype(np.uint8)) & 1 == 1)
+
+        keyed = keyed.withColumn(hashed, named(F.xxhash64(f"`{id_col}`", mine)))
+        passed, keyed, asked = keyed.where(~F.col(hashed)).select(*columns), keyed.where(hashed), told.drop("hash")
+    plain = keyed.join(asked, on, "left_anti").select(*columns)
+    if repeated:
+        again = keyed.join(asked.where(says), on, "left_semi").dropDuplicates([id_col, mine]).select(*columns)
+        plain = plain.unionByName(again)
+    return passed.unionByName(plain) if passed is not None else plain
+
+
+def _is_binary(told: DataFrame) -> bool:
+    return told.schema["key"].dataType.typeName() == "binary"
 
 
 def connected_components(edges: DataFrame, work: str, a: str = "a", b: str = "b", rounds: int = 60) -> DataFrame:

@@ -92,7 +92,11 @@ def exact_dedup(
 
 
 def drop_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
-    """The input rows without copies, all columns as they were."""
+    """The input rows without copies, all columns as they were, whatever their names.
+
+    Of equal texts the row that ``exact_dedup`` keeps stays, NULL text counting as empty; of rows that repeat its id and text as well, any one. NULL ids are
+    documents like others. An empty table gives an empty one. Texts of rows that stay are not shuffled (``rows_that_stay``).
+    """
     work = work_folder(docs.sparkSession, options.pop("work", None))
     found = exact_dedup(docs, id_col, text_col, work=work, **options).withColumnRenamed("digest", "key")
     text = whole_text(text_col)

@@ -226,7 +226,11 @@ def simhash_dedup(
 
 
 def drop_near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
-    """The input rows, all columns as they were, one of each component: that with the smallest id."""
+    """The input rows, all columns as they were, whatever their names, one of each component: that with the smallest id.
+
+    NULL, empty and blank texts are one component. Of rows that repeat the id and text that stay, any one does; NULL ids stay only where a
+    component has no other. An empty table gives an empty one. Texts of rows that stay are not shuffled (``rows_that_stay``).
+    """
     work = work_folder(docs.sparkSession, options.pop("work", None))
     found = simhash_dedup(docs, id_col=id_col, text_col=text_col, work=work, **options)
     return rows_that_stay(docs, found.withColumnRenamed("text_hash", "key"), id_col, F.xxhash64(whole_text(text_col)), work)
