@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from usertide.llm._shared import ascii_lower, stored, whole_text, work_folder
+from usertide.llm._shared import ascii_lower, set_aside, stored, whole_text, work_folder
 
 #: What stands between words: ASCII but digits and letters. It also holds for texts that still have capitals.
 BETWEEN = r"[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]"
@@ -147,7 +147,9 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, remove: str = "document
     """The input rows, all columns as they were, without documents (or only the hit spans) that hold benchmark windows.
 
     ``remove="documents"`` drops every row with a hit word. ``remove="spans"`` cuts the hit words, with what stands
-    between them, out of the text and leaves all else as it was; a NULL text stays NULL.
+    between them, out of the text and leaves all else as it was; a NULL text stays NULL. Rows that repeat id and text share their
+    fate; NULL ids are documents like others. An empty table gives an empty one, and no benchmark leaves all rows. No
+    column of the input is lost, whatever its name.
     """
     if remove not in ("documents", "spans"):
         raise ValueError("remove must be 'documents' or 'spans'")
@@ -155,11 +157,14 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, remove: str = "document
     work = work_folder(docs.sparkSession, options.pop("work", None))
     found = find_overlaps(docs, benchmark, work=work, **options).where("n_hit > 0")
     found = stored(found.select("id", "text_hash", "spans").dropDuplicates(["id", "text_hash"]), f"{work}/hits")
+    columns = docs.columns
+    docs, back = set_aside(docs, ["__key_id", "__key", "__id", "__hash", "__spans"])
     keyed = docs.withColumns({"__key_id": F.col(id_col), "__key": F.xxhash64(whole_text(text_col))})
     found = found.select(F.col("id").alias("__id"), F.col("text_hash").alias("__hash"), F.col("spans").alias("__spans"))
     on = F.col("__key_id").eqNullSafe(F.col("__id")) & (F.col("__key") == F.col("__hash"))
     if remove == "documents":
-        return keyed.join(found, on, "left_anti").drop("__key_id", "__key")
+        kept = keyed.join(found, on, "left_anti").drop("__key_id", "__key")
+        return kept.withColumnsRenamed(back).select(*[F.col(f"`{c}`") for c in columns])
     cut = F.concat(
         F.regexp_extract(text_col, f"^{BETWEEN}*", 0),
         F.array_join(
@@ -171,4 +176,5 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, remove: str = "document
         ),
     )
     text = F.when(F.col("__spans").isNull(), F.col(text_col)).otherwise(cut)
-    return keyed.join(found, on, "left").withColumn(text_col, text).select(*[F.col(f"`{c}`") for c in docs.columns])
+    cut_out = keyed.join(found, on, "left").withColumn(text_col, text).drop("__key_id", "__key", "__id", "__hash", "__spans")
+    return cut_out.withColumnsRenamed(back).select(*[F.col(f"`{c}`") for c in columns])

@@ -19,7 +19,7 @@ from pyspark.ml.functions import array_to_vector
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from usertide.llm._shared import sampled, stored, whole_text, work_folder
+from usertide.llm._shared import sampled, set_aside, stored, whole_text, work_folder
 
 #: Conditions (statistic, is it at most, threshold) that must all hold.
 Rule = tuple[tuple[str, bool, float], ...]
@@ -55,6 +55,10 @@ def _statistics() -> dict[str, Column]:
     }
 
 
+#: Columns that come and go here; those of an input table that are named so are set aside meanwhile.
+_OWN = ["__stats", "__score", "__text", "__words", "__lines"]
+
+
 def with_statistics(df: DataFrame, text_col: str = "text") -> DataFrame:
     """Add the struct ``__stats``. NULL counts as empty; an empty text has 0 everywhere but one, empty, distinct line."""
     text = whole_text(text_col)
@@ -152,6 +156,8 @@ def fit(
     if len(counts) < 2:
         return RuleEnsemble(_logit(prior), ())
     names = list(_statistics())
+    # one partition in a fixed order: the forest draws by partition and place, and must not depend on how the sample came to lie
+    sample = sample.coalesce(1).sortWithinPartitions("label", "__stats")
     features = VectorAssembler(inputCols=names, outputCol="features")
     flat = features.transform(sample.select("label", "__stats.*")).select("label", "features")
     forest = RandomForestClassifier(
@@ -175,13 +181,19 @@ def score(docs: DataFrame, model: RuleEnsemble, text_col: str = "text", out: str
 
     NULL and empty texts are scored by their statistics like any other; repeated rows get the same score each.
     """
-    return with_statistics(docs, text_col).withColumn(out, model.score()).drop("__stats")
+    docs, back = set_aside(docs, [n for n in _OWN if n != out])
+    return with_statistics(docs, text_col).withColumn(out, model.score()).drop("__stats").withColumnsRenamed(back)
 
 
 def keep_good(
     docs: DataFrame, labels: DataFrame, threshold: float = 0.7, id_col: str = "doc_id", text_col: str = "text", **options
 ) -> DataFrame:
-    """The input rows, all columns as they were, whose score is ``threshold`` or more."""
+    """The input rows, all columns as they were, whose score is ``threshold`` or more.
+
+    NULL and empty texts are scored like any other; rows that repeat id and text stay or go together, and NULL ids are documents like
+    others. An empty table gives an empty one. No column is lost, whatever its name.
+    """
     model = fit(docs, labels, id_col=id_col, text_col=text_col, **options)
+    docs, back = set_aside(docs, _OWN)
     kept = with_statistics(docs, text_col).withColumn("__score", model.score())
-    return kept.where(F.col("__score") >= threshold).drop("__stats", "__score")
+    return kept.where(F.col("__score") >= threshold).drop("__stats", "__score").withColumnsRenamed(back)
