@@ -2,6 +2,9 @@
 
 ``run`` applies the stages to ``documents`` one after the other. Each stage is written as Parquet in the shared
 folder and read again as the next one's input. All stages but the last return the columns of ``documents``.
+
+NULL texts count as empty and NULL ids are documents like others, in every stage; equal rows share their fate, but for the two that drop copies, which leave
+one. Ties go as the stage says. An empty table passes through as an empty one, and further columns, whatever their names, stay until the last stage.
 """
 
 from __future__ import annotations
