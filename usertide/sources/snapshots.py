@@ -49,6 +49,7 @@ class Versions:
 
     def __init__(self, spark: SparkSession, root: str, version: int | None = None):
         self.spark, self.root, self.version = spark, root.rstrip("/"), version
+        self._texts: dict[int, str] = {}  # manifests never change
 
     def _path(self, path: str):
         return self.spark._jvm.org.apache.hadoop.fs.Path(f"{self.root}/{path}")
@@ -73,8 +74,9 @@ class Versions:
         if not known:
             return json.loads(json.dumps(self.empty))
         version = known[-1] if self.version is None else self.version
-        text = self.spark.read.text(f"{self.root}/manifests/{version:08d}.json", wholetext=True).first()[0]
-        return json.loads(text)
+        if version not in self._texts:
+            self._texts[version] = self.spark.read.text(f"{self.root}/manifests/{version:08d}.json", wholetext=True).first()[0]
+        return json.loads(self._texts[version])
 
     def publish_manifest(self, manifest: dict) -> None:
         """Put a manifest in place: written beside, then renamed to a name that must not exist yet."""

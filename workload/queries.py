@@ -194,9 +194,9 @@ def changed_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _in_turn(spark: SparkSession, rows: DataFrame, turn: Column, path: str) -> DataFrame:
-    """A stream of the rows, in as many batches as there are turns."""
+    """A stream of the rows, in as many batches as there are turns, four at most."""
     turned = store_events(rows.withColumn("turn", turn), f"{path}/turned")
-    for n in range(4):
+    for n in sorted(r[0] for r in turned.select("turn").distinct().collect()):
         turned.where(F.col("turn") == n).drop("turn").coalesce(1).write.mode("append").parquet(f"{path}/arrived")
     return spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", 1).parquet(f"{path}/arrived")
 
@@ -216,11 +216,11 @@ def streamed_sessions(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def streamed_load(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Sessions of a store that a stream was merged into, in four batches without any order; loaded once per session."""
+    """Sessions of a store that a stream was merged into, in two batches without any order; loaded once per session."""
     key = (spark.sparkContext.applicationId, sf_dir, "stream")
     if key not in _snapshots:
         base, raw = shared_dir(spark), raw_events(spark, sf_dir)
-        arrived = _in_turn(spark, raw, F.pmod(F.xxhash64("event_timestamp", "user_pseudo_id"), F.lit(4)), base)
+        arrived = _in_turn(spark, raw, F.pmod(F.xxhash64("event_timestamp", "user_pseudo_id"), F.lit(2)), base)
         store = ut.SnapshotStore(spark, f"{base}/dw")
         ut.stream_load(arrived, store, f"{base}/work", f"{base}/checkpoint").awaitTermination()
         _snapshots[key] = store
