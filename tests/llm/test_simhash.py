@@ -58,7 +58,8 @@ def clustered(n, seed):
 def test_shards_hold_every_close_pair():
     points = clustered(1500, 1)
     for leaves in (1, 16, 64):
-        tree = simhash.build_tree(points[::3], leaves, 3)
+        tree = simhash.build_tree(points[::3], 3, leaves)
+        assert len(tree["point"]) < leaves
         at, shard = simhash.deal(points, tree, 3)
         where = [set() for _ in points]
         for a, s in zip(at.tolist(), shard.tolist(), strict=True):
@@ -80,13 +81,36 @@ def test_components_within_a_shard(monkeypatch):
 def test_links_over_shards_give_the_components(spark, tmp_path):
     points = clustered(1500, 3)
     fps = spark.createDataFrame([(int(x),) for x in points.view(np.int64)], "fp long")
-    links = simhash.close_links(fps, 3, shard_rows=100)
+    links = simhash.close_links(fps, 3, str(tmp_path / "links"), shard_rows=100, block_rows=200)
     root = {r.node: r.root for r in connected_components(links, str(tmp_path)).collect()}
     got = [root.get(int(x), int(x)) for x in points.view(np.int64)]
     want = brute_components(points.tolist())
     assert len(set(zip(got, want, strict=True))) == len(set(got)) == len(set(want))
 
 
+def crowded(n, seed, bits=24):
+    """Fingerprints about one point: many are close to each other, and no radius parts them well."""
+    rng = np.random.default_rng(seed)
+    flips = np.bitwise_or.reduce(np.uint64(1) << rng.integers(0, bits, (4, 3 * n), dtype=np.uint64))
+    return np.unique(rng.integers(0, 2**64, 1, dtype=np.uint64) ^ flips)[:n]
+
+
+def test_no_group_is_large_and_links_stay_whole(spark, tmp_path):
+    rng = np.random.default_rng(4)
+    kinds = {"random": rng.integers(0, 2**64, 8000, dtype=np.uint64), "crowded": crowded(4000, 5)}
+    for kind, points in kinds.items():
+        fps = spark.createDataFrame([(int(x),) for x in points.view(np.int64)], "fp long")
+        groups = simhash.dealt_groups(fps, 3, str(tmp_path / kind), shard_rows=256, block_rows=512)
+        sizes = [r["count"] for r in groups.groupBy("shard", "low", "high").count().collect()]
+        assert max(sizes) <= 1.25 * 1024 and len(sizes) > 8
+        links = simhash.close_links(fps, 3, str(tmp_path / f"{kind}-links"), shard_rows=256, block_rows=512)
+        root = {r.node: r.root for r in connected_components(links, str(tmp_path / f"{kind}-roots")).collect()}
+        got = [root.get(int(x), int(x)) for x in points.view(np.int64)]
+        if kind != "random":
+            want = brute_components(points.tolist())
+            assert len(set(zip(got, want, strict=True))) == len(set(got)) == len(set(want))
+
+
 def near_texts():
     words = [f"w{i}" for i in range(3000)]
     base = " ".join(words)

@@ -7,12 +7,17 @@ band (mu, mu + r] are in both. Two fingerprints at r bits or fewer never part: i
 other within mu + r. By induction each such pair meets in a shard. Every shard carries the tree on in its own memory, and
 compares what is left in blocks.
 
+Distances of unrelated fingerprints crowd about 32, so bands are wide and shards can stay large; near copies that crowd about one point are not
+parted by any radius. A shard of more rows than two blocks is therefore cut into numbered blocks by a hash, and every two of its blocks
+are a task of their own. No task holds more than two blocks, give or take the spread of the hash.
+
 A shard returns a link from each fingerprint to the smallest one of its component in that shard, never all pairs: a
 cluster of m near copies costs m links.
 """
 
 from __future__ import annotations
 
+import heapq
 from collections.abc import Iterator
 
 import numpy as np
@@ -25,8 +30,8 @@ from pyspark.sql import functions as F
 from usertide.llm._shared import connected_components, rows_that_stay, stored, whole_text, work_folder
 
 SEED = 42
-#: Leaves of the tree on the driver, at most; and sampled fingerprints a leaf.
-MAX_LEAVES, SAMPLE_PER_LEAF = 1 << 17, 16
+#: Leaves of the tree on the driver and fingerprints in its sample, at most; and sampled ones for a shard of the size meant.
+MAX_LEAVES, MAX_SAMPLE, SAMPLE_PER_LEAF = 1 << 16, 1 << 17, 16
 _BLOCK = 512
 
 
@@ -71,26 +76,34 @@ def distances(a: np.ndarray, b: np.ndarray | np.uint64) -> np.ndarray:
 
 
 def split_at(points: np.ndarray, max_bits: int, tries: int = 8) -> tuple[np.uint64, int] | None:
-    """The vantage point and radius that leave the least in both halves; None if no split parts anything."""
+    """The vantage point and radius after which the halves cost least; None if every split leaves over 0.9 in one half.
+
+    A half of n points is taken to cost n**1.5, about what the tree comes to on points without clusters.
+    """
     best = None
-    for v in points[np.linspace(0, len(points) - 1, min(tries, len(points))).astype(np.int64)]:
-        d = distances(points, v)
-        mu = int(np.partition(d, (len(d) - 1) // 2)[(len(d) - 1) // 2])
-        inside, outside = np.count_nonzero(d <= mu + max_bits), np.count_nonzero(d > mu)
-        if 0 < outside and inside < len(points):
-            cost = max(inside, outside) + (inside + outside - len(points))
-            if best is None or cost < best[0]:
-                best = cost, v, mu
+    n = len(points)
+    for v in points[np.linspace(0, n - 1, min(tries, n)).astype(np.int64)]:
+        within = np.cumsum(np.bincount(distances(points, v), minlength=65 + max_bits))
+        inside, outside = within[max_bits : 65 + max_bits], n - within[:65]
+        cost = np.where(np.maximum(inside, outside) <= 0.9 * n, inside**1.5 + outside**1.5, np.inf)
+        mu = int(np.argmin(cost))
+        if np.isfinite(cost[mu]) and (best is None or cost[mu] < best[0]):
+            best = cost[mu], v, mu
     return best and best[1:]
 
 
-def build_tree(sample: np.ndarray, leaves: int, max_bits: int) -> dict[str, np.ndarray]:
-    """Nodes as arrays: vantage point, radius, and the children inside and outside (below zero: ~shard)."""
+def build_tree(sample: np.ndarray, max_bits: int, max_leaves: int = MAX_LEAVES, small: int = SAMPLE_PER_LEAF) -> dict[str, np.ndarray]:
+    """Nodes as arrays: vantage point, radius, and the children inside and outside (below zero: ~shard).
+
+    The part that holds most of the sample is split next, until all are ``small``, cannot be parted, or are ``max_leaves``.
+    """
     points, radii, inside, outside = [], [], [], []
     shards = 0
-    queue = [(sample, 0, None)]
-    for part, depth, parent in queue:
-        found = split_at(part, max_bits) if 2**depth < leaves and len(part) > SAMPLE_PER_LEAF else None
+    heap = [(-len(sample), 0, sample, None)]
+    pushed = 1
+    while heap:
+        _, _, part, parent = heapq.heappop(heap)
+        found = split_at(part, max_bits) if len(part) > small and shards + len(heap) + 2 <= max_leaves else None
         if found:
             here = len(points)
             points.append(found[0])
@@ -98,8 +111,9 @@ def build_tree(sample: np.ndarray, leaves: int, max_bits: int) -> dict[str, np.n
             inside.append(0)
             outside.append(0)
             d = distances(part, found[0])
-            queue.append((part[d <= found[1] + max_bits], depth + 1, (inside, here)))
-            queue.append((part[d > found[1]], depth + 1, (outside, here)))
+            for half, children in ((part[d <= found[1] + max_bits], inside), (part[d > found[1]], outside)):
+                heapq.heappush(heap, (-len(half), pushed, half, (children, here)))
+                pushed += 1
         else:
             here = ~shards
             shards += 1
@@ -149,10 +163,8 @@ def shard_components(values: np.ndarray, max_bits: int) -> np.ndarray:
         found = split_at(part, max_bits) if len(at) > 2 * _BLOCK else None
         if found:
             d = distances(part, found[0])
-            near, far = at[d <= found[1] + max_bits], at[d > found[1]]
-            if max(len(near), len(far)) < 0.9 * len(at):
-                stack += [near, far]
-                continue
+            stack += [at[d <= found[1] + max_bits], at[d > found[1]]]
+            continue
         for i in range(0, len(at), _BLOCK):
             for j in range(i, len(at), _BLOCK):
                 x, y = np.nonzero(distances(part[i : i + _BLOCK, None], part[None, j : j + _BLOCK]) <= max_bits)
@@ -161,14 +173,17 @@ def shard_components(values: np.ndarray, max_bits: int) -> np.ndarray:
     return label
 
 
-def close_links(fps: DataFrame, max_bits: int, shard_rows: int = 4096) -> DataFrame:
-    """Links ``a, b`` whose components are those of all pairs of distinct ``fp`` at ``max_bits`` bits or fewer."""
+def dealt_groups(fps: DataFrame, max_bits: int, work: str, shard_rows: int = 8192, block_rows: int = 16384) -> DataFrame:
+    """``fp, shard, low, high``: each fingerprint in every group it is compared in; close pairs meet in one at least.
+
+    A group is a shard, or two of the numbered blocks that one of over ``2 * block_rows`` rows is cut into. Groups hold about
+    ``2 * block_rows`` at most.
+    """
     n = fps.count()
-    leaves = min(MAX_LEAVES, max(1, -(-n // shard_rows)))
-    every = max(1, n // (leaves * SAMPLE_PER_LEAF))
-    sample = fps.where(F.pmod(F.xxhash64("fp"), F.lit(every)) == 0) if leaves > 1 else fps.limit(0)
+    every = max(1, shard_rows // SAMPLE_PER_LEAF, n // MAX_SAMPLE)
+    sample = fps.where(F.pmod(F.xxhash64("fp"), F.lit(every)) == 0) if n > shard_rows else fps.limit(0)
     sample = np.sort(np.array([r[0] for r in sample.toLocalIterator()], np.int64)).view(np.uint64)
-    tree = build_tree(sample, leaves, max_bits)  # 32 bytes a leaf
+    tree = build_tree(sample, max_bits)  # 32 bytes a leaf
     tree = fps.sparkSession.sparkContext.broadcast(tree)
 
     def shards(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -177,14 +192,27 @@ def close_links(fps: DataFrame, max_bits: int, shard_rows: int = 4096) -> DataFr
             at, shard = deal(values.view(np.uint64), tree.value, max_bits)
             yield pa.RecordBatch.from_arrays([pa.array(values[at]), pa.array(shard)], names=["fp", "shard"])
 
-    def links(shard: pd.DataFrame) -> pd.DataFrame:
-        values = np.sort(shard["fp"].to_numpy())
+    dealt = stored(fps.select("fp").mapInArrow(shards, "fp long, shard long"), f"{work}/dealt")
+    large = dealt.groupBy("shard").count().where(F.col("count") > 2 * block_rows)
+    large = F.broadcast(large.select("shard", F.ceil(F.col("count") / block_rows).alias("k")))  # one row a leaf at most
+    placed = dealt.join(large, "shard", "left").withColumn("block", F.pmod(F.xxhash64("fp", F.lit("block")), F.coalesce("k", F.lit(1))))
+    others = F.filter(F.sequence(F.lit(0).cast("long"), F.col("k") - 1), lambda b: b != F.col("block"))
+    pairs = F.transform(others, lambda b: F.struct(F.least("block", b).alias("low"), F.greatest("block", b).alias("high")))
+    alone = F.array(F.struct(F.lit(0).cast("long").alias("low"), F.lit(0).cast("long").alias("high")))
+    return placed.select("fp", "shard", F.inline(F.when(F.col("k").isNull(), alone).otherwise(pairs)))
+
+
+def close_links(fps: DataFrame, max_bits: int, work: str, **sizes: int) -> DataFrame:
+    """Links ``a, b`` whose components are those of all pairs of distinct ``fp`` at ``max_bits`` bits or fewer."""
+
+    def links(group: pd.DataFrame) -> pd.DataFrame:
+        values = np.sort(group["fp"].to_numpy())
         label = shard_components(values.view(np.uint64), max_bits)
         linked = label != np.arange(len(values))
         return pd.DataFrame({"a": values[linked], "b": values[label[linked]]})
 
-    dealt = fps.select("fp").mapInArrow(shards, "fp long, shard long")
-    return dealt.groupBy("shard").applyInPandas(links, "a long, b long")
+    groups = dealt_groups(fps, max_bits, work, **sizes).groupBy("shard", "low", "high")
+    return groups.applyInPandas(links, "a long, b long")
 
 
 def simhash_dedup(
@@ -210,7 +238,7 @@ def simhash_dedup(
     rows = stored(fingerprints(docs, shingle, id_col, text_col), f"{work}/fingerprints")
     best = F.min(F.struct(F.col("id").isNull().alias("unknown"), "id", "text_hash"))
     fps = stored(rows.groupBy("fp").agg(best.alias("best")), f"{work}/distinct")
-    links = stored(close_links(fps.select("fp"), max_bits), f"{work}/links")
+    links = stored(close_links(fps.select("fp"), max_bits, work), f"{work}/links")
     root = connected_components(links, f"{work}/components")
     label = fps.join(root, fps["fp"] == root["node"], "left").select("fp", F.coalesce("root", "fp").alias("root"), "best")
     label = stored(label, f"{work}/labels")
