@@ -77,10 +77,12 @@ def link_quotes(
     text = whole_text(text_col)
     rows = messages.select(F.col(scope).alias("scope"), F.col(position).alias("at"), text.alias("t"))
     rows = rows.select("scope", "at", F.xxhash64("t").alias("text_hash"), passages_of(F.col("t")).alias("found"))
-    each = rows.select("scope", "at", "text_hash", F.posexplode("found").alias("k", "p")).select(
-        "scope", "at", "text_hash", "k", F.col("p.level").alias("level"), digest_of(F.col("p.text")).alias("digest")
-    )
-    each = stored(each.where("scope is not null and at is not null"), f"{work}/passages")
+    own = F.transform(F.filter("found", lambda p: p["level"] == 0), lambda p: p["text"])
+    said = F.transform("found", lambda p: F.struct(p["level"].alias("level"), digest_of(p["text"]).alias("digest")))
+    rows = rows.select("scope", "at", "text_hash", F.array_join(own, "\n\n").alias("own"), said.alias("said"))
+    rows = stored(rows, f"{work}/messages")  # parsed once; of what is quoted only digests
+    each = rows.where("scope is not null and at is not null").select("scope", "at", "text_hash", F.posexplode("said").alias("k", "p"))
+    each = each.select("scope", "at", "text_hash", "k", "p.level", "p.digest")
     # a passage that very many messages share is one row here, and a join splits those who quote it
     first = each.where("level = 0").groupBy("scope", "digest").agg(F.min("at").alias("source"))
     first = stored(first, f"{work}/first")
@@ -94,8 +96,8 @@ def link_quotes(
     )
     found = found.select(*[F.col(c).alias(f"__{c}") for c in ("scope", "at", "text_hash")], "linked", "sources")
     nodes = nodes.select(F.col("scope").alias("__s"), F.col("at").alias("__a"), "parent", "root", "depth")
-    own = F.transform(F.filter("found", lambda p: p["level"] == 0), lambda p: p["text"])
-    out = rows.select("scope", "at", "text_hash", F.array_join(own, "\n\n").alias("own"), (F.size("found") - F.size(own)).alias("quoted"))
+    quoted = F.size(F.filter("said", lambda p: p["level"] > 0))
+    out = rows.select("scope", "at", "text_hash", "own", quoted.alias("quoted"))
     same = (F.col("scope") == F.col("__scope")) & (F.col("at") == F.col("__at")) & (F.col("text_hash") == F.col("__text_hash"))
     out = out.join(found, same, "left").join(nodes, (F.col("scope") == F.col("__s")) & (F.col("at") == F.col("__a")), "left")
     thread = F.coalesce("root", "at")
@@ -158,8 +160,9 @@ def quoted_mail(conversations: DataFrame) -> DataFrame:
 
     one = quoted.select(F.col("conv_id").alias("c1"), F.col("turn").alias("t1"), F.col("m").alias("m1"))
     two = quoted.select(F.col("conv_id").alias("c2"), F.col("turn").alias("t2"), F.col("m").alias("m2"))
+    # first what a message answers: a first turn then asks for a turn that is not there, not for NULL
+    one = one.join(two, (F.col("c1") == F.col("c2")) & (F.col("m1.to") == F.col("t2")), "left")
     both = said.join(one, (said["conv_id"] == F.col("c1")) & (said["to"] == F.col("t1")), "left")
-    both = both.join(two, (F.col("c1") == F.col("c2")) & (F.col("m1.to") == F.col("t2")), "left")
     outer = F.concat(F.lit("\n"), told(F.col("m1.role"), F.col("t1"), ""), marked(F.col("m1.text"), "> "))
     inner = F.concat(told(F.col("m2.role"), F.col("t2"), "> "), marked(F.col("m2.text"), ">> "))
     text = F.concat(F.coalesce("text", F.lit("")), F.coalesce(outer, F.lit("")), F.coalesce(inner, F.lit("")))
