@@ -106,24 +106,30 @@ def context_part(keys: np.ndarray, grid: int) -> np.ndarray:
     return (keys % np.uint64(grid * grid)).astype(np.int64)
 
 
-def _pack(columns: list[np.ndarray]) -> bytes:
-    raw = np.concatenate([c.astype(np.uint64) for c in columns])
-    return len(columns).to_bytes(1, "little") + pa.compress(raw, codec="zstd", asbytes=True) + len(raw).to_bytes(8, "little")
+def _pack(columns: list[np.ndarray], words: int = 0) -> bytes:
+    """Columns as compressed bytes; the first ``words`` of them, which repeat, as numbers of their different values."""
+    arrays = [pa.array(c.astype(np.uint64)) for c in columns]
+    arrays = [a.dictionary_encode() if i < words else pa.array(_small(c)) if words else a for i, (a, c) in enumerate(zip(arrays, columns, strict=True))]
+    batch = pa.RecordBatch.from_arrays(arrays, names=[str(i) for i in range(len(arrays))])
+    sink = pa.BufferOutputStream()
+    with pa.ipc.new_stream(sink, batch.schema, options=pa.ipc.IpcWriteOptions(compression="zstd")) as writer:
+        writer.write_batch(batch)
+    return sink.getvalue().to_pybytes()
 
 
 def _unpack(blob: bytes) -> list[np.ndarray]:
-    n = int.from_bytes(blob[-8:], "little")
-    raw = np.frombuffer(pa.decompress(blob[1:-8], 8 * n, codec="zstd"), np.uint64)
-    return np.split(raw, blob[0])
+    (batch,) = pa.ipc.open_stream(blob)
+    plain = (c.dictionary_decode() if pa.types.is_dictionary(c.type) else c for c in batch.columns)
+    return [c.to_numpy(zero_copy_only=False).astype(np.uint64) for c in plain]
 
 
-def _parts(kind: int, part: np.ndarray, columns: list[np.ndarray]) -> Iterator[pa.RecordBatch]:
+def _parts(kind: int, part: np.ndarray, columns: list[np.ndarray], words: int = 0) -> Iterator[pa.RecordBatch]:
     """A row for each part, its columns sorted by the first one."""
     order = np.lexsort((columns[0], part))
     part = part[order]
     first = np.flatnonzero(np.append(True, part[1:] != part[:-1])) if len(part) else []
     for i, j in zip(first, [*first[1:], len(part)], strict=True):
-        yield _row(kind, int(part[i]), _pack([c[order[i:j]] for c in columns]))
+        yield _row(kind, int(part[i]), _pack([c[order[i:j]] for c in columns], words))
 
 
 def _row(kind: int, part: int, blob: bytes) -> pa.RecordBatch:
@@ -157,7 +163,7 @@ def count_grams(batches: Iterator[pa.RecordBatch], order: int, grid: int) -> Ite
         del key, place, first
         words = [flat[last - k] for k in range(order - 1, -1, -1)]
         del flat, last
-        yield from _parts(GRAM, cell_of(words, grid), [*words, n])
+        yield from _parts(GRAM, cell_of(words, grid), [*words, n], order)
 
     held, size = [], 0
     for batch in batches:
@@ -224,12 +230,12 @@ def merge_order(batches: Iterator[pa.RecordBatch], k: int, order: int, grid: int
     left = np.where(words[1] == START, n, 1).astype(np.uint64)
     _, at, counts = summed(fold(words[1:]), [left, raw])
     suffix = [w[at] for w in words[1:]]
-    yield from _parts(GRAM, cell_of(suffix, grid), [*suffix, *counts])
+    yield from _parts(GRAM, cell_of(suffix, grid), [*suffix, *counts], k - 1)
 
 
 def _small(n: np.ndarray) -> np.ndarray:
     """In as few bytes as the largest needs."""
-    return n.astype(np.min_scalar_type(n.max()))
+    return n.astype(np.min_scalar_type(n.max(initial=0)))
 
 
 @dataclass(frozen=True)
