@@ -1,12 +1,17 @@
 import re
 import textwrap
 
+import duckdb
 from pyspark.sql import functions as F
 
 from tests.llm import frames
-from usertide.llm import licences
+from usertide.llm import licences, oracle
 
 MIT = licences.KNOWN[0][1]
+GONE = ["Copyright 2020", "# Copyright (c) <year> <owner>", "Copyright © X", "(c) 2001-2003 X", "(C) X, 1999", "(c) Copyright X"]
+GONE += ["© X", "Copyright The Foo Authors", "copyright: Joyent, Inc. and others", "Copyright [yyyy] [name]", "* All rights reserved."]
+KEPT = ["copyright notice and this permission notice appear in all copies.", "COPYRIGHT HOLDERS BE LIABLE", "copyright", "(c) You must retain"]
+KEPT += ["copyright, patent, trademark", '"Copyright" also means copyright-like laws', "copyrighted 2020", "all rights reserved to them stay", "(c)"]
 TEXTS = [
     MIT,
     MIT.upper().replace(",", " ;").replace(" the ", "\n the\n").replace("MIT LICENSE", "MIT  Licence"),
@@ -61,14 +66,53 @@ def test_texts_wrapped_at_any_width(spark):
     assert any("\ncopyright notice and this permission notice appear" in text for _, text in rows)
 
 
+#: Ways to write the same: each text below must be known however it is written.
+SAME = [
+    lambda t: re.sub(r"(?i)copyright holder", "copyright owner", t),
+    lambda t: re.sub(r"(?i)copyright holder", "copyright\\nHolder", t),
+    lambda t: t.replace("sublicens", "sub-licens").replace("Sublicens", "sub licens"),
+    lambda t: re.sub(r"(?i)license", "licence", t),
+    lambda t: t.replace("noncommercial", "non-commercial").replace("percent", "per cent"),
+    lambda t: re.sub(r"(?i)\b(warran)(t)", r"\1-\n   \2", t),
+    lambda t: t.replace('"', "''").replace(",", " ,").replace("-", " "),
+]
+
+
+def test_each_known_text_under_each_equivalence(spark):
+    whole = [(name, text) for name, text in licences.KNOWN if len(text) > 200]
+    whole += [(path.stem, path.read_text("utf-8")) for path in sorted(licences.FILES.glob("*.txt"))]
+    rows = [(name, same(text)) for name, text in whole for same in SAME]
+    bsd3 = dict(licences.KNOWN[:6])["BSD-3-Clause"]
+    rows += [("MIT", MIT.replace("COPYRIGHT HOLDERS", "COPYRIGHT OWNERS")), ("MIT", MIT.replace("sublicense", "sub-license"))]
+    rows += [("BSD-3-Clause", bsd3.replace("HOLDER", "OWNER").replace("holder", "owner"))]
+    got = licences.scan(spark.createDataFrame(rows, "doc_id string, text string")).select("id", "licence").collect()
+    assert len(got) == len(rows) and [r for r in got if r.licence != r.id] == []
+
+
+def test_sql_follows(spark):
+    files = [path.read_text("utf-8") for path in sorted(licences.FILES.glob("*L*-[13].*.txt"))]
+    texts = [*TEXTS, *(same(t) for _, t in licences.KNOWN[:6] for same in SAME), *files, *(wrapped(t, 40) for _, t in licences.KNOWN[:6])]
+    texts += ["\n".join([*GONE, t, *GONE]) for t in (MIT, "Licensed under CC BY 4.0", "1 2 3\n4")]
+    texts += [MIT + "\n" + t for t in (*GONE, *KEPT)] + ["the MIT License", "Released under\nthe MIT License", "SPDX-License-Identifier: MPL-2.0\nMPL 2.0"]
+    df = frames.docs(spark, texts)
+    con = duckdb.connect()
+    con.register("documents", df.toArrow())
+    want = sorted(con.sql(oracle.oracle_sql()["op7_licence_scan"]).project("doc_id, licence, notices, n_notices").fetchall())
+    got = licences.scan(df).select("id", "licence", F.array_join("notices", ",").alias("notices"), "n_notices").collect()
+    assert sorted(map(tuple, got)) == want
+    assert sum(r.licence is not None for r in got) > 60
+
+
+def test_numbers_stay_apart(spark):
+    rows = [(None, "Licensed under the Apache License, Version 20."), ("Apache-2.0", "Licensed under the Apache License, Version 2.0.")]
+    got = licences.scan(spark.createDataFrame(rows, "doc_id string, text string")).collect()
+    assert [r.notices for r in sorted(got, key=lambda r: str(r.id))] == [["Apache-2.0"], []]
+
+
 def test_copyright_lines(spark):
-    gone = ["Copyright 2020", "# Copyright (c) <year> <owner>", "Copyright © X", "(c) 2001-2003 X", "(C) X, 1999", "(c) Copyright X"]
-    gone += ["© X", "Copyright The Foo Authors", "copyright: Joyent, Inc. and others", "Copyright [yyyy] [name]", "* All rights reserved."]
-    kept = ["copyright notice and this permission notice appear in all copies.", "COPYRIGHT HOLDERS BE LIABLE", "copyright", "(c) You must retain"]
-    kept += ["copyright, patent, trademark", '"Copyright" also means copyright-like laws', "copyrighted 2020", "all rights reserved to them stay", "(c)"]
-    df = spark.createDataFrame([(x,) for x in gone + kept], "t string")
+    df = spark.createDataFrame([(x,) for x in GONE + KEPT], "t string")
     empty = [r.t for r in df.where(F.size(licences.canonical_lines(F.col("t"))) == 0).collect()]
-    assert sorted(empty) == sorted(gone)
+    assert sorted(empty) == sorted(GONE)
 
 
 def test_titles_and_whole_texts_from_files(spark):

@@ -4,6 +4,10 @@ The canonical form is lower case, without copyright lines, with runs of anything
 with one of several equivalent spellings. It is made line by line, so the same pass serves two kinds of unit: a text
 as a whole, and each of its lines, where licence notices stand. A unit matches if the whole of it does.
 
+A unit is hashed without its blanks, but for those between digits, and with phrases of equal meaning made the same. So "sub-license" and
+"sublicense", "per cent" and "percent", and a word that a hyphen splits at the end of a line are equal, and phrases may cross lines. Only a
+word that is both spelt otherwise and split by a hyphen is not recognised.
+
 A copyright line names a year, a holder or another mark. A licence's own words that happen to start a line with "copyright" or
 "(c)", as in a text wrapped there, stay; so does a "(c)" with neither a year nor another mark, which could be a list item.
 """
@@ -48,7 +52,6 @@ SPELLINGS = {
     "cancelled": "canceled",
     "catalogue": "catalog",
     "centre": "center",
-    "copyrightholder": "copyrightowner",
     "emphasised": "emphasized",
     "favour": "favor",
     "favourite": "favorite",
@@ -78,6 +81,9 @@ SPELLINGS = {
     "wilful": "willful",
 }
 
+#: Phrases and parts of words that count as the same, without blanks.
+PHRASES = {"copyrightholder": "copyrightowner", "licence": "license"}
+
 _AS_IS = (
     'THE SOFTWARE IS PROVIDED "AS IS", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR IMPLIED, INCLUDING BUT NOT LIMITED TO THE '
     "WARRANTIES OF MERCHANTABILITY, FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT. IN NO EVENT SHALL THE AUTHORS OR "
@@ -200,7 +206,6 @@ _NOTICES = [
 _VARIANTS = [
     (r"\b[123]\. ", "* "),
     ("modify, and/or distribute", "modify, and distribute"),
-    ("COPYRIGHT HOLDER OR CONTRIBUTORS", "COPYRIGHT OWNER OR CONTRIBUTORS"),
     ("the copyright holder nor", "the University nor"),
     ("the copyright holder nor", "the <organization> nor"),
 ]
@@ -276,7 +281,10 @@ def canonical_lines(text: Column) -> Column:
 
 
 def digest(canonical: Column) -> Column:
-    return F.unhex(F.sha2(canonical, 256))
+    """The digest of canonical lines, joined by blanks."""
+    joined = F.translate(F.regexp_replace(canonical, r"(\p{N}) (?=\p{N})", "$1."), " ", "")
+    same = reduce(lambda x, w: F.replace(x, F.lit(w[0]), F.lit(w[1])), PHRASES.items(), joined)
+    return F.unhex(F.sha2(same, 256))
 
 
 def known_digests(spark: SparkSession, known: list[tuple[str, str]] | None = None) -> DataFrame:

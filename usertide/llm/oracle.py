@@ -1,7 +1,17 @@
-"""DuckDB SQL for the queries that SQL can express, over the given tables. It borrows nothing from the operators."""
+"""DuckDB SQL for the queries that SQL can express, over the given tables.
+
+It borrows nothing from the operators but the texts of known licences, which are fixed values; how they are made canonical is said here anew.
+"""
 
 from __future__ import annotations
 
+from functools import cache
+from hashlib import sha256
+
+import regex
+
+from usertide.llm.licences import known_texts
+
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 _OP6_WORDS = f"regexp_extract_all(translate(coalesce(text, ''), '{_UPPER}', '{_LOWER}'), '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+')"
 
@@ -118,7 +128,6 @@ calibre caliber
 cancelled canceled
 catalogue catalog
 centre center
-copyrightholder copyrightowner
 emphasised emphasized
 favour favor
 favourite favorite
@@ -147,55 +156,87 @@ utilisation utilization
 whilst while
 wilful willful
 """
+_SPELL = dict(x.split() for x in _OTHER_SPELLINGS.split("\n") if x)
+
+#: Lines that are notices of copyright, whatever follows: signs, years, "all rights reserved" alone, by how the line goes on.
+_LEAD = r"(?i)^[^\p{L}\p{N}]*"
+_SIGN = r"[^\p{L}\p{N}]*([0-9]{4}\b|copyright\b|©|\(c\))"
+_NOTICE = [
+    _LEAD + "©",
+    _LEAD + r"(copyright\b|\(c\))" + _SIGN,
+    _LEAD + r"\(c\).*\b(19|20)[0-9]{2}[^\p{L}\p{N}]*(all rights reserved[^\p{L}\p{N}]*)?$",
+    _LEAD + r"all rights reserved[^\p{L}\p{N}]*$",
+]
+#: Lines that begin with the word name somebody, unless nothing, a mark, or one of these words of licences comes next.
+_NAMED = _LEAD + r"copyright\b"
+_GOES_ON = (
+    "notice notices holder holders owner owners ownership law laws license licence licenses licences statement statements permission "
+    "permissions protection treaty treaties interest interests right rights disclaimer disclaimers doctrine doctrines status term terms "
+    "infringement infringements information management legend legends work works and or on in to for is are as of at that which if unless "
+    "when where with without not nor under also like does resulting"
+).split()
+_UNNAMED = (
+    _NAMED + r"([^\p{L}\p{N}]*$|\s*[-,;.)\"”'’/]|[^\p{L}\p{N}]+((" + "|".join(_GOES_ON) + r")\b|the (software|library|program|work)\b|the[^\p{L}\p{N}]*$))"
+)
+
+
+def _quoted(pattern: str) -> str:
+    return "'" + pattern.replace("'", "''") + "'"
 
 
 def _canonical(line: str) -> str:
-    """The canonical form of one line, word by word."""
-    pairs = [x.split() for x in _OTHER_SPELLINGS.split("\n") if x]
-    spell = ", ".join(f"'{a}': '{b}'" for a, b in pairs)
+    """SQL for the canonical form of one line, word by word."""
+    spell = ", ".join(f"'{a}': '{b}'" for a, b in _SPELL.items())
     plain = f"trim(regexp_replace(lower({line}), '[^\\p{{L}}\\p{{N}}]+', ' ', 'g'))"
     words = f"list_transform(string_split({plain}, ' '), lambda w: coalesce(map {{{spell}}}[w], w))"
-    mark = r"(?i)^[^\p{L}\p{N}]*(copyright\b|©|\(c\)|all rights reserved\b)"
-    return f"case when regexp_matches({line}, '{mark}') then '' else array_to_string({words}, ' ') end"
+    gone = [f"regexp_matches({line}, {_quoted(x)})" for x in _NOTICE]
+    gone.append(f"(regexp_matches({line}, {_quoted(_NAMED)}) and not regexp_matches({line}, {_quoted(_UNNAMED)}))")
+    return f"case when {' or '.join(gone)} then '' else array_to_string({words}, ' ') end"
 
 
-#: Licences and notices, in canonical form by hand: lower case, no punctuation.
-_KNOWN = """
-MIT: mit license permission is hereby granted free of charge to any person obtaining a copy of this software and associated documentation files the software to deal in the software without restriction including without limitation the rights to use copy modify merge publish distribute sublicense and or sell copies of the software and to permit persons to whom the software is furnished to do so subject to the following conditions the above copyright notice and this permission notice shall be included in all copies or substantial portions of the software the software is provided as is without warranty of any kind express or implied including but not limited to the warranties of merchantability fitness for a particular purpose and noninfringement in no event shall the authors or copyright holders be liable for any claim damages or other liability whether in an action of contract tort or otherwise arising from out of or in connection with the software or the use or other dealings in the software
-ISC: isc license permission to use copy modify and or distribute this software for any purpose with or without fee is hereby granted provided that the above copyright notice and this permission notice appear in all copies the software is provided as is and the author disclaims all warranties with regard to this software including all implied warranties of merchantability and fitness in no event shall the author be liable for any special direct indirect or consequential damages or any damages whatsoever resulting from loss of use data or profits whether in an action of contract negligence or other tortious action arising out of or in connection with the use or performance of this software
-0BSD: permission to use copy modify and or distribute this software for any purpose with or without fee is hereby granted the software is provided as is and the author disclaims all warranties with regard to this software including all implied warranties of merchantability and fitness in no event shall the author be liable for any special direct indirect or consequential damages or any damages whatsoever resulting from loss of use data or profits whether in an action of contract negligence or other tortious action arising out of or in connection with the use or performance of this software
-BSD-2-Clause: redistribution and use in source and binary forms with or without modification are permitted provided that the following conditions are met 1 redistributions of source code must retain the above copyright notice this list of conditions and the following disclaimer 2 redistributions in binary form must reproduce the above copyright notice this list of conditions and the following disclaimer in the documentation and or other materials provided with the distribution this software is provided by the copyright holders and contributors as is and any express or implied warranties including but not limited to the implied warranties of merchantability and fitness for a particular purpose are disclaimed in no event shall the copyright holder or contributors be liable for any direct indirect incidental special exemplary or consequential damages including but not limited to procurement of substitute goods or services loss of use data or profits or business interruption however caused and on any theory of liability whether in contract strict liability or tort including negligence or otherwise arising in any way out of the use of this software even if advised of the possibility of such damage
-BSD-3-Clause: redistribution and use in source and binary forms with or without modification are permitted provided that the following conditions are met 1 redistributions of source code must retain the above copyright notice this list of conditions and the following disclaimer 2 redistributions in binary form must reproduce the above copyright notice this list of conditions and the following disclaimer in the documentation and or other materials provided with the distribution 3 neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote products derived from this software without specific prior written permission this software is provided by the copyright holders and contributors as is and any express or implied warranties including but not limited to the implied warranties of merchantability and fitness for a particular purpose are disclaimed in no event shall the copyright holder or contributors be liable for any direct indirect incidental special exemplary or consequential damages including but not limited to procurement of substitute goods or services loss of use data or profits or business interruption however caused and on any theory of liability whether in contract strict liability or tort including negligence or otherwise arising in any way out of the use of this software even if advised of the possibility of such damage
-Zlib: this software is provided as is without any express or implied warranty in no event will the authors be held liable for any damages arising from the use of this software permission is granted to anyone to use this software for any purpose including commercial applications and to alter it and redistribute it freely subject to the following restrictions 1 the origin of this software must not be misrepresented you must not claim that you wrote the original software if you use this software in a product an acknowledgment in the product documentation would be appreciated but is not required 2 altered source versions must be plainly marked as such and must not be misrepresented as being the original software 3 this notice may not be removed or altered from any source distribution
-MIT: released under the mit license
-MIT: licensed under the mit license
-Apache-2.0: licensed under the apache license version 2 0
-GPL-3.0-only: this work is licensed under the gnu general public license version 3
-CC-BY-NC-4.0: licensed under cc by nc 4 0
-CC-BY-4.0: licensed under cc by 4 0
-"""
+def _digest(plain: str) -> str:
+    """SQL for the digest of canonical words: points between numbers, no blanks."""
+    pointed = plain
+    for _ in range(2):  # a number between two others is in two pairs
+        pointed = f"regexp_replace({pointed}, '(\\p{{N}}) (\\p{{N}})', '\\1.\\2', 'g')"
+    return f"sha256(replace(replace(replace({pointed}, ' ', ''), 'copyrightholder', 'copyrightowner'), 'licence', 'license'))"
 
 
 def _known() -> str:
-    pairs = [x.split(": ", 1) for x in _KNOWN.split("\n") if x]
-    return ", ".join(f"('{a}', '{b}')" for a, b in pairs)
+    """``licence, digest, whole_only`` of the known texts as SQL values."""
+    found: dict[str, list] = {}
+    for licence, text, whole_only in known_texts():
+        lines = []
+        for line in text.split("\n"):
+            named = regex.search(_NAMED, line) and not regex.search(_UNNAMED, line)
+            if not named and not any(regex.search(x, line) for x in _NOTICE):
+                lines += [_SPELL.get(w, w) for w in regex.findall(r"[\p{L}\p{N}]+", line.lower())]
+        plain = regex.sub(r"(?<=\p{N}) (?=\p{N})", ".", " ".join(lines)).replace(" ", "")
+        plain = plain.replace("copyrightholder", "copyrightowner").replace("licence", "license")
+        if plain:
+            row = found.setdefault(sha256(plain.encode()).hexdigest(), [licence, True])
+            row[1] &= whole_only
+    return ", ".join(f"('{licence}', '{digest}', {whole_only})" for digest, (licence, whole_only) in found.items())
 
 
-_OP7 = f"""
-with known(licence, plain) as (values {_known()}),
+@cache
+def _op7() -> str:
+    return f"""
+with known(licence, digest, whole_only) as (values {_known()}),
 lines as (
     select doc_id, i, {_canonical("parts[i]")} as plain
     from (select doc_id, string_split(coalesce(text, ''), chr(10)) as parts from documents), unnest(range(1, len(parts) + 1)) as u(i)
 ),
-whole as (select doc_id, string_agg(plain, ' ' order by i) as plain from lines where plain <> '' group by doc_id),
+whole as (select doc_id, {_digest("string_agg(plain, ' ' order by i)")} as digest from lines where plain <> '' group by doc_id),
 notices as (
     select doc_id, count(*) as n, string_agg(distinct licence, ',' order by licence) as names
-    from lines join known using (plain) group by doc_id
+    from (select doc_id, {_digest("plain")} as digest from lines where plain <> '') join known using (digest) where not whole_only group by doc_id
 )
 select d.doc_id, k.licence, coalesce(n.names, '') as notices, coalesce(n.n, 0) as n_notices
-from documents d left join whole w using (doc_id) left join known k using (plain) left join notices n on n.doc_id = d.doc_id
+from documents d left join whole w using (doc_id) left join known k using (digest) left join notices n on n.doc_id = d.doc_id
 """
 
+
 _USABLE = "embedding is not null and label is not null and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0"
 
 _OP11 = f"""
@@ -289,7 +330,7 @@ def oracle_sql() -> dict[str, str]:
     return {
         "op1_quote_linking": _OP1,
         "op6_decontaminate": _OP6,
-        "op7_licence_scan": _OP7,
+        "op7_licence_scan": _op7(),
         "op9_exact_dedup": _OP9,
         "op11_embedding_dedup": _OP11,
         "op12_prefix_trie": _OP12,
