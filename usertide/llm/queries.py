@@ -50,9 +50,9 @@ def op1_quote_linking(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op2_kneser_ney(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Every document's log10 probability under a bigram model of those that are not held out."""
+    """Every document's log10 probability under a trigram model of those that are not held out."""
     docs, out = table(spark, sf_dir, "documents"), crc_remainder("doc_id", 7) == 2
-    model = kneser_ney.fit(docs.where(~out), order=2)
+    model = kneser_ney.fit(docs.where(~out), order=3)
     scored = kneser_ney.score(docs, model).withColumnRenamed("id", "doc_id")
     return scored.select(
         "doc_id", out.alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score", "perplexity"
