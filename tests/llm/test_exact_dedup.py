@@ -36,6 +36,25 @@ def test_equals_brute_force_whatever_the_tree(spark, keep, parts, fan_in):
     assert {r["count"] for r in kept} == {1}
 
 
+def test_rounds_merge_without_a_shuffle(spark, tmp_path):
+    rows = frames.docs(spark, [f"text {i % 70}" for i in range(400)]).repartition(9)
+    best = F.struct(F.lit(True), "id", "row")
+    found = exact_dedup.digest_rows(rows, str(tmp_path / "work")).select("run", *exact_dedup.KEY, best.alias("best"), F.lit(1).alias("n"))
+    leaf = exact_dedup.merge_runs(found, "max").repartition(4, *exact_dedup.KEY)
+    first = exact_dedup.stored_runs(leaf, str(tmp_path / "first"), 4)
+    merged = exact_dedup.merge_runs(first.withColumn("run", F.lit(0)), "max")
+    decided = first.select("run", *exact_dedup.KEY).join(merged.hint("merge").drop("run"), exact_dedup.KEY)
+    for df in (merged, decided):
+        plan = df._jdf.queryExecution().executedPlan().toString()
+        assert "Exchange" not in plan and "Bucketed: true" in plan
+    assert merged.count() == 70 and decided.count() == first.count() > 70
+    # one file a bucket, sorted; the name of the table is gone, its rows are not
+    assert len(list((tmp_path / "first").glob("*.parquet"))) <= 4
+    for part in first.select("digest", F.input_file_name().alias("f")).toPandas().groupby("f")["digest"]:
+        assert list(part[1]) == sorted(part[1])
+    assert not [t for t in spark.catalog.listTables() if t.name.startswith("runs_")]
+
+
 def test_odd_rows(spark):
     df = frames.odd(spark).repartition(5)
     out = exact_dedup.exact_dedup(frames.clashing(df))

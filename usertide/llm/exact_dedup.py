@@ -2,10 +2,12 @@
 
 Each input partition makes one run: its rows' digests, sorted, one entry per digest with the identifier to
 keep and the number of rows. In each round ``fan_in`` neighbouring runs meet and are merged into one, until a
-single run is left (a binomial tree of rounds; ``fan_in`` 2 is the plain one). A run is spread over tasks by digest,
-so the last rounds are as parallel as the first. The decisions then go back down the same tree. At no level has
-a key more than ``fan_in`` entries, and at the leaves no more than one input partition holds: a group of copies
-of any size meets nowhere in one task. Only digests move, never texts.
+single run is left (a binomial tree of rounds; ``fan_in`` 2 is the plain one). All runs are cut at the same places: a stored level is a
+table bucketed by key and sorted within its buckets, so a round reads the runs of a bucket together, merges them and writes them
+back with no shuffle, and the last rounds are as parallel as the first. The sorts that Spark plans in a round meet sorted pieces, which
+its merge sort takes as they are. The last run has one entry per key; its decisions go to the first runs by a join within buckets.
+A key has no more than ``fan_in`` entries in a merge, and in the first round no more than one input partition holds: a group
+of copies of any size meets nowhere in one task. Only digests move, never texts.
 
 An entry's key is the SHA-256 of the text, its length in bytes and a second, independent hash of the text. All
 three must agree at every level before two entries are taken for equal.
@@ -13,6 +15,8 @@ three must agree at every level before two entries are taken for equal.
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -39,8 +43,19 @@ def digest_rows(docs: DataFrame, work: str, id_col: str = "doc_id", text_col: st
 def merge_runs(runs: DataFrame, keep: str) -> DataFrame:
     """Merge entries of equal run and key: the identifier to keep and the number of rows."""
     best = F.max("best") if keep == "max" else F.min("best")
-    merged = runs.groupBy("run", *KEY).agg(best.alias("best"), F.sum("n").alias("n"))
-    return merged.sortWithinPartitions("run", "digest")
+    return runs.groupBy(*KEY, "run").agg(best.alias("best"), F.sum("n").alias("n"))
+
+
+def stored_runs(runs: DataFrame, path: str, buckets: int) -> DataFrame:
+    """Write runs to the shared folder, bucketed by key and sorted within buckets, and read them back.
+
+    Spark keeps buckets with a table's name only. The name goes as soon as the table is read; its files stay in the work folder.
+    """
+    spark, name = runs.sparkSession, f"runs_{uuid.uuid4().hex}"
+    runs.write.bucketBy(buckets, *KEY).sortBy(*KEY).option("path", path).format("parquet").saveAsTable(name)
+    found = spark.table(name)
+    spark.sql(f"DROP TABLE {name}")
+    return found
 
 
 def exact_dedup(
@@ -51,11 +66,13 @@ def exact_dedup(
     normalise=None,
     fan_in: int = 8,
     work: str | None = None,
+    buckets: int | None = None,
 ) -> DataFrame:
     """Every row with the row of its text that stays.
 
     Returns ``id, keep_id, group_size, kept, digest`` (binary SHA-256) and ``proof``, one row per input row.
     ``keep`` is ``max`` or ``min``, by id; ``normalise`` maps the text column before it is compared.
+    ``buckets`` is the number of pieces that a run is cut into, by default the session's number of shuffle partitions.
 
     NULL text counts as empty, and empty texts are equal to each other. A NULL id never wins against another id; a
     group of NULL ids has a NULL ``keep_id``. Rows that repeat id and text are copies: exactly one is ``kept``.
@@ -70,17 +87,14 @@ def exact_dedup(
     # among equal ids the row number decides, so that one row is left
     best = F.struct(F.col("id").isNotNull() if keep == "max" else F.col("id").isNull(), "id", "row")
     leaf = merge_runs(rows.select("run", *KEY, best.alias("best"), F.lit(1).cast("long").alias("n")), keep)
-    levels = [stored(leaf, f"{work}/level-0")]
-    last = rows.agg(F.max("run")).first()[0] or 0
+    buckets = buckets or int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    runs = first = stored_runs(leaf.repartition(buckets, *KEY), f"{work}/level-0", buckets)
+    last, level = rows.agg(F.max("run")).first()[0] or 0, 0
     while last > 0:
-        last //= fan_in
-        met = levels[-1].withColumn("run", F.floor(F.col("run") / fan_in).cast("int"))
-        levels.append(stored(merge_runs(met, keep), f"{work}/level-{len(levels)}"))
-    decided = levels.pop().select("run", *KEY, "best", "n")
-    while levels:
-        entries = levels.pop().select("run", *KEY, F.floor(F.col("run") / fan_in).cast("int").alias("up"))
-        above = decided.withColumnRenamed("run", "up")
-        decided = entries.join(above, ["up", *KEY]).select("run", *KEY, "best", "n")
+        last, level = last // fan_in, level + 1
+        met = runs.withColumn("run", F.floor(F.col("run") / fan_in).cast("int"))
+        runs = stored_runs(merge_runs(met, keep), f"{work}/level-{level}", buckets)
+    decided = first.select("run", *KEY).join(runs.select(*KEY, "best", "n"), KEY)
     return rows.join(decided, ["run", *KEY]).select(
         "id",
         F.col("best.id").alias("keep_id"),
