@@ -100,6 +100,21 @@ def test_odd_rows_and_labels(spark):
     assert toxicity.score(odd, clean).where("score > 0.1").count() == 0
 
 
+def test_sample_is_bounded_in_bytes(spark, tmp_path):
+    docs, labels = made(spark, 120)
+    known = docs.join(labels, "doc_id").select(F.col("text").alias("t"), F.col("toxic").alias("y"))
+    sample = known.select("t", "y", F.xxhash64("t").alias("turn"), F.octet_length("t").alias("size"))
+    for room in (0, 1000, 5000, 1 << 20):
+        kept = sample.where(toxicity._room(sample, room)).groupBy("y").agg(F.sum("size").alias("s"), F.count("*").alias("n")).collect()
+        assert all(r.s <= room for r in kept)
+        assert room < 1000 or (len(kept) == 2 and all(r.s > room - 600 or r.n == (80, 40)[r.y] for r in kept))
+    whole, enough = (toxicity.fit(docs, labels, max_bytes=b) for b in (64 << 20, 1 << 20))
+    assert np.array_equal(whole.weights, enough.weights)
+    # no room for any text: the share of label 1, for every text
+    none = toxicity.fit(docs, labels, max_bytes=0)
+    assert toxicity.score(docs, none).agg(F.min("score"), F.max("score")).first()[0] == pytest.approx(41 / 122)
+
+
 def test_offsets_are_those_of_split():
     for text in [t or "" for t in frames.ODD_TEXTS]:
         assert [text[i:j] for i, j in toxicity.split_offsets(text)] == text.split()

@@ -25,7 +25,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from usertide.llm._shared import sampled, whole_text
+from usertide.llm._shared import sampled, stored, whole_text, work_folder
 
 #: Hashed features; different tokens that a worker keeps; characters scored at once.
 SLOTS, MAX_TOKENS, MAX_CHARS = 1 << 18, 400_000, 4 << 20
@@ -241,10 +241,13 @@ def fit(
     id_col: str = "doc_id",
     text_col: str = "text",
     max_docs: int = 2000,
+    max_bytes: int = 64 << 20,
+    work: str | None = None,
 ) -> Crf:
-    """Fit on about ``max_docs`` documents of each label at most, chosen by a hash of their id.
+    """Fit on about ``max_docs`` documents of each label at most, chosen by a hash of their id, and of ``max_bytes`` of text for each.
 
-    The sample's labels, a bounded number of rows, are broadcast to find its texts, which the driver fits on. ``learn`` is a
+    The sample's labels, a bounded number of rows, are broadcast to find its texts, which are written once; the driver fits on those that
+    ``max_bytes`` has room for, whole texts in the order of a hash of theirs. ``learn`` is a
     condition on ``id_col`` that says which rows labels may be learnt from. Rows without an id or a label, and ids whose
     labels contradict each other, are left out; equal texts count once. Without both labels the score is the smoothed share
     of label 1.
@@ -260,7 +263,9 @@ def fit(
     chosen = known.where(sampled("__of", part))
     texts = docs.select(F.col(id_col).alias("__id"), whole_text(text_col).alias("t"))
     sample = texts.join(F.broadcast(chosen), F.col("__id") == F.col("__of")).groupBy("t").agg(F.max("y").alias("y"))
-    sample = sorted((r.t, r.y) for r in sample.collect())
+    sample = sample.select("t", "y", F.xxhash64("t").alias("turn"), F.octet_length("t").alias("size"))
+    sample = stored(sample, f"{work_folder(docs.sparkSession, work)}/sample")
+    sample = sorted((r.t, r.y) for r in sample.where(_room(sample, max_bytes)).collect())
     toxic = np.array([y for _, y in sample], int)
     if len(set(toxic.tolist())) < 2:
         document = np.array([np.log((n[1] + 1) / (n[0] + 1)), 0, 0, 0])
@@ -287,6 +292,17 @@ def fit(
     return Crf(crf.weights.astype(np.float32), crf.moves, crf.first, document)
 
 
+def _room(sample: DataFrame, max_bytes: int) -> Column:
+    """A condition for the texts of each label that ``max_bytes`` has room for, by turn; only sizes come to the driver."""
+    sizes = sample.select("y", "turn", "size").toPandas().sort_values(["turn", "size"])
+    total = sizes["size"].groupby(sizes["y"]).cumsum()
+    last = sizes[total > max_bytes].groupby("y")["turn"].min()
+    kept = F.lit(True)
+    for y, turn in last.items():
+        kept = kept & ((F.col("y") != int(y)) | (F.col("turn") < int(turn)))
+    return kept
+
+
 class _Numbers(dict):
     """Numbers the keys in the order in which they are first asked for."""
 
