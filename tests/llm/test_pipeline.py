@@ -1,13 +1,14 @@
 import re
 
 import pytest
+import tokenizers
 from pyspark.sql import functions as F
 
 import corpus_pipeline
 from tests.llm import frames
 from tests.llm.test_decontaminate import brute as brute_overlaps
 from tests.llm.test_simhash import brute_components, brute_print
-from usertide.llm import bpe, queries
+from usertide.llm import queries
 
 SF = "/root/testdata/sf0.01"
 
@@ -71,11 +72,13 @@ def test_no_document_with_a_benchmark_window(stages, spark):
 
 def test_encoding(stages):
     before = texts(stages[4][0])
-    coder = bpe.Bpe(queries.tokenizer("word_bpe_49k.json"))
     rows = stages[4][1].collect()
     assert {r.doc_id for r in rows} == set(before)
-    for r in rows[:50]:
-        assert r.ids == coder.encode([before[r.doc_id]])[0].tolist() and r.n_tokens == len(r.ids)
+    library = tokenizers.Tokenizer.from_file(queries.tokenizer("word_bpe_49k.json"))
+    wanted = library.encode_batch([before[r.doc_id] or "" for r in rows], add_special_tokens=False)
+    for r, want in zip(rows, wanted, strict=True):
+        assert r.ids == want.ids and r.n_tokens == len(r.ids)
+        assert r.decoded == library.decode(want.ids, skip_special_tokens=False)
 
 
 def test_run_on_odd_and_empty_documents(spark, tmp_path):
