@@ -58,3 +58,18 @@ def test_special_tokens_in_other_case(library):
         want = [e.ids for e in library.encode_batch(order, add_special_tokens=False)]
         assert ids.tolist() == sum(want, []) and size.tolist() == [len(w) for w in want]
     assert bpe.Bpe(PATH).encode(["<|ENDOFTEXT|>"])[0].tolist() == [27, 347, 40786, 4160, 91, 285]
+
+
+def test_a_batch_is_encoded_slice_by_slice(spark, library, monkeypatch):
+    texts = pa.array(["one two", None, "", "three four five", "a" * 30, "six", "é" * 4, None])
+    monkeypatch.setattr(bpe, "MAX_CHARS", 10)
+    parts = list(bpe.slices(texts))
+    assert pa.concat_arrays(parts).equals(texts) and [len(p) for p in parts] == [3, 1, 1, 1, 2]
+    assert list(bpe.slices(texts.slice(2, 0))) == [] and pa.concat_arrays(list(bpe.slices(texts.slice(3)))).equals(texts.slice(3))
+    # one batch of Spark, many slices: every row gets its own ids
+    long = [f"word{i} " * 20_000 + ("" if i % 3 else "<|endoftext|>") for i in range(30)] + [None, ""]
+    got = bpe.round_trip(frames.docs(spark, long).coalesce(1), PATH).orderBy("id").collect()
+    want = [library.encode(t or "", add_special_tokens=False).ids for t in long]
+    assert [r.ids for r in got] == want and [r.decoded for r in got] == [library.decode(w, skip_special_tokens=False) for w in want]
+    alone = frames.docs(spark, long).coalesce(1).select("doc_id", bpe.encode(F.col("text"), PATH).alias("ids")).orderBy("doc_id")
+    assert [r.ids for r in alone.collect()] == want

@@ -3,7 +3,8 @@
 A batch of texts is cut into pieces between white space, and each distinct piece is encoded once. The symbols of all new
 pieces lie in one flat array. In a round every word finds its lowest-rank pair, by binary search of its adjacent
 pairs in the sorted pair keys, and merges all occurrences of it; words without a known pair are done and leave the array.
-A worker keeps the pieces it has seen, up to a bound that only costs time to exceed.
+A worker keeps the pieces it has seen, up to a bound that only costs time to exceed. Spark's batches of texts are encoded and given back
+slice by slice, so that a worker holds the ids and decoded texts of one slice, however long the texts of a batch are.
 """
 
 from __future__ import annotations
@@ -12,6 +13,7 @@ import functools
 import json
 import re
 import unicodedata
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -23,7 +25,7 @@ from pyspark.sql import functions as F
 from usertide.llm._shared import whole_text
 
 #: Distinct pieces a worker keeps, and characters handled at once.
-MAX_PIECES, MAX_CHARS = 400_000, 4 << 20
+MAX_PIECES, MAX_CHARS = 400_000, 1 << 20
 #: Characters that split() takes for white space and a regular expression's \s does not.
 _CONTROLS = re.compile("[\x1c-\x1f]")
 _NO_RANK = np.iinfo(np.int64).max
@@ -206,6 +208,16 @@ def _encode(texts: pa.Array, path: str) -> pa.ListArray:
     return pa.ListArray.from_arrays(pa.array(offsets.astype(np.int32)), pa.array(ids))
 
 
+def slices(texts: pa.Array) -> Iterator[pa.Array]:
+    """All rows in turn, as many at a time as hold ``MAX_CHARS`` bytes, or one that is longer."""
+    ends, row = np.cumsum(pc.fill_null(pc.binary_length(texts), 0).to_numpy(zero_copy_only=False).astype(np.int64)), 0
+    while row < len(texts):
+        start = ends[row - 1] if row else 0
+        last = max(row + 1, int(np.searchsorted(ends, start + MAX_CHARS, side="right")))
+        yield texts.slice(row, last - row)
+        row = last
+
+
 def encode(text: Column, path: str) -> Column:
     """The ids of a text, without special tokens around it, as ``array<int>``.
 
@@ -214,8 +226,10 @@ def encode(text: Column, path: str) -> Column:
     """
 
     @F.arrow_udf("array<int>")
-    def ids_of(texts: pa.Array) -> pa.Array:
-        return _encode(texts, path)
+    def ids_of(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        for texts in batches:
+            for part in slices(texts):
+                yield _encode(part, path)
 
     return ids_of(text)
 
@@ -237,9 +251,11 @@ def round_trip(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str
     """
 
     @F.arrow_udf("struct<ids:array<int>,decoded:string>")
-    def both(texts: pa.Array) -> pa.Array:
-        ids = _encode(texts, path)
-        return pa.StructArray.from_arrays([ids, load(path).decode(ids)], names=["ids", "decoded"])
+    def both(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        for texts in batches:
+            for part in slices(texts):
+                ids = _encode(part, path)
+                yield pa.StructArray.from_arrays([ids, load(path).decode(ids)], names=["ids", "decoded"])
 
     rows = docs.select(F.col(id_col).alias("id"), both(whole_text(text_col)).alias("found"))
     return rows.select("id", "found.ids", "found.decoded")
