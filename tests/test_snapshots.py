@@ -214,3 +214,44 @@ def test_merges_are_refused_where_they_could_not_be_right(spark, store, tmp_path
             load(spark, out, EARLY, tmp_path / "w", "merge", **more)
     with pytest.raises(ValueError, match="mode must be"):
         snapshot_loads.load_snapshot(store, {}, None, "", "other")
+
+
+def test_no_keys_are_broadcast(spark, store, tmp_path, monkeypatch):
+    """Frames that loads of a store write hold no broadcast of keys; dimensions, of one part, may be."""
+    load(spark, store, EARLY, tmp_path / "w1")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "1g")
+    plans, put, kept = {}, snapshots.Change.put, snapshot_loads.store_events
+
+    def planned(df):
+        return df._jdf.queryExecution().executedPlan().toString()
+
+    def seen_put(self, table, rows, *args, **kwargs):
+        plans[table] = planned(rows)
+        return put(self, table, rows, *args, **kwargs)
+
+    def seen_kept(rows, path):
+        plans[path.rsplit("/", 1)[1]] = planned(rows)
+        return kept(rows, path)
+
+    monkeypatch.setattr(snapshots.Change, "put", seen_put)
+    monkeypatch.setattr(snapshot_loads, "store_events", seen_kept)
+    try:
+        load(spark, store, LATE, tmp_path / "w2", "merge")
+        merged = contents(store.model())
+        load(spark, store, EARLY + LATE, tmp_path / "w3", "incremental")
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert merged == whole(spark, *EARLY, *LATE)
+    joined = {name for name, plan in plans.items() if "Join" in plan and not name.startswith(("dim_date", "dim_device", "dim_geo", "dim_traffic"))}
+    assert {"fact_sessions_hits", "fact_sessions_same", "fact_user_daily_activity_delta", "fact_funnel_steps", "dim_user"} <= joined
+    assert [name for name in sorted(joined) if "Broadcast" in plans[name]] == []
+
+
+def test_a_filter_by_collected_widths_is_the_same(spark):
+    held = spark.range(500).select(F.concat(F.lit("k"), F.col("id")).alias("k"), F.when(F.col("id") % 9 != 0, (F.col("id") % 7 % 3).cast("string")).alias("p"))
+    held = held.withColumn("p", F.coalesce("p", F.lit("none"))).unionByName(spark.sql("select cast(null as string) k, '1' p"))
+    sizes = key_filters.filter_widths(held, F.col("p"))
+    by_table = key_filters.build_filter(held, F.col("p"), ["k"], sizes)
+    collected = key_filters.build_filter(held, F.col("p"), ["k"], {r["part"]: r["width"] for r in sizes.collect()})
+    assert rows(by_table) == rows(collected)
+    assert "Join" not in collected._jdf.queryExecution().executedPlan().toString()

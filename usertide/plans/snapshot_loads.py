@@ -4,6 +4,9 @@ All three write new folders and commit one manifest. An insert asks the key filt
 are joined, and only with the parts that may hold them. A merge brings late events in: what the delta alone would give is combined with the
 stored rows of its users, sessions, steps and purchases, and its user days are recomputed from the stored rollup. Parts in which a stored
 row changes are written anew; others keep their folders, and get one more for new rows.
+
+Joins by keys ask for a merge of shuffled sides. Keys grow with the events and lie compressed in files, so Spark would broadcast many times
+the bytes that its threshold means, and all of them would pass through the driver.
 """
 
 from __future__ import annotations
@@ -94,13 +97,13 @@ def insert_absent(change: Change, table: str, rows: DataFrame, work: str) -> Non
     rows = store_events(rows, f"{work}/{table}_new")
     if table not in FILTER_KEYS:
         stored = store.read(table, missing_ok=True, parts=_named_parts(store, table, rows))
-        change.put(table, insert_if_absent(rows, stored, keys), drop=[])
+        change.put(table, insert_if_absent(rows, stored if table.startswith("dim_") else stored.hint("merge"), keys), drop=[])
         return
     hits, parts = _hits(store, table, rows, work)
-    asked = hits.select(*FILTER_KEYS[table]).distinct()
+    asked = hits.select(*FILTER_KEYS[table]).distinct().hint("merge")
     doubtful = rows.join(asked, FILTER_KEYS[table], "left_semi")
     sure = rows.join(asked, FILTER_KEYS[table], "left_anti")
-    stored = store.read(table, missing_ok=True, parts=parts)
+    stored = store.read(table, missing_ok=True, parts=parts).hint("merge")
     change.put(table, sure.select(*rows.columns).unionByName(insert_if_absent(doubtful, stored, keys).select(*rows.columns)), drop=[])
 
 
@@ -114,7 +117,7 @@ def merge_rows(
     store = change.store
     delta = store_events(delta, f"{work}/{table}_delta")
     parts = _hits(store, table, delta, work)[1] if table in FILTER_KEYS else _named_parts(store, table, delta)
-    wanted = delta.select(*keys).distinct()
+    wanted = delta.select(*keys).distinct().hint("merge")
     same = store.read(table, missing_ok=True, parts=parts).join(wanted, keys, "left_semi").select(*delta.columns)
     same = store_events(same, f"{work}/{table}_same")
     changed = _named_parts(store, table, same)
@@ -145,7 +148,7 @@ def merge_model(
         dates = [r[0].isoformat() for r in touched.select("activity_date").distinct().collect()]
         slices = store.read(ROLLUP, missing_ok=True, parts=dates).unionByName(rolled)
         touched = touched.withColumnRenamed("activity_date", "event_date_utc")
-        slices = slices.join(touched, ["user_id", "event_date_utc"], "left_semi")
+        slices = slices.join(touched.hint("merge"), ["user_id", "event_date_utc"], "left_semi")
         whole = build_fact_user_daily_activity(enrich_events(slices))
         merge_rows(change, "fact_user_daily_activity", whole, None, ["user_id", "activity_date"], work)
 

@@ -35,17 +35,33 @@ def filter_widths(rows: DataFrame, part: Column) -> DataFrame:
     return rows.groupBy(part.alias("part")).agg(F.call_function("shiftleft", F.lit(1).cast("long"), words).alias("width"))
 
 
-def build_filter(rows: DataFrame, part: Column, keys: list[str], widths: DataFrame) -> DataFrame:
-    """The filter of every part. Rows without a complete key are left out, as they are never found."""
+def _width_of(part: Column, widths: dict[str, int]) -> Column:
+    """The width of a part, by the few widths that there are: nothing is joined or broadcast."""
+    named: dict[int, list[str]] = {}
+    for name, width in widths.items():
+        named.setdefault(width, []).append(name)
+    found = [F.when(part.isin(names), F.lit(width).cast("long")) for width, names in named.items()]
+    return F.coalesce(*found, F.lit(None).cast("long"))
+
+
+def build_filter(rows: DataFrame, part: Column, keys: list[str], widths: DataFrame | dict[str, int]) -> DataFrame:
+    """The filter of every part. Rows without a complete key are left out, as they are never found.
+
+    ``widths`` are those of ``filter_widths``, or the same collected: part to width.
+    """
     known = reduce(Column.__and__, [F.col(k).isNotNull() for k in keys])
-    rows = rows.where(known).select(part.alias("part"), *keys).join(widths, "part")
+    rows = rows.where(known).select(part.alias("part"), *keys)
+    rows = rows.withColumn("width", _width_of(F.col("part"), widths)) if isinstance(widths, dict) else rows.join(widths, "part")
     rows = rows.select("part", "width", _word(keys, F.col("width")).alias("word"), _mask(keys).alias("mask"))
     return rows.groupBy("part", "width", "word").agg(F.bit_or("mask").alias("bits"))
 
 
 def may_hold(keys_of: DataFrame, keys: list[str], filters: DataFrame, widths: list[int]) -> DataFrame:
-    """Keys with each part that may hold them. ``widths`` are those that occur among the filters, a few powers of two."""
+    """Keys with each part that may hold them. ``widths`` are those that occur among the filters, a few powers of two.
+
+    Filters grow with the keys that are stored, so they are never broadcast.
+    """
     sized = keys_of.select(*keys, F.explode(F.array(*[F.lit(w).cast("long") for w in widths])).alias("width"))
     asked = sized.select(*keys, "width", _word(keys, F.col("width")).alias("word"), _mask(keys).alias("mask"))
-    found = asked.join(filters, ["width", "word"]).where(F.col("bits").bitwiseAND(F.col("mask")) == F.col("mask"))
+    found = asked.join(filters.hint("merge"), ["width", "word"]).where(F.col("bits").bitwiseAND(F.col("mask")) == F.col("mask"))
     return found.select(*keys, "part").distinct()

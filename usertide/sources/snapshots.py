@@ -256,9 +256,8 @@ class Change:
         rows = store._read(folders, TABLES[table])
         held = {} if drop is None else {p: f for p, f in self.manifest["filters"].get(table, {}).items() if p not in drop}
         if folders:
-            sizes = filter_widths(rows, part)
-            widths = {r["part"]: r["width"] for r in sizes.collect()}  # a row for each part
-            words = build_filter(rows, part, keys, sizes).withColumn("of", F.col("part"))
+            widths = {r["part"]: r["width"] for r in filter_widths(rows, part).collect()}  # a row for each part
+            words = build_filter(rows, part, keys, widths).withColumn("of", F.col("part"))
             words.hint("rebalance", F.col("of")).write.partitionBy("of").parquet(f"{store.root}/{place}")
             for name in store._names(place):
                 if name.startswith("of="):
