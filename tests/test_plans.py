@@ -7,6 +7,8 @@ from helpers import enriched, raw, rows
 from pyspark.sql import functions as F
 
 import usertide as ut
+from usertide.operators.staging import gather_sessions, rollup_events
+from usertide.sources.events import home_partitions, stored_by
 from workload import queries
 
 QUERIES = queries.queries()
@@ -147,3 +149,36 @@ def test_bucketed_slices_feed_the_tables_of_users_without_a_shuffle(spark, tmp_p
             assert rows(model[name]) == rows(plain[name]), name
     assert "e--9" in {r[0] for r in rows(model["fact_sessions"], "session_key")} and model["fact_sessions"].where("session_key = 'e--9'").count() == 1
     spark.sql("DROP DATABASE sliced CASCADE")
+
+
+def test_slices_stored_by_session_feed_sessions_and_steps_without_a_shuffle(spark, tmp_path, no_broadcast):
+    odd = [raw("e", "2020-01-03 10:00:00", session=-9), raw("e-", "2020-01-03 09:00:00", session=9)]
+    odd += [raw(None, "2020-01-03 09:00:00"), raw("u1", "2020-01-03 09:00:00", session=None), raw("u1", None)]
+    more = [raw(f"u{i % 20}", f"2020-01-0{1 + i % 8} 10:00:00", "purchase", session=i % 3, txn=f"t{i}", revenue=i / 7) for i in range(60)]
+    events = enriched(spark, *odd, *more, raw("u1", "2020-01-05 10:00:00", "view_item", session=1, revenue=5.0))
+    plain = ut.build_model(events, events)
+    gathered = gather_sessions(events, "session_home", home_partitions(spark))
+    with stored_by(rollup_events(gathered, ["session_home"]), f"{tmp_path}/slices", "session_home") as rolled:
+        assert rows(rolled.drop("session_home")) == rows(ut.rollup_events(events))
+        for grain in ("reference", "session_step"):
+            model = ut.build_model(ut.enrich_events(rolled), events, funnel_grain=grain, session_home="session_home")
+            assert [exchanges(model[n]) for n in ("fact_sessions", "fact_funnel_steps", "fact_user_daily_activity")] == [0, 0, 1]
+            plain["fact_funnel_steps"] = ut.build_fact_funnel_steps(events, grain=grain)
+            for name, table in plain.items():
+                assert rows(model[name]) == rows(table), name
+        # stored keys are all that an insert shuffles
+        model["fact_sessions"].write.parquet(f"{tmp_path}/sessions")
+        model["fact_funnel_steps"].write.parquet(f"{tmp_path}/steps")
+        sessions, steps = (spark.read.parquet(f"{tmp_path}/{n}").where("session_key < 'u15'") for n in ("sessions", "steps"))
+        new = ut.insert_if_absent(model["fact_sessions"], sessions, ["session_key"])
+        by = ut.insert_if_absent(model["fact_funnel_steps"], steps, ["session_key", "funnel_step"], by="session_key")
+        assert exchanges(new) == exchanges(by) == 1
+        assert rows(by) == rows(ut.insert_if_absent(model["fact_funnel_steps"], steps, ["session_key", "funnel_step"])) != []
+    assert not [t for t in spark.catalog.listTables() if t.name.startswith("usertide_")]
+
+
+def test_inserts_by_one_of_their_keys_are_the_same(spark):
+    new = spark.createDataFrame([("a", 1, 0), ("a", 2, 0), ("a", 2, 9), ("b", 1, 0), ("b", None, 0), (None, 1, 0)], "s string, n long, x int")
+    held = spark.createDataFrame([("a", 1), ("a", 1), ("b", None), (None, 1), ("c", 2)], "s string, n long")
+    found = rows(ut.insert_if_absent(new, held, ["s", "n"], by="s"))
+    assert found == rows(ut.insert_if_absent(new, held, ["s", "n"])) == [("a", 2, 0), ("a", 2, 9), ("b", 1, 0)]

@@ -47,6 +47,15 @@ def user_home(user: str = "user_id") -> Column:
     return F.rtrim(F.col(user), F.lit("-"))
 
 
+def session_home(*others: str) -> Column:
+    """The session key; rows without one are dealt to up to 1024 values by ``others``, so that they do not lie all together.
+
+    Rows that are stored by this column hold sessions whole, and grouping by it as well changes no group of a session, nor any of ``others``.
+    """
+    dealt = F.concat(F.lit("-"), F.pmod(F.xxhash64(*others), F.lit(1024)).cast("string"))
+    return F.coalesce(session_key(), dealt)
+
+
 def micros_date(micros: str) -> str:
     """SQL for the calendar date of microseconds since 1970, whatever the session's time zone."""
     return f"date_add(date'1970-01-01', cast(({micros} - pmod({micros}, 86400000000L)) div 86400000000L as int))"

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from usertide.functions.columns import PURCHASE, attribute_key, micros_date, param_int, session_key
+from usertide.functions.columns import PURCHASE, attribute_key, micros_date, param_int, session_home, session_key
 from usertide.schemas import DIM_ATTRIBUTES, MONEY
 
 
@@ -97,16 +97,27 @@ def with_measures(events: DataFrame) -> DataFrame:
     )
 
 
-def rollup_events(staged: DataFrame) -> DataFrame:
+def gather_sessions(staged: DataFrame, column: str, partitions: int) -> DataFrame:
+    """What a rollup needs of the events, those of a session in one partition, with the ``column`` that says in which.
+
+    Events without a session are dealt to all partitions. Sessions are not cut: one that holds a large share of all events crowds one task.
+    """
+    revenue = F.when(F.col("event_name") == PURCHASE, F.col("purchase_revenue")).alias("purchase_revenue")
+    homed = staged.select(*SLICE_COLUMNS, "event_ts_utc", revenue, session_home(*SLICE_COLUMNS).alias(column))
+    return homed.repartition(partitions, column)
+
+
+def rollup_events(staged: DataFrame, within: Sequence[str] = ()) -> DataFrame:
     """Staged events counted per user, session, date, event and attributes.
 
     One pass over the events feeds all tables. Rows are combined before the shuffle,
     and the fine grain spreads a crowded user or session over many reducers. All
-    buffers are fixed width, so Spark aggregates by hash, without sorting.
+    buffers are fixed width, so Spark aggregates by hash, without sorting. ``within`` names
+    a column of gathered events; they are counted where they lie, and it stays among the columns.
     """
     return (
         with_measures(staged)
-        .groupBy(*SLICE_COLUMNS)
+        .groupBy(*within, *SLICE_COLUMNS)
         .agg(
             F.sum("event_count").alias("event_count"),
             F.min("first_ts").alias("first_ts"),

@@ -19,15 +19,18 @@ from usertide.operators.facts import (
 )
 from usertide.operators.marts import churn_proxy, funnel_daily, retention_cohorts, retention_curve, wow_kpis
 from usertide.operators.sessionize import dedup_events, fill_sessions
-from usertide.operators.staging import enrich_events, rollup_events, stage_events
+from usertide.operators.staging import enrich_events, gather_sessions, rollup_events, stage_events
 from usertide.schemas import DIM_ATTRIBUTES, LOAD_KEYS
 from usertide.plans.snapshot_loads import load_snapshot
 from usertide.session import prepare, shared_dir
-from usertide.sources.events import read_back, read_events, store_events, write_events
+from usertide.sources.events import home_partitions, read_back, read_events, store_events, stored_by, write_events
 from usertide.sources.snapshots import SnapshotStore
 from usertide.sources.tables import HOME, TableStore
 
 
+#: The column that the slices of a load are stored by.
+SESSION_HOME = "session_home"
+
 # Fixed value: the last week of a cohort in its mart.
 MART_WEEKS = 12
 
@@ -38,19 +41,24 @@ def build_model(
     dim_grain: str = "key",
     funnel_grain: str = "reference",
     within: Sequence[str] = (),
+    session_home: str | None = None,
 ) -> dict[str, DataFrame]:
     """The nine tables, dimensions first, from enriched slices and enriched events.
 
-    ``within`` names the column that stored slices are bucketed by, if they are. Only the purchases need single events. To derive everything without a stored
+    ``within`` names the column that stored slices are bucketed by, if they are, and users lie whole in the buckets; ``session_home`` one where
+    only sessions do. Only the purchases need single events. To derive everything without a stored
     rollup, pass the enriched events twice.
     """
     model = {"dim_date": build_dim_date(slices)}
     for name, (key, attributes) in DIM_ATTRIBUTES.items():
         model[name] = build_dim(slices, key, attributes, dim_grain)
     model["dim_user"] = build_dim_user(slices, within)
-    model["fact_sessions"] = build_fact_sessions(slices, within=within)
-    model["fact_funnel_steps"] = build_fact_funnel_steps(slices, grain=funnel_grain, within=within)
-    model["fact_user_daily_activity"] = build_fact_user_daily_activity(slices, within=within)
+    in_sessions = slices
+    if session_home:  # the same text as the key; by this name Spark knows that the rows lie by it
+        in_sessions = slices.where(F.col("session_key").isNotNull()).withColumn("session_key", F.col(session_home))
+    model["fact_sessions"] = build_fact_sessions(in_sessions, within=within)
+    model["fact_funnel_steps"] = build_fact_funnel_steps(in_sessions, grain=funnel_grain, within=within)
+    model["fact_user_daily_activity"] = build_fact_user_daily_activity(slices, within=within, parted=[session_home] if session_home else [])
     model["fact_purchases"] = build_fact_purchases(events)
     return model
 
@@ -133,23 +141,39 @@ def run_pipeline(
         events = read_back(spark, events, staged_events)
     elif session_gap:
         events = store_events(events, f"{work}/enriched_events")
-    within = []
     if isinstance(store, TableStore) and store.buckets:
-        rolled, within = store.keep_slices(rollup_events(events)), [HOME]
-    else:
-        rolled = store_events(rollup_events(events), f"{work}/event_slices")
-    slices = enrich_events(rolled)
-    if isinstance(store, SnapshotStore):
-        model = build_model(slices, events, dim_grain, funnel_grain)
-        load_snapshot(store, model, rolled, work, mode, dim_grain, funnel_grain, progress)
+        _load(store, store.keep_slices(rollup_events(events)), events, work, mode, dim_grain, funnel_grain, within=[HOME])
         return store.model()
+    # One shuffle of the events for all of slices, sessions and steps.
+    gathered = gather_sessions(events, SESSION_HOME, home_partitions(spark))
+    with stored_by(rollup_events(gathered, [SESSION_HOME]), f"{work}/event_slices", SESSION_HOME) as rolled:
+        _load(store, rolled, events, work, mode, dim_grain, funnel_grain, session_home=SESSION_HOME, progress=progress)
+    return store.model()
 
+
+def _load(
+    store: TableStore | SnapshotStore,
+    rolled: DataFrame,
+    events: DataFrame,
+    work: str,
+    mode: str,
+    dim_grain: str,
+    funnel_grain: str,
+    within: Sequence[str] = (),
+    session_home: str | None = None,
+    progress: tuple[str, int] | None = None,
+) -> None:
+    """Load all tables from a stored rollup and the events."""
+    slices = enrich_events(rolled)
+    model = build_model(slices, events, dim_grain, funnel_grain, within, session_home)
+    if isinstance(store, SnapshotStore):
+        load_snapshot(store, model, rolled.drop(SESSION_HOME), work, mode, dim_grain, funnel_grain, progress)
+        return
     dates = None
     if mode == "incremental":
         bounds = slices.agg(F.min("event_date_utc"), F.max("event_date_utc")).first()
         dates = tuple(bounds) if bounds[0] else None
-    load_model(store, build_model(slices, events, dim_grain, funnel_grain, within), mode, dates)
-    return store.model()
+    load_model(store, model, mode, dates)
 
 
 def build_marts(model: dict[str, DataFrame]) -> dict[str, DataFrame]:

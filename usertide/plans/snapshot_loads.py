@@ -13,6 +13,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from concurrent.futures import ThreadPoolExecutor
+from contextlib import nullcontext
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -21,7 +22,7 @@ from pyspark.sql.window import Window
 from usertide.operators.facts import _earliest, build_fact_user_daily_activity, earliest_purchases
 from usertide.operators.staging import enrich_events
 from usertide.schemas import DIM_ATTRIBUTES, DIM_KEYS, LOAD_KEYS
-from usertide.sources.events import store_events
+from usertide.sources.events import store_events, stored_by
 from usertide.sources.snapshots import FILTER_KEYS, ROLLUP, Change, SnapshotStore
 from usertide.sources.tables import insert_if_absent
 
@@ -90,21 +91,21 @@ def _hits(store: SnapshotStore, table: str, rows: DataFrame, work: str) -> tuple
 def insert_absent(change: Change, table: str, rows: DataFrame, work: str) -> None:
     """Add the rows whose key the table does not hold.
 
-    Where the key says in which part a row lies, only the parts of the new rows are read; else those that the filters name, for the
-    rows whose keys they name. What a filter names wrongly is told apart by the join.
+    Where the key says in which part a row lies, only the parts of the new rows are read; else those that the filters name. What a
+    filter names wrongly is told apart by the join.
     """
-    store, keys = change.store, LOAD_KEYS[table]
-    rows = store_events(rows, f"{work}/{table}_new")
+    store, keys, place = change.store, LOAD_KEYS[table], f"{work}/{table}_new"
     if table not in FILTER_KEYS:
+        rows = store_events(rows, place)
         stored = store.read(table, missing_ok=True, parts=_named_parts(store, table, rows))
         change.put(table, insert_if_absent(rows, stored if table.startswith("dim_") else stored.hint("merge"), keys), drop=[])
         return
-    hits, parts = _hits(store, table, rows, work)
-    asked = hits.select(*FILTER_KEYS[table]).distinct().hint("merge")
-    doubtful = rows.join(asked, FILTER_KEYS[table], "left_semi")
-    sure = rows.join(asked, FILTER_KEYS[table], "left_anti")
-    stored = store.read(table, missing_ok=True, parts=parts).hint("merge")
-    change.put(table, sure.select(*rows.columns).unionByName(insert_if_absent(doubtful, stored, keys).select(*rows.columns)), drop=[])
+    # Sessions and steps come by session, and stay so: neither their keys nor they are shuffled again for the filters and the join.
+    by = "session_key" if FILTER_KEYS[table] == ["session_key"] else None
+    with stored_by(rows, place, by) if by else nullcontext(store_events(rows, place)) as rows:
+        # One join: to part the doubtful rows from the others first would shuffle all of them twice more.
+        stored = store.read(table, missing_ok=True, parts=_hits(store, table, rows, work)[1]).hint("merge")
+        change.put(table, insert_if_absent(rows, stored, keys, by if len(keys) > 1 else None), drop=[])
 
 
 def merge_rows(

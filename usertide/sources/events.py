@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 from datetime import date, timedelta
 
 from pyspark.sql import DataFrame, SparkSession
@@ -56,3 +59,24 @@ def store_events(events: DataFrame, path: str) -> DataFrame:
     """Write events as they lie, for use within one load, and return them as read back."""
     events.write.mode("overwrite").parquet(path)
     return read_back(events.sparkSession, events, path)
+
+
+@contextmanager
+def stored_by(rows: DataFrame, path: str, column: str) -> Iterator[DataFrame]:
+    """Rows that lie in partitions by ``column``, written as they lie, and read back as partitions of that column.
+
+    What groups by the column as well then needs no shuffle. Spark knows such files by a table of its catalog only: it has a name of
+    its own, is external, and goes afterwards; the files stay.
+    """
+    spark, name = rows.sparkSession, f"usertide_{uuid.uuid4().hex}"
+    writer = rows.write.mode("overwrite").format("parquet").bucketBy(home_partitions(spark), column)
+    try:
+        writer.option("path", path).saveAsTable(name)
+        yield spark.table(name)
+    finally:
+        spark.sql(f"drop table if exists {name}")
+
+
+def home_partitions(spark: SparkSession) -> int:
+    """How many partitions gathered rows get: as many as any shuffle."""
+    return int(spark.conf.get("spark.sql.shuffle.partitions"))

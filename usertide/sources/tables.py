@@ -17,13 +17,19 @@ from usertide.schemas import BUCKET_COLUMN, DATE_COLUMN, TABLES, conform
 HOME = "user_home"
 
 
-def insert_if_absent(new: DataFrame, existing: DataFrame, keys: list[str]) -> DataFrame:
+def insert_if_absent(new: DataFrame, existing: DataFrame, keys: list[str], by: str | None = None) -> DataFrame:
     """Rows of ``new`` whose key is not in ``existing``.
 
     Rows without a complete key never load. Several key columns are compared as
-    columns, not as joined text. An anti join needs no distinct keys on its right.
+    columns, not as joined text. An anti join needs no distinct keys on its right. ``by`` names one of several
+    keys that the new rows lie by and that has few of the others, as a session has few steps: these are gathered to it, so that only they are shuffled.
     """
     keyed = reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in keys])
+    if by:
+        rest = F.struct(*[k for k in keys if k != by])
+        held = existing.groupBy(by).agg(F.collect_set(rest).alias("_held"))
+        both = new.where(keyed).join(held.hint("merge"), by, "left")
+        return both.where(F.col("_held").isNull() | ~F.array_contains("_held", rest)).select(*new.columns)
     return new.where(keyed).join(existing.select(*keys), keys, "left_anti").select(*new.columns)
 
 
@@ -191,7 +197,7 @@ class TableStore:
         day = next((k for k in keys if k in (DATE_COLUMN.get(table), "date_day")), None)
         if dates and day:
             stored = stored.where(F.col(day).between(*[F.lit(d) for d in dates]))
-        self.write(insert_if_absent(df, stored, keys), table, "append")
+        self.write(insert_if_absent(df, stored, keys, by="session_key" if table == "fact_funnel_steps" else None), table, "append")
 
     def rebuild(self, df: DataFrame, table: str, side: str) -> None:
         """Replace a table by a query over itself.
