@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 import usertide as ut
 from usertide.schemas import RAW_EVENTS
 from usertide.streaming import loads
+from workload import queries
 
 
 def arrive(spark, path, *batches):
@@ -97,3 +98,15 @@ def test_copies_within_the_watermark_are_dropped(spark, tmp_path):
     stream = arrive(spark, tmp_path / "in", *BATCHES)
     ut.stream_load(stream, ut.SnapshotStore(spark, f"{tmp_path}/dw"), f"{tmp_path}/w", f"{tmp_path}/cp", within="3 days").awaitTermination()
     assert contents(spark, f"{tmp_path}/dw") == whole(spark, BATCHES, dedup=True)
+
+
+def test_a_turn_of_many_rows_comes_in_one_batch_of_several_files(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(queries, "FILE_ROWS", 10)
+    # the rows of turn 1 lie in one partition of four, so the other tasks of that turn write nothing
+    rows_of = spark.range(0, 80, 1, 4).withColumn("late", F.col("id") >= 75)
+    stream = queries._in_turn(spark, rows_of, F.col("late").cast("int"), str(tmp_path))
+    batches = []
+    query = stream.writeStream.foreachBatch(lambda df, _: batches.append((df.count(), df.where("late").count(), df.select(F.input_file_name()).distinct().count()))).trigger(availableNow=True)
+    query.option("checkpointLocation", f"{tmp_path}/cp").start().awaitTermination()
+    assert [b[:2] for b in batches] == [(75, 0), (5, 5)]
+    assert batches[0][2] > 1

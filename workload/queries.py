@@ -193,12 +193,24 @@ def changed_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     return comparable(ledger.seen().select(F.regexp_extract("shard", r"(\d+)$", 1).alias("day"), "rows", "version"))
 
 
+# Fixed value: the rows of one file of a stream, about.
+FILE_ROWS = 200_000
+
+
 def _in_turn(spark: SparkSession, rows: DataFrame, turn: Column, path: str) -> DataFrame:
-    """A stream of the rows, in as many batches as there are turns, four at most."""
+    """A stream of the rows, in as many batches as there are turns, four at most.
+
+    All turns have the same number of files, so that a batch is a turn; it grows with the rows, so that no task writes or reads a whole batch.
+    """
     turned = store_events(rows.withColumn("turn", turn), f"{path}/turned")
-    for n in sorted(r[0] for r in turned.select("turn").distinct().collect()):
-        turned.where(F.col("turn") == n).drop("turn").coalesce(1).write.mode("append").parquet(f"{path}/arrived")
-    return spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", 1).parquet(f"{path}/arrived")
+    held, arrived = dict(turned.groupBy("turn").count().collect()), f"{path}/arrived"
+    files = max(1, min(-(-max(held.values(), default=0) // FILE_ROWS), turned.rdd.getNumPartitions()))
+    for i, n in enumerate(sorted(held), 1):
+        turned.where(F.col("turn") == n).drop("turn").coalesce(files).write.mode("append").parquet(arrived)
+        # a task without rows of this turn writes no file: an empty one takes its place
+        for _ in range(i * files - len(spark.read.schema(rows.schema).parquet(arrived).inputFiles())):
+            turned.limit(0).drop("turn").write.mode("append").parquet(arrived)
+    return spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", files).parquet(arrived)
 
 
 STREAM_GAP, STREAM_DELAY = "8 hours", "40 days"
