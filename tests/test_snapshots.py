@@ -255,3 +255,25 @@ def test_a_filter_by_collected_widths_is_the_same(spark):
     collected = key_filters.build_filter(held, F.col("p"), ["k"], {r["part"]: r["width"] for r in sizes.collect()})
     assert rows(by_table) == rows(collected)
     assert "Join" not in collected._jdf.queryExecution().executedPlan().toString()
+
+
+def test_a_merge_of_new_dates_recomputes_no_days_and_shuffles_no_keys_for_the_filters(spark, store, tmp_path, monkeypatch):
+    load(spark, store, EARLY, tmp_path / "w1")
+    plans, kept = {}, snapshot_loads.store_events
+
+    def seen_kept(rows, path):
+        plans[path.rsplit("/", 1)[1]] = rows._jdf.queryExecution().executedPlan().toString()
+        return kept(rows, path)
+
+    monkeypatch.setattr(snapshot_loads, "store_events", seen_kept)
+    fresh = [
+        raw("a", "2020-02-01 10:00:00", "purchase", session=1, txn="T1", revenue=1.0),  # of a known session, and a known purchase
+        raw("b", "2020-02-01 10:05:00", "view_item", session=8),
+        raw("a", None, "scroll", session=2),
+        raw(None, "2020-02-02 08:00:00", session=5),
+    ]
+    load(spark, store, fresh, tmp_path / "w2", "merge")
+    assert contents(store.model()) == whole(spark, *EARLY, *fresh)
+    assert "Join" not in plans["fact_user_daily_activity_delta"]
+    for table, key in (("fact_sessions", "session_key"), ("fact_purchases", "purchase_key"), ("dim_user", "user_id")):
+        assert f"hashpartitioning({key}" not in plans[f"{table}_hits"] and "hashpartitioning(part" in plans[f"{table}_hits"]

@@ -82,10 +82,19 @@ def _named_parts(store: SnapshotStore, table: str, rows: DataFrame) -> list[str]
     return [r[0] for r in rows.select(store.part_of(table)).distinct().collect()]
 
 
-def _hits(store: SnapshotStore, table: str, rows: DataFrame, work: str) -> tuple[DataFrame, list[str]]:
-    """The keys among ``rows`` that stored parts may hold, and the names of these parts."""
-    found = store_events(store.may_hold(table, rows.select(*FILTER_KEYS[table]).distinct()), f"{work}/{table}_hits")
-    return found, [r[0] for r in found.select("part").distinct().collect()]
+def _keys(table: str, rows: DataFrame) -> DataFrame:
+    """The filtered keys of rows that a load gives; only steps repeat theirs."""
+    keys = rows.select(*FILTER_KEYS[table])
+    return keys if LOAD_KEYS[table] == FILTER_KEYS[table] else keys.distinct()
+
+
+def _hits(store: SnapshotStore, table: str, rows: DataFrame, work: str) -> list[str]:
+    """The names of the stored parts that may hold keys among ``rows``.
+
+    Which keys these are is not asked, so none is shuffled for it: only their hashes are.
+    """
+    found = store.may_hold(table, _keys(table, rows)).select("part").distinct()
+    return [r[0] for r in store_events(found, f"{work}/{table}_hits").collect()]
 
 
 def insert_absent(change: Change, table: str, rows: DataFrame, work: str) -> None:
@@ -104,7 +113,7 @@ def insert_absent(change: Change, table: str, rows: DataFrame, work: str) -> Non
     by = "session_key" if FILTER_KEYS[table] == ["session_key"] else None
     with stored_by(rows, place, by) if by else nullcontext(store_events(rows, place)) as rows:
         # One join: to part the doubtful rows from the others first would shuffle all of them twice more.
-        stored = store.read(table, missing_ok=True, parts=_hits(store, table, rows, work)[1]).hint("merge")
+        stored = store.read(table, missing_ok=True, parts=_hits(store, table, rows, work)).hint("merge")
         change.put(table, insert_if_absent(rows, stored, keys, by if len(keys) > 1 else None), drop=[])
 
 
@@ -117,12 +126,14 @@ def merge_rows(
     """
     store = change.store
     delta = store_events(delta, f"{work}/{table}_delta")
-    parts = _hits(store, table, delta, work)[1] if table in FILTER_KEYS else _named_parts(store, table, delta)
-    wanted = delta.select(*keys).distinct().hint("merge")
+    parts = _hits(store, table, delta, work) if table in FILTER_KEYS else _named_parts(store, table, delta)
+    wanted = (_keys(table, delta) if table in FILTER_KEYS else delta.select(*keys)).hint("merge")
     same = store.read(table, missing_ok=True, parts=parts).join(wanted, keys, "left_semi").select(*delta.columns)
     same = store_events(same, f"{work}/{table}_same")
     changed = _named_parts(store, table, same)
-    copied = store.read(table, missing_ok=True, parts=changed).join(wanted, keys, "left_anti").select(*delta.columns)
+    # What these parts hold of the delta's keys is known by now, often far less than the delta.
+    found = same.select(*keys).distinct().hint("merge")
+    copied = store.read(table, missing_ok=True, parts=changed).join(found, keys, "left_anti").select(*delta.columns)
     merged = combine(same.unionByName(delta)) if combine else delta
     change.put(table, copied.unionByName(merged.select(*delta.columns)), drop=changed)
 
@@ -144,13 +155,16 @@ def merge_model(
         raise ValueError("there is no rollup to merge into: an incremental load came between; load in full once")
 
     def days(_: str) -> None:
-        # the rollup adds up, so a delta's slices are one more folder of their dates
-        touched = store_events(model["fact_user_daily_activity"].select("user_id", "activity_date").distinct(), f"{work}/days")
-        dates = [r[0].isoformat() for r in touched.select("activity_date").distinct().collect()]
-        slices = store.read(ROLLUP, missing_ok=True, parts=dates).unionByName(rolled)
-        touched = touched.withColumnRenamed("activity_date", "event_date_utc")
-        slices = slices.join(touched.hint("merge"), ["user_id", "event_date_utc"], "left_semi")
+        # The rollup adds up, so a delta's slices are one more folder of their dates. On dates it does not hold yet, the delta's days are whole.
+        alone, day = model["fact_user_daily_activity"], F.col("event_date_utc")
+        keyed = rolled.where(F.col("user_id").isNotNull() & day.isNotNull())
+        held = store.parts(ROLLUP)
+        old = [r[0] for r in keyed.select(day).distinct().collect() if r[0].isoformat() in held]
+        again = keyed.where(day.isin(old))
+        slices = store.read(ROLLUP, missing_ok=True, parts=[d.isoformat() for d in old]).unionByName(again)
+        slices = slices.join(again.select("user_id", day).distinct().hint("merge"), ["user_id", "event_date_utc"], "left_semi")
         whole = build_fact_user_daily_activity(enrich_events(slices))
+        whole = alone.where(~F.col("activity_date").isin(old)).unionByName(whole) if old else alone
         merge_rows(change, "fact_user_daily_activity", whole, None, ["user_id", "activity_date"], work)
 
     def rows(combine: Callable[[DataFrame], DataFrame]) -> Callable[[str], None]:

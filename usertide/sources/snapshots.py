@@ -248,14 +248,16 @@ class Change:
         held = {} if drop is None else {p: f for p, f in self.manifest["tables"].get(table, {}).items() if p not in drop}
         self.manifest["tables"][table] = held | {p: [*held.get(p, []), folder] for p, folder in new.items()}
         if table in FILTER_KEYS:
-            self._put_filter(table, list(new.values()), drop)
+            self._put_filter(table, place if new else None, drop)
 
-    def _put_filter(self, table: str, folders: list[str], drop: list[str] | None) -> None:
+    def _put_filter(self, table: str, written: str | None, drop: list[str] | None) -> None:
         store, place = self.store, f"data/{self.load}/filters/{table}"
-        part, keys = store.part_of(table), FILTER_KEYS[table]
-        rows = store._read(folders, TABLES[table])
+        part, keys = F.col("part"), FILTER_KEYS[table]
         held = {} if drop is None else {p: f for p, f in self.manifest["filters"].get(table, {}).items() if p not in drop}
-        if folders:
+        if written:
+            # The names of the folders say the parts: to count them reads no column.
+            schema = T.StructType([*[f for f in TABLES[table] if f.name in keys], T.StructField("part", T.StringType())])
+            rows = store.spark.read.schema(schema).parquet(f"{store.root}/{written}")
             widths = {r["part"]: r["width"] for r in filter_widths(rows, part).collect()}  # a row for each part
             words = build_filter(rows, part, keys, widths).withColumn("of", F.col("part"))
             words.hint("rebalance", F.col("of")).write.partitionBy("of").parquet(f"{store.root}/{place}")
